@@ -1,0 +1,39 @@
+"""Violation-shaped inputs derived by Spark from the driver's tables.
+
+The analysed system reads police files and drone messages; the test bed has
+TPC-H-like tables instead.  These views map them onto the violation layout
+so every registered query reads the whole given tables:
+
+* ``season_rows``: ``lineitem`` ship dates (1995–2001, every season) with
+  the supplier key as the code;
+* ``period_rows``: ``events`` times (with time of day) with the event type as
+  the code, ``error`` standing for a missing code.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def season_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_shipdate").cast("timestamp").alias("sending_date"),
+        F.col("l_suppkey").cast("string").alias("violation_code"))
+
+
+def period_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        F.col("ts").cast("timestamp").alias("sending_date"),
+        F.nullif(F.col("event_type"), F.lit("error")).alias("violation_code"))
+
+
+def all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sources together: every season and every hour."""
+    return season_rows(spark, sf_dir).unionByName(period_rows(spark, sf_dir))
