@@ -13,10 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.bands import period, season
-from .operators.conform import prepared
+from .functions.codec import encode_violation
+from .functions.parse import compact_clock, field, split_fields, try_parse_ts
+from .operators.alerts import alerts
+from .operators.conform import conform, prepared, to_violation
+from .operators.images import latest_images
+from .operators.messages import (all_rejects, decode_image, decode_standard,
+                                 decode_violation, route, route_of)
 from .operators.metrics import count_by, share_of_total, union_bands
 from .plans import analyses as A
-from .plans.derived import all_rows, period_rows, season_rows, table
+from .plans.derived import (all_rows, events_as_strings, keyed_messages, period_rows,
+                            raw_lines, season_rows, table)
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -164,3 +171,224 @@ def q_union_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagged = union_bands(li, "season", A.FIRST_ANALYSIS_SEASONS,
                          season(F.col("l_shipdate").cast("timestamp")))
     return tagged.select("l_orderkey", "l_linenumber", "season")
+
+
+# -- raw police lines --------------------------------------------------------
+
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sources.raw import raw_records
+    return raw_records(raw_lines(spark, sf_dir))
+
+
+# The clock in the lines is the usual 12-hour one; the parsing rule adds 12
+# hours for ``P`` only, so 12 AM reads as 12:00 and 12 PM as 00:00.
+_RULE_HOUR = "case when hour(ts) = 0 then 12 when hour(ts) = 12 then 0 else hour(ts) end"
+
+
+@register("parse_raw_records", f"""
+select event_id, case when event_id % 13 = 0 then null else
+         epoch_us(date_trunc('day', ts) + to_hours({_RULE_HOUR}) + to_minutes(minute(ts))) end
+         as sending_date_us,
+       nullif(event_type, 'error') as violation_code
+from events
+""")
+def q_parse_raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = to_violation(_raw(spark, sf_dir), keep=("_c0",))
+    return v.select(F.col("_c0").cast("long").alias("event_id"),
+                    F.unix_micros("sending_date").alias("sending_date_us"), "violation_code")
+
+
+@register("compact_clock", f"""
+select event_id,
+       case when event_id % 13 = 0 then null else {_RULE_HOUR} end as hour,
+       case when event_id % 13 = 0 then null else minute(ts) end as minute
+from events
+""")
+def q_compact_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = split_fields(F.col("line"))
+    df = raw_lines(spark, sf_dir).select(parts.alias("p"))
+    ck = compact_clock(field("p", 19))
+    return df.select(field("p", 0).cast("long").alias("event_id"),
+                     ck["hour"].alias("hour"), ck["minute"].alias("minute"))
+
+
+@register("split_fields", """
+select event_id,
+       case when event_id % 13 = 0 then 8 else 21 end as n_fields,
+       '"' || event_type || ', ' || cast(user_id as varchar) || '"' as field2,
+       case when event_type = 'error' then ''
+            when event_id % 17 = 0 then '"' || event_type || '"'
+            else event_type end as field5
+from events
+""")
+def q_split_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = raw_lines(spark, sf_dir).select(split_fields(F.col("line")).alias("p"))
+    return df.select(field("p", 0).cast("long").alias("event_id"),
+                     F.size("p").alias("n_fields"),
+                     field("p", 2).alias("field2"), field("p", 5).alias("field5"))
+
+
+@register("try_parse_ts", """
+select o_orderkey, case when o_orderkey % 9 = 0 then null else epoch_us(o_orderdate) end
+       as parsed_us
+from orders
+""")
+def q_try_parse_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    text = F.date_format(F.col("o_orderdate"), "dd-MM-yyyy HH:mm:ss")
+    text = F.when(F.col("o_orderkey") % 9 == 0, F.concat(text, F.lit(" x"))).otherwise(text)
+    return o.select("o_orderkey",
+                    F.unix_micros(try_parse_ts(text, "dd-MM-yyyy HH:mm:ss")).alias("parsed_us"))
+
+
+# -- schema conformance --------------------------------------------------------
+
+_CONFORM_ROW = """
+  case when event_type = 'error' then null else value end as lat, -value as lng,
+  case when event_id % 5 = 0 then null else epoch_us(ts) end as sending_date_us,
+  cast(user_id as varchar) as drone_id"""
+
+
+@register("conform_positional", f"""
+select 7 as width, {_CONFORM_ROW}, event_type as violation_code,
+       cast(event_id as varchar) as image_id from events
+union all
+select 6 as width, {_CONFORM_ROW}, event_type as violation_code,
+       cast(event_id as varchar) as image_id from events
+union all
+select 4 as width, {_CONFORM_ROW}, null as violation_code, null as image_id from events
+""")
+def q_conform_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = None
+    for w in (7, 6, 4):
+        c = conform(events_as_strings(spark, sf_dir, w))
+        c = c.select(F.lit(w).alias("width"), "lat", "lng",
+                     F.unix_micros("sending_date").alias("sending_date_us"),
+                     "drone_id", "violation_code", "image_id")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+@register("prepared_rows", """
+select cast(event_id as varchar) as image_id, epoch_us(ts) as sending_date_us
+from events where event_id % 5 <> 0
+""")
+def q_prepared_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = prepared(conform(events_as_strings(spark, sf_dir, 6)))
+    return p.select("image_id", F.unix_micros("sending_date").alias("sending_date_us"))
+
+
+# -- keyed messages --------------------------------------------------------------
+
+_ROUTE_SQL = ("case when event_id % 20 = 0 then 'violation' when event_id % 20 = 1 then 'image' "
+              "when event_id % 20 >= 4 then 'standard' else 'unhandled' end")
+_OK = "event_id % 7 <> 0 and event_id % 11 <> 0"
+
+
+@register("route_counts", f"""
+select {_ROUTE_SQL} as route, count(*) as n from events group by 1
+""")
+def q_route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = keyed_messages(spark, sf_dir)
+    return m.groupBy(route_of("key").alias("route")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("decode_standard", f"""
+select value as lat, -value as lng, (epoch_us(ts) // 1000) * 1000 as sending_date_us,
+       cast(user_id as varchar) as drone_id, event_id as "offset"
+from events where event_id % 20 >= 4 and {_OK}
+""")
+def q_decode_standard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = decode_standard(route(keyed_messages(spark, sf_dir))["standard"], keep=("offset",))
+    return good.select("lat", "lng", F.unix_micros("sending_date").alias("sending_date_us"),
+                       "drone_id", "offset")
+
+
+_VIOLATION_ROW = """value as lat, -value as lng, (epoch_us(ts) // 1000) * 1000 as sending_date_us,
+       cast(user_id as varchar) as drone_id, nullif(event_type, 'error') as violation_code,
+       cast(event_id as varchar) as image_id"""
+
+
+@register("decode_violation", f"""
+select {_VIOLATION_ROW}, event_id as "offset"
+from events where event_id % 20 = 0 and {_OK}
+""")
+def q_decode_violation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = decode_violation(route(keyed_messages(spark, sf_dir))["violation"], keep=("offset",))
+    return good.select("lat", "lng", F.unix_micros("sending_date").alias("sending_date_us"),
+                       "drone_id", "violation_code", "image_id", "offset")
+
+
+@register("decode_image", f"""
+select cast(user_id as varchar) as image_id, props as content, event_id as "offset"
+from events where event_id % 20 = 1 and {_OK}
+""")
+def q_decode_image(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = decode_image(route(keyed_messages(spark, sf_dir))["image"], keep=("offset",))
+    return good
+
+
+@register("encode_violation", f"""
+select event_id as "offset",
+       '{{"lat":' || cast(value as varchar) || ',"lng":' || cast(-value as varchar)
+       || ',"sending_date":' || cast(epoch_us(ts) // 1000 as varchar)
+       || ',"drone_id":"' || cast(user_id as varchar) || '"'
+       || coalesce(',"violation_code":"' || nullif(event_type, 'error') || '"', '')
+       || ',"image_id":"' || cast(event_id as varchar) || '"}}' as value
+from events where event_id % 20 = 0 and {_OK}
+""")
+def q_encode_violation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # decode → encode: the stored record re-encoded is the message sent.
+    good, _ = decode_violation(route(keyed_messages(spark, sf_dir))["violation"], keep=("offset",))
+    return good.select("offset", encode_violation().alias("value"))
+
+
+@register("reject_records", f"""
+select case when {_ROUTE_SQL} = 'unhandled' then 'unhandled key'
+            when event_id % 7 = 0 and event_id % 20 = 0 then 'bad type drone_id'
+            when event_id % 7 = 0 and event_id % 20 = 1 then 'missing content'
+            when event_id % 7 = 0 then 'bad type lat'
+            else 'not a JSON object' end as reason,
+       case when event_id % 20 = 0 then 'VIOLATION_MESSAGE' when event_id % 20 = 1 then 'VIOLATION_IMAGE'
+            when event_id % 20 = 2 then 'OTHER' when event_id % 20 = 3 then null
+            else 'STANDARD_MESSAGE' end as key,
+       event_id as "offset"
+from events where event_id % 20 in (2, 3) or not ({_OK})
+""")
+def q_reject_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return all_rejects(keyed_messages(spark, sf_dir), keep=("offset",)) \
+        .select("reason", "key", "offset")
+
+
+# Fixed value: where images are stored (used in alert text).
+IMAGE_DIR = "lake/drone_message/image_drone_message"
+
+
+@register("alert_text", f"""
+select event_id as "offset", 'Violation Alert' as subject,
+  'New Violation Occured' || chr(10)
+  || 'Violation Code: ' || coalesce(nullif(event_type, 'error'), 'Unknown') || chr(10)
+  || 'Occurring Date: ' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || chr(10)
+  || 'Latitude : ' || cast(value as varchar) || chr(10)
+  || 'Longitude : ' || cast(-value as varchar) || chr(10)
+  || 'Drone ID: ' || cast(user_id as varchar) || chr(10)
+  || 'Violation Image: {IMAGE_DIR}/' || cast(event_id as varchar) || chr(10)
+  || chr(10) || chr(10) || '-- SENT FROM ALERT HANDLER SYSTEM --' || chr(10) as body
+from events where event_id % 20 = 0 and {_OK}
+""")
+def q_alert_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = decode_violation(route(keyed_messages(spark, sf_dir))["violation"], keep=("offset",))
+    return alerts(good, IMAGE_DIR, keep=("offset",))
+
+
+@register("latest_images", f"""
+select image_id, content from (
+  select cast(user_id as varchar) as image_id, props as content,
+         row_number() over (partition by user_id order by event_id desc) as k
+  from events where event_id % 20 = 1 and {_OK}) t
+where k = 1
+""")
+def q_latest_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = decode_image(route(keyed_messages(spark, sf_dir))["image"],
+                           keep=("partition", "offset"))
+    return latest_images(good)

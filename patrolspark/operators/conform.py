@@ -34,13 +34,16 @@ def prepared(df: DataFrame, date_col: str = "sending_date") -> DataFrame:
     return df.where(F.col(date_col).isNotNull())
 
 
-def to_violation(raw: DataFrame, noon: str = "reference") -> DataFrame:
+def to_violation(raw: DataFrame, noon: str = "reference",
+                 keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw police record → violation record.
 
     Date from position 4 plus clock from position 19; code from position 5
-    with an empty code as null; every other field null.
+    with an empty code as null; every other field null.  ``keep`` carries
+    raw columns along (e.g. a line id).
     """
     return raw.select(
+        *keep,
         null_of("double").alias("lat"),
         null_of("double").alias("lng"),
         violation_ts(F.col(RAW_DATE), F.col(RAW_CLOCK), noon).alias("sending_date"),
