@@ -392,3 +392,69 @@ def q_latest_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, _ = decode_image(route(keyed_messages(spark, sf_dir))["image"],
                            keep=("partition", "offset"))
     return latest_images(good)
+
+
+# -- tables on disk and streams ------------------------------------------------
+
+@register("csv_round_trip", """
+select event_id, (epoch_us(ts) // 1000) * 1000 as ts_us, user_id, event_type, value
+from events
+""")
+def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import types as T
+
+    from .session import scratch_path
+    from .sources.tables import read_table, write_table
+    path = scratch_path(spark, "csv_round_trip")
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    write_table(ev, path, "csv")  # headerless, append
+    schema = T.StructType([T.StructField("event_id", T.LongType()),
+                           T.StructField("ts", T.TimestampType()),
+                           T.StructField("user_id", T.LongType()),
+                           T.StructField("event_type", T.StringType()),
+                           T.StructField("value", T.DoubleType())])
+    back = conform(read_table(spark, path, "csv"), schema)
+    return back.select("event_id", F.unix_micros("ts").alias("ts_us"), "user_id",
+                       "event_type", "value")
+
+
+@register("streaming_load_totals", """
+select count(*) as n_rows,
+       count(case when event_id % 13 <> 0 then 1 end) as n_dated,
+       count(nullif(event_type, 'error')) as n_codes
+from events
+""")
+def q_streaming_load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .session import scratch_path
+    from .sources.tables import read_table
+    from .streaming.load import load_historic
+    src, lake, ckpt = (scratch_path(spark, n) for n in ("raw_src", "lake", "lake_ckpt"))
+    raw_lines(spark, sf_dir).write.text(src)  # Spark's text writer names parts *.txt
+    load_historic(spark, src, lake, ckpt, suffix="txt")
+    v = read_table(spark, lake, "parquet")
+    return v.agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.count("sending_date").alias("n_dated"),
+                 F.count("violation_code").alias("n_codes"))
+
+
+@register("stream_route_counts", f"""
+select 'standard' as "table", count(*) as n from events where event_id % 20 >= 4 and {_OK}
+union all select 'violation', count(*) from events where event_id % 20 = 0 and {_OK}
+union all select 'alerts', count(*) from events where event_id % 20 = 0 and {_OK}
+union all select 'images', count(*) from events where event_id % 20 = 1 and {_OK}
+union all select 'rejects', count(*) from events where event_id % 20 in (2, 3) or not ({_OK})
+""")
+def q_stream_route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .schemas import KEYED
+    from .session import scratch_path
+    from .streaming.consume import TABLES, consume_messages, read_output
+    src, out, ckpt = (scratch_path(spark, n) for n in ("msg_src", "msg_out", "msg_ckpt"))
+    keyed_messages(spark, sf_dir).write.json(src)
+    stream = spark.readStream.schema(KEYED).json(src)
+    consume_messages(stream, out, ckpt, IMAGE_DIR, available_now=True)
+    parts = [read_output(spark, out, t).agg(F.count(F.lit(1)).alias("n"))
+             .select(F.lit(t).alias("table"), "n") for t in TABLES]
+    out_df = parts[0]
+    for p in parts[1:]:
+        out_df = out_df.unionByName(p)
+    return out_df
