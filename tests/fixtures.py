@@ -1,0 +1,29 @@
+"""Small inputs from FIXTURES.md."""
+
+from datetime import datetime
+
+# Fixture G: twelve violations (sending_date, violation_code).
+FIXTURE_G = [
+    (datetime(2019, 12, 20, 23, 59, 0), "14"),
+    (datetime(2019, 12, 21, 0, 0, 0), "14"),
+    (datetime(2019, 12, 31, 23, 59, 59), "21"),
+    (datetime(2020, 1, 1, 0, 0, 0), "21"),
+    (datetime(2020, 2, 29, 12, 0, 0), "21"),
+    (datetime(2020, 3, 20, 19, 59, 59), "46"),
+    (datetime(2020, 3, 21, 8, 0, 0), "46"),
+    (datetime(2020, 6, 20, 20, 0, 0), "46"),
+    (datetime(2020, 6, 21, 7, 59, 59), "14"),
+    (datetime(2020, 9, 20, 12, 0, 0), "36"),
+    (datetime(2020, 9, 21, 12, 0, 0), None),
+    (None, "Violation Code"),
+]
+G_SEASONS = ["autumn", "winter", "winter", "winter", "winter", "winter", "spring", "spring",
+             "summer", "summer", "autumn", None]
+G_PERIODS = ["night", "night", "night", "night", "day", "day", "day", "night", "night", "day",
+             "day", None]
+
+
+def violations_df(spark, rows):
+    from patrolspark.schemas import VIOLATION
+    full = [(None, None, d, None, c, None) for d, c in rows]
+    return spark.createDataFrame(full, VIOLATION)

@@ -1,0 +1,88 @@
+import pytest
+from pyspark.sql import functions as F
+
+from patrolspark.plans import analyses as A
+from fixtures import FIXTURE_G, violations_df
+
+
+def _rows(df, *cols):
+    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
+@pytest.fixture(scope="module")
+def g(spark):
+    return violations_df(spark, FIXTURE_G)
+
+
+def test_q1_fixture_g(spark, g):
+    got = _rows(A.season_share(g), "season", "number_of_violations", "percent")
+    assert got == [("summer", 2, 28.571428571428573), ("winter", 5, 71.42857142857143)]
+
+
+def test_q2_fixture_g(spark, g):
+    got = [(r.violation_code, r.number_of_violations, r.percent)
+           for r in A.top_codes(g).collect()]
+    assert got == [("14", 3, 30.0), ("21", 3, 30.0), ("46", 3, 30.0), ("36", 1, 10.0),
+                   (None, 0, 0.0)]
+
+
+def test_q3_fixture_g(spark, g):
+    assert _rows(A.period_share(g), "period", "number_of_violations", "percent") == \
+        [("day", 4, 40.0), ("night", 6, 60.0)]
+
+
+def test_q4_fixture_g(spark, g):
+    got = _rows(A.top_code_per_season(g), "season", "violation_code",
+                "number_of_violations", "percent")
+    assert got == sorted([("winter", "21", 3, 60.0), ("spring", "46", 2, 100.0),
+                          ("summer", "14", 1, 50.0), ("autumn", "14", 1, 100.0)])
+
+
+def test_cube_path_equals_direct(spark, g):
+    results, cube = A.run_all(g)
+    try:
+        assert _rows(results["season_share"], "season", "number_of_violations", "percent") == \
+            _rows(A.season_share(g), "season", "number_of_violations", "percent")
+        assert [tuple(r) for r in results["top5_codes"].collect()] == \
+            [tuple(r) for r in A.top_codes(g).collect()]
+        assert _rows(results["period_share"], "period", "number_of_violations", "percent") == \
+            _rows(A.period_share(g), "period", "number_of_violations", "percent")
+        cols = ("season", "violation_code", "number_of_violations", "percent")
+        assert _rows(results["top_code_per_season"], *cols) == \
+            _rows(A.top_code_per_season(g), *cols)
+    finally:
+        cube.unpersist()
+
+
+def test_all_null_codes_and_empty_groups(spark):
+    from datetime import datetime
+    df = violations_df(spark, [(datetime(2020, 1, 5, 3), None), (datetime(2020, 1, 6, 3), None)])
+    r = A.season_share(df).collect()
+    assert [(x.season, x.number_of_violations, x.percent) for x in r] == [("winter", 0, None)]
+    assert A.top_code_per_season(df).collect()[0].percent is None
+    # summer has no rows → no summer row
+    assert {x.season for x in r} == {"winter"}
+
+
+def test_shares_sum_to_100_on_driver_table(spark):
+    from patrolspark.plans.derived import season_rows
+    rows = season_rows(spark, "/root/testdata/sf0.001")
+    from patrolspark.operators.metrics import count_by, share_of_total
+    s = share_of_total(count_by(rows, "violation_code")).agg(F.sum("percent")).first()[0]
+    assert abs(s - 100.0) < 1e-9
+
+
+def test_shares_by_group(spark, g):
+    from patrolspark.operators.metrics import count_by, share_of_total
+    c = count_by(A.labelled(g), ["season", "violation_code"])
+    s = share_of_total(c, by=["season"]).groupBy("season").agg(F.sum("percent").alias("p"))
+    assert all(abs(r.p - 100.0) < 1e-9 for r in s.collect())
+
+
+def test_plan_pushes_filter_and_prunes(spark):
+    from patrolspark.plans.derived import season_rows
+    df = A.top_codes(season_rows(spark, "/root/testdata/sf0.001"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(l_shipdate)]" in plan
+    assert "ReadSchema: struct<l_suppkey:bigint,l_shipdate:timestamp_ntz>" in plan
+    assert "TakeOrderedAndProject" in plan

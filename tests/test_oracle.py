@@ -1,0 +1,55 @@
+"""Every registered query against its DuckDB oracle on the smallest tables."""
+
+import math
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as E
+from conftest import SF_SMALL
+
+TABLES = "orders lineitem events".split()
+
+
+def _norm(v):
+    import pandas as pd
+    if v is None or v is pd.NA or v is pd.NaT:
+        return None
+    if hasattr(v, "item"):
+        v = v.item()
+    if isinstance(v, float):
+        if math.isnan(v):
+            return None
+        return round(v, 9)
+    return v
+
+
+def _rows(pdf):
+    cols = sorted(pdf.columns)
+    return cols, sorted((tuple(_norm(x) for x in r) for r in pdf[cols].itertuples(index=False)),
+                        key=repr)
+
+
+@pytest.fixture(scope="module")
+def con():
+    c = duckdb.connect()
+    for t in TABLES:
+        c.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
+    return c
+
+
+@pytest.mark.parametrize("key", sorted(E.queries()))
+def test_query_matches_oracle(spark, con, key):
+    sql = E.oracle_sql().get(key)
+    got = E.queries()[key](spark, SF_SMALL).toPandas()
+    if sql is None:
+        pytest.skip("no SQL oracle")
+    want = con.execute(sql).df()
+    assert _rows(got) == _rows(want)
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.columns == ["season", "violation_code", "number_of_violations", "percent"]
+    assert df.count() > 0
