@@ -126,6 +126,39 @@ def decode_image(df: DataFrame, keep: tuple[str, ...] = ()):
     return good(c, "image", keep), rejects(c, keep)
 
 
+# Columns of ``decode_all``: route, reason, then every field of every kind.
+DECODED_FIELDS = ("lat", "lng", "sending_date", "drone_id", "violation_code", "image_id",
+                  "content")
+
+
+def decode_all(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Route and decode every message of ``df`` once, into one frame.
+
+    Columns: ``route``, ``reason`` (null when good), ``key``, ``value``, the
+    ``keep`` columns and the union of all message fields (null where a kind
+    has no such field).  Meant to be persisted once per micro-batch and then
+    split by ``route`` / ``reason`` without decoding again.
+    """
+    r = route(df)
+    parts = []
+    for kind in ("standard", "violation", "image"):
+        c = checked(r[kind], kind)
+        have = set(c.columns)
+        parts.append(c.select(
+            F.lit(kind).alias("route"), F.col("__reason").alias("reason"), "key", "value", *keep,
+            *[(F.col(n) if n in have else F.lit(None).cast(_FIELD_TYPES[n])).alias(n)
+              for n in DECODED_FIELDS]))
+    parts.append(r["unhandled"].select(
+        F.lit("unhandled").alias("route"), F.lit(UNHANDLED_REASON).alias("reason"),
+        "key", "value", *keep, *[F.lit(None).cast(_FIELD_TYPES[n]).alias(n)
+                                 for n in DECODED_FIELDS]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+_FIELD_TYPES = {**{f.name: f.dataType for f in VIOLATION.fields},
+                "content": IMAGE["content"].dataType}
+
+
 def all_rejects(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every record that cannot be stored: failed decodes and unknown keys."""
     r = route(df)

@@ -15,7 +15,6 @@ rows of an earlier run.
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +23,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.alerts import alerts
 from ..operators.images import latest_images
-from ..operators.messages import UNHANDLED_REASON, checked, good, rejects, route
+from ..operators.messages import decode_all
+from ..schemas import STANDARD, VIOLATION
 
 TABLES = ("standard", "violation", "images", "alerts", "rejects")
 
@@ -49,24 +49,28 @@ def write_batch_table(df: DataFrame, path: str, rid: str, batch_id: int,
      .partitionBy("run_id", "batch_id").save(path))
 
 
-def split_batch(df: DataFrame, image_dir: str) -> dict[str, DataFrame]:
-    """One batch of keyed messages → the five output tables (lazy)."""
-    r = route(df)
-    std = checked(r["standard"], "standard")
-    vio = checked(r["violation"], "violation")
-    img = checked(r["image"], "image")
-    good_v = good(vio, "violation")
-    bad = [rejects(std, ("partition", "offset")), rejects(vio, ("partition", "offset")),
-           rejects(img, ("partition", "offset")),
-           r["unhandled"].select(F.lit(UNHANDLED_REASON).alias("reason"), "key", "value",
-                                 "partition", "offset")]
-    return {
-        "standard": good(std, "standard"),
-        "violation": good_v,
-        "images": good(img, "image", ("partition", "offset")),
-        "alerts": alerts(good_v, image_dir),
-        "rejects": reduce(DataFrame.unionByName, bad),
-    }
+def split_batch(decoded: DataFrame, image_dir: str) -> dict[str, DataFrame]:
+    """Decoded batch (``decode_all``) → the five output tables (lazy)."""
+    ok = decoded.where(F.col("reason").isNull())
+    std = ok.where(F.col("route") == "standard").select(*[f.name for f in STANDARD.fields])
+    vio = ok.where(F.col("route") == "violation").select(*[f.name for f in VIOLATION.fields])
+    img = ok.where(F.col("route") == "image").select("image_id", "content", "partition", "offset")
+    bad = decoded.where(F.col("reason").isNotNull()).select(
+        "reason", "key", "value", "partition", "offset")
+    return {"standard": std, "violation": vio, "images": img,
+            "alerts": alerts(vio, image_dir), "rejects": bad}
+
+
+def write_batch(batch: DataFrame, out_dir: str, image_dir: str, rid: str, batch_id: int,
+                fmt: str = "parquet") -> None:
+    """Decode one batch once (persisted) and write the five tables."""
+    decoded = decode_all(batch, keep=("partition", "offset")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for name, df in split_batch(decoded, image_dir).items():
+            write_batch_table(df, f"{out_dir.rstrip('/')}/{name}", rid, batch_id, fmt)
+    finally:
+        decoded.unpersist()
 
 
 def consume_messages(stream: DataFrame, out_dir: str, checkpoint: str, image_dir: str,
@@ -79,12 +83,7 @@ def consume_messages(stream: DataFrame, out_dir: str, checkpoint: str, image_dir
     out = out_dir.rstrip("/")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            for name, df in split_batch(batch, image_dir).items():
-                write_batch_table(df, f"{out}/{name}", rid, batch_id, fmt)
-        finally:
-            batch.unpersist()
+        write_batch(batch, out, image_dir, rid, batch_id, fmt)
 
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     if available_now:

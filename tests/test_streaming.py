@@ -6,7 +6,7 @@ from patrolspark.schemas import KEYED
 from patrolspark.sources.raw import raw_files
 from patrolspark.operators.conform import to_violation
 from patrolspark.streaming.consume import (consume_messages, image_store, read_output,
-                                           run_id, split_batch, write_batch_table)
+                                           run_id, write_batch)
 from patrolspark.streaming.load import load_historic, save_violations
 
 
@@ -92,12 +92,10 @@ def test_replayed_batch_is_idempotent(spark, tmp_dir):
     batch = spark.createDataFrame([("STANDARD_MESSAGE", STD, 0, 1),
                                    ("VIOLATION_MESSAGE", VIO, 0, 2)], KEYED)
     for _ in range(2):  # the same batch id written twice
-        for name, df in split_batch(batch, "/img").items():
-            write_batch_table(df, f"{out}/{name}", "run", 7)
+        write_batch(batch, out, "/img", "run", 7)
     assert read_output(spark, out, "standard").count() == 1
     assert read_output(spark, out, "alerts").count() == 1
-    for name, df in split_batch(batch, "/img").items():  # next batch id adds rows
-        write_batch_table(df, f"{out}/{name}", "run", 8)
+    write_batch(batch, out, "/img", "run", 8)  # next batch id adds rows
     assert read_output(spark, out, "violation").count() == 2
 
 
