@@ -8,8 +8,6 @@ input is persisted once so the two never re-read the source.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -129,40 +127,40 @@ def decode_image(df: DataFrame, keep: tuple[str, ...] = ()):
 # Columns of ``decode_all``: route, reason, then every field of every kind.
 DECODED_FIELDS = ("lat", "lng", "sending_date", "drone_id", "violation_code", "image_id",
                   "content")
+_FIELD_TYPES = {**{f.name: f.dataType for f in VIOLATION.fields},
+                "content": IMAGE["content"].dataType}
+_JSON_KIND = {name: jkind for fields in _FIELDS.values() for name, jkind, _ in fields}
 
 
 def decode_all(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Route and decode every message of ``df`` once, into one frame.
+    """Route and decode every message of ``df`` in one pass.
 
     Columns: ``route``, ``reason`` (null when good), ``key``, ``value``, the
-    ``keep`` columns and the union of all message fields (null where a kind
-    has no such field).  Meant to be persisted once per micro-batch and then
-    split by ``route`` / ``reason`` without decoding again.
+    ``keep`` columns and the union of all message fields (null where the
+    message's kind has no such field).  The input is read once and each
+    value parsed once, whatever its kind; a micro-batch persists the result
+    and splits it by ``route`` / ``reason`` without decoding again.
     """
-    r = route(df)
-    parts = []
-    for kind in ("standard", "violation", "image"):
-        c = checked(r[kind], kind)
-        have = set(c.columns)
-        parts.append(c.select(
-            F.lit(kind).alias("route"), F.col("__reason").alias("reason"), "key", "value", *keep,
-            *[(F.col(n) if n in have else F.lit(None).cast(_FIELD_TYPES[n])).alias(n)
-              for n in DECODED_FIELDS]))
-    parts.append(r["unhandled"].select(
-        F.lit("unhandled").alias("route"), F.lit(UNHANDLED_REASON).alias("reason"),
-        "key", "value", *keep, *[F.lit(None).cast(_FIELD_TYPES[n]).alias(n)
-                                 for n in DECODED_FIELDS]))
-    return reduce(DataFrame.unionByName, parts)
-
-
-_FIELD_TYPES = {**{f.name: f.dataType for f in VIOLATION.fields},
-                "content": IMAGE["content"].dataType}
+    parsed = df.select("key", "value", *keep, route_of("key").alias("route"),
+                       F.inline(F.array(F.struct(codec.parse_variant("value").alias("__v")))))
+    v = F.col("__v")
+    typed = parsed.select("*", *[codec.json_type(v, n).alias(f"__t_{n}")
+                                 for n in DECODED_FIELDS])
+    types = {n: F.col(f"__t_{n}") for n in DECODED_FIELDS}
+    rt = F.col("route")
+    reason = (F.when(rt == "standard", _reason(types, v, "standard"))
+              .when(rt == "violation", _reason(types, v, "violation"))
+              .when(rt == "image", _reason(types, v, "image"))
+              .otherwise(F.lit(UNHANDLED_REASON)))
+    fields = []
+    for n in DECODED_FIELDS:
+        kinds = [k for k, fs in _FIELDS.items() if any(f[0] == n for f in fs)]
+        val = (codec.millis_ts(v, n) if n == "sending_date" else codec.get(v, n, _JSON_KIND[n]))
+        fields.append(F.when(rt.isin(*kinds), val.cast(_FIELD_TYPES[n])).alias(n))
+    return typed.select("route", reason.alias("reason"), "key", "value", *keep, *fields)
 
 
 def all_rejects(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every record that cannot be stored: failed decodes and unknown keys."""
-    r = route(df)
-    parts = [rejects(checked(r[k], k), keep) for k in ("standard", "violation", "image")]
-    parts.append(r["unhandled"].select(F.lit(UNHANDLED_REASON).alias("reason"),
-                                       "key", "value", *keep))
-    return reduce(DataFrame.unionByName, parts)
+    return decode_all(df, keep).where(F.col("reason").isNotNull()) \
+        .select("reason", "key", "value", *keep)

@@ -36,10 +36,15 @@ def labelled(rows: DataFrame) -> DataFrame:
 # -- direct plans (one scan each) ------------------------------------------
 
 def season_share(rows: DataFrame) -> DataFrame:
-    """Q1: winter against summer, share of the two together."""
+    """Q1: winter against summer, share of the two together.
+
+    Counts all four seasons and keeps two of the (at most four) groups: no
+    per-row filter, and the shuffle carries one row per season per task
+    either way.
+    """
     r = prepared(rows.select(DATE, CODE)).select(season(DATE).alias("season"), CODE)
-    r = r.where(F.col("season").isin(list(FIRST_ANALYSIS_SEASONS)))
-    return share_of_total(count_by(r, "season"))
+    counts = count_by(r, "season").where(F.col("season").isin(list(FIRST_ANALYSIS_SEASONS)))
+    return share_of_total(counts)
 
 
 def top_codes(rows: DataFrame, k: int = TOP_CODES) -> DataFrame:

@@ -120,3 +120,28 @@ def test_epoch_millis_must_be_whole(spark, text, ok):
     v = '{"lat":1,"lng":2,"drone_id":"x","sending_date":%s}' % text
     good, _ = decode_standard(_df(spark, [(S, v)]))
     assert (good.count() == 1) == ok
+
+
+def test_decode_all_agrees_with_each_decoder(spark):
+    from patrolspark.operators.messages import decode_all
+    rows = [(S, GOOD_STD), (S, GOOD_STD.replace('"7"', "7")), (V, "{}"), (V, "[]"),
+            (I, '{"image_id":"i","content":"c"}'), (I, '{"image_id":"i"}'), ("OTHER", "{}"),
+            (None, None), (S, None)]
+    df = _df(spark, rows)
+    d = {r.offset: r for r in decode_all(df, keep=("offset",)).collect()}
+    assert [d[i].route for i in range(9)] == ["standard", "standard", "violation", "violation",
+                                              "image", "image", "unhandled", "unhandled",
+                                              "standard"]
+    assert [d[i].reason for i in range(9)] == [None, "bad type drone_id", None,
+                                               "not a JSON object", None, "missing content",
+                                               "unhandled key", "unhandled key",
+                                               "not a JSON object"]
+    assert d[0].lat == -73.2 and d[0].image_id is None and d[0].content is None
+    assert d[4].content == "c" and d[4].lat is None
+
+
+def test_keyed_payload(spark):
+    from patrolspark.sources.kafka import keyed_payload
+    df = spark.createDataFrame([(1.5, None, "x")], "lat double, lng double, drone_id string")
+    r = keyed_payload(df, "VIOLATION_MESSAGE").first()
+    assert (r.key, r.value) == ("VIOLATION_MESSAGE", '{"lat":1.5,"drone_id":"x"}')
