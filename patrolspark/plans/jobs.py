@@ -51,12 +51,14 @@ def analyse_lake(spark: SparkSession, lake_path: str, out_dir: str | None = None
 
 
 def message_source(spark: SparkSession, topic: str | None = None, servers: str | None = None,
-                   directory: str | None = None, max_per_trigger: int | None = None) -> DataFrame:
+                   directory: str | None = None, max_per_trigger: int | None = None,
+                   min_partitions: int | None = None) -> DataFrame:
     """A keyed stream from a topic, or from a directory of JSON lines shaped
     ``key, value, partition, offset`` (the same columns)."""
     if topic:
         from ..sources.kafka import keyed_stream
-        return keyed_stream(spark, topic, servers, max_offsets_per_trigger=max_per_trigger)
+        return keyed_stream(spark, topic, servers, max_offsets_per_trigger=max_per_trigger,
+                            min_partitions=min_partitions)
     r = spark.readStream.schema(KEYED)
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_per_trigger))

@@ -86,3 +86,36 @@ def test_plan_pushes_filter_and_prunes(spark):
     assert "PushedFilters: [IsNotNull(l_shipdate)]" in plan
     assert "ReadSchema: struct<l_suppkey:bigint,l_shipdate:timestamp_ntz>" in plan
     assert "TakeOrderedAndProject" in plan
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_q4_has_no_window_and_partial_aggregates(spark):
+    from patrolspark.plans.derived import season_rows
+    plan = _plan(A.top_code_per_season(season_rows(spark, "/root/testdata/sf0.001")))
+    assert "Window" not in plan
+    assert "partial_min" in plan and "partial_count" in plan
+
+
+def test_share_total_reuses_the_aggregate_shuffle(spark):
+    from patrolspark.plans.derived import season_rows
+    df = A.season_share(season_rows(spark, "/root/testdata/sf0.001"))
+    df.collect()
+    final = _plan(df)
+    assert "ReusedExchange" in final
+    assert "Window" not in final
+
+
+def test_hot_code_is_combined_map_side(spark):
+    # one code holds a third of all rows; the shuffle still carries one row per code per task
+    from datetime import datetime
+    rows = spark.range(0, 30000, numPartitions=6).select(
+        F.lit(datetime(2020, 1, 5, 3)).cast("timestamp").alias("sending_date"),
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 50).cast("string"))
+        .alias("violation_code"))
+    df = A.top_codes(rows)
+    top = df.collect()
+    assert top[0].violation_code == "HOT" and top[0].number_of_violations == 10000
+    assert "partial_count" in _plan(df)
