@@ -5,10 +5,21 @@ Each entry of ``QUERIES`` takes ``(spark, sf_dir)`` and returns a DataFrame;
 ``lineitem``, ``events``, ``orders`` … .  Column names match one to one.
 Timestamps leave as epoch microseconds (``*_us``) so both sides compare as
 plain integers.
+
+Every query processes whole tables.  Where ``event_id % n`` appears it
+*assigns* something to each row (the message key, as in the live feed where
+1 in 20 messages is a violation; which rows carry a deliberate defect; which
+raw lines are short), never selects a subset to process.  The oracle SQL
+repeats the same assignment to know what each row should become.
+
+The calendar rules are defined in UTC, so each registered query pins the
+session time zone before it builds its plan.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,10 +42,14 @@ ORACLE_SQL: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE_SQL[name] = sql.strip()
-        return fn
+        return run
     return deco
 
 

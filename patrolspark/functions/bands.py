@@ -53,12 +53,3 @@ def period(c) -> Column:
     return (F.when(as_col(c).isNull(), F.lit(None).cast("string"))
             .when((hm >= NIGHT_START) | (hm < DAY_START), F.lit("night"))
             .otherwise(F.lit("day")))
-
-
-def season_sql(c: str) -> str:
-    """The same rule as SQL text (for ``selectExpr`` / views)."""
-    md = f"(month({c}) * 100 + dayofmonth({c}))"
-    return (f"case when {c} is null then null "
-            f"when {md} >= {WINTER_START} or {md} < {SPRING_START} then 'winter' "
-            f"when {md} < {SUMMER_START} then 'spring' "
-            f"when {md} < {AUTUMN_START} then 'summer' else 'autumn' end")

@@ -14,8 +14,6 @@ rows of an earlier run.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,30 +23,11 @@ from ..operators.alerts import alerts
 from ..operators.images import latest_images
 from ..operators.messages import decode_all
 from ..schemas import STANDARD, VIOLATION
+from .idempotent import run_id, write_batch_table
 
 TABLES = ("standard", "violation", "images", "alerts", "rejects")
 
 
-def run_id(spark: SparkSession, checkpoint: str) -> str:
-    """The run id stored in ``checkpoint`` (created on first use)."""
-    path = checkpoint.rstrip("/") + "/patrolspark_run_id"
-    try:
-        return spark.read.text(path).first()[0]
-    except Exception:  # not there yet: first start of this checkpoint
-        rid = uuid.uuid4().hex
-        spark.createDataFrame([(rid,)], "value string").coalesce(1) \
-            .write.mode("errorifexists").text(path)
-        return spark.read.text(path).first()[0]
-
-
-def write_batch_table(df: DataFrame, path: str, rid: str, batch_id: int,
-                      fmt: str = "parquet") -> None:
-    (df.withColumn("run_id", F.lit(rid)).withColumn("batch_id", F.lit(batch_id).cast("long"))
-     .write.format(fmt).mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run_id", "batch_id").save(path))
-
-
 def split_batch(decoded: DataFrame, image_dir: str) -> dict[str, DataFrame]:
     """Decoded batch (``decode_all``) → the five output tables (lazy)."""
     ok = decoded.where(F.col("reason").isNull())

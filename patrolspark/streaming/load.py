@@ -10,12 +10,14 @@ stops, which makes the same code a batch job or a standing one.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.conform import to_violation
-from ..operators.messages import checked, good
+from ..operators.messages import checked, good, rejects
 from ..sources.raw import RAW_SUFFIX, raw_files
+from .idempotent import run_id, write_batch_table
 
 
 def _start(df: DataFrame, lake_path: str, checkpoint: str, fmt: str,
@@ -55,15 +57,45 @@ def save_violations(stream: DataFrame, lake_path: str, checkpoint: str,
                     fmt: str = "parquet", available_now: bool = True,
                     processing_time: str | None = None,
                     options: dict[str, str] | None = None,
-                    wait: bool = True) -> StreamingQuery:
-    """Keyed stream of violation JSON → lake (exactly-once file sink).
+                    wait: bool = True, rejects_path: str | None = None) -> StreamingQuery:
+    """Keyed stream of violation JSON → lake.
 
     Batch size is set on the source (``maxOffsetsPerTrigger`` for a topic,
-    ``maxFilesPerTrigger`` for files).  Messages that fail to decode are not
-    stored here; ``consume_messages`` keeps them in a rejects table.
+    ``maxFilesPerTrigger`` for files).  Without ``rejects_path`` the lake is
+    a plain file sink (exactly once through its own log) and undecodable
+    messages are dropped.  With it, each micro-batch is decoded once and
+    written to both tables through idempotent ``run_id/batch_id`` partitions.
     """
+    if rejects_path:
+        return _save_with_rejects(stream, lake_path, rejects_path, checkpoint, fmt,
+                                  available_now, processing_time, wait)
     rows = good(checked(stream, "violation"), "violation")
     q = _start(rows, lake_path, checkpoint, fmt, options, available_now, processing_time)
     if wait and available_now:
         q.awaitTermination()
     return q
+
+
+def _save_with_rejects(stream: DataFrame, lake_path: str, rejects_path: str,
+                       checkpoint: str, fmt: str, available_now: bool,
+                       processing_time: str | None, wait: bool) -> StreamingQuery:
+    rid = run_id(stream.sparkSession, checkpoint)
+    keep = tuple(c for c in ("partition", "offset") if c in stream.columns)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        c = checked(batch, "violation").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_batch_table(good(c, "violation"), lake_path, rid, batch_id, fmt)
+            write_batch_table(rejects(c, keep), rejects_path, rid, batch_id, fmt)
+        finally:
+            c.unpersist()
+
+    w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    q = w.start()
+    if wait and available_now:
+        q.awaitTermination()
+    return q

@@ -111,3 +111,13 @@ def test_save_violations_file_sink(spark, tmp_dir):
     save_violations(spark.readStream.schema(KEYED).json(src), lake, ckpt)
     rows = spark.read.parquet(lake).collect()
     assert [(r.violation_code, r.image_id) for r in rows] == [("21", "i1")]
+
+
+def test_save_violations_with_rejects(spark, tmp_dir):
+    src, lake, rej, ckpt = (f"{tmp_dir}/{n}" for n in ("src", "lake", "rej", "ckpt"))
+    _messages(spark, src, [("VIOLATION_MESSAGE", VIO, 0, 1), ("VIOLATION_MESSAGE", "[]", 0, 2),
+                           ("VIOLATION_MESSAGE", '{"lat":"x"}', 0, 3)])
+    save_violations(spark.readStream.schema(KEYED).json(src), lake, ckpt, rejects_path=rej)
+    assert [r.violation_code for r in spark.read.parquet(lake).collect()] == ["21"]
+    got = sorted((r.offset, r.reason) for r in spark.read.parquet(rej).collect())
+    assert got == [(2, "not a JSON object"), (3, "bad type lat")]
