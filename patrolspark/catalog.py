@@ -411,6 +411,11 @@ def q_latest_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- tables on disk and streams ------------------------------------------------
 
+def _as_files(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """Spread a simulated source over as many files as there are cores."""
+    return df.repartition(spark.sparkContext.defaultParallelism)
+
+
 @register("csv_round_trip", """
 select event_id, (epoch_us(ts) // 1000) * 1000 as ts_us, user_id, event_type, value
 from events
@@ -444,7 +449,10 @@ def q_streaming_load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sources.tables import read_table
     from .streaming.load import load_historic
     src, lake, ckpt = (scratch_path(spark, n) for n in ("raw_src", "lake", "lake_ckpt"))
-    raw_lines(spark, sf_dir).write.text(src)  # Spark's text writer names parts *.txt
+    # Stand-in for a drop of police files: one file per core (the driver's
+    # tables are single row groups, which would make one file and one task).
+    # Spark's text writer names parts *.txt.
+    _as_files(raw_lines(spark, sf_dir), spark).write.text(src)
     load_historic(spark, src, lake, ckpt, suffix="txt")
     v = read_table(spark, lake, "parquet")
     return v.agg(F.count(F.lit(1)).alias("n_rows"),
@@ -464,7 +472,8 @@ def q_stream_route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .session import scratch_path
     from .streaming.consume import TABLES, consume_messages, read_output
     src, out, ckpt = (scratch_path(spark, n) for n in ("msg_src", "msg_out", "msg_ckpt"))
-    keyed_messages(spark, sf_dir).write.json(src)
+    # Stand-in for a topic with one partition per core.
+    _as_files(keyed_messages(spark, sf_dir), spark).write.json(src)
     stream = spark.readStream.schema(KEYED).json(src)
     consume_messages(stream, out, ckpt, IMAGE_DIR, available_now=True)
     parts = [read_output(spark, out, t).agg(F.count(F.lit(1)).alias("n"))

@@ -36,7 +36,8 @@ def publish(df: DataFrame, key: str, topic: str, servers: str,
 def keyed_stream(spark: SparkSession, topic: str, servers: str,
                  starting_offsets: str = "earliest",
                  max_offsets_per_trigger: int | None = None,
-                 min_partitions: int | None = None) -> DataFrame:
+                 min_partitions: int | None = None,
+                 group_id_prefix: str | None = None) -> DataFrame:
     """Subscribe to a topic; progress lives in the query checkpoint.
 
     ``min_partitions`` lets Spark split one large topic partition over
@@ -52,6 +53,8 @@ def keyed_stream(spark: SparkSession, topic: str, servers: str,
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     if min_partitions:
         r = r.option("minPartitions", str(min_partitions))
+    if group_id_prefix:  # a named consumer, as seen by the broker's tooling
+        r = r.option("groupIdPrefix", group_id_prefix)
     return r.load().select(F.col("key").cast("string").alias("key"),
                            F.col("value").cast("string").alias("value"),
                            "partition", "offset")

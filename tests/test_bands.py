@@ -21,3 +21,31 @@ def test_bands_tile_the_year_and_day(spark):
              F.count(F.when(F.col("p").isNull(), 1)).alias("np"),
              F.countDistinct("s").alias("ds"), F.countDistinct("p").alias("dp")).first()
     assert (r.ns, r.np, r.ds, r.dp) == (0, 0, 4, 2)
+
+
+def test_fast_calendar_fields_equal_builtins(spark):
+    from patrolspark.functions.bands import minute_of_day, month_day
+    df = spark.sql("select explode(sequence(timestamp'1600-01-01 00:00:00', "
+                   "timestamp'2400-12-31 23:59:00', interval 13 hours 7 minutes)) as t")
+    df = df.union(spark.sql("select timestamp'1969-12-31 23:59:59.999999' as t union all "
+                            "select timestamp'2000-02-29 12:00:00' union all "
+                            "select timestamp'2100-03-01 00:00:00'"))
+    bad = df.where((month_day("t") != F.month("t") * 100 + F.dayofmonth("t")) |
+                   (minute_of_day("t") != F.hour("t") * 60 + F.minute("t")))
+    assert bad.count() == 0
+
+
+def test_timestamp_ntz_and_other_zones(spark):
+    from datetime import datetime
+    from patrolspark.functions.bands import minute_of_day, month_day
+    df = spark.createDataFrame([(datetime(2020, 3, 21, 19, 59),)], "t timestamp_ntz")
+    r = df.select(month_day("t").alias("md"), minute_of_day("t").alias("m")).first()
+    assert (r.md, r.m) == (321, 19 * 60 + 59)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        ts = spark.sql("select timestamp'2020-03-21 19:59:00' as t")  # read in session zone
+        r = ts.select(month_day("t").alias("md"), minute_of_day("t").alias("m"),
+                      season("t").alias("s")).first()
+        assert (r.md, r.m, r.s) == (321, 19 * 60 + 59, "spring")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -145,3 +145,17 @@ def test_keyed_payload(spark):
     df = spark.createDataFrame([(1.5, None, "x")], "lat double, lng double, drone_id string")
     r = keyed_payload(df, "VIOLATION_MESSAGE").first()
     assert (r.key, r.value) == ("VIOLATION_MESSAGE", '{"lat":1.5,"drone_id":"x"}')
+
+
+def test_encode_standard_and_image_round_trip(spark):
+    std = spark.createDataFrame([(1.5, -2.0, datetime(2020, 5, 20, 18, 40, 0, 123000), "7")],
+                                "lat double, lng double, sending_date timestamp, drone_id string")
+    enc = std.select(F.lit(S).alias("key"), codec.encode_standard().alias("value"))
+    assert enc.first().value == \
+        '{"lat":1.5,"lng":-2.0,"sending_date":1590000000123,"drone_id":"7"}'
+    good, bad = decode_standard(enc)
+    assert bad.count() == 0 and list(good.first()) == list(std.first())
+    img = spark.createDataFrame([("i", "c")], "image_id string, content string")
+    enc = img.select(F.lit(I).alias("key"), codec.encode_image().alias("value"))
+    good, _ = decode_image(enc)
+    assert list(good.first()) == ["i", "c"]
