@@ -42,22 +42,20 @@ def field(parts, i: int) -> Column:
     return F.get(as_col(parts), i)
 
 
-def _digits(c: Column, max_len: int) -> Column:
-    return F.when(c.rlike(f"^[0-9]{{1,{max_len}}}$"), c.try_cast("int"))
-
-
 def us_date_parts(date) -> Column:
-    """``MM/dd/yyyy`` → struct(month, day, year) of ints, each null-guarded.
+    """``MM/dd/yyyy`` → struct(month, day, year) of ints.
 
-    The whole struct is null when there are fewer than three parts or a part
-    is not all digits.
+    Null unless the text starts with three all-digit parts separated by
+    ``/`` (more parts may follow and are ignored).  One anchored regular
+    expression checks all three parts, then ``split`` cuts them.
     """
-    parts = F.split(as_col(date), DATE_SEPARATOR, -1)
-    mo = _digits(F.get(parts, 0), _MAX_PART_DIGITS)
-    d = _digits(F.get(parts, 1), _MAX_PART_DIGITS)
-    y = _digits(F.get(parts, 2), 4)
-    ok = mo.isNotNull() & d.isNotNull() & y.isNotNull()
-    return F.when(ok, F.struct(mo.alias("month"), d.alias("day"), y.alias("year")))
+    c = as_col(date)
+    n = _MAX_PART_DIGITS
+    ok = c.rlike(f"^[0-9]{{1,{n}}}/[0-9]{{1,{n}}}/[0-9]{{1,4}}(/|$)")
+    parts = F.split(c, DATE_SEPARATOR, -1)
+    return F.when(ok, F.struct(F.get(parts, 0).try_cast("int").alias("month"),
+                               F.get(parts, 1).try_cast("int").alias("day"),
+                               F.get(parts, 2).try_cast("int").alias("year")))
 
 
 def compact_clock(clock, noon: str = "reference") -> Column:
@@ -87,23 +85,54 @@ def violation_ts(date, clock, noon: str = "reference") -> Column:
     """Date + clock → timestamp with lenient roll-over, bad input → null.
 
     Month 13 is January of the next year, day 0 the last day of the month
-    before, hour 25 one o'clock the next day.  Built as: first day of the
-    normalised month, plus an interval of (day − 1) days, hours and minutes,
-    in the session time zone.
+    before, hour 25 one o'clock the next day.  The value is the first day of
+    the normalised month plus (day − 1) days, the hours and the minutes, in
+    the session time zone.  Results outside years 1..9999 are null.
+
+    In a UTC session this is integer arithmetic on epoch microseconds (the
+    day number of the month's first day by Neri and Schneider's formula);
+    other zones add calendar intervals, which respects their clock changes.
     """
+    from .bands import _utc_session
     dp = us_date_parts(date)
     ck = compact_clock(clock, noon)
     months = dp["year"].cast("long") * 12 + (dp["month"].cast("long") - 1)
+    ok = ck.isNotNull() & (months >= 12) & (months < 10000 * 12)
+    if _utc_session():
+        first = _days_from_months(months)
+        micros = ((first + dp["day"] - 1) * 86_400_000_000
+                  + ck["hour"].cast("long") * 3_600_000_000
+                  + ck["minute"].cast("long") * 60_000_000)
+        # Keep within years 1..9999 so every consumer (Parquet, Arrow,
+        # Python) can hold the value; farther roll-overs give null.
+        return F.when(ok & (micros < _MICROS_YEAR_10000), F.timestamp_micros(micros))
     year = F.floor(months / 12).cast("int")
     month = (F.pmod(months, F.lit(12)) + 1).cast("int")
     base = F.try_make_timestamp(year, month, F.lit(1), F.lit(0), F.lit(0), F.lit(0))
     shift = F.try_make_interval(F.lit(0), F.lit(0), F.lit(0), dp["day"] - 1,
                                 ck["hour"], ck["minute"], F.lit(0))
     ts = F.try_add(base, shift)
-    # Keep within years 1..9999 so every consumer (Parquet, Arrow, Python) can
-    # hold the value; farther roll-overs give null.
-    in_range = (year >= 1) & (year <= 9999)
-    return F.when(in_range & ck.isNotNull() & (F.year(ts) <= 9999), ts)
+    return F.when(ok & (F.year(ts) <= 9999), ts)
+
+
+# 10000-01-01T00:00:00Z in epoch microseconds.
+_MICROS_YEAR_10000 = 253_402_300_800_000_000
+
+
+def _days_from_months(months: Column) -> Column:
+    """Days since 1970-01-01 of the first day of month number ``months``
+    (= year × 12 + month − 1, non-negative), proleptic Gregorian.
+
+    Counts years from March so the leap day is the last day of a year.
+    """
+    from .bands import _div
+    shifted = months - 2                      # March-based month number
+    y = _div(shifted, 12)                     # March-based year
+    m = F.pmod(shifted, F.lit(12))            # 0 = March … 11 = February
+    c = _div(y, 100)
+    year_days = _div(y * 1461, 4) - c + _div(c, 4)
+    month_days = _div(m * 979 + 18, 32)       # days from 1 March to the month's first day
+    return year_days + month_days - 719468
 
 
 def try_parse_ts(c, pattern: str) -> Column:
