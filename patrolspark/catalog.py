@@ -375,7 +375,7 @@ def q_reject_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("reason", "key", "offset")
 
 
-# Fixed value: where images are stored (used in alert text).
+# Image folder named in the alert text of the test bed.
 IMAGE_DIR = "lake/drone_message/image_drone_message"
 
 

@@ -8,21 +8,7 @@ from pyspark.sql import functions as F
 from ..util import as_col
 from .parse import iso_seconds
 
-# Fixed values (must equal the analysed system's mail, spelling included).
-ALERT_SUBJECT = "Violation Alert"
-ALERT_UNKNOWN = "Unknown"
-ALERT_LINES = (
-    "New Violation Occured\n"
-    "Violation Code: {code}\n"
-    "Occurring Date: {date}\n"
-    "Latitude : {lat}\n"
-    "Longitude : {lng}\n"
-    "Drone ID: {drone}\n"
-    "Violation Image: {image}\n"
-    "\n"
-    "\n"
-    "-- SENT FROM ALERT HANDLER SYSTEM --\n"
-)
+from ..fixed import ALERT_BODY, ALERT_SUBJECT, ALERT_UNKNOWN  # noqa: F401 (re-exported)
 
 
 def image_path(image_dir: str, image_id="image_id") -> Column:
@@ -47,7 +33,7 @@ def alert_body(image_dir: str, lat="lat", lng="lng", sending_date="sending_date"
         "image": _or_unknown(image_path(image_dir, image_id)),
     }
     parts: list[Column] = []
-    rest = ALERT_LINES
+    rest = ALERT_BODY
     while "{" in rest:
         head, tail = rest.split("{", 1)
         name, rest = tail.split("}", 1)

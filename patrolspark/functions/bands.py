@@ -22,18 +22,14 @@ from pyspark.sql import functions as F
 
 from ..util import as_col
 
-# Fixed values (must equal the analysed system's bands): a band starts on the
-# given MMdd and runs to the next band's start, exclusive.
-WINTER_START = 1221
-SPRING_START = 321
-SUMMER_START = 621
-AUTUMN_START = 921
-SEASONS = ("winter", "spring", "summer", "autumn")
-
-# Night is [20:00, 08:00), day is [08:00, 20:00).
-NIGHT_START = 20 * 60
-DAY_START = 8 * 60
-PERIODS = ("night", "day")
+from ..fixed import (AUTUMN_START, DAY_START_HHMM, NIGHT_START_HHMM, PERIOD_NAMES,
+                     SEASON_NAMES, SPRING_START, SUMMER_START, WINTER_START)
+
+SEASONS = SEASON_NAMES
+PERIODS = PERIOD_NAMES
+# Period starts as minutes of the day.
+NIGHT_START = (NIGHT_START_HHMM // 100) * 60 + NIGHT_START_HHMM % 100
+DAY_START = (DAY_START_HHMM // 100) * 60 + DAY_START_HHMM % 100
 
 MICROS_PER_DAY = 86_400_000_000
 MICROS_PER_MINUTE = 60_000_000

@@ -12,15 +12,8 @@ from pyspark.sql import functions as F
 
 from ..util import as_col
 
-# Fixed value (must equal the analysed system's splitter): a comma that is
-# followed by an even number of double quotes up to the end of the line, i.e.
-# a comma outside quotes.  Quote marks stay in the fields.
-LINE_SPLIT_REGEX = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
-# The date separator and the afternoon marker of the clock.
-DATE_SEPARATOR = "/"
-AFTERNOON_MARK = "P"
-MORNING_MARK = "A"
+from ..fixed import (AFTERNOON_MARK, ALERT_DATE_FORMAT, DATE_SEPARATOR, LINE_SPLIT_REGEX,
+                     MORNING_MARK)
 
 # Date parts longer than this are refused (the result would leave the
 # timestamp range long before the digits run out).
@@ -28,9 +21,9 @@ _MAX_PART_DIGITS = 7
 
 
 def split_fields(line) -> Column:
-    """Quote-aware split of one CSV line held in a string column.
-
-    Keeps quote marks and empty fields.  For whole files prefer the CSV
+    """Quote-aware split of one CSV line held in a string column: a comma
+    followed by an even number of double quotes up to the end of the line is
+    a separator.  Keeps quote marks and empty fields.  For whole files prefer the CSV
     reader (``sources.raw.raw_files``) or ``from_csv``, which strip quotes and
     avoid the look-ahead regex.
     """
@@ -140,8 +133,7 @@ def try_parse_ts(c, pattern: str) -> Column:
     return F.try_to_timestamp(as_col(c), F.lit(pattern))
 
 
-# Fixed value: alert date format.
-ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
+ISO_SECONDS = ALERT_DATE_FORMAT
 
 
 def iso_seconds(c) -> Column:

@@ -14,10 +14,8 @@ from pyspark.sql import functions as F
 from ..functions import codec
 from ..schemas import IMAGE, STANDARD, VIOLATION
 
-# Message keys.
-STANDARD_KEY = "STANDARD_MESSAGE"
-VIOLATION_KEY = "VIOLATION_MESSAGE"
-IMAGE_KEY = "VIOLATION_IMAGE"
+from ..fixed import IMAGE_KEY, STANDARD_KEY, VIOLATION_KEY
+
 KEYS = (STANDARD_KEY, VIOLATION_KEY, IMAGE_KEY)
 
 ROUTES = ("standard", "violation", "image", "unhandled")

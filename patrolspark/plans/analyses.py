@@ -16,15 +16,13 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed import FIRST_ANALYSIS_SEASONS, TOP_CODES
 from ..functions.bands import period, season
 from ..operators.conform import prepared
 from ..operators.metrics import COUNT, count_by, share_of_total, top_k, top_per_group
 
 DATE = "sending_date"
 CODE = "violation_code"
-# The bands compared by the first analysis, and the top-k size.
-FIRST_ANALYSIS_SEASONS = ("winter", "summer")
-TOP_CODES = 5
 
 
 def labelled(rows: DataFrame) -> DataFrame:

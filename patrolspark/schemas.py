@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from .fixed import RAW_CLOCK_POSITION, RAW_CODE_POSITION, RAW_DATE_POSITION
+
 # Raw police line: only positions 4 (date), 5 (code) and 19 (clock) are read,
 # but the files are wide; 21 string columns cover the layout used in tests.
 RAW_FIELDS = 21
 RAW = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(RAW_FIELDS)])
-RAW_DATE, RAW_CODE, RAW_CLOCK = "_c4", "_c5", "_c19"
+RAW_DATE, RAW_CODE, RAW_CLOCK = (f"_c{i}" for i in (RAW_DATE_POSITION, RAW_CODE_POSITION,
+                                                    RAW_CLOCK_POSITION))
 
 # Violation record: every field optional.
 VIOLATION = T.StructType([

@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..fixed import RAW_SUFFIX
 from ..schemas import RAW, ddl
 from ..util import as_col
 
-# Fixed value: the file suffix of police files.
-RAW_SUFFIX = "csv"
 
 
 def raw_files(spark: SparkSession, directory: str, suffix: str = RAW_SUFFIX,
