@@ -215,8 +215,8 @@ def q_parse_raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("compact_clock", f"""
 select event_id,
-       case when event_id % 13 = 0 then null else {_RULE_HOUR} end as hour,
-       case when event_id % 13 = 0 then null else minute(ts) end as minute
+       cast(case when event_id % 13 = 0 then null else {_RULE_HOUR} end as integer) as hour,
+       cast(case when event_id % 13 = 0 then null else minute(ts) end as integer) as minute
 from events
 """)
 def q_compact_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
