@@ -1,6 +1,6 @@
 """Command line: ``python -m patrolspark <job> ...`` (or via spark-submit).
 
-Jobs: ``analyse``, ``load``, ``save``, ``consume``.  The session comes from
+Jobs: ``analyse``, ``migrate``, ``load``, ``save``, ``consume``.  The session comes from
 the environment (spark-submit settings); only the time zone is pinned.
 """
 
@@ -18,6 +18,9 @@ def main(argv=None) -> None:
     a.add_argument("--lake-format", default="parquet")
     a.add_argument("--out")
     a.add_argument("--result-format", default="csv")
+    mg = sub.add_parser("migrate", help="headerless CSV lake → Parquet lake")
+    mg.add_argument("--csv-lake", required=True)
+    mg.add_argument("--parquet-lake", required=True)
     ld = sub.add_parser("load", help="police files → lake, each file once")
     ld.add_argument("--src", required=True)
     ld.add_argument("--lake", required=True)
@@ -46,6 +49,9 @@ def main(argv=None) -> None:
         from .plans.jobs import analyse_lake
         res = analyse_lake(spark, args.lake, args.out, args.lake_format, args.result_format)
         print(json.dumps({k: [r.asDict() for r in v] for k, v in res.items()}, default=str))
+    elif args.job == "migrate":
+        from .plans.jobs import migrate_lake
+        migrate_lake(spark, args.csv_lake, args.parquet_lake)
     elif args.job == "load":
         from .streaming.load import load_historic
         load_historic(spark, args.src, args.lake, args.checkpoint, args.lake_format,

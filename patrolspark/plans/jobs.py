@@ -33,6 +33,17 @@ def read_lake(spark: SparkSession, lake_path: str, fmt: str = "parquet") -> Data
     return conform(df, VIOLATION) if fmt == "csv" else df
 
 
+def migrate_lake(spark: SparkSession, csv_lake: str, parquet_lake: str,
+                 mode: str = "errorifexists") -> None:
+    """One pass: an existing headerless-CSV lake → a typed Parquet lake.
+
+    Afterwards the analyses read two columns and push ``isnotnull`` into the
+    scan instead of tokenising every CSV line.  A map-only job: no shuffle,
+    one output file per input split.
+    """
+    read_lake(spark, csv_lake, "csv").write.mode(mode).parquet(parquet_lake)
+
+
 def analyse_lake(spark: SparkSession, lake_path: str, out_dir: str | None = None,
                  lake_format: str = "parquet", result_format: str = "csv") -> dict:
     """Run the four analyses over the lake in one scan; write them if

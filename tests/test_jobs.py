@@ -42,3 +42,23 @@ def test_analyse_csv_lake_end_to_end(spark, tmp_dir):
     assert q3 == {"night": 2, "day": 1}
     for k in ("season_share", "top5_codes", "period_share", "top_code_per_season"):
         assert len([p for p in os.listdir(f"{out}/{k}") if p.startswith("part-")]) == 1
+
+
+def test_cli_load_migrate_analyse(spark, tmp_dir, capsys):
+    import json
+    from patrolspark.__main__ import main
+    src = f"{tmp_dir}/src"
+    os.makedirs(src)
+    line = ",".join(["0", "p", '"x, y"', "NY", "01/05/2020", "21"] + ["f"] * 13 + ["0100A", "z"])
+    with open(f"{src}/v.csv", "w") as f:
+        f.write(line + "\n")
+    main(["load", "--src", src, "--lake", f"{tmp_dir}/csvlake", "--checkpoint",
+          f"{tmp_dir}/ck", "--lake-format", "csv"])
+    main(["migrate", "--csv-lake", f"{tmp_dir}/csvlake", "--parquet-lake", f"{tmp_dir}/pq"])
+    capsys.readouterr()
+    main(["analyse", "--lake", f"{tmp_dir}/pq", "--out", f"{tmp_dir}/out"])
+    res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert res["top5_codes"] == [{"violation_code": "21", "number_of_violations": 1,
+                                  "percent": 100.0}]
+    assert res["season_share"] == [{"season": "winter", "number_of_violations": 1,
+                                    "percent": 100.0}]
