@@ -1,6 +1,6 @@
 """Command line: ``python -m patrolspark <job> ...`` (or via spark-submit).
 
-Jobs: ``analyse``, ``migrate``, ``load``, ``save``, ``consume``.  The session comes from
+Jobs: ``analyse``, ``migrate``, ``load``, ``publish``, ``save``, ``consume``.  The session comes from
 the environment (spark-submit settings); only the time zone is pinned.
 """
 
@@ -29,6 +29,13 @@ def main(argv=None) -> None:
     ld.add_argument("--suffix", default="csv")
     ld.add_argument("--max-files-per-trigger", type=int)
     ld.add_argument("--noon", default="reference", choices=["reference", "clock"])
+    pb = sub.add_parser("publish", help="police files → historic topic, each file once")
+    pb.add_argument("--src", required=True)
+    pb.add_argument("--servers", required=True)
+    pb.add_argument("--checkpoint", required=True)
+    pb.add_argument("--topic")
+    pb.add_argument("--suffix", default="csv")
+    pb.add_argument("--max-files-per-trigger", type=int)
     for name, helptext in (("save", "violation messages → lake"),
                            ("consume", "live messages → five tables")):
         s = sub.add_parser(name, help=helptext)
@@ -56,6 +63,12 @@ def main(argv=None) -> None:
         from .streaming.load import load_historic
         load_historic(spark, args.src, args.lake, args.checkpoint, args.lake_format,
                       args.suffix, args.noon, args.max_files_per_trigger)
+    elif args.job == "publish":
+        from .fixed import HISTORIC_TOPIC
+        from .streaming.load import publish_historic
+        publish_historic(spark, args.src, args.servers, args.checkpoint,
+                         args.topic or HISTORIC_TOPIC, args.suffix,
+                         max_files_per_trigger=args.max_files_per_trigger)
     else:
         from .plans.jobs import message_source
         stream = message_source(spark, args.topic, args.servers, args.src_dir,

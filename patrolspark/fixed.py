@@ -35,7 +35,11 @@ DATE_SEPARATOR = "/"
 AFTERNOON_MARK = "P"
 MORNING_MARK = "A"
 
-# Message keys on the live topic.
+# Topics and keys: parsed historic records travel under one key on their own
+# topic; live drone messages use three keys on another.
+HISTORIC_TOPIC = "CSV_INTEGRATION"
+HISTORIC_KEY = "CSV_INTEGRATION"
+LIVE_TOPIC = "DRONE_MESSAGE"
 STANDARD_KEY = "STANDARD_MESSAGE"
 VIOLATION_KEY = "VIOLATION_MESSAGE"
 IMAGE_KEY = "VIOLATION_IMAGE"

@@ -12,9 +12,18 @@ from ..util import as_col
 
 
 
+# A streaming file source ignores a new file whose modification time is more
+# than ``maxFileAge`` older than the newest file seen (default 7 days).
+# Historic files are often copied with their original times, so the age
+# limit is effectively lifted; the price is that the source remembers every
+# file name it has seen (fine for thousands to millions of files).
+HISTORIC_MAX_FILE_AGE = "36500d"
+
+
 def raw_files(spark: SparkSession, directory: str, suffix: str = RAW_SUFFIX,
               streaming: bool = False, schema: T.StructType = RAW,
-              max_files_per_trigger: int | None = None) -> DataFrame:
+              max_files_per_trigger: int | None = None,
+              max_file_age: str = HISTORIC_MAX_FILE_AGE) -> DataFrame:
     """Plain ``*.<suffix>`` files of one directory (no recursion) as RAW rows.
 
     The header line is data (its date fails to parse and the record is
@@ -28,8 +37,10 @@ def raw_files(spark: SparkSession, directory: str, suffix: str = RAW_SUFFIX,
               .option("mode", "PERMISSIVE")
               .option("pathGlobFilter", f"*.{suffix}")
               .option("recursiveFileLookup", "false"))
-    if streaming and max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if streaming:
+        reader = reader.option("maxFileAge", max_file_age)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.csv(directory)
 
 

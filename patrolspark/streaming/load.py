@@ -12,8 +12,11 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..fixed import HISTORIC_KEY, HISTORIC_TOPIC
+from ..functions.codec import encode_violation
 from ..operators.conform import to_violation
 from ..operators.messages import checked, good, rejects
 from ..sources.raw import RAW_SUFFIX, raw_files
@@ -53,6 +56,32 @@ def load_historic(spark: SparkSession, src_dir: str, lake_path: str, checkpoint:
     return q
 
 
+def historic_messages(spark: SparkSession, src_dir: str, suffix: str = RAW_SUFFIX,
+                      noon: str = "reference",
+                      max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming ``key, value``: every new police line as violation JSON under
+    the historic key (the first half of the two-stage load through a topic)."""
+    raw = raw_files(spark, src_dir, suffix, streaming=True,
+                    max_files_per_trigger=max_files_per_trigger)
+    v = to_violation(raw, noon)
+    return v.select(F.lit(HISTORIC_KEY).alias("key"), encode_violation().alias("value"))
+
+
+def publish_historic(spark: SparkSession, src_dir: str, servers: str, checkpoint: str,
+                     topic: str = HISTORIC_TOPIC, suffix: str = RAW_SUFFIX,
+                     noon: str = "reference", max_files_per_trigger: int | None = None,
+                     wait: bool = True) -> StreamingQuery:
+    """Send every new police line to the historic topic, each file once."""
+    q = (historic_messages(spark, src_dir, suffix, noon, max_files_per_trigger)
+         .writeStream.format("kafka")
+         .option("kafka.bootstrap.servers", servers).option("topic", topic)
+         .option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    if wait:
+        q.awaitTermination()
+    return q
+
+
 def save_violations(stream: DataFrame, lake_path: str, checkpoint: str,
                     fmt: str = "parquet", available_now: bool = True,
                     processing_time: str | None = None,
