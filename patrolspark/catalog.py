@@ -482,3 +482,27 @@ def q_stream_route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     for p in parts[1:]:
         out_df = out_df.unionByName(p)
     return out_df
+
+
+@register("historic_topic_totals", """
+select count(*) as n_rows,
+       count(case when event_id % 13 <> 0 then 1 end) as n_dated,
+       count(nullif(event_type, 'error')) as n_codes
+from events
+""")
+def q_historic_topic_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Police lines → keyed JSON on a "topic" (JSON files here) → saver → lake."""
+    from .session import scratch_path
+    from .sources.tables import read_table
+    from .streaming.load import historic_messages, save_violations
+    src, topic, lake, ck1, ck2 = (scratch_path(spark, n) for n in
+                                  ("raw_src", "topic", "lake", "pub_ckpt", "save_ckpt"))
+    _as_files(raw_lines(spark, sf_dir), spark).write.text(src)
+    q = (historic_messages(spark, src, suffix="txt").writeStream.format("json")
+         .option("checkpointLocation", ck1).trigger(availableNow=True).start(topic))
+    q.awaitTermination()
+    save_violations(spark.readStream.schema("key string, value string").json(topic), lake, ck2)
+    v = read_table(spark, lake, "parquet")
+    return v.agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.count("sending_date").alias("n_dated"),
+                 F.count("violation_code").alias("n_codes"))
