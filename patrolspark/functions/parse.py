@@ -87,18 +87,32 @@ def violation_ts(date, clock, noon: str = "reference") -> Column:
     other zones add calendar intervals, which respects their clock changes.
     """
     from .bands import _utc_session
+    if _utc_session():
+        return _violation_ts_arith(date, clock, noon)
+    return _violation_ts_intervals(date, clock, noon)
+
+
+def _parts(date, clock, noon):
     dp = us_date_parts(date)
     ck = compact_clock(clock, noon)
     months = dp["year"].cast("long") * 12 + (dp["month"].cast("long") - 1)
     ok = ck.isNotNull() & (months >= 12) & (months < 10000 * 12)
-    if _utc_session():
-        first = _days_from_months(months)
-        micros = ((first + dp["day"] - 1) * 86_400_000_000
-                  + ck["hour"].cast("long") * 3_600_000_000
-                  + ck["minute"].cast("long") * 60_000_000)
-        # Keep within years 1..9999 so every consumer (Parquet, Arrow,
-        # Python) can hold the value; farther roll-overs give null.
-        return F.when(ok & (micros < _MICROS_YEAR_10000), F.timestamp_micros(micros))
+    return dp, ck, months, ok
+
+
+def _violation_ts_arith(date, clock, noon: str = "reference") -> Column:
+    dp, ck, months, ok = _parts(date, clock, noon)
+    first = _days_from_months(months)
+    micros = ((first + dp["day"] - 1) * 86_400_000_000
+              + ck["hour"].cast("long") * 3_600_000_000
+              + ck["minute"].cast("long") * 60_000_000)
+    # Keep within years 1..9999 so every consumer (Parquet, Arrow, Python)
+    # can hold the value; farther roll-overs give null.
+    return F.when(ok & (micros < _MICROS_YEAR_10000), F.timestamp_micros(micros))
+
+
+def _violation_ts_intervals(date, clock, noon: str = "reference") -> Column:
+    dp, ck, months, ok = _parts(date, clock, noon)
     year = F.floor(months / 12).cast("int")
     month = (F.pmod(months, F.lit(12)) + 1).cast("int")
     base = F.try_make_timestamp(year, month, F.lit(1), F.lit(0), F.lit(0), F.lit(0))

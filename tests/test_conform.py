@@ -39,3 +39,15 @@ def test_write_result_single_part(spark, tmp_dir):
     write_result(df, f"{tmp_dir}/res")
     write_result(df, f"{tmp_dir}/res")  # overwrite
     assert len(glob.glob(f"{tmp_dir}/res/part-*")) == 1
+
+
+def test_failed_write_raises(spark, tmp_dir):
+    import pytest
+    from patrolspark.sources.tables import write_result, write_table
+    blocker = f"{tmp_dir}/blocker"
+    with open(blocker, "w") as f:
+        f.write("a file where a directory should go")
+    with pytest.raises(Exception):
+        write_table(spark.range(3), f"{blocker}/t", "parquet")
+    with pytest.raises(Exception):
+        write_result(spark.range(3), f"{blocker}/r")
