@@ -28,14 +28,20 @@ from .idempotent import run_id, write_batch_table
 TABLES = ("standard", "violation", "images", "alerts", "rejects")
 
 
+# Stream-position columns carried into the image and reject tables when the
+# source has them (a Kafka source does; other sources should bring them, as
+# "latest image" needs an order).
+POSITION = ("partition", "offset")
+
+
 def split_batch(decoded: DataFrame, image_dir: str) -> dict[str, DataFrame]:
     """Decoded batch (``decode_all``) → the five output tables (lazy)."""
+    pos = [c for c in POSITION if c in decoded.columns]
     ok = decoded.where(F.col("reason").isNull())
     std = ok.where(F.col("route") == "standard").select(*[f.name for f in STANDARD.fields])
     vio = ok.where(F.col("route") == "violation").select(*[f.name for f in VIOLATION.fields])
-    img = ok.where(F.col("route") == "image").select("image_id", "content", "partition", "offset")
-    bad = decoded.where(F.col("reason").isNotNull()).select(
-        "reason", "key", "value", "partition", "offset")
+    img = ok.where(F.col("route") == "image").select("image_id", "content", *pos)
+    bad = decoded.where(F.col("reason").isNotNull()).select("reason", "key", "value", *pos)
     return {"standard": std, "violation": vio, "images": img,
             "alerts": alerts(vio, image_dir), "rejects": bad}
 
@@ -43,8 +49,8 @@ def split_batch(decoded: DataFrame, image_dir: str) -> dict[str, DataFrame]:
 def write_batch(batch: DataFrame, out_dir: str, image_dir: str, rid: str, batch_id: int,
                 fmt: str = "parquet") -> None:
     """Decode one batch once (persisted) and write the five tables."""
-    decoded = decode_all(batch, keep=("partition", "offset")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    keep = tuple(c for c in POSITION if c in batch.columns)
+    decoded = decode_all(batch, keep=keep).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for name, df in split_batch(decoded, image_dir).items():
             write_batch_table(df, f"{out_dir.rstrip('/')}/{name}", rid, batch_id, fmt)

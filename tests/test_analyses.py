@@ -119,3 +119,11 @@ def test_hot_code_is_combined_map_side(spark):
     top = df.collect()
     assert top[0].violation_code == "HOT" and top[0].number_of_violations == 10000
     assert "partial_count" in _plan(df)
+
+
+def test_union_bands_tags_and_keeps_two_seasons(spark, g):
+    from patrolspark.functions.bands import season
+    from patrolspark.operators.metrics import union_bands
+    u = union_bands(g, "season", ("winter", "summer"), season("sending_date"))
+    got = sorted(r.season for r in u.collect())
+    assert got == ["summer"] * 2 + ["winter"] * 5

@@ -153,3 +153,13 @@ def test_two_stage_historic_load_through_a_topic(spark, tmp_dir):
     a = sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/lake1").collect()), key=str)
     b = sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/lake2").collect()), key=str)
     assert a == b and len(a) == 5
+
+
+def test_consume_without_position_columns(spark, tmp_dir):
+    out = f"{tmp_dir}/out"
+    batch = spark.createDataFrame([("VIOLATION_IMAGE", '{"image_id":"a","content":"c"}'),
+                                   ("OTHER", "{}")], "key string, value string")
+    write_batch(batch, out, "/img", "run", 0)
+    assert [(r.image_id, r.content) for r in read_output(spark, out, "images").collect()] == \
+        [("a", "c")]
+    assert read_output(spark, out, "rejects").count() == 1
