@@ -1,9 +1,14 @@
 """Routing and decoding of keyed drone messages.
 
-``route`` splits by key, ``checked_*`` decode one message kind and attach a
-``reason`` (null when the message is good).  Callers take the good rows with
-``good(...)`` and the failures with ``rejects(...)``; in a micro-batch the
-input is persisted once so the two never re-read the source.
+``route`` splits by key; ``checked(df, kind)`` decodes one message kind and
+attaches a reason (null when the message is good); ``good(...)`` and
+``rejects(...)`` take the two sides.  ``decode_all`` does routing and
+decoding of every kind in one pass, for micro-batches.
+
+Strictness: a field must have its JSON type (a quoted number is not a
+double, a number is not a string, an epoch-millisecond date must be whole).
+Required fields must be present and not null; optional ones may be missing
+or null.  A value that is not a JSON object is rejected for every kind.
 """
 
 from __future__ import annotations
@@ -11,11 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed import IMAGE_KEY, STANDARD_KEY, VIOLATION_KEY
 from ..functions import codec
 from ..schemas import IMAGE, STANDARD, VIOLATION
 
-from ..fixed import IMAGE_KEY, STANDARD_KEY, VIOLATION_KEY
-
 KEYS = (STANDARD_KEY, VIOLATION_KEY, IMAGE_KEY)
 
 ROUTES = ("standard", "violation", "image", "unhandled")
