@@ -1,10 +1,11 @@
 """JSON message codec: strict field types, epoch-millisecond dates.
 
-Decoding parses each value once into a VARIANT (``try_parse_json``) and reads
-fields from it; the variant keeps the JSON type of every field, which is what
-strict typing needs: a quoted number is not a double, a number is not a
-string, a fraction is not an epoch-millisecond long.  Unparsable text gives
-a null variant instead of an error.
+Decoding parses each value once (``try_parse_json``) and casts it, still
+once, to a struct of the wanted top-level fields kept as VARIANT values
+(``parse_fields``).  Field names match case-sensitively; the struct is null
+when the text is not JSON or not a JSON object.  Each sub-variant keeps its
+JSON type, which strict typing needs: a quoted number is not a double, a
+number is not a string, a fraction is not an epoch-millisecond long.
 """
 
 from __future__ import annotations
@@ -16,55 +17,50 @@ from ..util import as_col
 
 _INTEGRAL = ("TINYINT", "SMALLINT", "INT", "BIGINT")
 _FLOATING = ("FLOAT", "DOUBLE")
+_TARGET = {"string": "string", "double": "double", "long": "bigint"}
 
 
-def parse_variant(value) -> Column:
-    return F.try_parse_json(as_col(value))
+def parse_fields(value, names) -> Column:
+    """JSON text → struct<name: variant, …> of the top-level fields ``names``.
 
+    Null when the text is not a JSON object; a field is null when absent and
+    a variant null when the JSON says ``null``.
+    """
+    st = "struct<" + ",".join(f"`{n}`: variant" for n in names) + ">"
+    return F.try_variant_get(F.try_parse_json(as_col(value)), "$", st)
 
-def is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
-
-def json_type(v: Column, name: str) -> Column:
-    """Type of field ``name``: null when absent, ``VOID`` for JSON null."""
-    return F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant"))
+def json_type(f: Column) -> Column:
+    """JSON type of one field variant: null when absent, ``VOID`` for null."""
+    return F.schema_of_variant(f)
 
 
 def _numeric(t: Column) -> Column:
     return t.isin(*_INTEGRAL, *_FLOATING) | t.startswith("DECIMAL")
 
 
-def type_ok(v: Column, name: str, kind: str, t: Column | None = None) -> Column:
+def type_ok(f: Column, kind: str, t: Column | None = None) -> Column:
     """Does a *present, non-null* field have the right JSON type?  ``t`` is
     the field's ``json_type`` when already computed."""
-    t = json_type(v, name) if t is None else t
+    t = json_type(f) if t is None else t
     if kind == "string":
         return t == "STRING"
     if kind == "double":
         return _numeric(t)
     if kind == "long":
-        whole = (F.try_variant_get(v, f"$.{name}", "bigint")
-                 == F.try_variant_get(v, f"$.{name}", "double"))
+        whole = F.try_variant_get(f, "$", "bigint") == F.try_variant_get(f, "$", "double")
         return t.isin(*_INTEGRAL) | (_numeric(t) & F.coalesce(whole, F.lit(False)))
     raise ValueError(kind)
 
 
-def present(v: Column, name: str) -> Column:
-    """Field exists and is not JSON null."""
-    t = json_type(v, name)
-    return t.isNotNull() & (t != "VOID")
-
-
-def get(v: Column, name: str, kind: str) -> Column:
-    if kind == "long":
-        return F.try_variant_get(v, f"$.{name}", "bigint")
-    return F.try_variant_get(v, f"$.{name}", kind)
+def value_of(f: Column, kind: str) -> Column:
+    """Typed value of one field variant (``long`` as bigint)."""
+    return F.try_variant_get(f, "$", _TARGET[kind])
 
 
-def millis_ts(v: Column, name: str) -> Column:
-    """Epoch-millisecond field → timestamp."""
-    return F.timestamp_millis(get(v, name, "long"))
+def millis_ts(f: Column) -> Column:
+    """Epoch-millisecond field variant → timestamp."""
+    return F.timestamp_millis(value_of(f, "long"))
 
 
 # -- encoding ----------------------------------------------------------------

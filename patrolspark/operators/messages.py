@@ -56,49 +56,56 @@ def route(df: DataFrame, key: str = "key") -> dict[str, DataFrame]:
     }
 
 
-def _reason(types: dict[str, Column], v: Column, kind: str) -> Column:
-    checks = [(~codec.is_object(v), F.lit("not a JSON object"))]
+def _reason(s: Column, types: dict[str, Column], kind: str) -> Column:
+    """First failed check for a message of ``kind``; null when it is good.
+    ``s`` is the parsed field struct, ``types`` the JSON type per field."""
+    checks = [(s.isNull(), F.lit("not a JSON object"))]
     for name, jkind, required in _FIELDS[kind]:
         t = types[name]
         present = t.isNotNull() & (t != "VOID")
         if required:
             checks.append((~present, F.lit(f"missing {name}")))
-        checks.append((present & ~codec.type_ok(v, name, jkind, t), F.lit(f"bad type {name}")))
+        checks.append((present & ~codec.type_ok(s[name], jkind, t),
+                       F.lit(f"bad type {name}")))
     out = None
     for cond, why in checks:
         out = F.when(cond, why) if out is None else out.when(cond, why)
     return out
 
 
-def _values(v: Column, kind: str) -> list[Column]:
-    cols = []
-    for name, jkind, _ in _FIELDS[kind]:
-        if name == "sending_date":
-            c = codec.millis_ts(v, name)
-        else:
-            c = codec.get(v, name, jkind)
-        cols.append(c.cast(_SCHEMAS[kind][name].dataType).alias(name))
-    return cols
+def _value(s: Column, name: str, jkind: str) -> Column:
+    if name == "sending_date":
+        return codec.millis_ts(s[name])
+    return codec.value_of(s[name], jkind)
+
+
+def _parsed(df: DataFrame, names, value: str, *lead) -> DataFrame:
+    """``df`` plus ``__s`` (parsed field struct) and ``__t_<name>`` types.
+
+    The text is parsed once per row inside a one-element ``inline``:
+    Catalyst never pushes a filter below a generator, so later filters on
+    the decode result read the parsed struct instead of re-parsing the text
+    once per check.
+    """
+    gen = F.inline(F.array(F.struct(codec.parse_fields(value, names).alias("__s"))))
+    parsed = df.select(*(lead or ("*",)), gen)
+    s = F.col("__s")
+    return parsed.select("*", *[codec.json_type(s[n]).alias(f"__t_{n}") for n in names])
 
 
 def checked(df: DataFrame, kind: str, value: str = "value") -> DataFrame:
     """Decode every row of ``df`` as ``kind``; adds ``__reason`` and the fields.
 
     Extra JSON fields are ignored; a missing optional field is null.
-
-    The JSON text is parsed once per row, inside a one-element ``inline``:
-    Catalyst never pushes a filter below a generator, so the later
-    ``__reason`` filters read the parsed value instead of re-parsing the text
-    once per check.
     """
-    parsed = df.select("*", F.inline(F.array(F.struct(
-        codec.parse_variant(value).alias("__v")))))
-    v = F.col("__v")
-    typed = parsed.select("*", *[codec.json_type(v, n).alias(f"__t_{n}")
-                                 for n, _, _ in _FIELDS[kind]])
-    types = {n: F.col(f"__t_{n}") for n, _, _ in _FIELDS[kind]}
-    out = typed.select("*", _reason(types, v, kind).alias("__reason"), *_values(v, kind))
-    return out.drop("__v", *[f"__t_{n}" for n, _, _ in _FIELDS[kind]])
+    names = [n for n, _, _ in _FIELDS[kind]]
+    typed = _parsed(df, names, value)
+    s = F.col("__s")
+    types = {n: F.col(f"__t_{n}") for n in names}
+    out = typed.select("*", _reason(s, types, kind).alias("__reason"),
+                       *[_value(s, n, j).cast(_SCHEMAS[kind][n].dataType).alias(n)
+                         for n, j, _ in _FIELDS[kind]])
+    return out.drop("__s", *[f"__t_{n}" for n in names])
 
 
 def good(checked_df: DataFrame, kind: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -143,22 +150,20 @@ def decode_all(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     value parsed once, whatever its kind; a micro-batch persists the result
     and splits it by ``route`` / ``reason`` without decoding again.
     """
-    parsed = df.select("key", "value", *keep, route_of("key").alias("route"),
-                       F.inline(F.array(F.struct(codec.parse_variant("value").alias("__v")))))
-    v = F.col("__v")
-    typed = parsed.select("*", *[codec.json_type(v, n).alias(f"__t_{n}")
-                                 for n in DECODED_FIELDS])
+    typed = _parsed(df, DECODED_FIELDS, "value", "key", "value", *keep,
+                    route_of("key").alias("route"))
+    s = F.col("__s")
     types = {n: F.col(f"__t_{n}") for n in DECODED_FIELDS}
     rt = F.col("route")
-    reason = (F.when(rt == "standard", _reason(types, v, "standard"))
-              .when(rt == "violation", _reason(types, v, "violation"))
-              .when(rt == "image", _reason(types, v, "image"))
+    reason = (F.when(rt == "standard", _reason(s, types, "standard"))
+              .when(rt == "violation", _reason(s, types, "violation"))
+              .when(rt == "image", _reason(s, types, "image"))
               .otherwise(F.lit(UNHANDLED_REASON)))
     fields = []
     for n in DECODED_FIELDS:
         kinds = [k for k, fs in _FIELDS.items() if any(f[0] == n for f in fs)]
-        val = (codec.millis_ts(v, n) if n == "sending_date" else codec.get(v, n, _JSON_KIND[n]))
-        fields.append(F.when(rt.isin(*kinds), val.cast(_FIELD_TYPES[n])).alias(n))
+        val = _value(s, n, _JSON_KIND[n]).cast(_FIELD_TYPES[n])
+        fields.append(F.when(rt.isin(*kinds), val).alias(n))
     return typed.select("route", reason.alias("reason"), "key", "value", *keep, *fields)
 
 
