@@ -144,11 +144,12 @@ _JSON_KIND = {name: jkind for fields in _FIELDS.values() for name, jkind, _ in f
 def decode_all(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Route and decode every message of ``df`` in one pass.
 
-    Columns: ``route``, ``reason`` (null when good), ``key``, ``value``, the
-    ``keep`` columns and the union of all message fields (null where the
-    message's kind has no such field).  The input is read once and each
-    value parsed once, whatever its kind; a micro-batch persists the result
-    and splits it by ``route`` / ``reason`` without decoding again.
+    Columns: ``route``, ``reason`` (null when good), ``key``, ``value``
+    (kept for rejected rows only: an accepted image would otherwise be held
+    twice), the ``keep`` columns and the union of all message fields (null
+    where the message's kind has no such field).  The input is read once and
+    each value parsed once, whatever its kind; a micro-batch persists the
+    result and splits it by ``route`` / ``reason`` without decoding again.
     """
     typed = _parsed(df, DECODED_FIELDS, "value", "key", "value", *keep,
                     route_of("key").alias("route"))
@@ -164,7 +165,8 @@ def decode_all(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         kinds = [k for k, fs in _FIELDS.items() if any(f[0] == n for f in fs)]
         val = _value(s, n, _JSON_KIND[n]).cast(_FIELD_TYPES[n])
         fields.append(F.when(rt.isin(*kinds), val).alias(n))
-    return typed.select("route", reason.alias("reason"), "key", "value", *keep, *fields)
+    out = typed.select("route", reason.alias("reason"), "key", "value", *keep, *fields)
+    return out.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
 
 
 def all_rejects(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
