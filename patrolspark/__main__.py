@@ -18,6 +18,7 @@ def main(argv=None) -> None:
     a.add_argument("--lake-format", default="parquet")
     a.add_argument("--out")
     a.add_argument("--result-format", default="csv")
+    a.add_argument("--header", action="store_true", help="CSV results with a header line")
     mg = sub.add_parser("migrate", help="headerless CSV lake → Parquet lake")
     mg.add_argument("--csv-lake", required=True)
     mg.add_argument("--parquet-lake", required=True)
@@ -54,7 +55,8 @@ def main(argv=None) -> None:
     spark = get_session()
     if args.job == "analyse":
         from .plans.jobs import analyse_lake
-        res = analyse_lake(spark, args.lake, args.out, args.lake_format, args.result_format)
+        res = analyse_lake(spark, args.lake, args.out, args.lake_format, args.result_format,
+                           args.header)
         print(json.dumps({k: [r.asDict() for r in v] for k, v in res.items()}, default=str))
     elif args.job == "migrate":
         from .plans.jobs import migrate_lake

@@ -45,17 +45,18 @@ def migrate_lake(spark: SparkSession, csv_lake: str, parquet_lake: str,
 
 
 def analyse_lake(spark: SparkSession, lake_path: str, out_dir: str | None = None,
-                 lake_format: str = "parquet", result_format: str = "csv") -> dict:
-    """Run the four analyses over the lake in one scan; write them if
-    ``out_dir`` is given.  Returns the result frames (already computed when
-    written)."""
+                 lake_format: str = "parquet", result_format: str = "csv",
+                 header: bool = False) -> dict:
+    """Run the four analyses over the lake in one scan; write each answer as
+    one file under ``out_dir/<name>`` if given (CSV without a header by
+    default, as the original system wrote them).  Returns the rows."""
     results, cube = A.run_all(read_lake(spark, lake_path, lake_format))
     try:
         ordered = {k: df.orderBy(*result_order(k)) for k, df in results.items()}
         if out_dir:
             for k, df in ordered.items():
-                write_result(df, f"{out_dir.rstrip('/')}/{k}", result_format,
-                             {"header": "true"} if result_format == "csv" else None)
+                opts = {"header": str(header).lower()} if result_format == "csv" else None
+                write_result(df, f"{out_dir.rstrip('/')}/{k}", result_format, opts)
         return {k: df.collect() for k, df in ordered.items()}
     finally:
         cube.unpersist()
