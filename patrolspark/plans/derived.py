@@ -15,6 +15,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..fixed import IMAGE_KEY, STANDARD_KEY, VIOLATION_KEY
+from ..functions import codec
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -43,10 +46,7 @@ def all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Built from ``events``: 1 in 20 a violation (as in the live feed), 1 in 20 an
 # image, 2 in 20 under keys nobody handles; some values broken on purpose.
 
-def _msg_parts(ev: DataFrame):
-    from ..functions import codec
-    from ..operators.messages import IMAGE_KEY, STANDARD_KEY, VIOLATION_KEY
-
+def _msg_parts():
     eid = F.col("event_id")
     k = eid % 20
     ts = F.col("ts").cast("timestamp")
@@ -78,7 +78,7 @@ def _msg_parts(ev: DataFrame):
 def keyed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(key, value, partition, offset) messages, offset = event id."""
     ev = table(spark, sf_dir, "events")
-    key, value = _msg_parts(ev)
+    key, value = _msg_parts()
     return ev.select(key.alias("key"), value.alias("value"),
                      F.lit(0).alias("partition"), F.col("event_id").alias("offset"))
 
@@ -88,7 +88,7 @@ def keyed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # for ``error``, quoted on every 17th), the 12-hour clock hhmmA/hhmmP at 19,
 # a quoted field holding a comma at 2.  Every 13th line has 8 fields only.
 
-def raw_line_parts(ev: DataFrame) -> list:
+def raw_line_parts() -> list:
     eid = F.col("event_id")
     ts = F.col("ts")
     h = F.hour(ts)
@@ -111,7 +111,7 @@ def raw_line_parts(ev: DataFrame) -> list:
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    fields = raw_line_parts(ev)
+    fields = raw_line_parts()
     short = F.col("event_id") % 13 == 0
     line = F.when(short, F.concat_ws(",", *fields[:8])).otherwise(F.concat_ws(",", *fields))
     return ev.select(line.alias("line"))
