@@ -13,7 +13,8 @@ raw lines are short), never selects a subset to process.  The oracle SQL
 repeats the same assignment to know what each row should become.
 
 The calendar rules are defined in UTC, so each registered query pins the
-session time zone before it builds its plan.
+session time zone (and the other settings of ``session.pin``) before it
+builds its plan.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ from .operators.metrics import count_by, share_of_total, union_bands
 from .plans import analyses as A
 from .plans.derived import (all_rows, events_as_strings, keyed_messages, period_rows,
                             raw_lines, season_rows, table)
+from .session import pin
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -44,7 +46,7 @@ def register(name: str, sql: str | None = None):
     def deco(fn):
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            pin(spark)
             return fn(spark, sf_dir)
         QUERIES[name] = run
         if sql is not None:

@@ -5,7 +5,10 @@ once, to a struct of the wanted top-level fields kept as VARIANT values
 (``parse_fields``).  Field names match case-sensitively; the struct is null
 when the text is not JSON or not a JSON object.  Each sub-variant keeps its
 JSON type, which strict typing needs: a quoted number is not a double, a
-number is not a string, a fraction is not an epoch-millisecond long.
+number is not a string, a fraction is not an epoch-millisecond long.  A key
+given twice keeps its last value when ``spark.sql.variant.allowDuplicateKeys``
+is on (``session.get_session`` / ``session.pin`` turn it on); it is read
+when the plan is built.
 """
 
 from __future__ import annotations

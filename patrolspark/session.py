@@ -18,8 +18,14 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A JSON key given twice keeps its last value (as the original system's
+    # JSON reader did) instead of making the message unparsable.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.ui.enabled": "false",
 }
+# SQL settings the library relies on; re-applied on an existing session.
+RUNTIME_KEYS = ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode",
+                "spark.sql.variant.allowDuplicateKeys")
 
 
 def get_session(master: str | None = None, app_name: str = "patrolspark",
@@ -33,11 +39,16 @@ def get_session(master: str | None = None, app_name: str = "patrolspark",
     spark = builder.getOrCreate()
     # getOrCreate may hand back an existing session: make sure the SQL-level
     # settings hold even then.
-    for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode"):
-        spark.conf.set(k, DEFAULT_CONF[k])
+    pin(spark)
     return spark
 
 
+def pin(spark: SparkSession) -> None:
+    """Apply the SQL settings the library's semantics depend on."""
+    for k in RUNTIME_KEYS:
+        spark.conf.set(k, DEFAULT_CONF[k])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
@@ -64,4 +75,4 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["get_session", "shared_dir", "scratch_path", "local_path", "DEFAULT_CONF"]
+__all__ = ["get_session", "pin", "shared_dir", "scratch_path", "local_path", "DEFAULT_CONF"]

@@ -159,3 +159,11 @@ def test_encode_standard_and_image_round_trip(spark):
     enc = img.select(F.lit(I).alias("key"), codec.encode_image().alias("value"))
     good, _ = decode_image(enc)
     assert list(good.first()) == ["i", "c"]
+
+
+def test_duplicate_key_keeps_last_value(spark):
+    rows = [(S, '{"lat":"x","lat":1.0,"lng":2.0,"sending_date":5,"drone_id":"d"}'),
+            (S, '{"lat":1.0,"lat":"x","lng":2.0,"sending_date":5,"drone_id":"d"}')]
+    good, bad = decode_standard(_df(spark, rows), keep=("offset",))
+    assert [r.offset for r in good.collect()] == [0]
+    assert [(r.offset, r.reason) for r in bad.collect()] == [(1, "bad type lat")]
