@@ -89,8 +89,10 @@ def minute_of_day(c) -> Column:
     return F.hour(c) * 60 + F.minute(c)
 
 
-def season(c) -> Column:
-    """Season label of a timestamp; null for a null timestamp."""
+def season_index(c) -> Column:
+    """Season of a timestamp as 0 winter, 1 spring, 2 summer, 3 autumn; null
+    for a null timestamp.  Grouping on this small integer is cheaper than on
+    the name; ``season_name`` turns it into the name after aggregation."""
     if _utc_session():
         # Bands as days of the March-based year: no leap-year case, because
         # 29 February is its last day and falls inside winter.
@@ -101,16 +103,44 @@ def season(c) -> Column:
     else:
         x = month_day(c)
         spring, summer, autumn, winter = SPRING_START, SUMMER_START, AUTUMN_START, WINTER_START
-    return (F.when(as_col(c).isNull(), F.lit(None).cast("string"))
-            .when((x >= winter) | (x < spring), F.lit("winter"))
-            .when(x < summer, F.lit("spring"))
-            .when(x < autumn, F.lit("summer"))
-            .otherwise(F.lit("autumn")))
+    return (F.when(as_col(c).isNull(), F.lit(None).cast("int"))
+            .when((x >= winter) | (x < spring), F.lit(SEASONS.index("winter")))
+            .when(x < summer, F.lit(SEASONS.index("spring")))
+            .when(x < autumn, F.lit(SEASONS.index("summer")))
+            .otherwise(F.lit(SEASONS.index("autumn"))))
+
+
+def period_index(c) -> Column:
+    """Period of a timestamp as 0 night, 1 day; null for a null timestamp."""
+    m = minute_of_day(c)
+    return (F.when(as_col(c).isNull(), F.lit(None).cast("int"))
+            .when((m >= NIGHT_START) | (m < DAY_START), F.lit(PERIODS.index("night")))
+            .otherwise(F.lit(PERIODS.index("day"))))
+
+
+def _name(idx, names) -> Column:
+    # An explicit CASE (null for anything else): ``element_at`` over a
+    # literal array was seen to return the last element for a null index.
+    i = as_col(idx)
+    out = F.when(i == 0, F.lit(names[0]))
+    for k, n in enumerate(names[1:], start=1):
+        out = out.when(i == k, F.lit(n))
+    return out
+
+
+def season_name(idx) -> Column:
+    return _name(idx, SEASONS)
+
+
+def period_name(idx) -> Column:
+    return _name(idx, PERIODS)
+
+
+def season(c) -> Column:
+    """Season label of a timestamp; null for a null timestamp."""
+    return season_name(season_index(c))
 
 
 def period(c) -> Column:
     """Period-of-day label of a timestamp; null for a null timestamp."""
-    m = minute_of_day(c)
-    return (F.when(as_col(c).isNull(), F.lit(None).cast("string"))
-            .when((m >= NIGHT_START) | (m < DAY_START), F.lit("night"))
-            .otherwise(F.lit("day")))
+    return period_name(period_index(c))

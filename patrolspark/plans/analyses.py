@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import FIRST_ANALYSIS_SEASONS, TOP_CODES
-from ..functions.bands import period, season
+from ..functions.bands import (SEASONS, period_index, period_name, season_index,
+                               season_name)
 from ..operators.conform import prepared
 from ..operators.metrics import COUNT, count_by, share_of_total, top_k, top_per_group
 
@@ -26,9 +27,23 @@ CODE = "violation_code"
 
 
 def labelled(rows: DataFrame) -> DataFrame:
-    """Dated rows with ``season`` and ``period`` label columns."""
+    """Dated rows with ``season`` and ``period`` as band indices (integers;
+    names are attached after aggregation, on the few result rows)."""
     return prepared(rows.select(DATE, CODE)).select(
-        season(DATE).alias("season"), period(DATE).alias("period"), CODE)
+        season_index(DATE).alias("season"), period_index(DATE).alias("period"), CODE)
+
+
+def _named(df: DataFrame) -> DataFrame:
+    """Replace band indices by names (after aggregation)."""
+    cols = []
+    for c in df.columns:
+        if c == "season":
+            cols.append(season_name("season").alias("season"))
+        elif c == "period":
+            cols.append(period_name("period").alias("period"))
+        else:
+            cols.append(F.col(c))
+    return df.select(*cols)
 
 
 # -- direct plans (one scan each) ------------------------------------------
@@ -40,9 +55,10 @@ def season_share(rows: DataFrame) -> DataFrame:
     per-row filter, and the shuffle carries one row per season per task
     either way.
     """
-    r = prepared(rows.select(DATE, CODE)).select(season(DATE).alias("season"), CODE)
-    counts = count_by(r, "season").where(F.col("season").isin(list(FIRST_ANALYSIS_SEASONS)))
-    return share_of_total(counts)
+    r = labelled(rows)
+    keep = [SEASONS.index(s) for s in FIRST_ANALYSIS_SEASONS]
+    counts = count_by(r, "season").where(F.col("season").isin(keep))
+    return _named(share_of_total(counts))
 
 
 def top_codes(rows: DataFrame, k: int = TOP_CODES) -> DataFrame:
@@ -53,14 +69,12 @@ def top_codes(rows: DataFrame, k: int = TOP_CODES) -> DataFrame:
 
 def period_share(rows: DataFrame) -> DataFrame:
     """Q3: night against day."""
-    r = prepared(rows.select(DATE, CODE)).select(period(DATE).alias("period"), CODE)
-    return share_of_total(count_by(r, "period"))
+    return _named(share_of_total(count_by(labelled(rows), "period")))
 
 
 def top_code_per_season(rows: DataFrame) -> DataFrame:
     """Q4: most common code of each season, share of that season."""
-    r = prepared(rows.select(DATE, CODE)).select(season(DATE).alias("season"), CODE)
-    return top_per_group(count_by(r, ["season", CODE]), "season")
+    return _named(top_per_group(count_by(labelled(rows), ["season", CODE]), "season"))
 
 
 # -- cube path (one scan for all four) -------------------------------------
@@ -70,7 +84,7 @@ def violation_cube(rows: DataFrame) -> DataFrame:
 
     At most 4 × 2 × distinct codes rows, whatever the input size.
     """
-    return count_by(labelled(rows), ["season", "period", CODE])
+    return _named(count_by(labelled(rows), ["season", "period", CODE]))
 
 
 def _roll(cube: DataFrame, keys) -> DataFrame:

@@ -49,3 +49,10 @@ def test_timestamp_ntz_and_other_zones(spark):
         assert (r.md, r.m, r.s) == (321, 19 * 60 + 59, "spring")
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_null_dates_get_no_label_in_generated_code(spark):
+    from patrolspark.functions.bands import period_name, season_name
+    df = spark.createDataFrame([(None,), (1,), (3,)], "i int")
+    r = df.select(season_name("i").alias("s"), period_name("i").alias("p")).collect()
+    assert [(x.s, x.p) for x in r] == [(None, None), ("spring", "day"), ("autumn", None)]
