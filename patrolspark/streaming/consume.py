@@ -47,13 +47,22 @@ def split_batch(decoded: DataFrame, image_dir: str) -> dict[str, DataFrame]:
 
 
 def write_batch(batch: DataFrame, out_dir: str, image_dir: str, rid: str, batch_id: int,
-                fmt: str = "parquet") -> None:
-    """Decode one batch once (persisted) and write the five tables."""
+                fmt: str = "parquet", on_alerts=None) -> None:
+    """Decode one batch once (persisted) and write the five tables.
+
+    ``on_alerts(alerts_df, batch_id)``, when given, runs after the tables are
+    written (so a delivery failure never loses an alert): e.g.
+    ``lambda df, _: df.foreachPartition(send)`` delivers from the executors.
+    A replayed batch calls it again; delivery must tolerate repeats.
+    """
     keep = tuple(c for c in POSITION if c in batch.columns)
     decoded = decode_all(batch, keep=keep).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for name, df in split_batch(decoded, image_dir).items():
+        tables = split_batch(decoded, image_dir)
+        for name, df in tables.items():
             write_batch_table(df, f"{out_dir.rstrip('/')}/{name}", rid, batch_id, fmt)
+        if on_alerts is not None:
+            on_alerts(tables["alerts"], batch_id)
     finally:
         decoded.unpersist()
 
@@ -61,14 +70,15 @@ def write_batch(batch: DataFrame, out_dir: str, image_dir: str, rid: str, batch_
 def consume_messages(stream: DataFrame, out_dir: str, checkpoint: str, image_dir: str,
                      fmt: str = "parquet", available_now: bool = False,
                      processing_time: str | None = "10 seconds",
-                     wait: bool = False) -> StreamingQuery:
-    """Start the consumer.  ``stream`` has ``key, value, partition, offset``."""
+                     wait: bool = False, on_alerts=None) -> StreamingQuery:
+    """Start the consumer.  ``stream`` has ``key, value`` (and, from a topic,
+    ``partition, offset``).  ``on_alerts``: see ``write_batch``."""
     spark = stream.sparkSession
     rid = run_id(spark, checkpoint)
     out = out_dir.rstrip("/")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, out, image_dir, rid, batch_id, fmt)
+        write_batch(batch, out, image_dir, rid, batch_id, fmt, on_alerts)
 
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     if available_now:

@@ -163,3 +163,16 @@ def test_consume_without_position_columns(spark, tmp_dir):
     assert [(r.image_id, r.content) for r in read_output(spark, out, "images").collect()] == \
         [("a", "c")]
     assert read_output(spark, out, "rejects").count() == 1
+
+
+def test_alert_hook_sees_each_batch_after_the_write(spark, tmp_dir):
+    out = f"{tmp_dir}/out"
+    seen = []
+
+    def hook(df, batch_id):
+        assert read_output(spark, out, "alerts").count() >= 1   # already stored
+        seen.append((batch_id, [r.subject for r in df.collect()]))
+
+    batch = spark.createDataFrame([("VIOLATION_MESSAGE", VIO, 0, 1)], KEYED)
+    write_batch(batch, out, "/img", "run", 3, on_alerts=hook)
+    assert seen == [(3, ["Violation Alert"])]
