@@ -16,7 +16,9 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.alerts import alerts
@@ -91,9 +93,31 @@ def consume_messages(stream: DataFrame, out_dir: str, checkpoint: str, image_dir
     return q
 
 
+def _output_schema(name: str) -> T.StructType:
+    pos = [T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType())]
+    fields = {
+        "standard": [T.StructField(f.name, f.dataType) for f in STANDARD.fields],
+        "violation": list(VIOLATION.fields),
+        "images": [T.StructField("image_id", T.StringType()),
+                   T.StructField("content", T.StringType()), *pos],
+        "alerts": [T.StructField("subject", T.StringType()), T.StructField("body", T.StringType())],
+        "rejects": [T.StructField("reason", T.StringType()), T.StructField("key", T.StringType()),
+                    T.StructField("value", T.StringType()), *pos],
+    }[name]
+    return T.StructType([*fields, T.StructField("run_id", T.StringType()),
+                         T.StructField("batch_id", T.LongType())])
+
+
 def read_output(spark: SparkSession, out_dir: str, name: str, fmt: str = "parquet") -> DataFrame:
-    """One output table without its bookkeeping columns."""
-    return spark.read.format(fmt).load(f"{out_dir.rstrip('/')}/{name}").drop("run_id", "batch_id")
+    """One output table without its bookkeeping columns.  Read with its
+    schema, so a table no batch has written to yet is simply empty."""
+    schema = _output_schema(name)
+    path = f"{out_dir.rstrip('/')}/{name}"
+    try:
+        df = spark.read.schema(schema).format(fmt).load(path)
+    except AnalysisException:  # nothing consumed yet
+        df = spark.createDataFrame([], schema)
+    return df.drop("run_id", "batch_id")
 
 
 def image_store(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> DataFrame:

@@ -176,3 +176,13 @@ def test_alert_hook_sees_each_batch_after_the_write(spark, tmp_dir):
     batch = spark.createDataFrame([("VIOLATION_MESSAGE", VIO, 0, 1)], KEYED)
     write_batch(batch, out, "/img", "run", 3, on_alerts=hook)
     assert seen == [(3, ["Violation Alert"])]
+
+
+def test_outputs_read_empty_before_any_row(spark, tmp_dir):
+    out = f"{tmp_dir}/out"
+    batch = spark.createDataFrame([("STANDARD_MESSAGE", STD, 0, 1)], KEYED)
+    write_batch(batch, out, "/img", "run", 0)
+    assert read_output(spark, out, "images").count() == 0
+    assert read_output(spark, out, "standard").count() == 1
+    assert read_output(spark, f"{tmp_dir}/never", "alerts").columns == ["subject", "body"]
+    assert image_store(spark, out).count() == 0
