@@ -18,6 +18,7 @@ Scale notes
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,10 +51,15 @@ def share_of_total(counts: DataFrame, by: Sequence[str] = (), n: str = COUNT,
     if not by:
         total = counts.select(F.sum(n)).scalar()
         return counts.withColumn(alias, percent_of(F.col(n), total))
-    totals = counts.groupBy(*by).agg(F.sum(n).alias("__total"))
-    return (counts.join(totals, on=by, how="left")
+    totals = counts.groupBy(*by).agg(F.sum(n).alias("__total")) \
+        .select(*[F.col(k).alias(f"__by_{k}") for k in by], "__total")
+    # Null-safe keys: a null group gets its own total.  Still an equi-join
+    # (hash or sort-merge, never a nested loop).
+    cond = reduce(lambda a, b: a & b,
+                  [F.col(k).eqNullSafe(F.col(f"__by_{k}")) for k in by])
+    return (counts.join(totals, on=cond, how="left")
             .withColumn(alias, percent_of(F.col(n), F.col("__total")))
-            .drop("__total"))
+            .drop("__total", *[f"__by_{k}" for k in by]))
 
 
 def top_k(df: DataFrame, k: int, n: str = COUNT, tie: str = "violation_code") -> DataFrame:

@@ -127,3 +127,14 @@ def test_union_bands_tags_and_keeps_two_seasons(spark, g):
     u = union_bands(g, "season", ("winter", "summer"), season("sending_date"))
     got = sorted(r.season for r in u.collect())
     assert got == ["summer"] * 2 + ["winter"] * 5
+
+
+def test_shares_by_group_with_a_null_group(spark):
+    from patrolspark.operators.metrics import share_of_total
+    c = spark.createDataFrame([("a", 1), ("a", 3), (None, 2), (None, 2)],
+                              "g string, number_of_violations long")
+    out = share_of_total(c, by=["g"])
+    got = sorted(((r.g or ""), r.number_of_violations, r.percent) for r in out.collect())
+    assert got == [("", 2, 50.0), ("", 2, 50.0), ("a", 1, 25.0), ("a", 3, 75.0)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
