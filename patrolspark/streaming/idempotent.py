@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,12 +21,16 @@ def run_id(spark: SparkSession, checkpoint: str) -> str:
     """The run id stored in ``checkpoint`` (created on first use)."""
     path = checkpoint.rstrip("/") + "/patrolspark_run_id"
     try:
-        return spark.read.text(path).first()[0]
-    except Exception:  # not there yet: first start of this checkpoint
-        rid = uuid.uuid4().hex
-        spark.createDataFrame([(rid,)], "value string").coalesce(1) \
-            .write.mode("errorifexists").text(path)
-        return spark.read.text(path).first()[0]
+        row = spark.read.text(path).first()
+    except AnalysisException:  # not there yet: first start of this checkpoint
+        row = None
+    if row is not None:
+        return row[0]
+    # First start (or one interrupted before the id was written): the query
+    # has not run yet, so no output can carry another id.
+    spark.createDataFrame([(uuid.uuid4().hex,)], "value string").coalesce(1) \
+        .write.mode("overwrite").text(path)
+    return spark.read.text(path).first()[0]
 
 
 def write_batch_table(df: DataFrame, path: str, rid: str, batch_id: int,
