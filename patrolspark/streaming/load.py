@@ -41,17 +41,22 @@ def load_historic(spark: SparkSession, src_dir: str, lake_path: str, checkpoint:
                   fmt: str = "parquet", suffix: str = RAW_SUFFIX, noon: str = "reference",
                   max_files_per_trigger: int | None = None,
                   options: dict[str, str] | None = None,
-                  wait: bool = True) -> StreamingQuery:
+                  wait: bool = True,
+                  processing_time: str | None = None) -> StreamingQuery:
     """Parse every new ``*.<suffix>`` file of ``src_dir`` into the lake.
 
-    ``fmt="csv"`` gives the headerless CSV lake of the original system;
-    Parquet (default) keeps real timestamps so later scans push filters and
-    read two columns out of six.
+    By default the backlog is loaded and the query stops (``availableNow``);
+    with ``processing_time`` (e.g. ``"1 minute"``) it keeps running and picks
+    up files as they land.  ``fmt="csv"`` gives the headerless CSV lake of
+    the original system; Parquet (default) keeps real timestamps so later
+    scans push filters and read two columns out of six.
     """
     raw = raw_files(spark, src_dir, suffix, streaming=True,
                     max_files_per_trigger=max_files_per_trigger)
-    q = _start(to_violation(raw, noon), lake_path, checkpoint, fmt, options, True, None)
-    if wait:
+    once = processing_time is None
+    q = _start(to_violation(raw, noon), lake_path, checkpoint, fmt, options, once,
+               processing_time)
+    if wait and once:
         q.awaitTermination()
     return q
 

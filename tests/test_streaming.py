@@ -186,3 +186,17 @@ def test_outputs_read_empty_before_any_row(spark, tmp_dir):
     assert read_output(spark, out, "standard").count() == 1
     assert read_output(spark, f"{tmp_dir}/never", "alerts").columns == ["subject", "body"]
     assert image_store(spark, out).count() == 0
+
+
+def test_standing_historic_load_picks_up_new_files(spark, tmp_dir):
+    src, lake, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/lake", f"{tmp_dir}/ckpt"
+    os.makedirs(src)
+    _write(f"{src}/a.csv", [_line(1)])
+    q = load_historic(spark, src, lake, ckpt, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        _write(f"{src}/b.csv", [_line(2), _line(3)])
+        q.processAllAvailable()
+        assert spark.read.parquet(lake).count() == 3
+    finally:
+        q.stop()
