@@ -30,6 +30,8 @@ def main(argv=None) -> None:
     ld.add_argument("--suffix", default="csv")
     ld.add_argument("--max-files-per-trigger", type=int)
     ld.add_argument("--noon", default="reference", choices=["reference", "clock"])
+    ld.add_argument("--processing-time", help="keep running, e.g. '1 minute' (default: "
+                                              "load what is there and stop)")
     pb = sub.add_parser("publish", help="police files → historic topic, each file once")
     pb.add_argument("--src", required=True)
     pb.add_argument("--servers", required=True)
@@ -63,8 +65,10 @@ def main(argv=None) -> None:
         migrate_lake(spark, args.csv_lake, args.parquet_lake)
     elif args.job == "load":
         from .streaming.load import load_historic
-        load_historic(spark, args.src, args.lake, args.checkpoint, args.lake_format,
-                      args.suffix, args.noon, args.max_files_per_trigger)
+        q = load_historic(spark, args.src, args.lake, args.checkpoint, args.lake_format,
+                          args.suffix, args.noon, args.max_files_per_trigger,
+                          processing_time=args.processing_time)
+        q.awaitTermination()
     elif args.job == "publish":
         from .fixed import HISTORIC_TOPIC
         from .streaming.load import publish_historic
