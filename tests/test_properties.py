@@ -37,3 +37,80 @@ def test_season_and_period_equal_builtins(spark, micros):
     bad = df.where((month_day("t") != F.month("t") * 100 + F.dayofmonth("t")) |
                    (minute_of_day("t") != F.hour("t") * 60 + F.minute("t")))
     assert bad.count() == 0
+
+
+# -- message decoding against a brute-force checker ------------------------------
+
+import json  # noqa: E402
+
+FIELDS = {
+    "standard": [("lat", "double", True), ("lng", "double", True),
+                 ("sending_date", "long", True), ("drone_id", "string", True)],
+    "violation": [("lat", "double", False), ("lng", "double", False),
+                  ("sending_date", "long", False), ("drone_id", "string", False),
+                  ("violation_code", "string", False), ("image_id", "string", False)],
+    "image": [("image_id", "string", True), ("content", "string", True)],
+}
+KEYS = {"standard": "STANDARD_MESSAGE", "violation": "VIOLATION_MESSAGE",
+        "image": "VIOLATION_IMAGE"}
+
+
+def _type_ok(v, kind):
+    if isinstance(v, bool):
+        return False
+    if kind == "string":
+        return isinstance(v, str)
+    if kind == "double":
+        return isinstance(v, (int, float))
+    if isinstance(v, int):
+        return -2**63 <= v < 2**63
+    return isinstance(v, float) and v.is_integer() and abs(v) < 2**53
+
+
+def expected_reason(text, kind):
+    try:
+        obj = json.loads(text)
+    except (TypeError, ValueError):
+        return "not a JSON object"
+    if not isinstance(obj, dict):
+        return "not a JSON object"
+    for name, jkind, required in FIELDS[kind]:
+        present = obj.get(name) is not None
+        if required and not present:
+            return f"missing {name}"
+        if present and not _type_ok(obj[name], jkind):
+            return f"bad type {name}"
+    return None
+
+
+scalars = st.one_of(st.none(), st.booleans(), st.integers(-2**62, 2**62),
+                    st.floats(-1e15, 1e15, allow_nan=False, allow_infinity=False),
+                    st.text(max_size=5))
+values = st.one_of(scalars, st.lists(scalars, max_size=2),
+                   st.dictionaries(st.sampled_from(["lat", "x"]), scalars, max_size=2))
+names = st.sampled_from(["lat", "lng", "sending_date", "drone_id", "violation_code",
+                         "image_id", "content", "LAT", "extra"])
+objects = st.dictionaries(names, values, max_size=7).map(json.dumps)
+texts = st.one_of(objects, st.one_of(values.map(json.dumps),
+                                     st.sampled_from(["not json", "", "{", '{"lat":1,}'])))
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(sorted(FIELDS)), texts), min_size=1, max_size=40))
+def test_decode_matches_brute_force(spark, msgs):
+    from patrolspark.operators.messages import decode_all
+    rows = [(KEYS[k], t, 0, i) for i, (k, t) in enumerate(msgs)]
+    df = spark.createDataFrame(rows, "key string, value string, partition int, offset long")
+    got = {r.offset: r for r in decode_all(df, keep=("offset",)).collect()}
+    for i, (kind, text) in enumerate(msgs):
+        want = expected_reason(text, kind)
+        assert got[i].reason == want, (kind, text, got[i].reason, want)
+        if want is None:
+            obj = json.loads(text)
+            for name, jkind, _ in FIELDS[kind]:
+                v = obj.get(name)
+                g = got[i][name]
+                if name == "sending_date":
+                    g = None if g is None else round(g.timestamp() * 1000)
+                    v = None if v is None else int(v)
+                assert g == v or (isinstance(v, float) and abs(g - v) < 1e-9), (name, g, v)
