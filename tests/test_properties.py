@@ -120,3 +120,47 @@ def test_decode_matches_brute_force(spark, msgs):
                 elif jkind == "double" and v is not None:
                     v = float(v)  # a JSON integer read as a double rounds like any reader's
                 assert g == v, (name, g, v)
+
+
+# -- raw-line timestamps against a brute-force computation ------------------------
+
+def expected_ts(date, clock):
+    from datetime import datetime, timedelta
+    parts = date.split("/")
+    if len(parts) < 3 or not all(p.isdigit() and p.isascii() for p in parts[:3]):
+        return None
+    mo, d, y = (int(p) for p in parts[:3])
+    if len(clock) < 4 or not clock[:4].isdigit() or not clock[:4].isascii():
+        return None
+    h, mi = int(clock[:2]), int(clock[2:4])
+    if "P" in clock:
+        h = (h + 12) % 24
+    months = y * 12 + mo - 1
+    yy, mm = divmod(months, 12)
+    if not 1 <= yy <= 9999:
+        return None
+    try:
+        return datetime(yy, mm + 1, 1) + timedelta(days=d - 1, hours=h, minutes=mi)
+    except OverflowError:
+        return None
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(
+    st.builds(lambda m, d, y: f"{m}/{d}/{y}", st.integers(0, 40), st.integers(0, 400),
+              st.integers(1, 9998)),
+    st.builds(lambda h, m, s: f"{h:02d}{m:02d}{s}", st.integers(0, 99), st.integers(0, 99),
+              st.sampled_from(["A", "P", "", "AP"]))), min_size=1, max_size=50))
+def test_violation_ts_matches_brute_force(spark, rows):
+    from pyspark.sql import functions as F
+    from patrolspark.functions.parse import violation_ts
+    df = spark.createDataFrame([(i, d, c) for i, (d, c) in enumerate(rows)],
+                               "i int, d string, c string")
+    got = {r.i: r.us for r in df.select(
+        "i", F.unix_micros(violation_ts("d", "c")).alias("us")).collect()}
+    from datetime import datetime, timedelta
+    epoch = datetime(1970, 1, 1)
+    for i, (d, c) in enumerate(rows):
+        e = expected_ts(d, c)
+        want = None if e is None else (e - epoch) // timedelta(microseconds=1)
+        assert got[i] == want, (d, c, got[i], want)
