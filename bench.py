@@ -61,8 +61,8 @@ def main() -> None:
     def cube_path():
         results, cube = A.run_all(all_rows(spark, sf_dir))
         try:
-            for df in results.values():
-                run(df)
+            cube.count()
+            A.run_concurrently(results, lambda _, df: run(df))
         finally:
             cube.unpersist()
 

@@ -52,12 +52,16 @@ def analyse_lake(spark: SparkSession, lake_path: str, out_dir: str | None = None
     default, as the original system wrote them).  Returns the rows."""
     results, cube = A.run_all(read_lake(spark, lake_path, lake_format))
     try:
+        cube.count()  # one scan of the lake fills the cached cube
         ordered = {k: df.orderBy(*result_order(k)) for k, df in results.items()}
-        if out_dir:
-            for k, df in ordered.items():
-                opts = {"header": str(header).lower()} if result_format == "csv" else None
+        opts = {"header": str(header).lower()} if result_format == "csv" else None
+
+        def answer(k: str, df: DataFrame):
+            if out_dir:
                 write_result(df, f"{out_dir.rstrip('/')}/{k}", result_format, opts)
-        return {k: df.collect() for k, df in ordered.items()}
+            return df.collect()  # ≤ 5 rows each
+
+        return A.run_concurrently(ordered, answer)
     finally:
         cube.unpersist()
 
