@@ -83,3 +83,19 @@ def test_cli_consume_and_save_once(spark, tmp_dir):
     # all three are objects whose known fields have the right types (extra
     # fields are ignored), so all three are stored.
     assert spark.read.parquet(f"{tmp_dir}/lake").count() == 3
+
+
+def test_lake_scan_pushes_filter_and_reads_two_columns(spark, tmp_dir):
+    from patrolspark.plans import analyses as A
+    from patrolspark.plans.jobs import read_lake
+    src = f"{tmp_dir}/src"
+    os.makedirs(src)
+    line = ",".join(["0", "p", '"x, y"', "NY", "01/05/2020", "21"] + ["f"] * 13 + ["0100A", "z"])
+    with open(f"{src}/v.csv", "w") as f:
+        f.write(line + "\n")
+    load_historic(spark, src, f"{tmp_dir}/lake", f"{tmp_dir}/ck")
+    cube = A.violation_cube(read_lake(spark, f"{tmp_dir}/lake"))
+    plan = cube._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(sending_date)]" in plan
+    assert "ReadSchema: struct<sending_date:timestamp,violation_code:string>" in plan
+    assert cube.collect()[0].number_of_violations == 1
