@@ -4,7 +4,10 @@ Each entry of ``QUERIES`` takes ``(spark, sf_dir)`` and returns a DataFrame;
 ``ORACLE_SQL`` holds the same question as DuckDB SQL over the views
 ``lineitem``, ``events``, ``orders`` … .  Column names match one to one.
 Timestamps leave as epoch microseconds (``*_us``) so both sides compare as
-plain integers.
+plain numbers.  Integer columns that can hold nulls leave as doubles on both
+sides (exact below 2**53): pandas turns a nullable integer column into
+float64 on the Spark side and into a nullable integer type on the DuckDB
+side, and the two print differently.
 
 Every query processes whole tables.  Where ``event_id % n`` appears it
 *assigns* something to each row (the message key, as in the live feed where
@@ -39,6 +42,12 @@ from .plans.derived import (all_rows, events_as_strings, keyed_messages, period_
 from .session import pin
 
 QUERIES: dict = {}
+
+
+def _us(ts) -> "F.Column":
+    """Epoch microseconds of a nullable timestamp, as double (see above)."""
+    return F.unix_micros(ts).cast("double")
+
 ORACLE_SQL: dict[str, str] = {}
 
 
@@ -203,22 +212,22 @@ _RULE_HOUR = "case when hour(ts) = 0 then 12 when hour(ts) = 12 then 0 else hour
 
 
 @register("parse_raw_records", f"""
-select event_id, case when event_id % 13 = 0 then null else
+select event_id, cast(case when event_id % 13 = 0 then null else
          epoch_us(date_trunc('day', ts) + to_hours({_RULE_HOUR}) + to_minutes(minute(ts))) end
-         as sending_date_us,
+         as double) as sending_date_us,
        nullif(event_type, 'error') as violation_code
 from events
 """)
 def q_parse_raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = to_violation(_raw(spark, sf_dir), keep=("_c0",))
     return v.select(F.col("_c0").cast("long").alias("event_id"),
-                    F.unix_micros("sending_date").alias("sending_date_us"), "violation_code")
+                    _us(F.col("sending_date")).alias("sending_date_us"), "violation_code")
 
 
 @register("compact_clock", f"""
 select event_id,
-       cast(case when event_id % 13 = 0 then null else {_RULE_HOUR} end as integer) as hour,
-       cast(case when event_id % 13 = 0 then null else minute(ts) end as integer) as minute
+       cast(case when event_id % 13 = 0 then null else {_RULE_HOUR} end as double) as hour,
+       cast(case when event_id % 13 = 0 then null else minute(ts) end as double) as minute
 from events
 """)
 def q_compact_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,7 +235,8 @@ def q_compact_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = raw_lines(spark, sf_dir).select(parts.alias("p"))
     ck = compact_clock(field("p", 19))
     return df.select(field("p", 0).cast("long").alias("event_id"),
-                     ck["hour"].alias("hour"), ck["minute"].alias("minute"))
+                     ck["hour"].cast("double").alias("hour"),
+                     ck["minute"].cast("double").alias("minute"))
 
 
 @register("split_fields", """
@@ -246,8 +256,8 @@ def q_split_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("try_parse_ts", """
-select o_orderkey, case when o_orderkey % 9 = 0 then null else epoch_us(o_orderdate) end
-       as parsed_us
+select o_orderkey, cast(case when o_orderkey % 9 = 0 then null else epoch_us(o_orderdate) end
+       as double) as parsed_us
 from orders
 """)
 def q_try_parse_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,14 +265,14 @@ def q_try_parse_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.date_format(F.col("o_orderdate"), "dd-MM-yyyy HH:mm:ss")
     text = F.when(F.col("o_orderkey") % 9 == 0, F.concat(text, F.lit(" x"))).otherwise(text)
     return o.select("o_orderkey",
-                    F.unix_micros(try_parse_ts(text, "dd-MM-yyyy HH:mm:ss")).alias("parsed_us"))
+                    _us(try_parse_ts(text, "dd-MM-yyyy HH:mm:ss")).alias("parsed_us"))
 
 
 # -- schema conformance --------------------------------------------------------
 
 _CONFORM_ROW = """
   case when event_type = 'error' then null else value end as lat, -value as lng,
-  case when event_id % 5 = 0 then null else epoch_us(ts) end as sending_date_us,
+  cast(case when event_id % 5 = 0 then null else epoch_us(ts) end as double) as sending_date_us,
   cast(user_id as varchar) as drone_id"""
 
 
@@ -280,7 +290,7 @@ def q_conform_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
     for w in (7, 6, 4):
         c = conform(events_as_strings(spark, sf_dir, w))
         c = c.select(F.lit(w).alias("width"), "lat", "lng",
-                     F.unix_micros("sending_date").alias("sending_date_us"),
+                     _us(F.col("sending_date")).alias("sending_date_us"),
                      "drone_id", "violation_code", "image_id")
         out = c if out is None else out.unionByName(c)
     return out
