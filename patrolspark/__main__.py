@@ -1,7 +1,11 @@
-"""Command line: ``python -m patrolspark <job> ...`` (or via spark-submit).
+"""Command line: ``python -m patrolspark <job> ...``.
 
-Jobs: ``analyse``, ``migrate``, ``load``, ``publish``, ``save``, ``consume``.  The session comes from
-the environment (spark-submit settings); only the time zone is pinned.
+Jobs: ``analyse``, ``migrate``, ``load``, ``publish``, ``save``, ``consume``.
+Cluster settings come from the environment (``spark-defaults.conf``,
+``PYSPARK_SUBMIT_ARGS``); ``session.get_session`` adds only the settings the
+library's semantics rely on (UTC, AQE, dynamic partition overwrite, JSON
+duplicate keys).  Under spark-submit, submit a two-line script that calls
+``patrolspark.__main__.main()``.
 """
 
 from __future__ import annotations
@@ -51,6 +55,8 @@ def main(argv=None) -> None:
         s.add_argument("--once", action="store_true", help="process what is there, then stop")
         if name == "consume":
             s.add_argument("--image-dir", required=True)
+        else:
+            s.add_argument("--rejects", help="also keep undecodable messages in this table")
     args = p.parse_args(argv)
 
     from .session import get_session
@@ -76,13 +82,18 @@ def main(argv=None) -> None:
                          args.topic or HISTORIC_TOPIC, args.suffix,
                          max_files_per_trigger=args.max_files_per_trigger)
     else:
+        from .fixed import HISTORIC_TOPIC, LIVE_TOPIC
         from .plans.jobs import message_source
-        stream = message_source(spark, args.topic, args.servers, args.src_dir,
-                                args.max_per_trigger)
+        if not (args.servers or args.src_dir):
+            p.error(f"{args.job}: give --servers (a topic) or --src-dir (JSON files)")
+        topic = args.topic or (HISTORIC_TOPIC if args.job == "save" else LIVE_TOPIC)
+        stream = message_source(spark, topic if args.servers else None, args.servers,
+                                args.src_dir, args.max_per_trigger)
         if args.job == "save":
             from .streaming.load import save_violations
             q = save_violations(stream, args.out, args.checkpoint, available_now=args.once,
-                                processing_time=None if args.once else "10 seconds")
+                                processing_time=None if args.once else "10 seconds",
+                                rejects_path=args.rejects)
         else:
             from .streaming.consume import consume_messages
             q = consume_messages(stream, args.out, args.checkpoint, args.image_dir,
