@@ -376,7 +376,8 @@ select case when {_ROUTE_SQL} = 'unhandled' then 'unhandled key'
             when event_id % 7 = 0 and event_id % 20 = 1 then 'missing content'
             when event_id % 7 = 0 then 'bad type lat'
             else 'not a JSON object' end as reason,
-       case when event_id % 20 = 0 then 'VIOLATION_MESSAGE' when event_id % 20 = 1 then 'VIOLATION_IMAGE'
+       case when event_id % 20 = 0 then 'VIOLATION_MESSAGE'
+            when event_id % 20 = 1 then 'VIOLATION_IMAGE'
             when event_id % 20 = 2 then 'OTHER' when event_id % 20 = 3 then null
             else 'STANDARD_MESSAGE' end as key,
        event_id as "offset"

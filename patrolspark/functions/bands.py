@@ -57,7 +57,8 @@ def _march_day(c) -> Column:
     chain instead of a tree that repeats sub-terms.
     """
     us = _micros(c)
-    n = _div(us - F.pmod(us, F.lit(MICROS_PER_DAY)), MICROS_PER_DAY) + 719468  # days from 0000-03-01
+    # days since 0000-03-01
+    n = _div(us - F.pmod(us, F.lit(MICROS_PER_DAY)), MICROS_PER_DAY) + 719468
     n_c = _div(F.pmod(n * 4 + 3, F.lit(146097)), 4)            # day of the century
     p2 = (n_c * 4 + 3) * 2939745
     return _div(_div(F.pmod(p2, F.lit(1 << 32)), 2939745), 4)  # day of the year

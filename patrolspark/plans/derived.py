@@ -58,7 +58,8 @@ def _msg_parts():
     broken = eid % 7 == 0
     not_json = (eid % 11 == 0) & ~broken
     std_ok = codec.encode_standard(F.col("value"), -F.col("value"), ts, uid)
-    std_bad = codec.encode(F.col("value").cast("string").alias("lat"), (-F.col("value")).alias("lng"),
+    std_bad = codec.encode(F.col("value").cast("string").alias("lat"),
+                           (-F.col("value")).alias("lng"),
                            F.unix_millis(ts).alias("sending_date"), uid.alias("drone_id"))
     vio_ok = codec.encode_violation(F.col("value"), -F.col("value"), ts, uid, code,
                                     eid.cast("string"))

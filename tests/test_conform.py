@@ -6,7 +6,8 @@ from patrolspark.schemas import VIOLATION
 
 def test_conform_by_position_extra_missing_bad(spark):
     df = spark.createDataFrame([("1.5", "x", "2020-01-02 03:04:05", "d", "21", "i", "extra")],
-                               "z string, y string, q string, w string, v string, u string, t string")
+                               "z string, y string, q string, w string, v string, u string, "
+                               "t string")
     r = conform(df).first()
     assert conform(df).schema == VIOLATION.__class__(
         [f.__class__(f.name, f.dataType, True) for f in VIOLATION.fields])
