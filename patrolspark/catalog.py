@@ -519,3 +519,80 @@ def q_historic_topic_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.agg(F.count(F.lit(1)).alias("n_rows"),
                  F.count("sending_date").alias("n_dated"),
                  F.count("violation_code").alias("n_codes"))
+
+
+# -- the four answers through the cube (Q5), over lineitem and events together --
+
+V_ALL = f"{V_SEASONS} union all {V_PERIODS}"
+
+
+@register("season_share_cube", f"""
+with v as ({V_ALL}),
+g as (select season, count(violation_code) as n
+      from (select {se('sending_date')} as season, violation_code from v
+            where sending_date is not null) t
+      where season in ('winter', 'summer') group by season)
+select season, n as number_of_violations, {pct('n')} as percent from g
+""")
+def q_season_share_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.season_share_from(A.violation_cube(all_rows(spark, sf_dir)))
+
+
+@register("top5_codes_cube", f"""
+with v as ({V_ALL}),
+g as (select violation_code, count(violation_code) as n from v
+      where sending_date is not null group by violation_code)
+select violation_code, n as number_of_violations, {pct('n')} as percent from g
+order by n desc, violation_code asc nulls first limit 5
+""")
+def q_top5_codes_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.top_codes_from(A.violation_cube(all_rows(spark, sf_dir)))
+
+
+@register("period_share_cube", f"""
+with v as ({V_ALL}),
+g as (select {pe('sending_date')} as period, count(violation_code) as n from v
+      where sending_date is not null group by 1)
+select period, n as number_of_violations, {pct('n')} as percent from g
+""")
+def q_period_share_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.period_share_from(A.violation_cube(all_rows(spark, sf_dir)))
+
+
+@register("top_code_per_season_cube", f"""
+with v as ({V_ALL}),
+g as (select {se('sending_date')} as season, violation_code, count(violation_code) as n
+      from v where sending_date is not null group by 1, 2),
+r as (select season, violation_code, n, {pct('n', 'partition by season')} as percent,
+             row_number() over (partition by season
+                                order by n desc, violation_code asc nulls first) as k
+      from g)
+select season, violation_code, n as number_of_violations, percent from r where k = 1
+""")
+def q_top_code_per_season_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.top_code_per_season_from(A.violation_cube(all_rows(spark, sf_dir)))
+
+
+@register("band_filters", f"""
+select 'season' as band, season as name, count(*) as n_rows from (
+  select {se('ts')} as season from events) t group by season
+union all
+select 'period', period, count(*) from (select {pe('ts')} as period from events) t
+group by period
+""")
+def q_band_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each season and each period through ``in_season`` / ``in_period``
+    (events: January only, so three seasons give no row)."""
+    from .functions.bands import PERIODS, SEASONS
+    from .operators.bands import in_period, in_season
+    ev = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"))
+    parts = [in_season(ev, s, "ts", tag=None).groupBy().count()
+             .select(F.lit("season").alias("band"), F.lit(s).alias("name"),
+                     F.col("count").alias("n_rows")) for s in SEASONS]
+    parts += [in_period(ev, p, "ts", tag=None).groupBy().count()
+              .select(F.lit("period").alias("band"), F.lit(p).alias("name"),
+                      F.col("count").alias("n_rows")) for p in PERIODS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.where(F.col("n_rows") > 0)
