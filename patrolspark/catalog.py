@@ -307,6 +307,11 @@ def q_prepared_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- keyed messages --------------------------------------------------------------
 
+# The messages carry lng = -value as JSON; a JSON number has no negative zero
+# once read (it is a decimal), so -0.0 arrives as 0.0.  ``0.0 - value`` is
+# the same negation with that zero.
+_NEG = "(0.0 - value)"
+
 _ROUTE_SQL = ("case when event_id % 20 = 0 then 'violation' when event_id % 20 = 1 then 'image' "
               "when event_id % 20 >= 4 then 'standard' else 'unhandled' end")
 _OK = "event_id % 7 <> 0 and event_id % 11 <> 0"
@@ -321,7 +326,7 @@ def q_route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("decode_standard", f"""
-select value as lat, -value as lng, (epoch_us(ts) // 1000) * 1000 as sending_date_us,
+select value as lat, {_NEG} as lng, (epoch_us(ts) // 1000) * 1000 as sending_date_us,
        cast(user_id as varchar) as drone_id, event_id as "offset"
 from events where event_id % 20 >= 4 and {_OK}
 """)
@@ -331,7 +336,7 @@ def q_decode_standard(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "drone_id", "offset")
 
 
-_VIOLATION_ROW = """value as lat, -value as lng, (epoch_us(ts) // 1000) * 1000 as sending_date_us,
+_VIOLATION_ROW = f"""value as lat, {_NEG} as lng, (epoch_us(ts) // 1000) * 1000 as sending_date_us,
        cast(user_id as varchar) as drone_id, nullif(event_type, 'error') as violation_code,
        cast(event_id as varchar) as image_id"""
 
@@ -357,7 +362,7 @@ def q_decode_image(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("encode_violation", f"""
 select event_id as "offset",
-       '{{"lat":' || cast(value as varchar) || ',"lng":' || cast(-value as varchar)
+       '{{"lat":' || cast(value as varchar) || ',"lng":' || cast({_NEG} as varchar)
        || ',"sending_date":' || cast(epoch_us(ts) // 1000 as varchar)
        || ',"drone_id":"' || cast(user_id as varchar) || '"'
        || coalesce(',"violation_code":"' || nullif(event_type, 'error') || '"', '')
@@ -398,7 +403,7 @@ select event_id as "offset", 'Violation Alert' as subject,
   || 'Violation Code: ' || coalesce(nullif(event_type, 'error'), 'Unknown') || chr(10)
   || 'Occurring Date: ' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || chr(10)
   || 'Latitude : ' || cast(value as varchar) || chr(10)
-  || 'Longitude : ' || cast(-value as varchar) || chr(10)
+  || 'Longitude : ' || cast({_NEG} as varchar) || chr(10)
   || 'Drone ID: ' || cast(user_id as varchar) || chr(10)
   || 'Violation Image: {IMAGE_DIR}/' || cast(event_id as varchar) || chr(10)
   || chr(10) || chr(10) || '-- SENT FROM ALERT HANDLER SYSTEM --' || chr(10) as body
