@@ -167,3 +167,11 @@ def test_duplicate_key_keeps_last_value(spark):
     good, bad = decode_standard(_df(spark, rows), keep=("offset",))
     assert [r.offset for r in good.collect()] == [0]
     assert [(r.offset, r.reason) for r in bad.collect()] == [(1, "bad type lat")]
+
+
+def test_negative_zero_reads_as_zero(spark):
+    # a JSON number is read as a decimal, which has no negative zero (as the
+    # original system's BigDecimal-based reader)
+    good, _ = decode_violation(_df(spark, [(V, '{"lat":-0.0,"lng":0.0}')]))
+    r = good.first()
+    assert str(r.lat) == "0.0" and str(r.lng) == "0.0"
