@@ -118,17 +118,20 @@ def rejects(checked_df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         F.col("__reason").alias("reason"), "key", "value", *keep)
 
 
-def decode_standard(df: DataFrame, keep: tuple[str, ...] = ()):
+def decode_standard(df: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """``(good, rejects)`` for standard messages; ``keep`` columns ride along."""
     c = checked(df, "standard")
     return good(c, "standard", keep), rejects(c, keep)
 
 
-def decode_violation(df: DataFrame, keep: tuple[str, ...] = ()):
+def decode_violation(df: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """``(good, rejects)`` for violation messages; ``keep`` columns ride along."""
     c = checked(df, "violation")
     return good(c, "violation", keep), rejects(c, keep)
 
 
-def decode_image(df: DataFrame, keep: tuple[str, ...] = ()):
+def decode_image(df: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """``(good, rejects)`` for image messages; ``keep`` columns ride along."""
     c = checked(df, "image")
     return good(c, "image", keep), rejects(c, keep)
 

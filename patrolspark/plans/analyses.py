@@ -119,7 +119,8 @@ def run_concurrently(results: dict, action) -> dict:
         return {k: f.result() for k, f in futures.items()}
 
 
-def run_all(rows: DataFrame, storage: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+def run_all(rows: DataFrame, storage: StorageLevel = StorageLevel.MEMORY_AND_DISK
+            ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Q5: all four answers from one scan of ``rows``.
 
     Returns ``(results, cube)``; the cube is persisted (it is small: bounded
