@@ -61,9 +61,20 @@ def value_of(f: Column, kind: str) -> Column:
     return F.try_variant_get(f, "$", _TARGET[kind])
 
 
+# The largest epoch-millisecond value a Spark timestamp (microseconds in a
+# long) can hold; beyond it the conversion would overflow and fail the task.
+MAX_MILLIS = (2**63 - 1) // 1000
+
+
+def millis_in_range(ms: Column) -> Column:
+    return (ms >= -MAX_MILLIS) & (ms <= MAX_MILLIS)
+
+
 def millis_ts(f: Column) -> Column:
-    """Epoch-millisecond field variant → timestamp."""
-    return F.timestamp_millis(value_of(f, "long"))
+    """Epoch-millisecond field variant → timestamp; null (never an error)
+    when the value is out of the timestamp range."""
+    ms = value_of(f, "long")
+    return F.when(millis_in_range(ms), F.timestamp_millis(ms))
 
 
 # -- encoding ----------------------------------------------------------------

@@ -156,7 +156,10 @@ def iso_seconds(c) -> Column:
 
 
 def millis_to_ts(c) -> Column:
-    return F.timestamp_millis(as_col(c))
+    """Epoch milliseconds → timestamp; null when out of the timestamp range."""
+    ms = as_col(c)
+    limit = (2**63 - 1) // 1000
+    return F.when((ms >= -limit) & (ms <= limit), F.timestamp_millis(ms))
 
 
 def ts_to_millis(c) -> Column:

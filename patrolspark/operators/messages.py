@@ -67,6 +67,10 @@ def _reason(s: Column, types: dict[str, Column], kind: str) -> Column:
             checks.append((~present, F.lit(f"missing {name}")))
         checks.append((present & ~codec.type_ok(s[name], jkind, t),
                        F.lit(f"bad type {name}")))
+        if name == "sending_date":  # a whole number, but past what a timestamp holds
+            ms = codec.value_of(s[name], "long")
+            checks.append((present & ~F.coalesce(codec.millis_in_range(ms), F.lit(False)),
+                           F.lit(f"bad value {name}")))
     out = None
     for cond, why in checks:
         out = F.when(cond, why) if out is None else out.when(cond, why)

@@ -175,3 +175,14 @@ def test_negative_zero_reads_as_zero(spark):
     good, _ = decode_violation(_df(spark, [(V, '{"lat":-0.0,"lng":0.0}')]))
     r = good.first()
     assert str(r.lat) == "0.0" and str(r.lng) == "0.0"
+
+
+def test_out_of_range_epoch_millis_is_a_reject_not_a_crash(spark):
+    rows = [(S, '{"lat":1,"lng":2,"drone_id":"d","sending_date":9223372036854776}'),
+            (V, '{"sending_date":-9223372036854775808}'),
+            (S, '{"lat":1,"lng":2,"drone_id":"d","sending_date":9223372036854775}')]
+    df = _df(spark, rows)
+    from patrolspark.operators.messages import decode_all
+    dec = decode_all(df, keep=("offset",)).select("offset", "reason")  # the valid date is
+    got = {r.offset: r.reason for r in dec.collect()}                 # past Python's range
+    assert got == {0: "bad value sending_date", 1: "bad value sending_date", 2: None}

@@ -1,10 +1,17 @@
-"""Property tests (hypothesis): fast paths equal the general ones."""
+"""Property tests (hypothesis): fast paths equal the general ones.
+
+``PROPERTY_EXAMPLES=<n>`` runs every property with n examples (default 25).
+"""
+
+import os
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from patrolspark.functions.parse import _violation_ts_arith, _violation_ts_intervals
 
+EXAMPLES = int(os.environ.get("PROPERTY_EXAMPLES", "25"))
+
 digits = st.text(alphabet="0123456789", min_size=1, max_size=3)
 dates = st.one_of(
     st.builds(lambda m, d, y: f"{m}/{d}/{y}", digits, digits,
@@ -16,7 +23,7 @@ clocks = st.one_of(
     st.text(alphabet="0123456789APx", max_size=6))
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=EXAMPLES, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(dates, clocks), min_size=1, max_size=60))
 def test_arithmetic_timestamps_equal_interval_timestamps(spark, rows):
     df = spark.createDataFrame(rows, "d string, c string")
@@ -26,7 +33,7 @@ def test_arithmetic_timestamps_equal_interval_timestamps(spark, rows):
         assert out.where("not (a <=> b)").count() == 0
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=EXAMPLES, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.integers(min_value=-5_000_000_000_000_000,
                             max_value=8_000_000_000_000_000), min_size=1, max_size=80))
 def test_season_and_period_equal_builtins(spark, micros):
@@ -80,6 +87,8 @@ def expected_reason(text, kind):
             return f"missing {name}"
         if present and not _type_ok(obj[name], jkind):
             return f"bad type {name}"
+        if present and name == "sending_date" and abs(int(obj[name])) > (2**63 - 1) // 1000:
+            return f"bad value {name}"
     return None
 
 
@@ -95,7 +104,7 @@ texts = st.one_of(objects, st.one_of(values.map(json.dumps),
                                      st.sampled_from(["not json", "", "{", '{"lat":1,}'])))
 
 
-@settings(max_examples=30, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=EXAMPLES, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.sampled_from(sorted(FIELDS)), texts), min_size=1, max_size=40))
 def test_decode_matches_brute_force(spark, msgs):
     from patrolspark.operators.messages import decode_all
@@ -145,7 +154,7 @@ def expected_ts(date, clock):
         return None
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=EXAMPLES, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(
     st.builds(lambda m, d, y: f"{m}/{d}/{y}", st.integers(0, 40), st.integers(0, 400),
               st.integers(1, 9998)),
