@@ -173,3 +173,23 @@ def test_violation_ts_matches_brute_force(spark, rows):
         e = expected_ts(d, c)
         want = None if e is None else (e - epoch) // timedelta(microseconds=1)
         assert got[i] == want, (d, c, got[i], want)
+
+
+# -- untrusted raw lines never fail a task ----------------------------------------
+
+line_chars = st.sampled_from(list('0123456789/,"APap -:x\\t') + ["٣", "é"])
+fields = st.text(line_chars, max_size=12)
+lines = st.one_of(st.lists(fields, min_size=0, max_size=25).map(",".join),
+                  st.text(line_chars, max_size=80))
+
+
+@settings(max_examples=EXAMPLES, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(lines, min_size=1, max_size=40))
+def test_raw_lines_never_raise(spark, texts):
+    from pyspark.sql import functions as F
+    from patrolspark.operators.conform import to_violation
+    from patrolspark.sources.raw import raw_records
+    df = spark.createDataFrame([(t,) for t in texts], "line string")
+    v = to_violation(raw_records(df))
+    # every line gives exactly one record, whatever its content
+    assert v.select(F.unix_micros("sending_date"), "violation_code").count() == len(texts)
