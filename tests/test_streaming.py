@@ -200,3 +200,19 @@ def test_standing_historic_load_picks_up_new_files(spark, tmp_dir):
         assert spark.read.parquet(lake).count() == 3
     finally:
         q.stop()
+
+
+def test_failed_batch_retried_leaves_no_duplicates(spark, tmp_dir):
+    import pytest
+    out = f"{tmp_dir}/out"
+    batch = spark.createDataFrame([("STANDARD_MESSAGE", STD, 0, 1),
+                                   ("VIOLATION_MESSAGE", VIO, 0, 2)], KEYED)
+
+    def boom(df, batch_id):
+        raise RuntimeError("delivery down")
+
+    with pytest.raises(RuntimeError):
+        write_batch(batch, out, "/img", "run", 4, on_alerts=boom)   # fails after the writes
+    write_batch(batch, out, "/img", "run", 4)                         # the engine's retry
+    assert read_output(spark, out, "standard").count() == 1
+    assert read_output(spark, out, "alerts").count() == 1
