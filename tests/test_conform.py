@@ -52,3 +52,16 @@ def test_failed_write_raises(spark, tmp_dir):
         write_table(spark.range(3), f"{blocker}/t", "parquet")
     with pytest.raises(Exception):
         write_result(spark.range(3), f"{blocker}/r")
+
+
+def test_generic_read_write_with_options_schema_and_partitions(spark, tmp_dir):
+    from patrolspark.sources.tables import read_table, write_table
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "n int, g string")
+    write_table(df, f"{tmp_dir}/p", "parquet", partition_by=["g"])
+    write_table(df, f"{tmp_dir}/p", "parquet", partition_by=["g"])      # append (default)
+    back = read_table(spark, f"{tmp_dir}/p", "parquet")
+    assert back.where("g = 'a'").count() == 4 and set(back.columns) == {"n", "g"}
+    write_table(df, f"{tmp_dir}/c", "csv", options={"sep": ";", "header": "true"})
+    typed = read_table(spark, f"{tmp_dir}/c", "csv", options={"sep": ";", "header": "true"},
+                       schema="n int, g string")
+    assert sorted(map(tuple, typed.collect())) == [(1, "a"), (2, "b"), (3, "a")]
