@@ -216,3 +216,21 @@ def test_failed_batch_retried_leaves_no_duplicates(spark, tmp_dir):
     write_batch(batch, out, "/img", "run", 4)                         # the engine's retry
     assert read_output(spark, out, "standard").count() == 1
     assert read_output(spark, out, "alerts").count() == 1
+
+
+def test_batch_tables_read_the_cached_decode(spark):
+    from pyspark import StorageLevel
+    from patrolspark.operators.messages import decode_all
+    from patrolspark.streaming.consume import split_batch
+    batch = spark.createDataFrame([("STANDARD_MESSAGE", STD, 0, 1)], KEYED)
+    decoded = decode_all(batch, keep=("partition", "offset")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        decoded.count()
+        for name, df in split_batch(decoded, "/img").items():
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "InMemoryTableScan" in plan, name
+            # above the cache boundary there is no JSON parse (the plan text
+            # below InMemoryRelation describes what the cache holds)
+            assert "Generate" not in plan.split("InMemoryRelation")[0], name
+    finally:
+        decoded.unpersist()
