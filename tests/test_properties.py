@@ -193,3 +193,16 @@ def test_raw_lines_never_raise(spark, texts):
     v = to_violation(raw_records(df))
     # every line gives exactly one record, whatever its content
     assert v.select(F.unix_micros("sending_date"), "violation_code").count() == len(texts)
+
+
+@settings(max_examples=EXAMPLES, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(st.sampled_from(list('ab,"\u0001 ')), max_size=30), min_size=1,
+                max_size=40))
+def test_linear_split_equals_the_rule(spark, texts):
+    from pyspark.sql import functions as F
+    from patrolspark.fixed import LINE_SPLIT_REGEX
+    from patrolspark.functions.parse import split_fields
+    df = spark.createDataFrame([(t,) for t in texts], "l string")
+    bad = df.where(~F.coalesce(split_fields("l") == F.split("l", LINE_SPLIT_REGEX, -1),
+                               F.lit(False)))
+    assert bad.count() == 0
