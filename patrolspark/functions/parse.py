@@ -32,17 +32,16 @@ def split_fields(line) -> Column:
 
     Evaluated in linear time, not with the look-ahead regex (which re-scans
     the rest of the line at every comma and, on a long line with many quotes,
-    overflows the regex engine's stack): in the k-th of the Q + 1 pieces
-    between quotes, every comma has Q - k quotes after it, so the commas of
-    pieces with Q - k even are the separators.  For whole files prefer the
+    overflows the regex engine's stack): counting the pieces between quotes
+    from the end, every comma of piece j (0 = last) has exactly j quotes
+    after it, so the commas of the even pieces are the separators.  For whole files prefer the
     CSV reader (``sources.raw.raw_files``) or ``from_csv``, which strip quotes.
     """
     c = F.regexp_replace(as_col(line), "\u0001", _ESC)
-    pieces = F.split(c, '"', -1)
-    q = F.size(pieces) - 1
-    marked = F.transform(pieces, lambda piece, k: F.when(
-        (q - k) % 2 == 0, F.regexp_replace(piece, ",", _SEP)).otherwise(piece))
-    fields = F.split(F.array_join(marked, '"'), _SEP, -1)
+    from_end = F.reverse(F.split(c, '"', -1))
+    marked = F.transform(from_end, lambda piece, j: F.when(
+        j % 2 == 0, F.regexp_replace(piece, ",", _SEP)).otherwise(piece))
+    fields = F.split(F.array_join(F.reverse(marked), '"'), _SEP, -1)
     return F.transform(fields, lambda f: F.regexp_replace(f, _ESC, "\u0001"))
 
 
