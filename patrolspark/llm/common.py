@@ -28,6 +28,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Bound the rows of an Arrow batch, so that a batch of long texts fits a worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key, "10000")) > rows:
+        spark.conf.set(key, str(rows))
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, with underscores added until no column of ``df`` has that name."""
     have = {c.lower() for c in df.columns}

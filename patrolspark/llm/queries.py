@@ -5,18 +5,37 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, url_filter
+from . import bpe, exact_dedup, licenses, mixing, quality, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.decode(bpe.encode(docs))
+    return coded.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(pages).drop("url")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs).select("doc_id", "licenses.*").drop("spans")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classes(table(spark, sf_dir, "documents"))
 
@@ -27,7 +46,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_url_filters, op8_exact_dedup, op9_mixing)
+    f.__name__: f for f in (op2_byte_bpe, op3_url_filters, op4_quality_classifier, op5_license_scan,
+                        op8_exact_dedup, op9_mixing)
 }
 
 ORACLE_SQL: dict[str, str] = {
