@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, licenses, mixing, quality, url_filter
+from . import bpe, exact_dedup, licenses, mixing, quality, simhash, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs).select("doc_id", "licenses.*").drop("spans")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classes(table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (op2_byte_bpe, op3_url_filters, op4_quality_classifier, op5_license_scan,
-                        op8_exact_dedup, op9_mixing)
+                        op6_simhash, op8_exact_dedup, op9_mixing)
 }
 
 ORACLE_SQL: dict[str, str] = {
