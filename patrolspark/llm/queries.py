@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, licenses, mixing, quality, simhash, url_filter
+from . import bpe, embed_dedup, exact_dedup, licenses, mixing, quality, simhash, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_classes(table(spark, sf_dir, "embeddings"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.decode(bpe.encode(docs))
@@ -50,7 +54,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_byte_bpe, op3_url_filters, op4_quality_classifier, op5_license_scan,
+    f.__name__: f for f in (op1_embedding_near_dedup, op2_byte_bpe, op3_url_filters, op4_quality_classifier, op5_license_scan,
                         op6_simhash, op8_exact_dedup, op9_mixing)
 }
 
