@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embed_dedup, exact_dedup, licenses, mixing, quality, simhash, url_filter
+from . import bpe, embed_dedup, exact_dedup, licenses, mixing, pii, quality, simhash, substring_dedup, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs).select("doc_id", "pii.*").drop("redacted")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classes(table(spark, sf_dir, "documents"))
 
@@ -53,9 +58,15 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.draws(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (op1_embedding_near_dedup, op2_byte_bpe, op3_url_filters, op4_quality_classifier, op5_license_scan,
-                        op6_simhash, op8_exact_dedup, op9_mixing)
+                        op6_simhash, op7_pii, op8_exact_dedup, op9_mixing, op10_substring_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {
