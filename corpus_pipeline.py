@@ -1,21 +1,53 @@
-"""Corpus preparation: a fixed order of stages over ``documents``."""
+"""Corpus preparation: a fixed order of stages over ``documents``.
+
+Quality classifier (rejected documents go), exact dedup, SimHash near-dedup (one
+document of each group stays), mixing sources to target weights (documents come
+as often as they are drawn), byte-level BPE.  Every stage works on all its
+predecessor kept and returns the columns of ``documents``; the last adds the
+token ids and whether they decode to the text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from patrolspark.llm import bpe, exact_dedup, mixing, quality, simhash
 
-from patrolspark.llm import exact_dedup, mixing
 
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.score(docs, labels).where("predicted = 1").select(*docs.columns)
 
-def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(docs)
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.dedup(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
-STAGES = [("exact dedup", dedup), ("mixing", mix)]
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    coded = bpe.decode(bpe.encode(docs))
+    return coded.select(
+        *docs.columns, "ids", F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("exact dedup", drop_copies),
+    ("simhash near-dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("byte bpe", tokenize),
+]
+
+#: The classifier, fingerprints and token ids have no SQL form; tests/llm compares with brute force.
 ORACLE_SQL = None
 
 

@@ -200,21 +200,20 @@ def _classes(prints: DataFrame, distance: int) -> DataFrame:
     named = distinct.join(parts, F.col("fp") == F.col("node"), "left")
     named = named.select(F.col("fp").alias("c_fp"), "rep", F.coalesce("component", "fp").alias("part"))
     lowest = named.groupBy("part").agg(F.min("rep").alias("component_id")).withColumnRenamed("part", "l_part")
-    return named.join(lowest, F.col("part") == F.col("l_part")).select("c_fp", "component_id")
+    return named.join(lowest, F.col("part") == F.col("l_part")).select("c_fp", "part", "component_id")
 
 
 def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE,
           distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs`` that stay: the smallest id of each component (one row of it)."""
-    prints = docs.select(col(docs, doc_id).alias("doc_id"), col(docs, text).alias("text"))
+    """The rows of ``docs`` that stay: of each component one row, that of the smallest id."""
+    key = F.xxhash64(F.coalesce(col(docs, text), F.lit("")))
+    prints = docs.select(col(docs, doc_id).alias("doc_id"), col(docs, text).alias("text"), key.alias("key"))
     prints = cut(fingerprints(prints, "text", "fp", shingle).drop("text"))
-    found = _classes(prints, distance)
-    judged = prints.join(found, F.col("fp") == F.col("c_fp"))
-    gone = judged.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp")
-    g_id, g_fp, fp = (free_name(docs, x) for x in ("__gone_id", "__gone_fp", "__fp"))
-    gone = gone.select(F.col("doc_id").alias(g_id), F.col("fp").alias(g_fp)).distinct()
-    full = fingerprints(docs, text, fp, shingle)
-    full = full.join(gone, col(full, doc_id).eqNullSafe(F.col(g_id)) & (F.col(fp) == F.col(g_fp)), "left_anti")
-    key = free_name(docs, "__key")
-    full = full.withColumn(key, col(full, doc_id))
-    return full.dropDuplicates([key, fp]).drop(key, fp)
+    judged = prints.join(_classes(prints, distance), F.col("fp") == F.col("c_fp"))
+    stay = judged.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("part").agg(
+        F.min(F.struct("doc_id", "key")).alias("s")).select("s.*")
+    s_id, s_key, own = (free_name(docs, x) for x in ("__stay_id", "__stay_key", "__key"))
+    stay = stay.select(F.col("doc_id").alias(s_id), F.col("key").alias(s_key))
+    full = docs.withColumn(own, key)
+    full = full.join(stay, (F.col(own) == F.col(s_key)) & col(full, doc_id).eqNullSafe(F.col(s_id)))
+    return full.dropDuplicates([s_id, s_key]).drop(own, s_id, s_key)

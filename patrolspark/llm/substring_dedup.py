@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, WORDS, col, small_batches
+from .common import WORD, WORDS, col, cut, small_batches
 
 WINDOW = 20
 PREFIX = 6
@@ -112,15 +112,29 @@ def _runs(window: int, prefix: int):
                     first, stop = int(begin[a]), int(end[a])
                     run = " ".join(words[first:stop + window - 1])
                     key = xxhash.xxh3_128_digest(run.encode("utf-8", "surrogatepass"))
-                    out.append((g[at[first]], key, k1, k2, d, first, stop - first, run))
-            frame = pd.DataFrame(out, columns=["h", "run", "k1", "k2", "d", "first", "n", "words"])
+                    out.append((g[at[first]], key, k1, k2, d, first, stop - first))
+            frame = pd.DataFrame(out, columns=["h", "run", "k1", "k2", "d", "first", "n"])
             frame["h"] = _signed(np.array(frame["h"], dtype=np.uint64))
             yield frame
 
     return apply
 
 
-_RUNS = "h long, run binary, k1 long, k2 long, d long, first int, n int, words string"
+_RUNS = "h long, run binary, k1 long, k2 long, d long, first int, n int"
+
+
+def _words(window: int):
+    """(k1, k2, d, text, wanted) to the words of the wanted runs."""
+    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for k1, k2, d, text, wanted in zip(*(batch[c] for c in ("k1", "k2", "d", "text", "wanted")), strict=True):
+                words = WORDS.findall(text)
+                out += [(r["h"], k1, k2, d, r["first"], r["n"], " ".join(words[r["first"]:r["first"] + r["n"] + window - 1]))
+                        for r in wanted]
+            yield pd.DataFrame(out, columns=["h", "k1", "k2", "d", "first", "n", "words"])
+
+    return apply
 
 
 def subtree_nodes(group: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -223,27 +237,31 @@ def repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window:
     places = chosen.join(often, "h", "left_semi").groupBy(_KEY).agg(F.collect_list("place").alias("places"))
     runs = texts.join(places, _KEY).select("k1", "k2", "d", "text", "places").mapInPandas(_runs(window, prefix), _RUNS)
 
+    runs = cut(runs)  # keys and places only
+
     # Different runs, each with its first place and the number of places.
     place = F.struct("d", "first", "k1", "k2", "n")
-    different = (runs.groupBy("h", "run").agg(F.min(place).alias("p"), F.count(F.lit(1)).alias("places"),
-                                              F.first("words").alias("words"))
-                 .select("h", "run", "p.*", "places", "words"))
+    different = (runs.groupBy("h", "run").agg(F.min(place).alias("p"), F.count(F.lit(1)).alias("places"))
+                 .select("h", "run", "p.*", "places"))
     # A run that stands in several places: all but the first repeat it as a whole.
     first_of = different.where("places > 1").select(
         F.col("h").alias("f_h"), F.col("run").alias("f_run"), F.struct("d", "first", "k1", "k2").alias("f"))
-    again = (runs.select("h", "run", "k1", "k2", "d", "first", "n")
-             .join(first_of, (F.col("h") == F.col("f_h")) & (F.col("run") == F.col("f_run")))
+    again = (runs.join(first_of, (F.col("h") == F.col("f_h")) & (F.col("run") == F.col("f_run")))
              .where(F.struct("d", "first", "k1", "k2") != F.col("f")).select("k1", "k2", "first", "n"))
-    # The first place of each run: suffixes that start earlier in another run.
+    # The first place of each run: suffixes that start earlier in another run of its group.
     sizes = different.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     sizes = sizes.select(F.col("h").alias("s_h"), "c")
-    sized = different.drop("places").join(sizes, F.col("h") == F.col("s_h")).drop("s_h")
-    small = (sized.where(F.col("c") <= group).drop("c", "run")
-             .repartition("h").sortWithinPartitions("h")
+    sized = different.join(sizes, F.col("h") == F.col("s_h")).select("h", "k1", "k2", "first", "n", "c")
+
+    def with_words(some: DataFrame) -> DataFrame:
+        wanted = some.groupBy(_KEY).agg(F.collect_list(F.struct("h", "first", "n")).alias("wanted"))
+        return texts.join(wanted, _KEY).select("k1", "k2", "d", "text", "wanted").mapInPandas(
+            _words(window), "h long, k1 long, k2 long, d long, first int, n int, words string")
+
+    small = (with_words(sized.where(F.col("c") <= group)).repartition("h").sortWithinPartitions("h")
              .mapInPandas(_repeated(window), "k1 long, k2 long, first int, n int"))
-    large = sized.where(F.col("c") > group)
     word = F.split("words", " ")
-    large = large.select("k1", "k2", "d", "first", F.posexplode(F.transform(
+    large = with_words(sized.where(F.col("c") > group)).select("k1", "k2", "d", "first", F.posexplode(F.transform(
         F.sequence(F.lit(1), F.col("n")), lambda i: F.md5(F.array_join(F.slice(word, i, window), " ")))).alias("o", "w"))
     large = large.select("w", F.struct("d", (F.col("first") + F.col("o")).alias("first"), "k1", "k2").alias("p"))
     lowest = large.groupBy("w").agg(F.min("p").alias("low")).withColumnRenamed("w", "l_w")
