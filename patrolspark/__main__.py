@@ -43,6 +43,7 @@ def main(argv=None) -> None:
     pb.add_argument("--topic")
     pb.add_argument("--suffix", default="csv")
     pb.add_argument("--max-files-per-trigger", type=int)
+    pb.add_argument("--partitions", type=int, help="partitions of the topic to spread over")
     for name, helptext in (("save", "violation messages → lake"),
                            ("consume", "live messages → five tables")):
         s = sub.add_parser(name, help=helptext)
@@ -51,12 +52,13 @@ def main(argv=None) -> None:
         s.add_argument("--src-dir")
         s.add_argument("--out", required=True)
         s.add_argument("--checkpoint", required=True)
-        s.add_argument("--max-per-trigger", type=int)
+        s.add_argument("--max-per-trigger", type=int, required=name == "consume",
+                       help="messages (topic) or files (folder) a micro-batch takes")
         s.add_argument("--once", action="store_true", help="process what is there, then stop")
         if name == "consume":
             s.add_argument("--image-dir", required=True)
         else:
-            s.add_argument("--rejects", help="also keep undecodable messages in this table")
+            s.add_argument("--rejects", help="table of undecodable messages (default: <out>_rejects)")
     args = p.parse_args(argv)
 
     from .session import get_session
@@ -80,7 +82,8 @@ def main(argv=None) -> None:
         from .streaming.load import publish_historic
         publish_historic(spark, args.src, args.servers, args.checkpoint,
                          args.topic or HISTORIC_TOPIC, args.suffix,
-                         max_files_per_trigger=args.max_files_per_trigger)
+                         max_files_per_trigger=args.max_files_per_trigger,
+                         partitions=args.partitions)
     else:
         from .fixed import HISTORIC_TOPIC, LIVE_TOPIC
         from .plans.jobs import message_source

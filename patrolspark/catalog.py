@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.bands import period, season
-from .functions.codec import encode_violation
+from .functions.codec import encode_image, encode_standard, encode_violation
 from .functions.parse import compact_clock, field, split_fields, try_parse_ts
 from .operators.alerts import alerts
 from .operators.conform import conform, prepared, to_violation
@@ -202,8 +202,12 @@ def q_union_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- raw police lines --------------------------------------------------------
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .sources.raw import raw_records
-    return raw_records(raw_lines(spark, sf_dir))
+    """The raw lines through files, as a load reads them."""
+    from .session import scratch_path
+    from .sources.raw import raw_files
+    src = scratch_path(spark, "raw_src")
+    raw_lines(spark, sf_dir).write.text(src)
+    return raw_files(spark, src, suffix="txt")
 
 
 # The clock in the lines is the usual 12-hour one; the parsing rule adds 12
@@ -242,7 +246,9 @@ def q_compact_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("split_fields", """
 select event_id,
        case when event_id % 13 = 0 then 8 else 21 end as n_fields,
-       '"' || event_type || ', ' || cast(user_id as varchar) || '"' as field2,
+       case event_id % 19 when 1 then '"say ""' || event_type || '"", x"'
+            when 2 then 'AB"C,D"' || event_type when 3 then '"' || event_type || '\\"'
+            else '"' || event_type || ', ' || cast(user_id as varchar) || '"' end as field2,
        case when event_type = 'error' then ''
             when event_id % 17 = 0 then '"' || event_type || '"'
             else event_type end as field5
@@ -429,14 +435,8 @@ def q_latest_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- tables on disk and streams ------------------------------------------------
 
-def _as_files(df: DataFrame, spark: SparkSession) -> DataFrame:
-    """Spread a simulated source over as many files as there are cores."""
-    return df.repartition(spark.sparkContext.defaultParallelism)
-
-
 @register("csv_round_trip", """
-select event_id, (epoch_us(ts) // 1000) * 1000 as ts_us, user_id, event_type, value
-from events
+select event_id, epoch_us(ts) as ts_us, user_id, event_type, value, props from events
 """)
 def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import types as T
@@ -444,38 +444,143 @@ def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .session import scratch_path
     from .sources.tables import read_table, write_table
     path = scratch_path(spark, "csv_round_trip")
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type",
+                                               "value", "props")
     write_table(ev, path, "csv")  # headerless, append
     schema = T.StructType([T.StructField("event_id", T.LongType()),
                            T.StructField("ts", T.TimestampType()),
                            T.StructField("user_id", T.LongType()),
                            T.StructField("event_type", T.StringType()),
-                           T.StructField("value", T.DoubleType())])
+                           T.StructField("value", T.DoubleType()),
+                           T.StructField("props", T.StringType())])
     back = conform(read_table(spark, path, "csv"), schema)
     return back.select("event_id", F.unix_micros("ts").alias("ts_us"), "user_id",
-                       "event_type", "value")
+                       "event_type", "value", "props")
 
 
-@register("streaming_load_totals", """
-select count(*) as n_rows,
-       count(case when event_id % 13 <> 0 then 1 end) as n_dated,
-       count(nullif(event_type, 'error')) as n_codes
-from events
-""")
+def _loaded(v: DataFrame) -> DataFrame:
+    return v.select(_us(F.col("sending_date")).alias("sending_date_us"), "violation_code")
+
+
+_RULE_US = f"epoch_us(date_trunc('day', ts) + to_hours({_RULE_HOUR}) + to_minutes(minute(ts)))"
+_LOADED_SQL = f"""
+select cast(case when event_id % 13 = 0 then null else {_RULE_US} end as double) as sending_date_us,
+       nullif(event_type, 'error') as violation_code
+from events"""
+
+
+@register("streaming_load_totals", _LOADED_SQL)
 def q_streaming_load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row a load leaves in the lake."""
+    from .plans.jobs import read_lake
     from .session import scratch_path
-    from .sources.tables import read_table
     from .streaming.load import load_historic
     src, lake, ckpt = (scratch_path(spark, n) for n in ("raw_src", "lake", "lake_ckpt"))
-    # Stand-in for a drop of police files: one file per core (the driver's
-    # tables are single row groups, which would make one file and one task).
-    # Spark's text writer names parts *.txt.
-    _as_files(raw_lines(spark, sf_dir), spark).write.text(src)
+    raw_lines(spark, sf_dir).write.text(src)  # Spark's text writer names parts *.txt
     load_historic(spark, src, lake, ckpt, suffix="txt")
-    v = read_table(spark, lake, "parquet")
-    return v.agg(F.count(F.lit(1)).alias("n_rows"),
-                 F.count("sending_date").alias("n_dated"),
-                 F.count("violation_code").alias("n_codes"))
+    return _loaded(read_lake(spark, lake))
+
+
+@register("lake_two_loads", f"""
+{_LOADED_SQL} union all {_LOADED_SQL}
+union all select epoch_us(ts), nullif(event_type, 'error') from events
+union all select cast((epoch_us(ts) // 1000) * 1000 as double), nullif(event_type, 'error')
+from events where event_id % 20 = 0 and {_OK}
+""")
+def q_lake_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads with checkpoints of their own, a plain append and a saver share one lake."""
+    from .plans.jobs import read_lake
+    from .schemas import KEYED
+    from .session import scratch_path
+    from .sources.tables import write_table
+    from .streaming.load import load_historic, save_violations
+    lake, topic = scratch_path(spark, "lake"), scratch_path(spark, "topic")
+    for _ in range(2):
+        src, ckpt = scratch_path(spark, "raw_src"), scratch_path(spark, "lake_ckpt")
+        raw_lines(spark, sf_dir).write.text(src)
+        load_historic(spark, src, lake, ckpt, suffix="txt")
+        load_historic(spark, src, lake, ckpt, suffix="txt")  # a rerun adds nothing
+    write_table(conform(period_rows(spark, sf_dir).select(
+        F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lng"),
+        "sending_date", F.lit(None).cast("string").alias("drone_id"), "violation_code")), lake)
+    route(keyed_messages(spark, sf_dir))["violation"].write.json(topic)
+    save_violations(spark.readStream.schema(KEYED).json(topic), lake,
+                    scratch_path(spark, "save_ckpt"))
+    return _loaded(read_lake(spark, lake))
+
+
+@register("saved_rejects", f"""
+select case when event_id % 7 = 0 then 'bad type drone_id' else 'not a JSON object' end as reason,
+       event_id as "offset"
+from events where event_id % 20 = 0 and not ({_OK})
+""")
+def q_saved_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a saver could not decode, in the table it always keeps."""
+    from .schemas import KEYED
+    from .session import scratch_path
+    from .streaming.load import save_violations
+    topic, lake = scratch_path(spark, "topic"), scratch_path(spark, "lake")
+    route(keyed_messages(spark, sf_dir))["violation"].write.json(topic)
+    save_violations(spark.readStream.schema(KEYED).json(topic), lake,
+                    scratch_path(spark, "save_ckpt"))
+    return spark.read.parquet(f"{lake}_rejects").select("reason", "offset")
+
+
+@register("publish_round_trip", """
+select value as lat, (0.0 - value) as lng, (epoch_us(ts) // 1000) * 1000 as sending_date_us,
+       cast(user_id as varchar) as drone_id, nullif(event_type, 'error') as violation_code,
+       cast(event_id as varchar) as image_id
+from events
+""")
+def q_publish_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violations → published messages → decoded again; no message is rejected."""
+    from .fixed import VIOLATION_KEY
+    from .sources.kafka import keyed_payload
+    ev = table(spark, sf_dir, "events")
+    rows = ev.select(F.col("value").alias("lat"), (-F.col("value")).alias("lng"),
+                     F.col("ts").cast("timestamp").alias("sending_date"),
+                     F.col("user_id").cast("string").alias("drone_id"),
+                     F.nullif("event_type", F.lit("error")).alias("violation_code"),
+                     F.col("event_id").cast("string").alias("image_id"))
+    good, bad = decode_violation(keyed_payload(rows, VIOLATION_KEY, partitions=8))
+    lost = bad.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in good.schema.fields])
+    return good.unionAll(lost).select(
+        "lat", "lng", F.unix_micros("sending_date").alias("sending_date_us"), "drone_id",
+        "violation_code", "image_id")
+
+
+@register("encode_standard", f"""
+select event_id as "offset",
+       '{{"lat":' || cast(value as varchar) || ',"lng":' || cast({_NEG} as varchar)
+       || ',"sending_date":' || cast(epoch_us(ts) // 1000 as varchar)
+       || ',"drone_id":"' || cast(user_id as varchar) || '"}}' as value
+from events where event_id % 20 >= 4 and {_OK}
+""")
+def q_encode_standard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = decode_standard(route(keyed_messages(spark, sf_dir))["standard"], keep=("offset",))
+    return good.select("offset", encode_standard().alias("value"))
+
+
+@register("encode_image", f"""
+select event_id as "offset",
+       '{{"image_id":"' || cast(user_id as varchar) || '","content":' || to_json(props) || '}}' as value
+from events where event_id % 20 = 1 and {_OK}
+""")
+def q_encode_image(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = decode_image(route(keyed_messages(spark, sf_dir))["image"], keep=("offset",))
+    return good.select("offset", encode_image().alias("value"))
+
+
+def _consumed(spark: SparkSession, sf_dir: str) -> str:
+    """The messages through the consumer, from files; the folder it wrote."""
+    from .schemas import KEYED
+    from .session import scratch_path
+    from .streaming.consume import consume_messages
+    src, out, ckpt = (scratch_path(spark, n) for n in ("msg_src", "msg_out", "msg_ckpt"))
+    keyed_messages(spark, sf_dir).write.json(src)
+    consume_messages(spark.readStream.schema(KEYED).json(src), out, ckpt, IMAGE_DIR,
+                     available_now=True)
+    return out
 
 
 @register("stream_route_counts", f"""
@@ -486,44 +591,129 @@ union all select 'images', count(*) from events where event_id % 20 = 1 and {_OK
 union all select 'rejects', count(*) from events where event_id % 20 in (2, 3) or not ({_OK})
 """)
 def q_stream_route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .schemas import KEYED
-    from .session import scratch_path
-    from .streaming.consume import TABLES, consume_messages, read_output
-    src, out, ckpt = (scratch_path(spark, n) for n in ("msg_src", "msg_out", "msg_ckpt"))
-    # Stand-in for a topic with one partition per core.
-    _as_files(keyed_messages(spark, sf_dir), spark).write.json(src)
-    stream = spark.readStream.schema(KEYED).json(src)
-    consume_messages(stream, out, ckpt, IMAGE_DIR, available_now=True)
+    from .streaming.consume import TABLES, read_output
+    out = _consumed(spark, sf_dir)
     parts = [read_output(spark, out, t).agg(F.count(F.lit(1)).alias("n"))
              .select(F.lit(t).alias("table"), "n") for t in TABLES]
-    out_df = parts[0]
-    for p in parts[1:]:
-        out_df = out_df.unionByName(p)
-    return out_df
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
-@register("historic_topic_totals", """
-select count(*) as n_rows,
-       count(case when event_id % 13 <> 0 then 1 end) as n_dated,
-       count(nullif(event_type, 'error')) as n_codes
-from events
+@register("stream_standard", f"""
+select value as lat, {_NEG} as lng, (epoch_us(ts) // 1000) * 1000 as sending_date_us,
+       cast(user_id as varchar) as drone_id
+from events where event_id % 20 >= 4 and {_OK}
+""")
+def q_stream_standard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .streaming.consume import read_output
+    return read_output(spark, _consumed(spark, sf_dir), "standard").select(
+        "lat", "lng", F.unix_micros("sending_date").alias("sending_date_us"), "drone_id")
+
+
+@register("stream_violation", f"select {_VIOLATION_ROW} from events where event_id % 20 = 0 and {_OK}")
+def q_stream_violation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .streaming.consume import read_output
+    return read_output(spark, _consumed(spark, sf_dir), "violation").select(
+        "lat", "lng", F.unix_micros("sending_date").alias("sending_date_us"), "drone_id",
+        "violation_code", "image_id")
+
+
+@register("stream_images", f"""
+select image_id, content from (
+  select cast(user_id as varchar) as image_id, props as content,
+         row_number() over (partition by user_id order by event_id desc) as k
+  from events where event_id % 20 = 1 and {_OK}) t
+where k = 1
+""")
+def q_stream_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The image store after the consumer, read back after a compaction."""
+    from .streaming.consume import compact_output, image_store
+    out = _consumed(spark, sf_dir)
+    run = spark.read.parquet(f"{out}/messages").agg(F.max("run_id"), F.max("batch_id")).first()
+    compact_output(spark, out, run[0], run[1])
+    return image_store(spark, out)
+
+
+@register("stream_alerts", f"""
+select body from ({ORACLE_SQL["alert_text"]}) t
 """)
+def q_stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .streaming.consume import read_output
+    return read_output(spark, _consumed(spark, sf_dir), "alerts").select("body")
+
+
+@register("stream_rejects", ORACLE_SQL["reject_records"])
+def q_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .streaming.consume import read_output
+    return read_output(spark, _consumed(spark, sf_dir), "rejects").select("reason", "key", "offset")
+
+
+@register("historic_topic_totals", _LOADED_SQL)
 def q_historic_topic_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Police lines → keyed JSON on a "topic" (JSON files here) → saver → lake."""
+    from .plans.jobs import read_lake
     from .session import scratch_path
-    from .sources.tables import read_table
     from .streaming.load import historic_messages, save_violations
     src, topic, lake, ck1, ck2 = (scratch_path(spark, n) for n in
                                   ("raw_src", "topic", "lake", "pub_ckpt", "save_ckpt"))
-    _as_files(raw_lines(spark, sf_dir), spark).write.text(src)
+    raw_lines(spark, sf_dir).write.text(src)
     q = (historic_messages(spark, src, suffix="txt").writeStream.format("json")
          .option("checkpointLocation", ck1).trigger(availableNow=True).start(topic))
     q.awaitTermination()
     save_violations(spark.readStream.schema("key string, value string").json(topic), lake, ck2)
-    v = read_table(spark, lake, "parquet")
-    return v.agg(F.count(F.lit(1)).alias("n_rows"),
-                 F.count("sending_date").alias("n_dated"),
-                 F.count("violation_code").alias("n_codes"))
+    return _loaded(read_lake(spark, lake))
+
+
+@register("cached_counts", f"""
+with v as ({V_SEASONS})
+select 'rows' as what, count(*) as n from v where sending_date is not null
+union all select 'codes', count(distinct violation_code) from v where sending_date is not null
+""")
+def q_cached_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two answers from one cached aggregate, which is then released."""
+    from .operators.cache import cached
+    with cached(count_by(prepared(season_rows(spark, sf_dir)), "violation_code")) as counts:
+        rows = counts.agg(F.sum("number_of_violations").alias("n")).first()[0]
+        codes = counts.where("violation_code is not null").count()
+    return spark.createDataFrame([("rows", rows), ("codes", codes)], "what string, n long")
+
+
+@register("analyse_lake", f"""
+with v as ({V_SEASONS} union all {V_PERIODS}),
+d as (select {se('sending_date')} as season, {pe('sending_date')} as period, violation_code
+      from v where sending_date is not null),
+s as (select season, count(violation_code) as n from d where season in ('winter', 'summer')
+      group by season),
+c as (select violation_code, count(violation_code) as n from d group by 1),
+p as (select period, count(violation_code) as n from d group by 1),
+t as (select season, violation_code, count(violation_code) as n from d group by 1, 2),
+r as (select *, {pct('n', 'partition by season')} as percent, row_number() over (
+        partition by season order by n desc, violation_code asc nulls first) as k from t)
+select 'season_share' as answer, season as label, n as number_of_violations,
+       {pct('n')} as percent from s
+union all select * from (select 'top5_codes', violation_code, n, {pct('n')} from c
+                         order by n desc, violation_code asc nulls first limit 5)
+union all select 'period_share', period, n, {pct('n')} from p
+union all select 'top_code_per_season', season || ' ' || violation_code, n, percent from r where k = 1
+""")
+def q_analyse_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The end-to-end job: a lake on disk → four answer files → read back."""
+    from .plans.jobs import analyse_lake
+    from .session import scratch_path
+    from .sources.tables import read_table, write_table
+    lake, out = scratch_path(spark, "lake"), scratch_path(spark, "answers")
+    rows = all_rows(spark, sf_dir)
+    write_table(rows.select(F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lng"),
+                            "sending_date", F.lit(None).cast("string").alias("drone_id"),
+                            "violation_code", F.lit(None).cast("string").alias("image_id")), lake)
+    analyse_lake(spark, lake, out)
+    parts = []
+    for name, label in (("season_share", "a"), ("top5_codes", "a"), ("period_share", "a"),
+                        ("top_code_per_season", "concat(a, ' ', b)")):
+        wide = name == "top_code_per_season"
+        schema = f"a string, {'b string, ' if wide else ''}n long, percent double"
+        parts.append(read_table(spark, f"{out}/{name}", "csv", schema=schema).selectExpr(
+            f"'{name}' as answer", f"{label} as label", "n as number_of_violations", "percent"))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 # -- the four answers through the cube (Q5), over lineitem and events together --
@@ -586,18 +776,10 @@ select 'period', period, count(*) from (select {pe('ts')} as period from events)
 group by period
 """)
 def q_band_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of each season and each period through ``in_season`` / ``in_period``
-    (events: January only, so three seasons give no row)."""
-    from .functions.bands import PERIODS, SEASONS
-    from .operators.bands import in_period, in_season
+    """Rows of each season and each period, labelled once (``in_season`` and
+    ``in_period`` filter on the same labels; events are January only)."""
     ev = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"))
-    parts = [in_season(ev, s, "ts", tag=None).groupBy().count()
-             .select(F.lit("season").alias("band"), F.lit(s).alias("name"),
-                     F.col("count").alias("n_rows")) for s in SEASONS]
-    parts += [in_period(ev, p, "ts", tag=None).groupBy().count()
-              .select(F.lit("period").alias("band"), F.lit(p).alias("name"),
-                      F.col("count").alias("n_rows")) for p in PERIODS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.where(F.col("n_rows") > 0)
+    bands = F.explode(F.array(F.struct(F.lit("season").alias("band"), season("ts").alias("name")),
+                              F.struct(F.lit("period").alias("band"), period("ts").alias("name"))))
+    return (ev.select(bands.alias("b")).groupBy("b.band", "b.name")
+            .agg(F.count(F.lit(1)).alias("n_rows")))

@@ -3,21 +3,12 @@
 The four season bands tile the year and the two periods tile the day, so one
 label column replaces a filter per band.  Comparisons are done on integers
 (``month*100 + day``, ``hour*60 + minute``) rather than formatted strings.
-
-Speed: Spark's ``month``/``dayofmonth``/``hour``/``minute`` each convert the
-timestamp through ``java.time`` with a zone lookup, several hundred
-nanoseconds per row, which dominates a scan-and-count job.  When the session
-zone is UTC (the package pins it) the same fields come from integer
-arithmetic on epoch microseconds: day number and minute of day by exact
-integer division, day of the year, month and day by Neri and Schneider's
-proleptic-Gregorian formulas.  The result is identical to the built-ins
-(checked from 1600 to 2400 in the tests) and several times cheaper.  Other
-session zones fall back to the built-ins.
+The fields are the built-in calendar functions, in the session time zone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..fixed import (AUTUMN_START, DAY_START_HHMM, NIGHT_START_HHMM, PERIOD_NAMES,
@@ -30,62 +21,15 @@ PERIODS = PERIOD_NAMES
 NIGHT_START = (NIGHT_START_HHMM // 100) * 60 + NIGHT_START_HHMM % 100
 DAY_START = (DAY_START_HHMM // 100) * 60 + DAY_START_HHMM % 100
 
-MICROS_PER_DAY = 86_400_000_000
-MICROS_PER_MINUTE = 60_000_000
-_UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "UCT", "Z", "+00:00", "Zulu"}
-
-
-def _utc_session() -> bool:
-    s = SparkSession.getActiveSession()
-    return s is not None and s.conf.get("spark.sql.session.timeZone") in _UTC_NAMES
-
-
-def _div(a: Column, b: int) -> Column:
-    """Exact integer division (SQL ``div``), rounding toward zero."""
-    return F.call_function("div", a, F.lit(b))
-
-
-def _micros(c) -> Column:
-    return F.unix_micros(as_col(c).cast("timestamp"))
-
-
-def _march_day(c) -> Column:
-    """Day of the March-based year (0 = 1 March, 365 = 29 February), UTC.
-
-    Neri & Schneider's calendar arithmetic (Euclidean affine functions):
-    every intermediate value is used once, so the expression stays a short
-    chain instead of a tree that repeats sub-terms.
-    """
-    us = _micros(c)
-    # days since 0000-03-01
-    n = _div(us - F.pmod(us, F.lit(MICROS_PER_DAY)), MICROS_PER_DAY) + 719468
-    n_c = _div(F.pmod(n * 4 + 3, F.lit(146097)), 4)            # day of the century
-    p2 = (n_c * 4 + 3) * 2939745
-    return _div(_div(F.pmod(p2, F.lit(1 << 32)), 2939745), 4)  # day of the year
-
-
-def _march_based(mmdd: int) -> int:
-    """``MMdd`` → day of the March-based year (rule, not a table)."""
-    month, day = divmod(mmdd, 100)
-    lengths = [31, 30, 31, 30, 31, 31, 30, 31, 30, 31, 31, 29]   # March … February
-    return sum(lengths[:(month - 3) % 12]) + day - 1
-
 
 def month_day(c) -> Column:
     """``month*100 + day`` of a timestamp in the session zone."""
-    if _utc_session():
-        n3 = _march_day(c) * 2141 + 197913
-        m = _div(n3, 1 << 16)                                  # 3 … 14
-        d = _div(F.pmod(n3, F.lit(1 << 16)), 2141) + 1
-        return F.when(m > 12, m - 12).otherwise(m) * 100 + d
     c = as_col(c)
     return F.month(c) * 100 + F.dayofmonth(c)
 
 
 def minute_of_day(c) -> Column:
     """``hour*60 + minute`` of a timestamp in the session zone."""
-    if _utc_session():
-        return _div(F.pmod(_micros(c), F.lit(MICROS_PER_DAY)), MICROS_PER_MINUTE)
     c = as_col(c)
     return F.hour(c) * 60 + F.minute(c)
 
@@ -94,20 +38,11 @@ def season_index(c) -> Column:
     """Season of a timestamp as 0 winter, 1 spring, 2 summer, 3 autumn; null
     for a null timestamp.  Grouping on this small integer is cheaper than on
     the name; ``season_name`` turns it into the name after aggregation."""
-    if _utc_session():
-        # Bands as days of the March-based year: no leap-year case, because
-        # 29 February is its last day and falls inside winter.
-        x = _march_day(c)
-        spring, summer, autumn, winter = (_march_based(b) for b in
-                                          (SPRING_START, SUMMER_START, AUTUMN_START,
-                                           WINTER_START))
-    else:
-        x = month_day(c)
-        spring, summer, autumn, winter = SPRING_START, SUMMER_START, AUTUMN_START, WINTER_START
+    x = month_day(c)
     return (F.when(as_col(c).isNull(), F.lit(None).cast("int"))
-            .when((x >= winter) | (x < spring), F.lit(SEASONS.index("winter")))
-            .when(x < summer, F.lit(SEASONS.index("spring")))
-            .when(x < autumn, F.lit(SEASONS.index("summer")))
+            .when((x >= WINTER_START) | (x < SPRING_START), F.lit(SEASONS.index("winter")))
+            .when(x < SUMMER_START, F.lit(SEASONS.index("spring")))
+            .when(x < AUTUMN_START, F.lit(SEASONS.index("summer")))
             .otherwise(F.lit(SEASONS.index("autumn"))))
 
 

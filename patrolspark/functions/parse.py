@@ -12,13 +12,7 @@ from pyspark.sql import functions as F
 
 from ..util import as_col
 
-from ..fixed import (AFTERNOON_MARK, ALERT_DATE_FORMAT, DATE_SEPARATOR, LINE_SPLIT_REGEX,
-                     MORNING_MARK)
-
-# Date parts longer than this are refused (the result would leave the
-# timestamp range long before the digits run out).
-_MAX_PART_DIGITS = 7
-
+from ..fixed import AFTERNOON_MARK, ALERT_DATE_FORMAT, DATE_SEPARATOR, MORNING_MARK
 
 # Markers for the linear split below: any \x01 in the text is escaped as
 # \x01\x02 first, so the separator mark \x01\x03 cannot occur in the data.
@@ -28,14 +22,13 @@ _ESC, _SEP = "\u0001\u0002", "\u0001\u0003"
 def split_fields(line) -> Column:
     """Quote-aware split of one CSV line held in a string column: a comma
     followed by an even number of double quotes up to the end of the line is
-    a separator (``LINE_SPLIT_REGEX``).  Keeps quote marks and empty fields.
+    a separator (``fixed.LINE_SPLIT_REGEX``).  Keeps quote marks and empty fields.
 
     Evaluated in linear time, not with the look-ahead regex (which re-scans
     the rest of the line at every comma and, on a long line with many quotes,
     overflows the regex engine's stack): counting the pieces between quotes
     from the end, every comma of piece j (0 = last) has exactly j quotes
-    after it, so the commas of the even pieces are the separators.  For whole files prefer the
-    CSV reader (``sources.raw.raw_files``) or ``from_csv``, which strip quotes.
+    after it, so the commas of the even pieces are the separators.
     """
     c = F.regexp_replace(as_col(line), "\u0001", _ESC)
     from_end = F.reverse(F.split(c, '"', -1))
@@ -55,11 +48,11 @@ def us_date_parts(date) -> Column:
 
     Null unless the text starts with three all-digit parts separated by
     ``/`` (more parts may follow and are ignored).  One anchored regular
-    expression checks all three parts, then ``split`` cuts them.
+    expression checks all three parts, then ``split`` cuts them; a number
+    beyond an int is a null part.
     """
     c = as_col(date)
-    n = _MAX_PART_DIGITS
-    ok = c.rlike(f"^[0-9]{{1,{n}}}/[0-9]{{1,{n}}}/[0-9]{{1,4}}(/|$)")
+    ok = c.rlike("^[0-9]+/[0-9]+/[0-9]+(/|$)")
     parts = F.split(c, DATE_SEPARATOR, -1)
     return F.when(ok, F.struct(F.get(parts, 0).try_cast("int").alias("month"),
                                F.get(parts, 1).try_cast("int").alias("day"),
@@ -95,66 +88,20 @@ def violation_ts(date, clock, noon: str = "reference") -> Column:
     Month 13 is January of the next year, day 0 the last day of the month
     before, hour 25 one o'clock the next day.  The value is the first day of
     the normalised month plus (day − 1) days, the hours and the minutes, in
-    the session time zone.  Results outside years 1..9999 are null.
-
-    In a UTC session this is integer arithmetic on epoch microseconds (the
-    day number of the month's first day by Neri and Schneider's formula);
-    other zones add calendar intervals, which respects their clock changes.
+    the session time zone.  A month or a result outside years 1..9999, which
+    not every reader can hold, gives null.
     """
-    from .bands import _utc_session
-    if _utc_session():
-        return _violation_ts_arith(date, clock, noon)
-    return _violation_ts_intervals(date, clock, noon)
-
-
-def _parts(date, clock, noon):
     dp = us_date_parts(date)
     ck = compact_clock(clock, noon)
     months = dp["year"].cast("long") * 12 + (dp["month"].cast("long") - 1)
-    ok = ck.isNotNull() & (months >= 12) & (months < 10000 * 12)
-    return dp, ck, months, ok
-
-
-def _violation_ts_arith(date, clock, noon: str = "reference") -> Column:
-    dp, ck, months, ok = _parts(date, clock, noon)
-    first = _days_from_months(months)
-    micros = ((first + dp["day"] - 1) * 86_400_000_000
-              + ck["hour"].cast("long") * 3_600_000_000
-              + ck["minute"].cast("long") * 60_000_000)
-    # Keep within years 1..9999 so every consumer (Parquet, Arrow, Python)
-    # can hold the value; farther roll-overs give null.
-    return F.when(ok & (micros < _MICROS_YEAR_10000), F.timestamp_micros(micros))
-
-
-def _violation_ts_intervals(date, clock, noon: str = "reference") -> Column:
-    dp, ck, months, ok = _parts(date, clock, noon)
-    year = F.floor(months / 12).cast("int")
+    year = F.floor(months / 12).try_cast("int")
     month = (F.pmod(months, F.lit(12)) + 1).cast("int")
-    base = F.try_make_timestamp(year, month, F.lit(1), F.lit(0), F.lit(0), F.lit(0))
-    shift = F.try_make_interval(F.lit(0), F.lit(0), F.lit(0), dp["day"] - 1,
-                                ck["hour"], ck["minute"], F.lit(0))
-    ts = F.try_add(base, shift)
-    return F.when(ok & (F.year(ts) <= 9999), ts)
-
-
-# 10000-01-01T00:00:00Z in epoch microseconds.
-_MICROS_YEAR_10000 = 253_402_300_800_000_000
-
-
-def _days_from_months(months: Column) -> Column:
-    """Days since 1970-01-01 of the first day of month number ``months``
-    (= year × 12 + month − 1, non-negative), proleptic Gregorian.
-
-    Counts years from March so the leap day is the last day of a year.
-    """
-    from .bands import _div
-    shifted = months - 2                      # March-based month number
-    y = _div(shifted, 12)                     # March-based year
-    m = F.pmod(shifted, F.lit(12))            # 0 = March … 11 = February
-    c = _div(y, 100)
-    year_days = _div(y * 1461, 4) - c + _div(c, 4)
-    month_days = _div(m * 979 + 18, 32)       # days from 1 March to the month's first day
-    return year_days + month_days - 719468
+    first = F.try_make_timestamp(year, month, F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    shift = F.try_make_interval(F.lit(0), F.lit(0), F.lit(0), dp["day"] - 1, ck["hour"],
+                                ck["minute"], F.lit(0))
+    ts = F.try_add(first, shift)
+    inside = months.between(12, 119_999) & F.year(ts).between(1, 9999)
+    return F.when(ck.isNotNull() & inside, ts)
 
 
 def try_parse_ts(c, pattern: str) -> Column:
@@ -168,14 +115,3 @@ ISO_SECONDS = ALERT_DATE_FORMAT
 def iso_seconds(c) -> Column:
     """Timestamp → ``yyyy-MM-dd'T'HH:mm:ss`` text."""
     return F.date_format(as_col(c), ISO_SECONDS)
-
-
-def millis_to_ts(c) -> Column:
-    """Epoch milliseconds → timestamp; null when out of the timestamp range."""
-    ms = as_col(c)
-    limit = (2**63 - 1) // 1000
-    return F.when((ms >= -limit) & (ms <= limit), F.timestamp_millis(ms))
-
-
-def ts_to_millis(c) -> Column:
-    return F.unix_millis(as_col(c))

@@ -87,7 +87,8 @@ def keyed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- raw police lines ------------------------------------------------------
 # 21 comma-separated fields per event: date MM/dd/yyyy at 4, code at 5 (empty
 # for ``error``, quoted on every 17th), the 12-hour clock hhmmA/hhmmP at 19,
-# a quoted field holding a comma at 2.  Every 13th line has 8 fields only.
+# a quoted field holding a comma at 2 (on some rows doubled quotes, quotes inside the
+# field, or a backslash before its last quote).  Every 13th line has 8 fields only.
 
 def raw_line_parts() -> list:
     eid = F.col("event_id")
@@ -100,9 +101,13 @@ def raw_line_parts() -> list:
     code = F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.col("event_type"))
     code = F.when((eid % 17 == 0) & (code != ""), F.concat(F.lit('"'), code, F.lit('"'))) \
         .otherwise(code)
-    fields = [eid.cast("string"), F.col("user_id").cast("string"),
-              F.concat(F.lit('"'), F.col("event_type"), F.lit(", "),
-                       F.col("user_id").cast("string"), F.lit('"')),
+    kind = F.col("event_type")
+    quoted = (F.when(eid % 19 == 1, F.concat(F.lit('"say ""'), kind, F.lit('"", x"')))
+              .when(eid % 19 == 2, F.concat(F.lit('AB"C,D"'), kind))
+              .when(eid % 19 == 3, F.concat(F.lit('"'), kind, F.lit('\\"')))
+              .otherwise(F.concat(F.lit('"'), kind, F.lit(", "),
+                                  F.col("user_id").cast("string"), F.lit('"'))))
+    fields = [eid.cast("string"), F.col("user_id").cast("string"), quoted,
               F.lit("NY"), F.date_format(ts, "MM/dd/yyyy"), code,
               F.col("value").cast("string"), F.lit("")]
     fields += [F.lit(f"f{i}") for i in range(8, 19)]

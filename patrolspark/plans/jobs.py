@@ -27,10 +27,15 @@ def result_order(key: str) -> list:
 
 
 def read_lake(spark: SparkSession, lake_path: str, fmt: str = "parquet") -> DataFrame:
-    """The lake as VIOLATION rows.  A CSV lake is untyped and headerless, so
-    it is conformed by position; a Parquet lake is already typed."""
-    df = read_table(spark, lake_path, fmt)
-    return conform(df, VIOLATION) if fmt == "csv" else df
+    """The lake as VIOLATION rows: every file in the folder, whether a batch
+    wrote it or a plain append.  A CSV lake is untyped and headerless, so it
+    is read as text columns and conformed by position; other formats are
+    already typed."""
+    files = {"recursiveFileLookup": "true"}
+    if fmt != "csv":
+        return read_table(spark, lake_path, fmt, files, VIOLATION)
+    text = ", ".join(f"_c{i} string" for i in range(len(VIOLATION.fields)))
+    return conform(read_table(spark, lake_path, fmt, files, text), VIOLATION)
 
 
 def migrate_lake(spark: SparkSession, csv_lake: str, parquet_lake: str,

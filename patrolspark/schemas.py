@@ -44,19 +44,3 @@ KEYED = T.StructType([
     T.StructField("partition", T.IntegerType(), True),
     T.StructField("offset", T.LongType(), True),
 ])
-
-ALERT = T.StructType([
-    T.StructField("subject", T.StringType(), False),
-    T.StructField("body", T.StringType(), False),
-])
-
-REJECT = T.StructType([
-    T.StructField("reason", T.StringType(), False),
-    T.StructField("key", T.StringType(), True),
-    T.StructField("value", T.StringType(), True),
-])
-
-
-def ddl(schema: T.StructType) -> str:
-    """DDL string of a schema, e.g. for ``from_csv``."""
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -7,6 +7,7 @@ no fixed partition counts anywhere in the library.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -53,11 +54,14 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is a shared file system path set by the operator.  Only
-    when nothing is set (local tests) do we make one of our own.
+    a local master without one gets a temporary folder; elsewhere that is an
+    error, because executors would each write to their own disk.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="patrolspark-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
@@ -70,9 +74,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/patrolspark/{name}-{uuid.uuid4().hex}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file access in tests."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["get_session", "pin", "shared_dir", "scratch_path", "local_path", "DEFAULT_CONF"]
+__all__ = ["get_session", "pin", "shared_dir", "scratch_path", "DEFAULT_CONF"]

@@ -7,49 +7,56 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fixed import RAW_SUFFIX
-from ..schemas import RAW, ddl
-from ..util import as_col
-
-
+from ..functions.parse import field, split_fields
+from ..schemas import RAW
 
 # A streaming file source ignores a new file whose modification time is more
 # than ``maxFileAge`` older than the newest file seen (default 7 days).
 # Historic files are often copied with their original times, so the age
 # limit is effectively lifted; the price is that the source remembers every
-# file name it has seen (fine for thousands to millions of files).
+# file name it has seen.  ``archive_dir`` bounds that: finished files move
+# there, and the source forgets them.
 HISTORIC_MAX_FILE_AGE = "36500d"
 
 
 def raw_files(spark: SparkSession, directory: str, suffix: str = RAW_SUFFIX,
               streaming: bool = False, schema: T.StructType = RAW,
               max_files_per_trigger: int | None = None,
-              max_file_age: str = HISTORIC_MAX_FILE_AGE) -> DataFrame:
+              max_file_age: str = HISTORIC_MAX_FILE_AGE,
+              archive_dir: str | None = None) -> DataFrame:
     """Plain ``*.<suffix>`` files of one directory (no recursion) as RAW rows.
 
-    The header line is data (its date fails to parse and the record is
-    dropped later as undated).  An explicit all-string schema: no inference
-    pass, short lines give null fields, long lines are cut.  The CSV reader
-    splits files into blocks, so one huge file still spreads over many tasks.
+    Files are read as lines and split by the same rule as single lines
+    (``split_fields``), so a doubled quote, a quote inside a field or a
+    backslash before one never shifts the fields after it.  The header line
+    is data (its date fails to parse and the record is dropped later as
+    undated); short lines give null fields, long lines are cut.  The text
+    reader splits files into blocks, so one huge file still spreads over many
+    tasks.
     """
     reader = spark.readStream if streaming else spark.read
-    reader = (reader.schema(schema)
-              .option("header", "false")
-              .option("mode", "PERMISSIVE")
+    reader = (reader.format("text")
               .option("pathGlobFilter", f"*.{suffix}")
               .option("recursiveFileLookup", "false"))
     if streaming:
         reader = reader.option("maxFileAge", max_file_age)
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.csv(directory)
+        if archive_dir:
+            reader = (reader.option("cleanSource", "archive")
+                      .option("sourceArchiveDir", archive_dir))
+    return raw_records(reader.load(directory), "value", schema)
 
 
-def parse_lines(line, schema: T.StructType = RAW) -> Column:
-    """One CSV line in a string column → struct of RAW fields (``from_csv``)."""
-    return F.from_csv(as_col(line), ddl(schema), {"mode": "PERMISSIVE"})
+def unquoted(c: Column) -> Column:
+    """A field without its outer pair of quotes, if it has one."""
+    quoted = (F.length(c) >= 2) & c.startswith('"') & c.endswith('"')
+    return F.when(quoted, F.substring(c, F.lit(2), F.length(c) - 2)).otherwise(c)
 
 
 def raw_records(lines: DataFrame, line_col: str = "line",
                 schema: T.StructType = RAW) -> DataFrame:
-    """A frame of text lines → RAW rows, same rules as ``raw_files``."""
-    return lines.select(parse_lines(line_col, schema).alias("__r")).select("__r.*")
+    """A frame of text lines → RAW rows; ``raw_files`` uses the same rule."""
+    parts = lines.select(split_fields(F.col(line_col)).alias("__parts"))
+    return parts.select(*[unquoted(field("__parts", i)).alias(f.name)
+                          for i, f in enumerate(schema.fields)])

@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+# Spark's CSV writer cuts microseconds to milliseconds by default.
+CSV_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+             "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
                options: dict[str, str] | None = None,
                schema: T.StructType | str | None = None) -> DataFrame:
@@ -22,8 +27,12 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append",
                 options: dict[str, str] | None = None,
                 partition_by: list[str] | None = None) -> None:
-    """Write a table; append by default (the lake only grows)."""
+    """Write a table; append by default (the lake only grows).
+
+    CSV keeps microseconds (``CSV_TIMES``) unless ``options`` say otherwise.
+    """
     w = df.write.format(fmt).mode(mode)
+    options = {**(CSV_TIMES if fmt == "csv" else {}), **(options or {})}
     if options:
         w = w.options(**options)
     if partition_by:

@@ -1,95 +1,96 @@
 """Live messages: one standing query that routes, decodes and stores.
 
-Each micro-batch is split by key and written to five tables under
-``out_dir``: ``standard``, ``violation``, ``images``, ``alerts`` and
-``rejects`` (failed decodes and unknown keys).
-
-Exactly-once across several tables: ``foreachBatch`` may replay a batch after
-a failure, so every table is partitioned by ``run_id`` and ``batch_id`` and
-written with dynamic partition overwrite.  A replay rewrites the same
-partitions with the same rows.  ``run_id`` is kept inside the checkpoint, so
-a fresh checkpoint (whose batch ids start again at 0) never overwrites the
-rows of an earlier run.
+A micro-batch is decoded once and written once, to ``<out_dir>/messages``,
+partitioned by run, batch and ``kind`` (``standard``, ``violation``,
+``image``, ``rejects``).  The five tables are views of it: a read prunes to
+the kind's folders, and alerts are a projection of the violations.
+
+Exactly-once: ``foreachBatch`` may replay a batch after a failure, so the
+write overwrites exactly its own ``run_id, batch_id`` partitions.  The run id
+is kept inside the checkpoint, so a fresh checkpoint (whose batch ids start
+again at 0) never overwrites the rows of an earlier run; it starts with its
+creation time, so runs have an order too.
+
+``compact_output`` rewrites a run's closed batches into one partition and
+keeps only the latest row of each image id, which bounds the number of folders
+and the history an image read goes through.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.alerts import alerts
+from ..functions.alerts import ALERT_SUBJECT, alert_body
 from ..operators.images import latest_images
 from ..operators.messages import decode_all
 from ..schemas import STANDARD, VIOLATION
-from .idempotent import run_id, write_batch_table
+from .idempotent import is_missing, refuse_sink_log, run_id, write_batch_table
 
 TABLES = ("standard", "violation", "images", "alerts", "rejects")
-
-
-# Stream-position columns carried into the image and reject tables when the
-# source has them (a Kafka source does; other sources should bring them, as
-# "latest image" needs an order).
+KINDS = {"standard": "standard", "violation": "violation", "images": "image",
+         "alerts": "violation", "rejects": "rejects"}
+# Stream position of a message; "latest image" needs it.
 POSITION = ("partition", "offset")
-
-
-def split_batch(decoded: DataFrame, image_dir: str) -> dict[str, DataFrame]:
-    """Decoded batch (``decode_all``) → the five output tables (lazy)."""
-    pos = [c for c in POSITION if c in decoded.columns]
-    ok = decoded.where(F.col("reason").isNull())
-    std = ok.where(F.col("route") == "standard").select(*[f.name for f in STANDARD.fields])
-    vio = ok.where(F.col("route") == "violation").select(*[f.name for f in VIOLATION.fields])
-    img = ok.where(F.col("route") == "image").select("image_id", "content", *pos)
-    bad = decoded.where(F.col("reason").isNotNull()).select("reason", "key", "value", *pos)
-    return {"standard": std, "violation": vio, "images": img,
-            "alerts": alerts(vio, image_dir), "rejects": bad}
+IMAGE_ORDER = ("run_id", "batch_id", *POSITION)
+_SCHEMA = T.StructType([
+    T.StructField("reason", T.StringType()), T.StructField("key", T.StringType()),
+    T.StructField("value", T.StringType()), T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()), *VIOLATION.fields,
+    T.StructField("content", T.StringType()), T.StructField("body", T.StringType()),
+    T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType()),
+    T.StructField("kind", T.StringType())])
+
+
+def decoded_batch(batch: DataFrame, image_dir: str) -> DataFrame:
+    """Decoded messages of a batch with their ``kind`` and alert text."""
+    missing = [c for c in POSITION if c not in batch.columns]
+    if missing:
+        raise ValueError(f"the stream needs {', '.join(missing)}: without a position the "
+                         "latest image of an id is undefined")
+    rows = decode_all(batch, keep=POSITION)
+    kind = F.when(F.col("reason").isNotNull(), "rejects").otherwise(F.col("route"))
+    body = F.when(kind == "violation", alert_body(image_dir))
+    return rows.withColumn("kind", kind).withColumn("body", body).drop("route")
 
 
 def write_batch(batch: DataFrame, out_dir: str, image_dir: str, rid: str, batch_id: int,
                 fmt: str = "parquet", on_alerts=None) -> None:
-    """Decode one batch once (persisted) and write the five tables.
+    """Decode one batch and store it with one write.
 
-    ``on_alerts(alerts_df, batch_id)``, when given, runs after the tables are
-    written (so a delivery failure never loses an alert): e.g.
+    ``on_alerts(alerts_df, batch_id)``, when given, runs after the batch is
+    stored, on the stored rows (so a delivery failure never loses an alert): e.g.
     ``lambda df, _: df.foreachPartition(send)`` delivers from the executors.
     A replayed batch calls it again; delivery must tolerate repeats.
     """
-    keep = tuple(c for c in POSITION if c in batch.columns)
-    decoded = decode_all(batch, keep=keep).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        decoded.count()  # decode the batch once, into the cache
-        tables = split_batch(decoded, image_dir)
-        # The five writes read the cached batch; submitted together they run
-        # as concurrent Spark jobs, so a batch costs about one write's latency
-        # instead of five.  Any failure is raised (the batch is then retried).
-        with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-            futures = [pool.submit(write_batch_table, df, f"{out_dir.rstrip('/')}/{name}",
-                                   rid, batch_id, fmt) for name, df in tables.items()]
-            for f in futures:
-                f.result()
-        if on_alerts is not None:
-            on_alerts(tables["alerts"], batch_id)
-    finally:
-        decoded.unpersist()
+    out = out_dir.rstrip("/")
+    write_batch_table(decoded_batch(batch, image_dir), f"{out}/messages", rid, batch_id, fmt,
+                      also_by=("kind",))
+    if on_alerts is not None:
+        rows = _stored(batch.sparkSession, f"{out}/messages", fmt)
+        rows = rows.where((F.col("run_id") == rid) & (F.col("batch_id") == batch_id))
+        on_alerts(_view(rows, "alerts"), batch_id)
 
 
 def consume_messages(stream: DataFrame, out_dir: str, checkpoint: str, image_dir: str,
                      fmt: str = "parquet", available_now: bool = False,
                      processing_time: str | None = "10 seconds",
                      wait: bool = False, on_alerts=None) -> StreamingQuery:
-    """Start the consumer.  ``stream`` has ``key, value`` (and, from a topic,
-    ``partition, offset``).  ``on_alerts``: see ``write_batch``."""
+    """Start the consumer.  ``stream`` has ``key, value, partition, offset``.
+
+    Batch size is set on the source (``maxOffsetsPerTrigger`` or
+    ``maxFilesPerTrigger``; the command line requires it): without it the
+    first batch is the whole backlog.  ``on_alerts``: see ``write_batch``.
+    """
     spark = stream.sparkSession
+    refuse_sink_log(spark, f"{out_dir.rstrip('/')}/messages")
     rid = run_id(spark, checkpoint)
-    out = out_dir.rstrip("/")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, out, image_dir, rid, batch_id, fmt, on_alerts)
+        write_batch(batch, out_dir, image_dir, rid, batch_id, fmt, on_alerts)
 
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     if available_now:
@@ -102,33 +103,91 @@ def consume_messages(stream: DataFrame, out_dir: str, checkpoint: str, image_dir
     return q
 
 
-def _output_schema(name: str) -> T.StructType:
-    pos = [T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType())]
-    fields = {
-        "standard": [T.StructField(f.name, f.dataType) for f in STANDARD.fields],
-        "violation": list(VIOLATION.fields),
-        "images": [T.StructField("image_id", T.StringType()),
-                   T.StructField("content", T.StringType()), *pos],
-        "alerts": [T.StructField("subject", T.StringType()), T.StructField("body", T.StringType())],
-        "rejects": [T.StructField("reason", T.StringType()), T.StructField("key", T.StringType()),
-                    T.StructField("value", T.StringType()), *pos],
-    }[name]
-    return T.StructType([*fields, T.StructField("run_id", T.StringType()),
-                         T.StructField("batch_id", T.LongType())])
+def _stored(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """Rows under ``path``; empty only if nothing has been written there yet."""
+    try:
+        return spark.read.schema(_SCHEMA).format(fmt).load(path)
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        return spark.createDataFrame([], _SCHEMA)
 
 
-def read_output(spark: SparkSession, out_dir: str, name: str, fmt: str = "parquet") -> DataFrame:
-    """One output table without its bookkeeping columns.  Read with its
-    schema, so a table no batch has written to yet is simply empty."""
-    schema = _output_schema(name)
-    path = f"{out_dir.rstrip('/')}/{name}"
+def _closed(spark: SparkSession, out: str) -> DataFrame:
+    """(c_run, upto): the batches of each run that a finished compaction covers."""
     try:
-        df = spark.read.schema(schema).format(fmt).load(path)
-    except AnalysisException:  # nothing consumed yet
-        df = spark.createDataFrame([], schema)
-    return df.drop("run_id", "batch_id")
+        done = spark.read.schema("run_id string, upto long").json(f"{out}/compactions")
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        done = spark.createDataFrame([], "run_id string, upto long")
+    return done.groupBy(F.col("run_id").alias("c_run")).agg(F.max("upto").alias("upto"))
+
+
+def _everything(spark: SparkSession, out: str, fmt: str) -> DataFrame:
+    """Compacted batches and the live ones after them."""
+    closed = _closed(spark, out)  # one row a run
+    live = _stored(spark, f"{out}/messages", fmt).join(
+        closed, F.col("run_id") == F.col("c_run"), "left")
+    live = live.where(F.col("upto").isNull() | (F.col("batch_id") > F.col("upto")))
+    packed = _stored(spark, f"{out}/compacted", fmt).join(
+        closed, (F.col("run_id") == F.col("c_run")) & (F.col("batch_id") == F.col("upto")))
+    names = [f.name for f in _SCHEMA.fields]
+    return live.select(*names).unionAll(packed.select(*names))
+
+
+def _view(rows: DataFrame, name: str) -> DataFrame:
+    columns = {"standard": [f.name for f in STANDARD.fields],
+               "violation": [f.name for f in VIOLATION.fields],
+               "images": ["image_id", "content", *IMAGE_ORDER],
+               "alerts": [F.lit(ALERT_SUBJECT).alias("subject"), "body"],
+               "rejects": ["reason", "key", "value", *POSITION]}[name]
+    return rows.where(F.col("kind") == KINDS[name]).select(*columns)
+
+
+def read_output(spark: SparkSession, out_dir: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """One of ``TABLES``; a table no batch has written to yet is empty."""
+    return _view(_everything(spark, out_dir.rstrip("/"), fmt), name)
 
 
 def image_store(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> DataFrame:
     """Latest content per image id over everything consumed so far."""
-    return latest_images(read_output(spark, out_dir, "images", fmt))
+    return latest_images(read_output(spark, out_dir, "images", fmt), order=IMAGE_ORDER)
+
+
+def compact_output(spark: SparkSession, out_dir: str, rid: str, upto: int,
+                   fmt: str = "parquet", remove: bool = True) -> None:
+    """Merge the batches of run ``rid`` up to ``upto`` (all closed) into one partition.
+
+    Images keep their latest row per id.  Readers switch over when the
+    compaction's record is written, after its rows are; ``remove`` then
+    deletes the merged batches.  A run that stops anywhere can simply be
+    repeated.
+    """
+    out = out_dir.rstrip("/")
+    rows = _everything(spark, out, fmt).where(
+        (F.col("run_id") == rid) & (F.col("batch_id") <= upto))
+    images = rows.where(F.col("kind") == "image")
+    spot = F.struct(*IMAGE_ORDER)
+    names = [f.name for f in _SCHEMA.fields]
+    last = images.groupBy("image_id").agg(F.max_by(F.struct(*names), spot).alias("r")).select("r.*")
+    packed = rows.where(F.col("kind") != "image").unionByName(last)
+    write_batch_table(packed.drop("run_id", "batch_id"), f"{out}/compacted", rid, upto, fmt,
+                      also_by=("kind",))
+    (spark.createDataFrame([(rid, upto)], "run_id string, upto long").coalesce(1)
+     .write.mode("append").json(f"{out}/compactions"))
+    if remove:
+        _remove_batches(spark, f"{out}/messages/run_id={rid}", lambda b: b <= upto)
+        _remove_batches(spark, f"{out}/compacted/run_id={rid}", lambda b: b < upto)
+
+
+def _remove_batches(spark: SparkSession, path: str, old) -> None:
+    """Delete the batch folders of one run that ``old`` selects."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("batch_id=") and old(int(name[len("batch_id="):])):
+            fs.delete(status.getPath(), True)

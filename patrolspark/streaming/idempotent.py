@@ -5,37 +5,61 @@ again with the same id and the same rows.  Writing each table partitioned by
 ``run_id, batch_id`` with dynamic partition overwrite makes the replay
 replace its own earlier output instead of adding to it.  The run id lives in
 the checkpoint folder: a new checkpoint restarts batch ids at 0 but also gets
-a new run id, so it can never overwrite an older run's rows.
+a new run id, so it can never overwrite an older run's rows.  Any number of
+checkpoints, and plain appends, can therefore share one table.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import CSV_TIMES
+
+
+def is_missing(error: AnalysisException) -> bool:
+    """Whether a read failed only because nothing is there yet."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
 
 def run_id(spark: SparkSession, checkpoint: str) -> str:
     """The run id stored in ``checkpoint`` (created on first use)."""
     path = checkpoint.rstrip("/") + "/patrolspark_run_id"
     try:
         row = spark.read.text(path).first()
-    except AnalysisException:  # not there yet: first start of this checkpoint
-        row = None
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        row = None  # not there yet: first start of this checkpoint
     if row is not None:
         return row[0]
     # First start (or one interrupted before the id was written): the query
     # has not run yet, so no output can carry another id.
-    spark.createDataFrame([(uuid.uuid4().hex,)], "value string").coalesce(1) \
+    # The creation time comes first, so that runs sort in the order they began.
+    new = f"{time.time_ns() // 1_000_000:015d}-{uuid.uuid4().hex}"
+    spark.createDataFrame([(new,)], "value string").coalesce(1) \
         .write.mode("overwrite").text(path)
     return spark.read.text(path).first()[0]
 
 
+def refuse_sink_log(spark: SparkSession, path: str) -> None:
+    """Raise if ``path`` holds a file sink's log: readers then see only what the
+    log lists, so batches written beside it would be invisible."""
+    log = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_spark_metadata")
+    if log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log):
+        raise ValueError(f"{path} was written by a streaming file sink; rewrite it "
+                         "(read_lake, then write_table) before adding to it")
+
+
 def write_batch_table(df: DataFrame, path: str, rid: str, batch_id: int,
-                      fmt: str = "parquet") -> None:
-    (df.withColumn("run_id", F.lit(rid)).withColumn("batch_id", F.lit(batch_id).cast("long"))
-     .write.format(fmt).mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run_id", "batch_id").save(path))
+                      fmt: str = "parquet", options: dict[str, str] | None = None,
+                      also_by: tuple[str, ...] = ()) -> None:
+    w = (df.withColumn("run_id", F.lit(rid)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.format(fmt).mode("overwrite")
+         .options(**{**(CSV_TIMES if fmt == "csv" else {}), **(options or {})})
+         .option("partitionOverwriteMode", "dynamic"))
+    w.partitionBy("run_id", "batch_id", *also_by).save(path)

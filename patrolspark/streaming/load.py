@@ -2,10 +2,12 @@
 
 Structured Streaming's file source remembers every file it has committed in
 the checkpoint, so a re-run after a stop (or a crash, or a lost executor)
-picks up only files it has not finished; the file sink commits each
-micro-batch atomically through its own log, so the lake never holds a batch
-twice.  ``availableNow`` runs the backlog in rate-limited micro-batches and
-stops, which makes the same code a batch job or a standing one.
+picks up only files it has not finished.  Each micro-batch is written to its
+own ``run_id, batch_id`` partition and a replay overwrites exactly that, so
+the lake never holds a batch twice, and any number of loads, savers and plain
+appends can share one lake.  ``availableNow`` runs the backlog in rate-limited
+micro-batches and stops, which makes the same code a batch job or a standing
+one.
 """
 
 from __future__ import annotations
@@ -13,28 +15,38 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..fixed import HISTORIC_KEY, HISTORIC_TOPIC
-from ..functions.codec import encode_violation
 from ..operators.conform import to_violation
 from ..operators.messages import checked, good, rejects
+from ..sources.kafka import keyed_payload
 from ..sources.raw import RAW_SUFFIX, raw_files
-from .idempotent import run_id, write_batch_table
+from .idempotent import refuse_sink_log, run_id, write_batch_table
 
 
-def _start(df: DataFrame, lake_path: str, checkpoint: str, fmt: str,
-           options: dict[str, str] | None, available_now: bool,
-           processing_time: str | None) -> StreamingQuery:
-    w = (df.writeStream.format(fmt).outputMode("append")
-         .option("checkpointLocation", checkpoint))
-    if options:
-        w = w.options(**options)
+def _start(stream: DataFrame, on_batch, checkpoint: str, available_now: bool,
+           processing_time: str | None, wait: bool) -> StreamingQuery:
+    w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    return w.start(lake_path)
+    q = w.start()
+    if wait and available_now:
+        q.awaitTermination()
+    return q
+
+
+def lake_rows(df: DataFrame, fmt: str) -> DataFrame:
+    """Rows as the lake stores them.  A CSV lake is read by line, so line breaks
+    inside its text fields (codes come from untrusted messages) become spaces."""
+    if fmt != "csv":
+        return df
+    return df.select(*[F.translate(f.name, "\r\n", "  ").alias(f.name)
+                       if isinstance(f.dataType, T.StringType) else F.col(f.name)
+                       for f in df.schema.fields])
 
 
 def load_historic(spark: SparkSession, src_dir: str, lake_path: str, checkpoint: str,
@@ -53,31 +65,59 @@ def load_historic(spark: SparkSession, src_dir: str, lake_path: str, checkpoint:
     """
     raw = raw_files(spark, src_dir, suffix, streaming=True,
                     max_files_per_trigger=max_files_per_trigger)
-    once = processing_time is None
-    q = _start(to_violation(raw, noon), lake_path, checkpoint, fmt, options, once,
-               processing_time)
-    if wait and once:
-        q.awaitTermination()
-    return q
+    refuse_sink_log(spark, lake_path)
+    rid = run_id(spark, checkpoint)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        write_batch_table(lake_rows(batch, fmt), lake_path, rid, batch_id, fmt, options)
+
+    return _start(to_violation(raw, noon), on_batch, checkpoint, processing_time is None,
+                  processing_time, wait)
+
+
+def grown_files(spark: SparkSession, src_dir: str, checkpoint: str,
+                suffix: str = RAW_SUFFIX) -> DataFrame:
+    """Files of ``src_dir`` that changed after a load had read them: path, loaded, changed.
+
+    A load reads each file once, so lines added later are not in the lake;
+    this report finds such files.  ``loaded`` and ``changed`` are the
+    modification times in epoch milliseconds, from the load's own source log
+    and from the folder now.
+    """
+    log = (spark.read.option("recursiveFileLookup", "true")
+           .text(checkpoint.rstrip("/") + "/sources").where(F.col("value").startswith("{")))
+    entry = F.from_json("value", "path string, timestamp long")
+    seen = log.select(entry.alias("e")).groupBy(F.expr("url_decode(e.path)").alias("path")).agg(
+        F.max("e.timestamp").alias("loaded"))
+    now = (spark.read.format("binaryFile").option("pathGlobFilter", f"*.{suffix}")
+           .load(src_dir).select(F.expr("url_decode(path)").alias("now_path"),
+                                 F.unix_millis("modificationTime").alias("changed")))
+
+    def bare(c):  # file:/x and file:///x are one path
+        return F.regexp_replace(c, "^([a-zA-Z0-9]+):/+", "$1:/")
+
+    return (seen.join(now, bare("path") == bare("now_path"))
+            .where("changed > loaded").select("path", "loaded", "changed"))
 
 
 def historic_messages(spark: SparkSession, src_dir: str, suffix: str = RAW_SUFFIX,
                       noon: str = "reference",
-                      max_files_per_trigger: int | None = None) -> DataFrame:
+                      max_files_per_trigger: int | None = None,
+                      partitions: int | None = None) -> DataFrame:
     """Streaming ``key, value``: every new police line as violation JSON under
-    the historic key (the first half of the two-stage load through a topic)."""
+    the historic key (the first half of the two-stage load through a topic).
+    ``partitions`` spreads the topic, see ``keyed_payload``."""
     raw = raw_files(spark, src_dir, suffix, streaming=True,
                     max_files_per_trigger=max_files_per_trigger)
-    v = to_violation(raw, noon)
-    return v.select(F.lit(HISTORIC_KEY).alias("key"), encode_violation().alias("value"))
+    return keyed_payload(to_violation(raw, noon), HISTORIC_KEY, partitions)
 
 
 def publish_historic(spark: SparkSession, src_dir: str, servers: str, checkpoint: str,
                      topic: str = HISTORIC_TOPIC, suffix: str = RAW_SUFFIX,
                      noon: str = "reference", max_files_per_trigger: int | None = None,
-                     wait: bool = True) -> StreamingQuery:
+                     wait: bool = True, partitions: int | None = None) -> StreamingQuery:
     """Send every new police line to the historic topic, each file once."""
-    q = (historic_messages(spark, src_dir, suffix, noon, max_files_per_trigger)
+    q = (historic_messages(spark, src_dir, suffix, noon, max_files_per_trigger, partitions)
          .writeStream.format("kafka")
          .option("kafka.bootstrap.servers", servers).option("topic", topic)
          .option("checkpointLocation", checkpoint)
@@ -92,44 +132,29 @@ def save_violations(stream: DataFrame, lake_path: str, checkpoint: str,
                     processing_time: str | None = None,
                     options: dict[str, str] | None = None,
                     wait: bool = True, rejects_path: str | None = None) -> StreamingQuery:
-    """Keyed stream of violation JSON → lake.
+    """Keyed stream of violation JSON → lake and rejects.
 
     Batch size is set on the source (``maxOffsetsPerTrigger`` for a topic,
-    ``maxFilesPerTrigger`` for files).  Without ``rejects_path`` the lake is
-    a plain file sink (exactly once through its own log) and undecodable
-    messages are dropped.  With it, each micro-batch is decoded once and
-    written to both tables through idempotent ``run_id/batch_id`` partitions.
+    ``maxFilesPerTrigger`` for files).  Undecodable messages go to
+    ``rejects_path`` (``<lake>_rejects`` by default), never away.  Each
+    micro-batch is decoded once and written to both tables through idempotent
+    ``run_id/batch_id`` partitions.
     """
-    if rejects_path:
-        return _save_with_rejects(stream, lake_path, rejects_path, checkpoint, fmt,
-                                  available_now, processing_time, wait)
-    rows = good(checked(stream, "violation"), "violation")
-    q = _start(rows, lake_path, checkpoint, fmt, options, available_now, processing_time)
-    if wait and available_now:
-        q.awaitTermination()
-    return q
-
-
-def _save_with_rejects(stream: DataFrame, lake_path: str, rejects_path: str,
-                       checkpoint: str, fmt: str, available_now: bool,
-                       processing_time: str | None, wait: bool) -> StreamingQuery:
-    rid = run_id(stream.sparkSession, checkpoint)
+    spark = stream.sparkSession
+    rejects_path = rejects_path or lake_path.rstrip("/") + "_rejects"
+    refuse_sink_log(spark, lake_path)
+    refuse_sink_log(spark, rejects_path)
+    rid = run_id(spark, checkpoint)
     keep = tuple(c for c in ("partition", "offset") if c in stream.columns)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         c = checked(batch, "violation").persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_batch_table(good(c, "violation"), lake_path, rid, batch_id, fmt)
-            write_batch_table(rejects(c, keep), rejects_path, rid, batch_id, fmt)
+            write_batch_table(lake_rows(good(c, "violation"), fmt), lake_path, rid, batch_id,
+                              fmt, options)
+            # rejects hold raw text: always Parquet, which keeps it as it came
+            write_batch_table(rejects(c, keep), rejects_path, rid, batch_id)
         finally:
             c.unpersist()
 
-    w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
-    if available_now:
-        w = w.trigger(availableNow=True)
-    elif processing_time:
-        w = w.trigger(processingTime=processing_time)
-    q = w.start()
-    if wait and available_now:
-        q.awaitTermination()
-    return q
+    return _start(stream, on_batch, checkpoint, available_now, processing_time, wait)

@@ -74,7 +74,7 @@ def test_cli_consume_and_save_once(spark, tmp_dir):
             ("VIOLATION_IMAGE", '{"image_id":"i","content":"c"}', 0, 3)]
     spark.createDataFrame(rows, KEYED).write.json(src)
     main(["consume", "--src-dir", src, "--out", f"{tmp_dir}/out", "--checkpoint",
-          f"{tmp_dir}/ck1", "--image-dir", "/img", "--once"])
+          f"{tmp_dir}/ck1", "--image-dir", "/img", "--once", "--max-per-trigger", "10"])
     assert [r.body.splitlines()[1] for r in read_output(spark, f"{tmp_dir}/out", "alerts")
             .collect()] == ["Violation Code: 21"]
     main(["save", "--src-dir", src, "--out", f"{tmp_dir}/lake", "--checkpoint",
@@ -82,7 +82,8 @@ def test_cli_consume_and_save_once(spark, tmp_dir):
     # The saver reads a topic of violations only and decodes every record as one:
     # all three are objects whose known fields have the right types (extra
     # fields are ignored), so all three are stored.
-    assert spark.read.parquet(f"{tmp_dir}/lake").count() == 3
+    from patrolspark.plans.jobs import read_lake
+    assert read_lake(spark, f"{tmp_dir}/lake").count() == 3
 
 
 def test_lake_scan_pushes_filter_and_reads_two_columns(spark, tmp_dir):

@@ -5,9 +5,12 @@ from pyspark.sql import functions as F
 from patrolspark.schemas import KEYED
 from patrolspark.sources.raw import raw_files
 from patrolspark.operators.conform import to_violation
-from patrolspark.streaming.consume import (consume_messages, image_store, read_output,
-                                           run_id, write_batch)
-from patrolspark.streaming.load import load_historic, save_violations
+from patrolspark.plans.jobs import read_lake
+from patrolspark.sources.tables import write_table
+from patrolspark.streaming.consume import (compact_output, consume_messages, image_store,
+                                           read_output, write_batch)
+from patrolspark.streaming.idempotent import run_id
+from patrolspark.streaming.load import grown_files, load_historic, save_violations
 
 
 def _line(i, code="21"):
@@ -27,19 +30,19 @@ def test_historic_load_each_file_once(spark, tmp_dir):
     _write(f"{src}/a.2.csv", [_line(i) for i in range(5, 8)])   # same prefix, no collision
     _write(f"{src}/skip.txt", [_line(99)])
     load_historic(spark, src, lake, ckpt)
-    n1 = spark.read.parquet(lake).count()
+    n1 = read_lake(spark, lake).count()
     assert n1 == 8
     # batch read of the same files gives the same rows
     batch = to_violation(raw_files(spark, src))
     assert sorted(map(tuple, batch.collect()), key=str) == \
-        sorted(map(tuple, spark.read.parquet(lake).collect()), key=str)
+        sorted(map(tuple, read_lake(spark, lake).collect()), key=str)
     load_historic(spark, src, lake, ckpt)                      # second run: nothing new
-    assert spark.read.parquet(lake).count() == 8
+    assert read_lake(spark, lake).count() == 8
     _write(f"{src}/b.csv", [_line(i) for i in range(3)])       # a new file adds itself
     with open(f"{src}/a.1.csv", "a") as f:                     # a grown file adds nothing
         f.write(_line(100) + "\n")
     load_historic(spark, src, lake, ckpt)
-    assert spark.read.parquet(lake).count() == 11
+    assert read_lake(spark, lake).count() == 11
 
 
 def test_csv_lake_format(spark, tmp_dir):
@@ -47,8 +50,7 @@ def test_csv_lake_format(spark, tmp_dir):
     os.makedirs(src)
     _write(f"{src}/a.csv", [_line(1), _line(2, "")])
     load_historic(spark, src, lake, ckpt, fmt="csv")
-    from patrolspark.operators.conform import conform
-    back = conform(spark.read.csv(lake)).orderBy(F.col("violation_code").asc_nulls_last())
+    back = read_lake(spark, lake, "csv").orderBy(F.col("violation_code").asc_nulls_last())
     rows = back.collect()
     assert [r.violation_code for r in rows] == ["21", None]
     assert str(rows[0].sending_date) == "2016-05-04 13:43:00"
@@ -105,12 +107,69 @@ def test_run_id_lives_in_checkpoint(spark, tmp_dir):
     assert run_id(spark, f"{tmp_dir}/c2") != a
 
 
-def test_save_violations_file_sink(spark, tmp_dir):
+def test_save_violations_keeps_rejects_by_default(spark, tmp_dir):
     src, lake, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/lake", f"{tmp_dir}/ckpt"
     _messages(spark, src, [("VIOLATION_MESSAGE", VIO, 0, 1), ("VIOLATION_MESSAGE", "[]", 0, 2)])
     save_violations(spark.readStream.schema(KEYED).json(src), lake, ckpt)
-    rows = spark.read.parquet(lake).collect()
+    rows = read_lake(spark, lake).collect()
     assert [(r.violation_code, r.image_id) for r in rows] == [("21", "i1")]
+    lost = spark.read.parquet(f"{lake}_rejects").collect()
+    assert [(r.reason, r.value, r.offset) for r in lost] == [("not a JSON object", "[]", 2)]
+
+
+def test_one_lake_many_writers(spark, tmp_dir):
+    """Two loads with two checkpoints, an append and a saver: every row is there."""
+    lake = f"{tmp_dir}/lake"
+    for name, n in (("one", 5), ("two", 7)):
+        os.makedirs(f"{tmp_dir}/{name}")
+        _write(f"{tmp_dir}/{name}/a.csv", [_line(i) for i in range(n)])
+        load_historic(spark, f"{tmp_dir}/{name}", lake, f"{tmp_dir}/ck_{name}")
+    write_table(read_lake(spark, lake).limit(7), lake)
+    _messages(spark, f"{tmp_dir}/msg", [("VIOLATION_MESSAGE", VIO, 0, 1)])
+    stream = spark.readStream.schema(KEYED).json(f"{tmp_dir}/msg")
+    save_violations(stream, lake, f"{tmp_dir}/ck_save")
+    assert read_lake(spark, lake).count() == 5 + 7 + 7 + 1
+    for name in ("one", "two"):  # reruns add nothing; new files of either do
+        load_historic(spark, f"{tmp_dir}/{name}", lake, f"{tmp_dir}/ck_{name}")
+    save_violations(stream, lake, f"{tmp_dir}/ck_save")
+    assert read_lake(spark, lake).count() == 20
+    _write(f"{tmp_dir}/two/b.csv", [_line(1), _line(2), _line(3)])
+    _write(f"{tmp_dir}/one/b.csv", [_line(1), _line(2)])
+    for name in ("two", "one"):
+        load_historic(spark, f"{tmp_dir}/{name}", lake, f"{tmp_dir}/ck_{name}")
+    assert read_lake(spark, lake).count() == 25
+
+
+def test_lake_of_a_file_sink_is_refused(spark, tmp_dir):
+    import pytest
+    os.makedirs(f"{tmp_dir}/lake/_spark_metadata")
+    os.makedirs(f"{tmp_dir}/src")
+    with pytest.raises(ValueError, match="file sink"):
+        load_historic(spark, f"{tmp_dir}/src", f"{tmp_dir}/lake", f"{tmp_dir}/ck")
+
+
+def test_grown_files_are_reported(spark, tmp_dir):
+    src, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/ck"
+    os.makedirs(src)
+    _write(f"{src}/a b.csv", [_line(1)])
+    _write(f"{src}/c.csv", [_line(2)])
+    load_historic(spark, src, f"{tmp_dir}/lake", ckpt)
+    assert grown_files(spark, src, ckpt).count() == 0
+    with open(f"{src}/a b.csv", "a") as f:
+        f.write(_line(3) + "\n")
+    later = os.path.getmtime(f"{src}/a b.csv") + 5
+    os.utime(f"{src}/a b.csv", (later, later))
+    assert [r.path.rsplit("/", 1)[1] for r in grown_files(spark, src, ckpt).collect()] == ["a b.csv"]
+
+
+def test_csv_lake_keeps_a_code_with_line_breaks_in_one_row(spark, tmp_dir):
+    src, lake = f"{tmp_dir}/src", f"{tmp_dir}/lake"
+    rows = [("VIOLATION_MESSAGE", '{"violation_code":"a\\nb\\rc","image_id":"i%d"}' % i, 0, i)
+            for i in range(3)]
+    _messages(spark, src, rows)
+    save_violations(spark.readStream.schema(KEYED).json(src), lake, f"{tmp_dir}/ck", fmt="csv")
+    got = sorted((r.violation_code, r.image_id) for r in read_lake(spark, lake, "csv").collect())
+    assert got == [("a b c", f"i{i}") for i in range(3)]
 
 
 def test_save_violations_with_rejects(spark, tmp_dir):
@@ -118,7 +177,7 @@ def test_save_violations_with_rejects(spark, tmp_dir):
     _messages(spark, src, [("VIOLATION_MESSAGE", VIO, 0, 1), ("VIOLATION_MESSAGE", "[]", 0, 2),
                            ("VIOLATION_MESSAGE", '{"lat":"x"}', 0, 3)])
     save_violations(spark.readStream.schema(KEYED).json(src), lake, ckpt, rejects_path=rej)
-    assert [r.violation_code for r in spark.read.parquet(lake).collect()] == ["21"]
+    assert [r.violation_code for r in read_lake(spark, lake).collect()] == ["21"]
     got = sorted((r.offset, r.reason) for r in spark.read.parquet(rej).collect())
     assert got == [(2, "not a JSON object"), (3, "bad type lat")]
 
@@ -134,7 +193,7 @@ def test_late_file_with_old_mtime_is_loaded(spark, tmp_dir):
     past = _t.time() - 3 * 365 * 86400
     os.utime(old, (past, past))
     load_historic(spark, src, lake, ckpt)
-    assert spark.read.parquet(lake).count() == 3
+    assert read_lake(spark, lake).count() == 3
 
 
 def test_two_stage_historic_load_through_a_topic(spark, tmp_dir):
@@ -150,19 +209,69 @@ def test_two_stage_historic_load_through_a_topic(spark, tmp_dir):
     save_violations(spark.readStream.schema("key string, value string").json(topic),
                     f"{tmp_dir}/lake2", f"{tmp_dir}/ck2")
     load_historic(spark, src, f"{tmp_dir}/lake1", f"{tmp_dir}/ck3")
-    a = sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/lake1").collect()), key=str)
-    b = sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/lake2").collect()), key=str)
+    a = sorted(map(tuple, read_lake(spark, f"{tmp_dir}/lake1").collect()), key=str)
+    b = sorted(map(tuple, read_lake(spark, f"{tmp_dir}/lake2").collect()), key=str)
     assert a == b and len(a) == 5
 
 
-def test_consume_without_position_columns(spark, tmp_dir):
+def test_stream_without_position_is_refused(spark, tmp_dir):
+    import pytest
+    batch = spark.createDataFrame([("VIOLATION_IMAGE", '{"image_id":"a","content":"c"}')],
+                                  "key string, value string")
+    with pytest.raises(ValueError, match="partition, offset"):
+        write_batch(batch, f"{tmp_dir}/out", "/img", "run", 0)
+
+
+def _image(content, offset):
+    return ("VIOLATION_IMAGE", '{"image_id":"i","content":"%s"}' % content, 0, offset)
+
+
+def test_latest_image_in_any_write_order(spark, tmp_dir):
     out = f"{tmp_dir}/out"
-    batch = spark.createDataFrame([("VIOLATION_IMAGE", '{"image_id":"a","content":"c"}'),
-                                   ("OTHER", "{}")], "key string, value string")
-    write_batch(batch, out, "/img", "run", 0)
-    assert [(r.image_id, r.content) for r in read_output(spark, out, "images").collect()] == \
-        [("a", "c")]
-    assert read_output(spark, out, "rejects").count() == 1
+    for rid, batch_id, rows in (("2-run", 0, [_image("last", 0)]),  # a recreated topic starts over
+                                ("1-run", 1, [_image("later", 9), _image("sooner", 8)]),
+                                ("1-run", 0, [_image("first", 7)])):
+        write_batch(spark.createDataFrame(rows, KEYED), out, "/img", rid, batch_id)
+    assert [r.content for r in image_store(spark, out).collect()] == ["last"]
+
+
+def _folders(path):
+    return sum(d.startswith("batch_id=") for _, names, _ in os.walk(path) for d in names)
+
+
+def test_compaction_keeps_the_tables(spark, tmp_dir):
+    out = f"{tmp_dir}/out"
+    for b in range(4):
+        rows = [("STANDARD_MESSAGE", STD, 0, 10 * b), ("VIOLATION_MESSAGE", VIO, 0, 10 * b + 1),
+                _image(f"c{b}", 10 * b + 2), ("OTHER", "{}", 0, 10 * b + 3)]
+        write_batch(spark.createDataFrame(rows, KEYED), out, "/img", "1-run", b)
+    tables = ("standard", "violation", "alerts", "rejects")
+
+    def seen():
+        return ({t: sorted(map(str, read_output(spark, out, t).collect())) for t in tables},
+                sorted(map(str, image_store(spark, out).collect())))
+
+    before = seen()
+    assert _folders(out) == 4
+    compact_output(spark, out, "1-run", 1)
+    assert seen() == before and _folders(out) == 3       # one merged, two live
+    compact_output(spark, out, "1-run", 1)               # a repeat changes nothing
+    compact_output(spark, out, "1-run", 2)
+    assert seen() == before and _folders(out) == 2
+    assert read_output(spark, out, "images").count() == 2  # the latest of the merged, the live one
+    write_batch(spark.createDataFrame([_image("new", 99)], KEYED), out, "/img", "1-run", 4)
+    assert [r.content for r in image_store(spark, out).collect()] == ["new"]
+
+
+def test_unreadable_output_is_an_error_not_an_empty_table(spark, tmp_dir):
+    import pytest
+    out = f"{tmp_dir}/out"
+    os.makedirs(f"{out}/messages/run_id=1/batch_id=0/kind=image")
+    _write(f"{out}/messages/run_id=1/batch_id=0/kind=image/part-0.parquet", ["not parquet"])
+    with pytest.raises(Exception, match="not a Parquet file"):
+        read_output(spark, out, "images").collect()
+    with pytest.raises(Exception, match="(?i)no_such_format|not found|find"):
+        read_output(spark, out, "images", fmt="no_such_format")
 
 
 def test_alert_hook_sees_each_batch_after_the_write(spark, tmp_dir):
@@ -197,7 +306,7 @@ def test_standing_historic_load_picks_up_new_files(spark, tmp_dir):
         q.processAllAvailable()
         _write(f"{src}/b.csv", [_line(2), _line(3)])
         q.processAllAvailable()
-        assert spark.read.parquet(lake).count() == 3
+        assert read_lake(spark, lake).count() == 3
     finally:
         q.stop()
 
@@ -216,21 +325,3 @@ def test_failed_batch_retried_leaves_no_duplicates(spark, tmp_dir):
     write_batch(batch, out, "/img", "run", 4)                         # the engine's retry
     assert read_output(spark, out, "standard").count() == 1
     assert read_output(spark, out, "alerts").count() == 1
-
-
-def test_batch_tables_read_the_cached_decode(spark):
-    from pyspark import StorageLevel
-    from patrolspark.operators.messages import decode_all
-    from patrolspark.streaming.consume import split_batch
-    batch = spark.createDataFrame([("STANDARD_MESSAGE", STD, 0, 1)], KEYED)
-    decoded = decode_all(batch, keep=("partition", "offset")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        decoded.count()
-        for name, df in split_batch(decoded, "/img").items():
-            plan = df._jdf.queryExecution().executedPlan().toString()
-            assert "InMemoryTableScan" in plan, name
-            # above the cache boundary there is no JSON parse (the plan text
-            # below InMemoryRelation describes what the cache holds)
-            assert "Generate" not in plan.split("InMemoryRelation")[0], name
-    finally:
-        decoded.unpersist()
