@@ -28,7 +28,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     from patrolspark.catalog import QUERIES
     from patrolspark.plans import analyses as A
-    from patrolspark.plans.derived import all_rows, season_rows
+    from patrolspark.derived import all_rows, season_rows
     from patrolspark.session import get_session
 
     spark = get_session(f"local[{cpus}]", app_name="patrolspark-bench",

@@ -37,7 +37,7 @@ from .operators.messages import (all_rejects, decode_image, decode_standard,
                                  decode_violation, route, route_of)
 from .operators.metrics import count_by, share_of_total, union_bands
 from .plans import analyses as A
-from .plans.derived import (all_rows, events_as_strings, keyed_messages, period_rows,
+from .derived import (all_rows, events_as_strings, keyed_messages, period_rows,
                             raw_lines, season_rows, table)
 from .session import pin
 

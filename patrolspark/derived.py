@@ -15,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..fixed import IMAGE_KEY, STANDARD_KEY, VIOLATION_KEY
-from ..functions import codec
+from .fixed import IMAGE_KEY, STANDARD_KEY, VIOLATION_KEY
+from .functions import codec
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

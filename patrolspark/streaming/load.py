@@ -54,17 +54,19 @@ def load_historic(spark: SparkSession, src_dir: str, lake_path: str, checkpoint:
                   max_files_per_trigger: int | None = None,
                   options: dict[str, str] | None = None,
                   wait: bool = True,
-                  processing_time: str | None = None) -> StreamingQuery:
+                  processing_time: str | None = None,
+                  archive_dir: str | None = None) -> StreamingQuery:
     """Parse every new ``*.<suffix>`` file of ``src_dir`` into the lake.
 
     By default the backlog is loaded and the query stops (``availableNow``);
     with ``processing_time`` (e.g. ``"1 minute"``) it keeps running and picks
     up files as they land.  ``fmt="csv"`` gives the headerless CSV lake of
     the original system; Parquet (default) keeps real timestamps so later
-    scans push filters and read two columns out of six.
+    scans push filters and read two columns out of six.  ``archive_dir`` moves
+    finished files away, so that a standing load need not remember them all.
     """
     raw = raw_files(spark, src_dir, suffix, streaming=True,
-                    max_files_per_trigger=max_files_per_trigger)
+                    max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir)
     refuse_sink_log(spark, lake_path)
     rid = run_id(spark, checkpoint)
 

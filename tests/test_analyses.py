@@ -65,7 +65,7 @@ def test_all_null_codes_and_empty_groups(spark):
 
 
 def test_shares_sum_to_100_on_driver_table(spark):
-    from patrolspark.plans.derived import season_rows
+    from patrolspark.derived import season_rows
     rows = season_rows(spark, "/root/testdata/sf0.001")
     from patrolspark.operators.metrics import count_by, share_of_total
     s = share_of_total(count_by(rows, "violation_code")).agg(F.sum("percent")).first()[0]
@@ -80,7 +80,7 @@ def test_shares_by_group(spark, g):
 
 
 def test_plan_pushes_filter_and_prunes(spark):
-    from patrolspark.plans.derived import season_rows
+    from patrolspark.derived import season_rows
     df = A.top_codes(season_rows(spark, "/root/testdata/sf0.001"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_shipdate)]" in plan
@@ -93,14 +93,14 @@ def _plan(df):
 
 
 def test_q4_has_no_window_and_partial_aggregates(spark):
-    from patrolspark.plans.derived import season_rows
+    from patrolspark.derived import season_rows
     plan = _plan(A.top_code_per_season(season_rows(spark, "/root/testdata/sf0.001")))
     assert "Window" not in plan
     assert "partial_min" in plan and "partial_count" in plan
 
 
 def test_share_total_reuses_the_aggregate_shuffle(spark):
-    from patrolspark.plans.derived import season_rows
+    from patrolspark.derived import season_rows
     df = A.season_share(season_rows(spark, "/root/testdata/sf0.001"))
     df.collect()
     final = _plan(df)
