@@ -1,12 +1,12 @@
 """Byte-level BPE encoding and decoding in linear time.
 
 Bytes are mapped to Latin-1 characters so that a string automaton can hold the
-vocabulary.  Per pretokenised piece the longest token starting at each byte
-comes from one pass of an Aho-Corasick automaton over the reversed piece.  The
-encoder then walks forward with longest matches and backtracks: a token may
-follow another only if the merges, run on both together, would leave exactly
-that pair (``_Vocabulary.compatible``, memoised), and no end position is tried
-twice, which keeps the walk linear.  The result equals running the merges.
+vocabulary.  A pretokenised piece is walked in longest matches of an
+Aho-Corasick automaton, with backtracking: a token may follow another only if
+the merges, run on both together, would leave exactly that pair
+(``_Vocabulary.compatible``, memoised); if not, the next shorter token is tried,
+and no end position is tried twice, which keeps the walk linear.  The result
+equals running the merges.
 
 Ids are one binary column of little-endian unsigned 32-bit integers.
 
@@ -35,11 +35,11 @@ from .common import col, free_name, small_batches
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
-#: Entries of the per-worker memories; each is emptied when it is full.
-PIECES_KEPT = 300_000
+#: Entries of a generation of the per-worker memories, and the longest text kept there.
+PIECES_KEPT = 250_000
 LONGEST_KEPT = 64
 PAIRS_KEPT = 1_000_000
-_SHIFT = 20
+_STOPS = frozenset(".,;:!?")
 
 
 class _Vocabulary:
@@ -49,10 +49,11 @@ class _Vocabulary:
         self.rank = {base64.b64decode(t).decode("latin-1"): int(r) for t, r in pairs}
         self.bytes = {r: t.encode("latin-1") for t, r in self.rank.items()}
         self.size = {r: len(t) for t, r in self.rank.items()}
-        self.reverse = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for t, r in self.rank.items():
-            self.reverse.add_word(t[::-1], len(t) << _SHIFT | r)
-        self.reverse.make_automaton()
+            self.automaton.add_word(t, r)
+        self.automaton.make_automaton()
+        self.longest = max(map(len, self.rank))
         self.prefix = {r: self._longest_prefix(t) for t, r in self.rank.items()}
         self.joined: dict[tuple[int, int], int] = {}
         self.halves: dict[int, tuple[int, int]] = {}
@@ -103,21 +104,33 @@ class _Vocabulary:
             found = self.pairs[left, right] = self._survives(left, right)
         return found
 
+    def _longest_match(self, piece: str, at: int) -> int:
+        """The longest token that ``piece`` holds at ``at``; the trie bounds its length."""
+        rest = piece[at:at + self.longest]
+        rank = self.rank
+        for k in range(self.automaton.longest_prefix(rest), 0, -1):
+            found = rank.get(rest[:k])
+            if found is not None:
+                return found
+        raise ValueError(f"no token for byte {rest[:1]!r}")
+
     def encode(self, piece: str) -> list[int]:
         """Ids of one piece, given as Latin-1 text of its bytes."""
         whole = self.rank.get(piece)
         if whole is not None:
             return [whole]
-        n = len(piece)
-        longest = [0] * n
-        for end, found in self.reverse.iter(piece[::-1]):
-            if found > longest[n - 1 - end]:
-                longest[n - 1 - end] = found
-        mask = (1 << _SHIFT) - 1
-        size, prefix, compatible = self.size, self.prefix, self.compatible
+        n, size, prefix, pairs, compatible = len(piece), self.size, self.prefix, self.pairs, self.compatible
+        # Longest matches, one after the other: mostly each may follow the one before.
+        out = [token for _, token in self.automaton.iter_long(piece)]
+        if sum(map(size.__getitem__, out)) == n:
+            for pair in zip(out, out[1:]):
+                if not (pairs[pair] if pair in pairs else compatible(*pair)):
+                    break
+            else:
+                return out
         free = bytearray(b"\1") * (n + 1)
-        out: list[int] = []
-        at, token = 0, longest[0] & mask
+        out = []
+        at, token = 0, self._longest_match(piece, 0)
         while True:
             end = at + size[token]
             if free[end] and (not out or compatible(out[-1], token)):
@@ -125,7 +138,7 @@ class _Vocabulary:
                 at = end
                 if at == n:
                     return out
-                token = longest[at] & mask
+                token = self._longest_match(piece, at)
             elif prefix[token] >= 0:
                 token = prefix[token]
             else:
@@ -134,42 +147,61 @@ class _Vocabulary:
                 at -= size[token]
 
 
-class _Pieces(dict):
-    """Memory from a piece of text to its packed ids."""
+class _Memory(dict):
+    """Remembered values in two generations: a full one becomes the old one, and what is asked for again returns."""
+
+    def __init__(self):
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes | None:
+        value = self.old.get(key)
+        if value is None:
+            value = self.made(key)
+            if value is None or len(key) > LONGEST_KEPT:
+                return value
+        if len(self) >= PIECES_KEPT:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+    def made(self, key: str) -> bytes | None:
+        raise NotImplementedError
+
+
+class _Pieces(_Memory):
+    """From a piece of text to its packed ids."""
 
     def __init__(self, vocabulary: _Vocabulary):
+        super().__init__()
         self.vocabulary = vocabulary
 
-    def __missing__(self, piece: str) -> bytes:
+    def made(self, piece: str) -> bytes:
         ids = self.vocabulary.encode(piece.encode("utf-8", "surrogatepass").decode("latin-1"))
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(piece) <= LONGEST_KEPT:
-            if len(self) >= PIECES_KEPT:
-                self.clear()
-            self[piece] = packed
-        return packed
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class _Chunks(dict):
-    """Memory from what stands between two single spaces to the packed ids of space and chunk.
+class _Chunks(_Memory):
+    """From what stands between two single spaces to the packed ids of space and chunk.
 
     Under PATTERN a piece always begins at a space between two characters that
-    are not white space, so such chunks are encoded apart.  A chunk with white
-    space at an end has no entry: its text goes through the pattern as a whole.
+    are not white space, so such chunks are encoded apart; letters, with one
+    stop at the end or none, need no pattern.  A chunk with white space at an
+    end has no entry: its text goes through the pattern as a whole.
     """
 
     def __init__(self, pieces: _Pieces, find):
+        super().__init__()
         self.pieces, self.find = pieces, find
 
-    def __missing__(self, chunk: str) -> bytes | None:
+    def made(self, chunk: str) -> bytes | None:
+        if chunk.isalpha():
+            return self.pieces[" " + chunk]
+        if chunk[-1:] in _STOPS and chunk[:-1].isalpha():
+            return self.pieces[" " + chunk[:-1]] + self.pieces[chunk[-1]]
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             return None
-        packed = b"".join(map(self.pieces.__getitem__, self.find(" " + chunk)))
-        if len(chunk) <= LONGEST_KEPT:
-            if len(self) >= PIECES_KEPT:
-                self.clear()
-            self[chunk] = packed
-        return packed
+        return b"".join(map(self.pieces.__getitem__, self.find(" " + chunk)))
 
 
 @lru_cache(maxsize=2)
