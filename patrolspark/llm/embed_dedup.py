@@ -196,3 +196,22 @@ def near_classes(vectors: DataFrame, embedding: str = "embedding", label: str =
     alone = rows.where(~F.col("sound")).select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     return done.unionAll(alone)
+
+
+ORACLE = r"""
+with recursive v as (
+  select vec_id, label, cast(embedding as double[]) as e from embeddings
+  where vec_id is not null and label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l as (
+  select a.vec_id as a, b.vec_id as b
+  from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.98),
+reach as (select vec_id as a, vec_id as b from v union select r.a, l.b from reach r join l on r.b = l.a),
+c as (select a, min(b) as component_id from reach group by a),
+n as (select a, count(*) as n_links from l group by a)
+select e.vec_id, coalesce(n.n_links, 0) as n_links, coalesce(c.component_id, e.vec_id) as component_id,
+       e.vec_id = coalesce(c.component_id, e.vec_id) as kept
+from embeddings e left join c on e.vec_id = c.a left join n on e.vec_id = n.a
+"""

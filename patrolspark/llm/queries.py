@@ -70,7 +70,9 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_embedding_near_dedup": embed_dedup.ORACLE,
     "op3_url_filters": url_filter.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
     "op9_mixing": mixing.ORACLE,
+    "op10_substring_dedup": substring_dedup.ORACLE,
 }
