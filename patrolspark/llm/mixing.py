@@ -36,6 +36,7 @@ SHARE = 1.5
 CAP = 2
 BLOCKS = 1024
 SHARDS = 64
+PIECE_WORDS = 4_000_000
 BUCKET_ROWS = 2000
 SEED = 42
 
@@ -111,6 +112,12 @@ def draws(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
     The added columns get underscores where ``docs`` already has such a name;
     the mapping is returned by ``draw_names``.
     """
+    return _draw(docs, doc_id, source, text, shards, blocks, seed, **how)[0]
+
+
+def _draw(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
+          shards: int = SHARDS, blocks: int = BLOCKS, seed: int = SEED, **how) -> tuple[DataFrame, int]:
+    """``draws`` and the number of pieces that keep a shard's parts at PIECE_WORDS or so."""
     n = draw_names(docs)
     i = {x: free_name(docs, f"__{x}") for x in ("h", "bucket", "before", "mid", "until", "src", "id",
                                                 "p_source", "quota", "upper", "first")}
@@ -158,7 +165,8 @@ def draws(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
     last = int(np.ceil(how.get("cap", CAP)))
     full = full.withColumn(n["shards"], F.array_compact(F.array(*[shard_of(e) for e in range(last)])))
     full = full.withColumn(n["taken"], size * F.size(n["shards"]))
-    return full.drop(*i.values())
+    words = how.get("share", SHARE) * sum(r["size"] for r in known)
+    return full.drop(*i.values()), max(1, int(np.ceil(words / shards / PIECE_WORDS)))
 
 
 def draw_names(docs: DataFrame) -> dict[str, str]:
@@ -166,15 +174,18 @@ def draw_names(docs: DataFrame) -> dict[str, str]:
 
 
 def mix(docs: DataFrame, seed: int = SEED, **how) -> DataFrame:
-    """The mixture: rows of ``docs`` as often as drawn, dealt to shards and shuffled there."""
+    """The mixture: rows of ``docs`` as often as drawn, dealt to shards and shuffled there.
+
+    A large shard is written by several tasks, each with a random piece of it.
+    """
     n = draw_names(docs)
     names = ["`" + c.replace("`", "``") + "`" for c in docs.columns]
     shard, order = free_name(docs, "__shard"), free_name(docs, "__order")
-    drawn = draws(docs, seed=seed, **how)
+    drawn, pieces = _draw(docs, seed=seed, **how)
     doc_id = col(drawn, how.get("doc_id", "doc_id"))
     drawn = drawn.withColumn(shard, F.explode(n["shards"]))
     drawn = drawn.withColumn(order, F.xxhash64(F.lit(seed), F.col(shard), doc_id))
-    drawn = drawn.repartition(shard).sortWithinPartitions(shard, order)
+    drawn = drawn.repartition(F.col(shard), F.pmod(F.col(order), F.lit(pieces))).sortWithinPartitions(shard, order)
     return drawn.select(*names)
 
 
