@@ -52,6 +52,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def apart(key: Column) -> Column:
+    """A second join key, a function of ``key``.
+
+    A side that has just been grouped by a key is joined in the stage that
+    grouped it, and adaptive execution can't split a hot key of the other side
+    there.  With this beside the key both sides shuffle anew, and it can.
+    """
+    return F.xxhash64(key)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to lower case, every other character as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

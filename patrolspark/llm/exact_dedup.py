@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, col, cut, free_name
+from .common import SPACES, apart, col, cut, free_name
 
 BITS_PER_ROW = 16
 MAX_BITS = 1 << 30
@@ -88,7 +88,7 @@ def _winners(rows: DataFrame, sha: str) -> DataFrame:
     """Per hash the row that stays (longest, then smallest id) and the group's size."""
     best = F.min(F.struct(-F.col("size"), F.col("id").isNull(), F.col("id").alias("id")))
     return (rows.groupBy(sha).agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
-            .select(F.col(sha).alias("w_sha"), F.col("best.id").alias("keep_id"),
+            .select(F.col(sha).alias("w_sha"), apart(F.col(sha)).alias("w_apart"), F.col("best.id").alias("keep_id"),
                     (-F.col("best.col1")).alias("keep_size"), "group_size"))
 
 
@@ -105,7 +105,8 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"),
         F.col("sha").alias("text_sha256"))
     suspects = flagged.where("maybe").drop("maybe")
-    judged = suspects.join(_winners(suspects, "sha"), F.col("sha") == F.col("w_sha"))
+    same = (F.col("sha") == F.col("w_sha")) & (apart(F.col("sha")) == F.col("w_apart"))
+    judged = suspects.join(_winners(suspects, "sha"), same)
     judged = judged.select(
         F.col("id").alias("doc_id"), "keep_id", "group_size",
         ((F.col("size") == F.col("keep_size")) & F.col("id").eqNullSafe(F.col("keep_id"))).alias("kept"),
