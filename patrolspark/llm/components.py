@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import apart, cut
 
 MAX_ROUNDS = 64
 
@@ -21,8 +21,9 @@ def _stars(edges: DataFrame) -> DataFrame:
     """One large-star and one small-star step over (u, v) with u > v."""
     both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m"))
-    low = low.select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
-    large = (both.join(low, F.col("u") == F.col("c")).where("v > u")
+    low = low.select(F.col("u").alias("c"), apart(F.col("u")).alias("o"), F.least("u", "m").alias("m"))
+    same = (F.col("u") == F.col("c")) & (apart(F.col("u")) == F.col("o"))
+    large = (both.join(low, same).where("v > u")
              .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
     low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), "m")
     rest = (large.join(low, F.col("u") == F.col("c")).where("v <> m")

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import UPPER, WORDS, col, cut, free_name, small_batches
+from .common import UPPER, WORDS, apart, col, cut, free_name, small_batches
 from .components import components, forest
 
 SHINGLE = 4
@@ -199,8 +199,10 @@ def _classes(prints: DataFrame, distance: int) -> DataFrame:
     parts = components(links(distinct.select("fp"), distance))
     named = distinct.join(parts, F.col("fp") == F.col("node"), "left")
     named = named.select(F.col("fp").alias("c_fp"), "rep", F.coalesce("component", "fp").alias("part"))
-    lowest = named.groupBy("part").agg(F.min("rep").alias("component_id")).withColumnRenamed("part", "l_part")
-    return named.join(lowest, F.col("part") == F.col("l_part")).select("c_fp", "part", "component_id")
+    lowest = named.groupBy("part").agg(F.min("rep").alias("component_id"))
+    lowest = lowest.select(F.col("part").alias("l_part"), apart(F.col("part")).alias("o"), "component_id")
+    same = (F.col("part") == F.col("l_part")) & (apart(F.col("part")) == F.col("o"))
+    return named.join(lowest, same).select("c_fp", "part", "component_id")
 
 
 def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE,
