@@ -36,7 +36,7 @@ from .common import col, free_name, small_batches
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 #: Entries of a generation of the per-worker memories, and the longest text kept there.
-PIECES_KEPT = 250_000
+PIECES_KEPT = 100_000
 LONGEST_KEPT = 64
 PAIRS_KEPT = 1_000_000
 _STOPS = frozenset(".,;:!?")
