@@ -1,12 +1,19 @@
 """Embedding near-dedup by sorted projection passes.
 
 A pass hashes every vector to ``BITS`` signs of random projections and orders
-all vectors by (label, concatenated signs).  Near vectors share long prefixes,
-so each vector is compared with its ``WINDOW`` successors; pairs with cosine at
-or above the threshold are links, and the links of all passes are united.  The
-number of passes follows from the number of vectors: as many as a pair at
-exactly the threshold needs to meet within a window with probability
-``RECALL`` (near ties meet far sooner).
+all vectors by (label, concatenated signs).  The signs are those of the unit
+vectors less their label's mean, so that they also split vectors in a cone.
+Near vectors share long prefixes, so each vector is compared with its ``WINDOW``
+successors; pairs with cosine at or above the threshold are links, and the links
+of all passes are united.
+
+The number of passes is measured for each label.  A sample of its vectors
+(``SAMPLE_VALUES`` numbers at most) is sorted by the keys of one pass after the
+other; ``PROBES`` of them get a partner at exactly the threshold, half of the
+partners towards another vector of the label.  Passes are added until all but
+half of ``1 - RECALL`` of the partners have met their vector, or one linked to
+both, within the sample's share of a window.  A label that fits a window takes
+one pass, which compares all its pairs.
 
 The global order is exact and distributed: a range partitioned sort, the row
 counts of its partitions (one number a partition on the driver), and blocks of
@@ -29,13 +36,14 @@ links; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, cut, runs
+from .common import apart, col, cut, runs
 from .components import components, forest
 
 THRESHOLD = 0.98
@@ -45,23 +53,34 @@ BLOCK = 8192
 TILE = 2048
 BITS = 48
 LEAST_PASSES = 4
+SAMPLE_VALUES = 1 << 22
+PROBES = 8192
+LEAST_GAP = 4
 SEED = 42
 
 
 def passes_for(n: int, threshold: float, recall: float, window: int) -> int:
-    """Passes until a pair at the threshold has met in a window with probability ``recall``."""
+    """Passes until a pair at the threshold has met with probability ``recall``, if every sign halves ``n`` rows."""
     same = 1 - np.arccos(threshold) / np.pi
     meet = same ** max(0.0, np.log2(max(2, n) / window) + 1)
     return max(LEAST_PASSES, int(np.ceil(np.log(1 - recall) / np.log(1 - min(meet, 1 - 1e-9)))))
 
 
+@lru_cache(maxsize=64)
+def _planes(seed: int, p: int, dim: int) -> np.ndarray:
+    return np.random.default_rng([seed, p, dim]).standard_normal((dim, BITS))
+
+
+def _pass_signs(x: np.ndarray, p: int, seed: int = SEED) -> np.ndarray:
+    weight = np.int64(1) << np.arange(BITS - 1, -1, -1, dtype=np.int64)
+    return (x @ _planes(seed, p, x.shape[1]) > 0) @ weight
+
+
 def signs(x: np.ndarray, count: int, seed: int = SEED) -> np.ndarray:
     """Sort keys of the rows of ``x`` for each pass: BITS projection signs as one number."""
     out = np.empty((len(x), count), dtype=np.int64)
-    weight = np.int64(1) << np.arange(BITS - 1, -1, -1, dtype=np.int64)
     for p in range(count):
-        planes = np.random.default_rng([seed, p, x.shape[1]]).standard_normal((x.shape[1], BITS))
-        out[:, p] = (x @ planes > 0) @ weight
+        out[:, p] = _pass_signs(x, p, seed)
     return out
 
 
@@ -71,14 +90,107 @@ def _units(vectors: pd.Series) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _with_keys(reps: DataFrame, count: int) -> DataFrame:
+def _partners(x: np.ndarray, pick: np.ndarray, threshold: float, rng: np.random.Generator) -> np.ndarray:
+    """A unit vector at cosine ``threshold`` from each picked one; every second lies towards another row."""
+    own = x[pick]
+    way = rng.standard_normal(own.shape)
+    way[::2] = x[rng.integers(len(x), size=len(way[::2]))] - own[::2]
+    for again in (False, True):
+        way -= (way * own).sum(axis=1, keepdims=True) * own
+        flat = np.sqrt((way * way).sum(axis=1)) < 1e-6
+        if not again:  # towards itself or a copy: any way will do
+            way[flat] = rng.standard_normal((flat.sum(), x.shape[1]))
+    length = np.sqrt((way * way).sum(axis=1, keepdims=True))
+    return threshold * own + np.sqrt(1 - threshold ** 2) * way / np.maximum(length, 1e-300)
+
+
+def passes_needed(x: np.ndarray, centre: np.ndarray, n: int, threshold: float, recall: float, window: int) -> int:
+    """Passes for a label of ``n`` unit vectors with the sample ``x``, by planted partners at the threshold."""
+    rng = np.random.default_rng([SEED, n, len(x)])
+    pick = rng.permutation(len(x))[:PROBES]
+    y = _partners(x, pick, threshold, rng)
+    gap = window * len(x) / n
+    reach = max(gap, LEAST_GAP)
+    centred, partner = x - centre, y - centre
+    open_ = np.arange(len(pick))
+    passes = 0
+    while len(open_) > (1 - recall) / 2 * len(pick) and x.shape[1] > 1:
+        keys, own = _pass_signs(centred, passes), _pass_signs(partner[open_], passes)
+        order = np.argsort(keys, kind="stable")
+        rank = np.empty(len(x), dtype=np.int64)
+        rank[order] = np.arange(len(x))
+        low, high = np.searchsorted(keys[order], own, "left"), np.searchsorted(keys[order], own, "right")
+        at = low + np.floor(rng.random(len(own)) * (high - low + 1)).astype(np.int64)
+        met = np.abs(rank[pick[open_]] + 0.5 - at) < reach
+        for side in (at - 1, at):  # the rows next to the partner
+            near = x[order[np.clip(side, 0, len(x) - 1)]]
+            met |= (((near * y[open_]).sum(axis=1) >= threshold) & ((near * x[pick[open_]]).sum(axis=1) >= threshold))
+        open_ = open_[~met]
+        passes += 1
+    # a sample too thin for the window was measured with a wider one: one more sign must agree for each halving
+    length = np.sqrt((centred[pick] ** 2).sum(axis=1) * (partner ** 2).sum(axis=1))
+    cosine = (centred[pick] * partner).sum(axis=1) / np.maximum(length, 1e-300)
+    same = 1 - float(np.arccos(np.clip(cosine, -1, 1)).mean()) / np.pi
+    passes = int(np.ceil(passes / same ** np.log2(reach / gap)))
+    return max(passes, passes_for(n, threshold, recall, window))
+
+
+def _centres(reps: DataFrame) -> DataFrame:
+    """(dim, label, n, centre): the mean unit vector of each label and length."""
+    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = [(dim, label, len(own), _units(own["vec"]).sum(axis=0))
+                   for (dim, label), own in batch.groupby(["dim", "label"])]
+            yield pd.DataFrame(out, columns=["dim", "label", "n", "total"])
+
+    sums = reps.select("dim", "label", "vec").mapInPandas(apply, "dim int, label string, n long, total array<double>")
+    sums = sums.select("dim", "label", "n", F.posexplode("total").alias("at", "x"))
+    sums = sums.groupBy("dim", "label", "at").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
+    sums = sums.groupBy("dim", "label").agg(  # one element a dimension
+        F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("at", F.round(F.col("x") / F.col("n"), 9).alias("x")))).alias("c"))
+    return sums.select("dim", "label", "n", F.col("c.x").alias("centre"))
+
+
+def _beside(reps: DataFrame, labels: DataFrame) -> DataFrame:
+    """``reps`` with the columns of their label; a large label can be split."""
+    side = labels.withColumnsRenamed({"dim": "l_dim", "label": "l_label"}).withColumn("l_apart", apart(F.col("l_label")))
+    same = (F.col("dim") == F.col("l_dim")) & (F.col("label") == F.col("l_label")) & (apart(F.col("label")) == F.col("l_apart"))
+    return reps.join(side, same).drop("l_dim", "l_label", "l_apart")
+
+
+def _label_passes(reps: DataFrame, centres: DataFrame, threshold: float, recall: float, window: int) -> DataFrame:
+    """``centres`` with the number of passes of each label."""
+    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in runs(batches, ["dim", "label"]):
+            g = g.sort_values("rep")
+            one = g.iloc[0]
+            need = passes_needed(_units(g["vec"]), np.asarray(one["centre"]), int(one["n"]), threshold, recall, window)
+            yield pd.DataFrame({"p_dim": [one["dim"]], "p_label": [one["label"]], "passes": [need]})
+
+    grain = 1 << 30
+    rows = _beside(reps, centres.where(F.col("n") > window))
+    share = F.lit(float(SAMPLE_VALUES)) / F.col("dim") / F.col("n")
+    rows = rows.where(F.pmod(F.xxhash64("rep"), F.lit(grain)) < share * grain)
+    rows = rows.repartition("dim", "label").sortWithinPartitions("dim", "label")  # SAMPLE_VALUES bound a label
+    found = rows.select("rep", "dim", "label", "vec", "n", "centre").mapInPandas(
+        apply, "p_dim int, p_label string, passes int")
+    same = (F.col("dim") == F.col("p_dim")) & (F.col("label") == F.col("p_label"))
+    return centres.join(found, same, "left").select("dim", "label", "centre", F.coalesce("passes", F.lit(1)).alias("passes"))
+
+
+def _with_keys(reps: DataFrame, labels: DataFrame) -> DataFrame:
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for _, own in batch.groupby("dim"):
-                keys = signs(_units(own["vec"]), count)
-                yield pd.DataFrame({"rep": own["rep"], "label": own["label"], "dim": own["dim"], "keys": list(keys)})
+                x = _units(own["vec"]) - np.array(own["centre"].tolist())
+                count = own["passes"].to_numpy()
+                keys = np.zeros((len(x), count.max()), dtype=np.int64)
+                for p in range(count.max()):
+                    keys[count > p, p] = _pass_signs(x[count > p], p)
+                yield pd.DataFrame({"rep": own["rep"], "label": own["label"], "dim": own["dim"],
+                                    "keys": [k[:c] for k, c in zip(keys, count, strict=True)]})
 
-    return reps.mapInPandas(apply, "rep long, label string, dim int, keys array<long>")
+    return _beside(reps, labels).mapInPandas(apply, "rep long, label string, dim int, keys array<long>")
 
 
 def _ranked(keyed: DataFrame) -> DataFrame:
@@ -121,8 +233,8 @@ def _window_links(threshold: float, window: int, block: int):
 def links(reps: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, window: int = WINDOW,
           block: int = BLOCK) -> DataFrame:
     """Links (a, b) with the components of all pairs found over (rep, label, dim, vec)."""
-    count = passes_for(reps.count(), threshold, recall, window)
-    ranks = _ranked(_with_keys(reps, count))
+    labels = cut(_label_passes(reps, cut(_centres(reps)), threshold, recall, window))
+    ranks = _ranked(_with_keys(reps, labels))
     spots = ranks.groupBy("rep").agg(F.collect_list(F.struct("pass", "rank")).alias("spots"))  # one a pass
     rows = reps.join(spots.withColumnRenamed("rep", "s_rep"), F.col("rep") == F.col("s_rep"))
     rows = rows.select("rep", "label", "dim", "vec", F.explode("spots").alias("s")).select("*", "s.*").drop("s")

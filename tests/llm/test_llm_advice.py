@@ -1,0 +1,33 @@
+"""Cases of the second round's advice."""
+
+import numpy as np
+
+from patrolspark.llm import embed_dedup
+
+
+def cone(n, d, planted, rng):
+    """Unit vectors in a narrow cone, the last ``planted`` at cosine 0.98 from as many of the first."""
+    axis = np.eye(d)[0] * 2.0
+    x = axis + rng.standard_normal((n - planted, d)) / np.sqrt(d)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    way = rng.standard_normal((planted, d))
+    own = x[:planted]
+    way -= (way * own).sum(1)[:, None] * own
+    way /= np.linalg.norm(way, axis=1)[:, None]
+    c = 0.98 + 1e-6
+    return np.concatenate([x, c * own + np.sqrt(1 - c * c) * way])
+
+
+def test_vectors_in_a_cone(spark):
+    """Links found between vectors in a cone against all pairs."""
+    n, d, planted = 6000, 64, 1000
+    x = cone(n, d, planted, np.random.default_rng(5))
+    near = np.argwhere(np.triu(x @ x.T >= 0.98, 1))
+    assert len(near) >= planted
+    rows = [(i, "a", d, v.tolist()) for i, v in enumerate(x)]
+    reps = spark.createDataFrame(rows, "rep long, label string, dim int, vec array<double>")
+    found = {tuple(sorted(r)) for r in embed_dedup.links(reps, window=64, block=512).collect()}
+    lone = [tuple(p) for p in near.tolist() if p[1] == p[0] + n - planted]
+    recall = np.mean([p in found for p in lone])
+    print("recall", recall, len(lone))
+    assert recall >= 0.998
