@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from patrolspark.llm import embed_dedup
+from patrolspark.llm import embed_dedup, pii
 
 
 def cone(n, d, planted, rng):
@@ -31,3 +31,44 @@ def test_vectors_in_a_cone(spark):
     recall = np.mean([p in found for p in lone])
     print("recall", recall, len(lone))
     assert recall >= 0.998
+
+
+def private_texts(form, rng, count=400):
+    """Texts with base spans, and from every second on ``form`` of a number in plain words."""
+    out = []
+    for i in range(count):
+        a, b, c = (int(x) for x in rng.integers(0, 10_000, 3))
+        text = (f"The office of unit {a} wrote {b} lines on +1 ({200 + a % 700}) {300 + b % 600}-{c:04d} today, "
+                f"and user{a}@host{b}.com answered from 10.{a % 256}.{b % 256}.{c % 256} with {c} words. ")
+        out.append(text + (f"Later on somebody noted {form(a, b, c)} there again." if i % 2 else "Nothing more came."))
+    return out
+
+
+def found_share(form, seed):
+    """Share of planted spans that a judge trained on the very texts adds."""
+    texts = private_texts(form, np.random.default_rng(seed))
+    rows = [(i, *r) for i, t in enumerate(texts) for r in pii.examples(t)]
+    x, y = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    judge = pii.Judge(x, y, np.array([r[0] % 10 in (3, 4) for r in rows]))
+    planted = [t for i, t in enumerate(texts) if i % 2]
+    return np.mean([bool(judge.added(t, pii.base_spans(t))) for t in planted])
+
+
+def test_pii_adds_forms_that_no_check_decides():
+    phone = found_share(lambda a, b, c: f"({200 + c % 700}) {300 + a % 600}-{b:04d}", 1)
+    mail = found_share(lambda a, b, c: f"name{c} [at] firm{a} [dot] com", 2)
+    ip6 = found_share(lambda a, b, c: f"2a02:{a % 4096:x}:{b:x}:{c:x}:0:0:{a:x}:{c:x}", 3)
+    foreign = found_share(lambda a, b, c: f"0049 30 {a:04d}{c % 100:02d}", 4)  # below a card's 13 digits
+    assert min(phone, mail, ip6, foreign) >= 0.95, (phone, mail, ip6, foreign)
+
+
+def test_pii_evidence():
+    def label(text):
+        return [pii._evidence(text, s) for s in pii.proposals(text) if not pii._overlaps(s, pii.base_spans(text))]
+
+    assert label("x (803) 555-5351 y") == [None] and label("tel (803) 555-5351") == [1]
+    assert label("x 123-156-7890 y") == [0]
+    assert label("1 a [at] b [dot] com") == [None]
+    assert label("id aa:bb:cc:dd:ee:ff:00:11") == [0] and label("2001:db8:0:0:0:0:0:1") == [1]
+    assert label("d41d8cd98f00b204e9800998ecf8427e") == [0]
+    assert label("key: d41d8cd98f00b204e9800998ecf8427e") == [1]
