@@ -72,3 +72,15 @@ def test_pii_evidence():
     assert label("id aa:bb:cc:dd:ee:ff:00:11") == [0] and label("2001:db8:0:0:0:0:0:1") == [1]
     assert label("d41d8cd98f00b204e9800998ecf8427e") == [0]
     assert label("key: d41d8cd98f00b204e9800998ecf8427e") == [1]
+
+
+def test_pii_other_numbers_of_whole_texts():
+    """Numbers deep in a long text are drawn as negatives; their bound is a parameter."""
+    text = "mail a@b.com now " + "word " * 10_000 + "47, " * 10_000
+    word = pii.KINDS.index("email")
+    rows = [x for x, y in pii.examples(text) if y == 0]
+    assert len(rows) == pii.OTHERS and any(x[0] != word for x in rows) and any(x[0] == word for x in rows)
+    assert sum(y == 0 for _, y in pii.examples(text, others=500)) == 500
+    own = pii.base_spans("1 a@b.com 22 c@d.com 3")
+    spans = [("phone", i, i + 1) for i in range(22)]
+    assert list(pii._apart(spans, own)) == [s for s in spans if not pii._overlaps(s, own)]
