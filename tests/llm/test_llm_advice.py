@@ -84,3 +84,32 @@ def test_pii_other_numbers_of_whole_texts():
     own = pii.base_spans("1 a@b.com 22 c@d.com 3")
     spans = [("phone", i, i + 1) for i in range(22)]
     assert list(pii._apart(spans, own)) == [s for s in spans if not pii._overlaps(s, own)]
+
+
+def test_pii_proposes_every_spelling():
+    def proposed(text):
+        return [(k, text[a:b]) for k, a, b in pii.proposals(text)]
+
+    assert proposed("to joe [At] host [Dot] com.") == [("email", "joe [At] host [Dot] com")]
+    assert proposed("to joe at host dot co dot uk.") == [("email", "joe at host dot co dot uk")]
+    for ip in ("2001:db8::1", "fe80::1ff:fe23:4567:890a", "::1", "2001:db8::"):
+        assert ("ip", ip) in proposed(f"from {ip} on")
+    assert proposed("std::vector and a::bx and 1::2::3") == []
+    assert pii._valid("1:2:3:4:5:6:7::1:2:3", ("ip", 0, 20)) is False
+    assert [pii._evidence(t, s) for t in ("look at the dot there", "use ab::cd here") for s in pii.proposals(t)] == [0, 0]
+
+
+def test_pii_adds_every_spelling():
+    mixed = found_share(lambda a, b, c: f"name{c} [At] firm{a} [Dot] com", 5)
+    plain = found_share(lambda a, b, c: f"name{c} at firm{a} dot com", 6)
+    short = found_share(lambda a, b, c: f"2a02:{a:x}::{b:x}:{c:x}", 7)
+    assert min(mixed, plain, short) >= 0.95, (mixed, plain, short)
+
+
+def test_pii_generators_linear():
+    import time
+    began = time.time()
+    for s in ("a at " * 40_000 + "dot", "a at b dot " * 20_000, "a" * 200_000 + "dot", "1:" * 100_000 + "::", "ab::" * 50_000,
+              "::1" * 60_000, "at " * 60_000 + "dot", "a at b" + " dot c" * 40_000):
+        pii.proposals(s)
+    assert time.time() - began < 20
