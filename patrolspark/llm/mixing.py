@@ -15,7 +15,8 @@ inside each bucket.  What reaches the driver is one row a source
 (``MAX_SOURCES`` at most, else an error): its total size.
 
 Defined cases: a null text has size 0; a null source is a source, last in
-order; a null id sorts first in its bucket; rows repeated with the same id,
+order; a row with a null id stands by a hash of its text and the number of its
+copy, so each has a position of its own; rows repeated with the same id,
 source and size are taken alike; a table without words has targets 0 and takes
 nothing; an empty table gives an empty result.
 """
@@ -112,19 +113,45 @@ def draws(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
     The added columns get underscores where ``docs`` already has such a name;
     the mapping is returned by ``draw_names``.
     """
-    return _draw(docs, doc_id, source, text, shards, blocks, seed, **how)[0]
+    drawn, hashed, _ = _draw(docs, doc_id, source, text, shards, blocks, seed, **how)
+    return drawn.drop(hashed)
+
+
+def _number_null_ids(docs: DataFrame, i: dict[str, str], text: str, seed: int) -> DataFrame:
+    """The rows with a null id, hashed by text and number of the copy.
+
+    Copies are counted inside a partition of the input, and counts of partitions
+    are summed up, so no task holds all copies of a text.
+    """
+    odd = cut(docs.where(F.col(i["id"]).isNull()).withColumns({
+        i["words"]: F.md5(F.coalesce(col(docs, text), F.lit("")).cast("binary")), i["at"]: F.monotonically_increasing_id()}))
+    odd = odd.withColumn(i["part"], F.shiftright(i["at"], 33))
+    heads = odd.groupBy(i["src"], i["words"], i["part"]).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(i["src"], i["words"]).orderBy(i["part"]).rowsBetween(Window.unboundedPreceding, -1)
+    heads = heads.select(F.col(i["src"]).alias(i["first"]), F.col(i["words"]).alias(i["until"]),
+                         F.col(i["part"]).alias(i["bucket"]), F.coalesce(F.sum("n").over(before), F.lit(0)).alias(i["before"]))
+    odd = odd.join(heads, F.col(i["src"]).eqNullSafe(F.col(i["first"])) & (F.col(i["words"]) == F.col(i["until"]))
+                   & (F.col(i["part"]) == F.col(i["bucket"])))
+    copy = F.col(i["before"]) + F.row_number().over(Window.partitionBy(i["src"], i["words"], i["part"]).orderBy(i["at"]))
+    odd = odd.withColumn(i["h"], F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(""), i["words"], copy.cast("string")).cast("binary")))
+    return odd.select(*[col(odd, c) for c in docs.columns])
 
 
 def _draw(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
-          shards: int = SHARDS, blocks: int = BLOCKS, seed: int = SEED, **how) -> tuple[DataFrame, int]:
-    """``draws`` and the number of pieces that keep a shard's parts at PIECE_WORDS or so."""
+          shards: int = SHARDS, blocks: int = BLOCKS, seed: int = SEED, **how) -> tuple[DataFrame, str, int]:
+    """``draws`` with a column of hashes, its name, and the pieces that keep a shard's parts at PIECE_WORDS or so."""
     n = draw_names(docs)
     i = {x: free_name(docs, f"__{x}") for x in ("h", "bucket", "before", "mid", "until", "src", "id",
-                                                "p_source", "quota", "upper", "first")}
+                                                "p_source", "quota", "upper", "first", "words", "at", "part")}
     docs = docs.withColumns({
         n["size"]: size_in_words(col(docs, text)), i["src"]: col(docs, source), i["id"]: col(docs, doc_id),
-        i["h"]: F.md5(F.concat_ws(":", F.lit(str(seed)), col(docs, doc_id).cast("string")).cast("binary"))})
-    narrow = cut(docs.select(F.col(i["src"]).alias("src"), F.col(i["h"]).alias("h"), F.col(n["size"]).alias("size")))
+        i["h"]: F.md5(F.concat(F.lit(f"{seed}:"), col(docs, doc_id).cast("string")).cast("binary"))})
+    slim = [F.col(i["src"]).alias("src"), F.col(i["h"]).alias("h"), F.col(n["size"]).alias("size")]
+    narrow = cut(docs.select(*slim))
+    if not narrow.where("h is null").isEmpty():
+        odd = _number_null_ids(docs, i, text, seed)
+        narrow = cut(narrow.where("h is not null").unionAll(odd.select(*slim)))
+        docs = docs.where(F.col(i["id"]).isNotNull()).unionAll(odd)
     sums = narrow.groupBy("src").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"))
     known = sums.limit(MAX_SOURCES + 1).collect()
     if len(known) > MAX_SOURCES:
@@ -166,7 +193,7 @@ def _draw(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
     full = full.withColumn(n["shards"], F.array_compact(F.array(*[shard_of(e) for e in range(last)])))
     full = full.withColumn(n["taken"], size * F.size(n["shards"]))
     words = how.get("share", SHARE) * sum(r["size"] for r in known)
-    return full.drop(*i.values()), max(1, int(np.ceil(words / shards / PIECE_WORDS)))
+    return full.drop(*(v for k, v in i.items() if k != "h")), i["h"], max(1, int(np.ceil(words / shards / PIECE_WORDS)))
 
 
 def draw_names(docs: DataFrame) -> dict[str, str]:
@@ -181,10 +208,11 @@ def mix(docs: DataFrame, seed: int = SEED, **how) -> DataFrame:
     n = draw_names(docs)
     names = ["`" + c.replace("`", "``") + "`" for c in docs.columns]
     shard, order = free_name(docs, "__shard"), free_name(docs, "__order")
-    drawn, pieces = _draw(docs, seed=seed, **how)
+    drawn, hashed, pieces = _draw(docs, seed=seed, **how)
     doc_id = col(drawn, how.get("doc_id", "doc_id"))
     drawn = drawn.withColumn(shard, F.explode(n["shards"]))
-    drawn = drawn.withColumn(order, F.xxhash64(F.lit(seed), F.col(shard), doc_id))
+    drawn = drawn.withColumn(order, F.when(doc_id.isNull(), F.xxhash64(F.lit(seed), F.col(shard), F.col(hashed)))
+                             .otherwise(F.xxhash64(F.lit(seed), F.col(shard), doc_id)))
     drawn = drawn.repartition(F.col(shard), F.pmod(F.col(order), F.lit(pieces))).sortWithinPartitions(shard, order)
     return drawn.select(*names)
 

@@ -2,7 +2,8 @@
 
 import numpy as np
 
-from patrolspark.llm import embed_dedup, pii
+import helpers as H
+from patrolspark.llm import embed_dedup, mixing, pii
 
 
 def cone(n, d, planted, rng):
@@ -113,3 +114,22 @@ def test_pii_generators_linear():
               "::1" * 60_000, "at " * 60_000 + "dot", "a at b" + " dot c" * 40_000):
         pii.proposals(s)
     assert time.time() - began < 20
+
+
+def test_mixing_null_ids(spark):
+    """Rows with null ids are drawn one by one, equal texts too, whatever their partitions."""
+    texts = [f"t{i} " + "w " * (i % 7) for i in range(400)] + ["one text"] * 400 + [None, ""]
+    sources = dict.fromkeys(range(200), "b")
+    df = H.docs_frame(spark, texts, sources).selectExpr("if(doc_id % 10 = 0, doc_id, null) as doc_id", "text", "source")
+    seen = []
+    for rows in (df, df.repartition(7)):
+        got = mixing.draws(rows, share=0.5).collect()
+        assert len(got) == len(texts) and sum(r.size for r in got) == sum(len((t or "").split()) for t in texts)
+        by = {}
+        for r in got:
+            s = by.setdefault(r.source, [0, r.target])
+            s[0] += r.taken
+        assert all(abs(taken - target) <= 7 for taken, target in by.values()), by
+        seen.append(sorted((str(r.doc_id), str(r.text), r.source, r.taken) for r in got))
+    assert seen[0] == seen[1]
+    assert mixing.mix(df, share=0.5).count() == sum(r.taken // r.size for r in got if r.taken)
