@@ -67,6 +67,19 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def ranked(rows: DataFrame, order: list[str], out: str) -> DataFrame:
+    """``rows`` with their exact rank, from 0, in ``order``: a range partitioned sort and one count a partition."""
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = cut(rows.withColumns({"__part": F.spark_partition_id(),
+                                 "__at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}))
+    counts = sorted(rows.groupBy("__part").agg(F.count(F.lit(1)).alias("n")).collect())  # one row a partition
+    starts = np.cumsum([0] + [r["n"] for r in counts])
+    begin = rows.sparkSession.createDataFrame(
+        [(r["__part"], int(s)) for r, s in zip(counts, starts, strict=False)], "__of int, __begin long")
+    rows = rows.join(F.broadcast(begin), F.col("__part") == F.col("__of"))  # one row a partition
+    return rows.withColumn(out, F.col("__begin") + F.col("__at")).drop("__part", "__at", "__of", "__begin")
+
+
 def runs(batches: Iterable[pd.DataFrame], key: list[str]) -> Iterator[pd.DataFrame]:
     """Contiguous groups of equal ``key`` over sorted batches, one frame per group.
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embed_dedup, exact_dedup, licenses, mixing, pii, quality, simhash, substring_dedup, url_filter
+from . import (bpe, embed_dedup, exact_dedup, filter_audit, hard_negatives, language, licenses, mixing, pii, quality,
+               simhash, substring_dedup, url_filter)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,9 +65,26 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.select("vec_id", moved.alias("label"), "embedding"), F.col("vec_id") % 50 == 0)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = filter_audit.masked(table(spark, sf_dir, "documents"))
+    return filter_audit.audit(filter_audit.counted(rows, table(spark, sf_dir, "labels")))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.predict(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (op1_embedding_near_dedup, op2_byte_bpe, op3_url_filters, op4_quality_classifier, op5_license_scan,
-                        op6_simhash, op7_pii, op8_exact_dedup, op9_mixing, op10_substring_dedup)
+                        op6_simhash, op7_pii, op8_exact_dedup, op9_mixing, op10_substring_dedup,
+                        op11_hard_negatives, op12_filter_audit, op13_language_id)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -75,4 +93,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_exact_dedup": exact_dedup.ORACLE,
     "op9_mixing": mixing.ORACLE,
     "op10_substring_dedup": substring_dedup.ORACLE,
+    "op11_hard_negatives": hard_negatives.ORACLE,
+    "op12_filter_audit": filter_audit.ORACLE,
 }
