@@ -19,7 +19,8 @@ error in ``decode``.
 from __future__ import annotations
 
 import base64
-import struct
+import sys
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,11 +36,15 @@ from .common import col, free_name, small_batches
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
-#: Entries of a generation of the per-worker memories, and the longest text kept there.
-PIECES_KEPT = 100_000
+#: Bytes that a generation of a per-worker memory may take, an entry's own cost, and the longest text kept there.
+KEPT_BYTES = 48 << 20
+ENTRY_BYTES = 232
 LONGEST_KEPT = 64
 PAIRS_KEPT = 1_000_000
 _STOPS = frozenset(".,;:!?")
+_IDS_AT_ONCE = 1 << 20
+if sys.byteorder != "little" or array("I").itemsize != 4:
+    raise ImportError("packed ids need a little-endian machine with 4-byte integers")
 
 
 class _Vocabulary:
@@ -48,16 +53,19 @@ class _Vocabulary:
             pairs = [line.split() for line in lines if line.strip()]
         self.rank = {base64.b64decode(t).decode("latin-1"): int(r) for t, r in pairs}
         self.bytes = {r: t.encode("latin-1") for t, r in self.rank.items()}
-        self.size = {r: len(t) for t, r in self.rank.items()}
+        self.size = [len(self.bytes.get(r, b"")) for r in range(max(self.bytes) + 1)]
+        self.bits = len(self.size).bit_length()
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for t, r in self.rank.items():
             self.automaton.add_word(t, r)
         self.automaton.make_automaton()
         self.longest = max(map(len, self.rank))
-        self.prefix = {r: self._longest_prefix(t) for t, r in self.rank.items()}
+        self.prefix = [-1] * len(self.size)
+        for t, r in self.rank.items():
+            self.prefix[r] = self._longest_prefix(t)
         self.joined: dict[tuple[int, int], int] = {}
         self.halves: dict[int, tuple[int, int]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         for r, t in sorted((r, t) for t, r in self.rank.items()):
             self.halves[r] = self._split(r, t)
 
@@ -97,54 +105,60 @@ class _Vocabulary:
                 return True
 
     def compatible(self, left: int, right: int) -> bool:
-        found = self.pairs.get((left, right))
+        pair = left << self.bits | right
+        found = self.pairs.get(pair)
         if found is None:
             if len(self.pairs) >= PAIRS_KEPT:
                 self.pairs.clear()
-            found = self.pairs[left, right] = self._survives(left, right)
+            found = self.pairs[pair] = self._survives(left, right)
         return found
 
-    def _longest_match(self, piece: str, at: int) -> int:
-        """The longest token that ``piece`` holds at ``at``; the trie bounds its length."""
-        rest = piece[at:at + self.longest]
-        rank = self.rank
-        for k in range(self.automaton.longest_prefix(rest), 0, -1):
-            found = rank.get(rest[:k])
-            if found is not None:
-                return found
-        raise ValueError(f"no token for byte {rest[:1]!r}")
+    def _longest_match(self, rest: str) -> int:
+        """The longest token that ``rest`` begins with; the trie bounds its length."""
+        k = self.automaton.longest_prefix(rest)
+        token = self.rank.get(rest[:k])
+        while token is None:
+            k -= 1
+            if k <= 0:
+                raise ValueError(f"no token for byte {rest[:1]!r}")
+            token = self.rank.get(rest[:k])
+        return token
 
     def encode(self, piece: str) -> list[int]:
         """Ids of one piece, given as Latin-1 text of its bytes."""
         whole = self.rank.get(piece)
         if whole is not None:
             return [whole]
-        n, size, prefix, pairs, compatible = len(piece), self.size, self.prefix, self.pairs, self.compatible
-        # Longest matches, one after the other: mostly each may follow the one before.
-        out = [token for _, token in self.automaton.iter_long(piece)]
-        if sum(map(size.__getitem__, out)) == n:
-            for pair in zip(out, out[1:]):
-                if not (pairs[pair] if pair in pairs else compatible(*pair)):
-                    break
-            else:
-                return out
-        free = bytearray(b"\1") * (n + 1)
-        out = []
-        at, token = 0, self._longest_match(piece, 0)
+        n, size, prefix, bits, pairs = len(piece), self.size, self.prefix, self.bits, self.pairs
+        reach = self.longest
+        matched: dict[int, int] = {}
+        closed: set[int] = set()  # ends that lead nowhere
+        out: list[int] = []
+        at, last, token = 0, -1, self._longest_match(piece[:reach])
         while True:
             end = at + size[token]
-            if free[end] and (not out or compatible(out[-1], token)):
-                out.append(token)
-                at = end
-                if at == n:
-                    return out
-                token = self._longest_match(piece, at)
-            elif prefix[token] >= 0:
-                token = prefix[token]
-            else:
-                free[at] = 0
+            if end not in closed:
+                if last < 0:
+                    fits = True
+                else:
+                    fits = pairs.get(last << bits | token)
+                    if fits is None:
+                        fits = self.compatible(last, token)
+                if fits:
+                    out.append(token)
+                    if end == n:
+                        return out
+                    at, last = end, token
+                    token = matched.get(at, -1)
+                    if token < 0:
+                        token = matched[at] = self._longest_match(piece[at:at + reach])
+                    continue
+            token = prefix[token]
+            if token < 0:
+                closed.add(at)
                 token = out.pop()
                 at -= size[token]
+                last = out[-1] if out else -1
 
 
 class _Memory(dict):
@@ -152,6 +166,7 @@ class _Memory(dict):
 
     def __init__(self):
         self.old: dict[str, bytes] = {}
+        self.room = KEPT_BYTES
 
     def __missing__(self, key: str) -> bytes | None:
         value = self.old.get(key)
@@ -159,9 +174,11 @@ class _Memory(dict):
             value = self.made(key)
             if value is None or len(key) > LONGEST_KEPT:
                 return value
-        if len(self) >= PIECES_KEPT:
+        self.room -= ENTRY_BYTES + len(key) + len(value)
+        if self.room < 0:
             self.old = dict(self)
             self.clear()
+            self.room = KEPT_BYTES
         self[key] = value
         return value
 
@@ -177,8 +194,8 @@ class _Pieces(_Memory):
         self.vocabulary = vocabulary
 
     def made(self, piece: str) -> bytes:
-        ids = self.vocabulary.encode(piece.encode("utf-8", "surrogatepass").decode("latin-1"))
-        return struct.pack(f"<{len(ids)}I", *ids)
+        raw = piece if piece.isascii() else piece.encode("utf-8", "surrogatepass").decode("latin-1")
+        return array("I", self.vocabulary.encode(raw)).tobytes()
 
 
 class _Chunks(_Memory):
@@ -196,9 +213,9 @@ class _Chunks(_Memory):
 
     def made(self, chunk: str) -> bytes | None:
         if chunk.isalpha():
-            return self.pieces[" " + chunk]
+            return self.pieces.made(" " + chunk)
         if chunk[-1:] in _STOPS and chunk[:-1].isalpha():
-            return self.pieces[" " + chunk[:-1]] + self.pieces[chunk[-1]]
+            return self[chunk[:-1]] + self.pieces[chunk[-1]]
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             return None
         return b"".join(map(self.pieces.__getitem__, self.find(" " + chunk)))
@@ -229,8 +246,30 @@ def encode_text(text: str, path: str = RANKS, pattern: str = PATTERN) -> bytes:
     return b"".join(map(pieces.__getitem__, find(text)))
 
 
+@lru_cache(maxsize=2)
+def _table(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens' bytes one after the other, and by id where each starts and its length (-1: no token)."""
+    tokens = vocabulary(path).bytes
+    ids = np.array(sorted(tokens))
+    length = np.full(ids.max() + 1, -1, dtype=np.int64)
+    length[ids] = [len(tokens[i]) for i in ids.tolist()]
+    start = np.zeros(len(length), dtype=np.int64)
+    start[ids] = np.cumsum(length[ids]) - length[ids]
+    return np.frombuffer(b"".join(tokens[i] for i in ids.tolist()), dtype=np.uint8), start, length
+
+
 def decode_ids(packed: bytes, path: str = RANKS) -> bytes:
-    return b"".join(map(vocabulary(path).bytes.__getitem__, np.frombuffer(packed, "<u4").tolist()))
+    """The bytes of packed ids; an error for an id that the vocabulary lacks."""
+    table, start, length = _table(path)
+    out = []
+    for a in range(0, len(packed), _IDS_AT_ONCE * 4):
+        ids = np.frombuffer(packed[a:a + _IDS_AT_ONCE * 4], "<u4")
+        if ids.max() >= len(length) or (length[ids] < 0).any():
+            raise KeyError("an id that the vocabulary lacks")
+        n = length[ids]
+        ends = np.cumsum(n)
+        out.append(table[np.repeat(start[ids] - (ends - n), n) + np.arange(ends[-1])].tobytes())
+    return b"".join(out)
 
 
 def encode(docs: DataFrame, text: str = "text", out: str = "ids", path: str = RANKS,
@@ -256,3 +295,21 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str = RA
             yield pd.Series([decode_ids(b, path) for b in batch], dtype=object)
 
     return df.withColumn(free_name(df, out), apply(F.coalesce(col(df, ids), F.lit(b""))))
+
+
+def round_trip(docs: DataFrame, text: str = "text", out: str = "coded", path: str = RANKS,
+               pattern: str = PATTERN) -> DataFrame:
+    """``docs`` with ``out``: a struct of the packed ids and of the bytes they decode to.
+
+    One trip to Python for both; the bytes come from the ids alone.
+    """
+    small_batches(docs.sparkSession)
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def apply(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            ids = [encode_text(t, path, pattern) for t in batch]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object),
+                                "decoded": pd.Series([decode_ids(i, path) for i in ids], dtype=object)})
+
+    return docs.withColumn(free_name(docs, out), apply(F.coalesce(col(docs, text), F.lit(""))))

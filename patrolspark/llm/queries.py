@@ -20,9 +20,9 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs))
-    return coded.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
-                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.round_trip(docs).select(
+        "doc_id", F.expr("octet_length(coded.ids) div 4").alias("n_tokens"),
+        F.sha2("coded.ids", 256).alias("ids_sha256"), F.sha2("coded.decoded", 256).alias("decoded_sha256"))
 
 
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
