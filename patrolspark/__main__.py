@@ -1,6 +1,7 @@
 """Command line: ``python -m patrolspark <job> ...``.
 
-Jobs: ``analyse``, ``migrate``, ``load``, ``publish``, ``save``, ``consume``.
+Jobs: ``analyse``, ``migrate``, ``load``, ``grown``, ``backfill``, ``compact``, ``publish``, ``save``,
+``consume``.
 Cluster settings come from the environment (``spark-defaults.conf``,
 ``PYSPARK_SUBMIT_ARGS``); ``session.get_session`` adds only the settings the
 library's semantics rely on (UTC, AQE, dynamic partition overwrite, JSON
@@ -23,6 +24,8 @@ def main(argv=None) -> None:
     a.add_argument("--out")
     a.add_argument("--result-format", default="csv")
     a.add_argument("--header", action="store_true", help="CSV results with a header line")
+    a.add_argument("--cube", help="answer from the partial cubes kept here; the lake is not read")
+    a.add_argument("--together", action="store_true", help="publish the four answers as one set")
     mg = sub.add_parser("migrate", help="headerless CSV lake → Parquet lake")
     mg.add_argument("--csv-lake", required=True)
     mg.add_argument("--parquet-lake", required=True)
@@ -36,6 +39,28 @@ def main(argv=None) -> None:
     ld.add_argument("--noon", default="reference", choices=["reference", "clock"])
     ld.add_argument("--processing-time", help="keep running, e.g. '1 minute' (default: "
                                               "load what is there and stop)")
+    ld.add_argument("--cube", help="keep partial cubes of the batches here")
+    ld.add_argument("--ledger", help="keep the loaded lines of each file here, for the job grown")
+    gr = sub.add_parser("grown", help="lines added to files after they were loaded → lake")
+    for name in ("--src", "--lake", "--checkpoint", "--ledger"):
+        gr.add_argument(name, required=True)
+    gr.add_argument("--cube")
+    gr.add_argument("--lake-format", default="parquet")
+    gr.add_argument("--suffix", default="csv")
+    gr.add_argument("--noon", default="reference", choices=["reference", "clock"])
+    bf = sub.add_parser("backfill", help="partial cubes of lake rows that have none")
+    bf.add_argument("--lake", required=True)
+    bf.add_argument("--cube", required=True)
+    bf.add_argument("--lake-format", default="parquet")
+    cp = sub.add_parser("compact", help="merge small files of a lake, or a consumer's committed batches")
+    cp.add_argument("--lake")
+    cp.add_argument("--lake-format", default="parquet")
+    cp.add_argument("--target-mb", type=int, default=512)
+    cp.add_argument("--cube", help="count the lake's uncounted rows into this cube first")
+    cp.add_argument("--out", help="folder a consumer writes to")
+    cp.add_argument("--checkpoint", help="that consumer's checkpoint")
+    cp.add_argument("--upto", type=int, help="last batch to merge (default: the last committed one)")
+    cp.add_argument("--remove", action="store_true", help="delete merged files; only while nobody reads them")
     pb = sub.add_parser("publish", help="police files → historic topic, each file once")
     pb.add_argument("--src", required=True)
     pb.add_argument("--servers", required=True)
@@ -66,7 +91,7 @@ def main(argv=None) -> None:
     if args.job == "analyse":
         from .plans.jobs import analyse_lake
         res = analyse_lake(spark, args.lake, args.out, args.lake_format, args.result_format,
-                           args.header)
+                           args.header, args.cube, args.together)
         print(json.dumps({k: [r.asDict() for r in v] for k, v in res.items()}, default=str))
     elif args.job == "migrate":
         from .plans.jobs import migrate_lake
@@ -75,8 +100,27 @@ def main(argv=None) -> None:
         from .streaming.load import load_historic
         q = load_historic(spark, args.src, args.lake, args.checkpoint, args.lake_format,
                           args.suffix, args.noon, args.max_files_per_trigger,
-                          processing_time=args.processing_time)
+                          processing_time=args.processing_time, cube_path=args.cube, ledger_path=args.ledger)
         q.awaitTermination()
+    elif args.job == "grown":
+        from .streaming.ledger import load_grown
+        print(load_grown(spark, args.src, args.lake, args.checkpoint, args.ledger, args.lake_format,
+                         args.suffix, args.noon, args.cube))
+    elif args.job == "backfill":
+        from .streaming.cube import backfill_cube
+        print(backfill_cube(spark, args.lake, args.cube, args.lake_format))
+    elif args.job == "compact":
+        if not args.lake and not (args.out and args.checkpoint):
+            p.error("compact: give --lake, or --out and --checkpoint")
+        if args.lake:
+            from .sources.lake import compact_lake
+            from .streaming.cube import backfill_cube
+            if args.cube:
+                backfill_cube(spark, args.lake, args.cube, args.lake_format)
+            print(compact_lake(spark, args.lake, args.lake_format, args.target_mb << 20, remove=args.remove))
+        else:
+            from .streaming.consume import compact_output
+            print(compact_output(spark, args.out, args.checkpoint, args.upto, remove=args.remove))
     elif args.job == "publish":
         from .fixed import HISTORIC_TOPIC
         from .streaming.load import publish_historic

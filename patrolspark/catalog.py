@@ -500,15 +500,173 @@ def q_lake_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw_lines(spark, sf_dir).write.text(src)
         load_historic(spark, src, lake, ckpt, suffix="txt")
         load_historic(spark, src, lake, ckpt, suffix="txt")  # a rerun adds nothing
-    write_table(conform(period_rows(spark, sf_dir).select(
-        F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lng"),
-        "sending_date", F.lit(None).cast("string").alias("drone_id"), "violation_code")), lake)
+    write_table(_appended(spark, sf_dir), lake)
     route(keyed_messages(spark, sf_dir))["violation"].write.json(topic)
     save_violations(spark.readStream.schema(KEYED).json(topic), lake,
                     scratch_path(spark, "save_ckpt"))
     return _loaded(read_lake(spark, lake))
 
 
+def _appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as VIOLATION rows, for a plain append to a lake."""
+    return conform(period_rows(spark, sf_dir).select(
+        F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lng"),
+        "sending_date", F.lit(None).cast("string").alias("drone_id"), "violation_code"))
+
+
+def _loads(spark: SparkSession, sf_dir: str, lake: str, times: int, **kw) -> None:
+    """The raw lines loaded so many times, each load with a checkpoint of its own, a file a batch."""
+    from .session import scratch_path
+    from .streaming.load import load_historic
+    for _ in range(times):
+        src, ckpt = scratch_path(spark, "raw_src"), scratch_path(spark, "lake_ckpt")
+        raw_lines(spark, sf_dir).repartition(3).write.text(src)
+        load_historic(spark, src, lake, ckpt, suffix="txt", max_files_per_trigger=1, **kw)
+
+
+@register("lake_compacted", f"""
+{_LOADED_SQL} union all {_LOADED_SQL} union all select epoch_us(ts), nullif(event_type, 'error') from events
+""")
+def q_lake_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of a lake after its small files were merged, while the merged files are still there."""
+    from .session import scratch_path
+    from .sources.lake import compact_lake, read_lake
+    from .sources.tables import write_table
+    lake = scratch_path(spark, "lake")
+    _loads(spark, sf_dir, lake, 2)
+    write_table(_appended(spark, sf_dir), lake)
+    compact_lake(spark, lake)
+    return _loaded(read_lake(spark, lake))
+
+
+_TWICE = f"""
+with v as (select sending_date_us, violation_code from ({_LOADED_SQL}) a
+           union all select sending_date_us, violation_code from ({_LOADED_SQL}) b
+           union all select cast(epoch_us(ts) as double), nullif(event_type, 'error') from events),
+d as (select make_timestamp(cast(sending_date_us as bigint)) as d, violation_code from v where sending_date_us is not null)"""
+
+
+@register("cube_incremental", f"""{_TWICE}
+select {se('d')} as season, {pe('d')} as period, violation_code, count(violation_code) as number_of_violations
+from d group by 1, 2, 3
+""")
+def q_cube_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partial cubes of two loads, one batch replayed, an append counted later, and files merged in between."""
+    from .session import scratch_path
+    from .sources.lake import compact_lake
+    from .sources.tables import write_table
+    from .streaming import cube
+    lake, path = scratch_path(spark, "lake"), scratch_path(spark, "cube")
+    _loads(spark, sf_dir, lake, 2, cube_path=path)
+    batch = spark.read.parquet(path).select("run_id", "batch_id").first()
+    cube.add_batch(spark, lake, path, batch["run_id"], batch["batch_id"])
+    write_table(_appended(spark, sf_dir), lake)
+    cube.backfill_cube(spark, lake, path)
+    compact_lake(spark, lake, remove=True)
+    cube.backfill_cube(spark, lake, path)
+    return cube.read_cube(spark, path)
+
+
+@register("load_metrics", """
+select cast(count(*) as bigint) as lines, count(*) filter (where event_id % 13 <> 0) as dated,
+       count(*) filter (where event_id % 13 = 0) as short, 0 as header, 0 as out_of_range, 0 as undated
+from events
+""")
+def q_load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines by class, as observed while a load wrote the lake, over all of its batches."""
+    from .operators.conform import LINE_CLASSES
+    from .session import scratch_path
+    from .streaming.load import read_metrics
+    lake = scratch_path(spark, "lake")
+    _loads(spark, sf_dir, lake, 1)
+    return read_metrics(spark, f"{lake}_metrics").agg(*[F.sum(c).alias(c) for c in ("lines", *LINE_CLASSES)])
+
+
+@register("conform_report", """
+select 'lat' as field, 0 as position, count(*) as n_rows, 0 as nulls,
+       count(*) filter (where event_type = 'error') as failures from events
+union all select 'lng', 1, count(*), 0, 0 from events
+union all select 'sending_date', 2, count(*), 0, count(*) filter (where event_id % 5 = 0) from events
+union all select 'drone_id', 3, count(*), 0, 0 from events
+union all select 'violation_code', 4, count(*), count(*), 0 from events
+union all select 'image_id', 5, count(*), count(*), 0 from events
+""")
+def q_conform_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What conforming a four-column table would null, by target field."""
+    from .operators.conform import cast_report
+    return cast_report(events_as_strings(spark, sf_dir, 4)).select("field", "position", "n_rows", "nulls", "failures")
+
+
+@register("top5_codes_sketch", f"""
+with v as ({V_SEASONS}),
+g as (select violation_code, count(violation_code) as n from v
+      where sending_date is not null group by violation_code)
+select violation_code, n as number_of_violations, {pct('n')} as percent from g
+order by n desc, violation_code asc nulls first limit 5
+""")
+def q_top5_codes_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 from the combined sketches of each month, with exact counts of the candidates."""
+    from .operators.top_sketch import code_sketch, top_codes_verified
+    rows = prepared(season_rows(spark, sf_dir))
+    sketches = code_sketch(rows.withColumn("part", F.month("sending_date")), by=("part",))
+    return top_codes_verified(rows, sketches, 5)[0]
+
+
+_MARKS = [("rush", 420, 570), ("rush", 960, 1140), ("night", 1320, 360), ("lunch", 690, 810), ("late", 1080, 60)]
+
+
+@register("band_labels", """
+with m as (select event_id, cast(hour(ts) * 60 + minute(ts) as int) as x from events),
+b(k, name, a, z) as (values (0, 'rush', 420, 570), (1, 'rush', 960, 1140), (2, 'night', 1320, 360),
+                            (3, 'lunch', 690, 810), (4, 'late', 1080, 60)),
+n as (select event_id, name, min(k) as k from m join b
+      on case when a < z then x >= a and x < z else x >= a or x < z end group by event_id, name)
+select m.event_id, coalesce(string_agg(n.name, ',' order by n.k), '') as bands
+from m left join n on m.event_id = n.event_id group by m.event_id
+""")
+def q_band_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All bands of each event's minute, from a table of overlapping and wrapping bands with gaps."""
+    from .functions.band_table import BandTable
+    from .functions.bands import minute_of_day
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", F.array_join(BandTable.of(_MARKS).labels(minute_of_day("ts")), ",").alias("bands"))
+
+
+def _growing(spark: SparkSession, sf_dir: str, src: str, grown: bool) -> None:
+    """The raw lines in files of fixed names; the lines of odd events come only when they have ``grown``."""
+    from .session import scratch_path
+    store = scratch_path(spark, "raw_parts")
+    added = F.col("event_id") % 2 == 1
+    ev = table(spark, sf_dir, "events").select("event_id", F.pmod("event_id", F.lit(8)).alias("k"), added.alias("added"))
+    lines = raw_lines(spark, sf_dir).withColumn("id", F.split("line", ",")[0].cast("long"))
+    lines = lines.join(ev, F.col("id") == F.col("event_id")).where(F.lit(grown) | ~F.col("added"))
+    lines.select("line", "k", "added", "event_id").repartition("k").sortWithinPartitions("k", "added", "event_id") \
+        .select("line", "k").write.partitionBy("k").text(store)
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(store).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(fs_path(src))
+    for k in range(8):
+        for status in fs.globStatus(fs_path(f"{store}/k={k}/part-*")):
+            fs.delete(fs_path(f"{src}/{k}.txt"), False)
+            fs.rename(status.getPath(), fs_path(f"{src}/{k}.txt"))
+
+
+@register("grown_lines", _LOADED_SQL)
+def q_grown_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake after its files grew: half of the lines loaded with the files, the others added, none twice."""
+    from .session import scratch_path
+    from .sources.lake import read_lake
+    from .streaming.ledger import load_grown
+    from .streaming.load import load_historic
+    src, lake, ckpt, ledger = (scratch_path(spark, n) for n in ("raw_src", "lake", "lake_ckpt", "ledger"))
+    for grown in (False, True):
+        _growing(spark, sf_dir, src, grown)
+        load_historic(spark, src, lake, ckpt, suffix="txt", ledger_path=ledger)
+        load_grown(spark, src, lake, ckpt, ledger, suffix="txt")
+        load_grown(spark, src, lake, ckpt, ledger, suffix="txt")
+    return _loaded(read_lake(spark, lake))
+
+
 @register("saved_rejects", f"""
 select case when event_id % 7 = 0 then 'bad type drone_id' else 'not a JSON object' end as reason,
        event_id as "offset"
@@ -572,7 +730,11 @@ def q_encode_image(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _consumed(spark: SparkSession, sf_dir: str) -> str:
-    """The messages through the consumer, from files; the folder it wrote."""
+    return _consumer_run(spark, sf_dir)[0]
+
+
+def _consumer_run(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The messages through the consumer, from files; the folder it wrote and its checkpoint."""
     from .schemas import KEYED
     from .session import scratch_path
     from .streaming.consume import consume_messages
@@ -580,7 +742,7 @@ def _consumed(spark: SparkSession, sf_dir: str) -> str:
     keyed_messages(spark, sf_dir).write.json(src)
     consume_messages(spark.readStream.schema(KEYED).json(src), out, ckpt, IMAGE_DIR,
                      available_now=True)
-    return out
+    return out, ckpt
 
 
 @register("stream_route_counts", f"""
@@ -627,9 +789,8 @@ where k = 1
 def q_stream_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The image store after the consumer, read back after a compaction."""
     from .streaming.consume import compact_output, image_store
-    out = _consumed(spark, sf_dir)
-    run = spark.read.parquet(f"{out}/messages").agg(F.max("run_id"), F.max("batch_id")).first()
-    compact_output(spark, out, run[0], run[1])
+    out, ckpt = _consumer_run(spark, sf_dir)
+    compact_output(spark, out, ckpt)
     return image_store(spark, out)
 
 
@@ -716,6 +877,25 @@ def q_analyse_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, parts)
 
 
+@register("published_answers", ORACLE_SQL["analyse_lake"])
+def q_published_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The answers from stored partial cubes, published as one set and read back through its pointer."""
+    from .plans.jobs import analyse_lake, read_answers
+    from .session import scratch_path
+    from .sources.tables import write_table
+    from .streaming.cube import backfill_cube
+    lake, cube, out = (scratch_path(spark, n) for n in ("lake", "cube", "answers"))
+    for rows in (season_rows(spark, sf_dir), period_rows(spark, sf_dir)):
+        write_table(conform(rows.select(F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lng"),
+                                        "sending_date", F.lit(None).cast("string").alias("drone_id"), "violation_code")), lake)
+        backfill_cube(spark, lake, cube)
+        analyse_lake(spark, lake, out, cube_path=cube, together=True)
+    label = {"top_code_per_season": F.concat("season", F.lit(" "), "violation_code")}
+    parts = [df.select(F.lit(n).alias("answer"), label.get(n, F.col(df.columns[0])).alias("label"), "number_of_violations", "percent")
+             for n, df in read_answers(spark, out).items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 # -- the four answers through the cube (Q5), over lineitem and events together --
 
 V_ALL = f"{V_SEASONS} union all {V_PERIODS}"

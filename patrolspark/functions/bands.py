@@ -1,7 +1,8 @@
 """Calendar labels: season of a date and period of the day.
 
 The four season bands tile the year and the two periods tile the day, so one
-label column replaces a filter per band.  Comparisons are done on integers
+label column replaces a filter per band.  The bands are data
+(``band_table``).  Comparisons are done on integers
 (``month*100 + day``, ``hour*60 + minute``) rather than formatted strings.
 The fields are the built-in calendar functions, in the session time zone.
 """
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from ..fixed import (AUTUMN_START, DAY_START_HHMM, NIGHT_START_HHMM, PERIOD_NAMES,
                      SEASON_NAMES, SPRING_START, SUMMER_START, WINTER_START)
 from ..util import as_col
+from .band_table import BandTable
 
 SEASONS = SEASON_NAMES
 PERIODS = PERIOD_NAMES
@@ -34,24 +36,24 @@ def minute_of_day(c) -> Column:
     return F.hour(c) * 60 + F.minute(c)
 
 
+#: The bands as data, in the order of their indices: name, start, end (month-day or minute of the day).
+SEASON_TABLE = BandTable.of([("winter", WINTER_START, SPRING_START), ("spring", SPRING_START, SUMMER_START),
+                             ("summer", SUMMER_START, AUTUMN_START), ("autumn", AUTUMN_START, WINTER_START)])
+PERIOD_TABLE = BandTable.of([("night", NIGHT_START, DAY_START), ("day", DAY_START, NIGHT_START)])
+if SEASON_TABLE.names != SEASONS or PERIOD_TABLE.names != PERIODS:
+    raise ImportError("band indices must follow the fixed names")
+
+
 def season_index(c) -> Column:
     """Season of a timestamp as 0 winter, 1 spring, 2 summer, 3 autumn; null
     for a null timestamp.  Grouping on this small integer is cheaper than on
     the name; ``season_name`` turns it into the name after aggregation."""
-    x = month_day(c)
-    return (F.when(as_col(c).isNull(), F.lit(None).cast("int"))
-            .when((x >= WINTER_START) | (x < SPRING_START), F.lit(SEASONS.index("winter")))
-            .when(x < SUMMER_START, F.lit(SEASONS.index("spring")))
-            .when(x < AUTUMN_START, F.lit(SEASONS.index("summer")))
-            .otherwise(F.lit(SEASONS.index("autumn"))))
+    return SEASON_TABLE.index(month_day(c))
 
 
 def period_index(c) -> Column:
     """Period of a timestamp as 0 night, 1 day; null for a null timestamp."""
-    m = minute_of_day(c)
-    return (F.when(as_col(c).isNull(), F.lit(None).cast("int"))
-            .when((m >= NIGHT_START) | (m < DAY_START), F.lit(PERIODS.index("night")))
-            .otherwise(F.lit(PERIODS.index("day"))))
+    return PERIOD_TABLE.index(minute_of_day(c))
 
 
 def _name(idx, names) -> Column:

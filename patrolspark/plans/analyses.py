@@ -35,7 +35,7 @@ def labelled(rows: DataFrame) -> DataFrame:
         season_index(DATE).alias("season"), period_index(DATE).alias("period"), CODE)
 
 
-def _named(df: DataFrame) -> DataFrame:
+def named(df: DataFrame) -> DataFrame:
     """Replace band indices by names (after aggregation)."""
     cols = []
     for c in df.columns:
@@ -60,7 +60,7 @@ def season_share(rows: DataFrame) -> DataFrame:
     r = labelled(rows)
     keep = [SEASONS.index(s) for s in FIRST_ANALYSIS_SEASONS]
     counts = count_by(r, "season").where(F.col("season").isin(keep))
-    return _named(share_of_total(counts))
+    return named(share_of_total(counts))
 
 
 def top_codes(rows: DataFrame, k: int = TOP_CODES) -> DataFrame:
@@ -71,12 +71,12 @@ def top_codes(rows: DataFrame, k: int = TOP_CODES) -> DataFrame:
 
 def period_share(rows: DataFrame) -> DataFrame:
     """Q3: night against day."""
-    return _named(share_of_total(count_by(labelled(rows), "period")))
+    return named(share_of_total(count_by(labelled(rows), "period")))
 
 
 def top_code_per_season(rows: DataFrame) -> DataFrame:
     """Q4: most common code of each season, share of that season."""
-    return _named(top_per_group(count_by(labelled(rows), ["season", CODE]), "season"))
+    return named(top_per_group(count_by(labelled(rows), ["season", CODE]), "season"))
 
 
 # -- cube path (one scan for all four) -------------------------------------
@@ -86,7 +86,7 @@ def violation_cube(rows: DataFrame) -> DataFrame:
 
     At most 4 × 2 × distinct codes rows, whatever the input size.
     """
-    return _named(count_by(labelled(rows), ["season", "period", CODE]))
+    return named(count_by(labelled(rows), ["season", "period", CODE]))
 
 
 def _roll(cube: DataFrame, keys) -> DataFrame:
@@ -128,7 +128,13 @@ def run_all(rows: DataFrame, storage: StorageLevel = StorageLevel.MEMORY_AND_DIS
     If an executor holding cube blocks is lost, Spark recomputes them from
     lineage.
     """
-    cube = violation_cube(rows).persist(storage)
+    return answers_from(violation_cube(rows), storage)
+
+
+def answers_from(cube: DataFrame, storage: StorageLevel = StorageLevel.MEMORY_AND_DISK
+                 ) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The four answers from a cube; ``(results, persisted cube)`` as ``run_all``."""
+    cube = cube.persist(storage)
     results = {
         "season_share": season_share_from(cube),
         "top5_codes": top_codes_from(cube),

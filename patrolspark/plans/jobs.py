@@ -12,11 +12,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.conform import conform
-from ..schemas import KEYED, VIOLATION
-from ..sources.tables import read_table, write_result
+from ..schemas import KEYED
+from ..sources.lake import read_lake
+from ..sources.publish import publish, read_published
+from ..sources.tables import write_result
+from ..streaming.cube import read_cube
 from . import analyses as A
 
+#: Columns of the written answers.
+ANSWERS = {
+    "season_share": "season string, number_of_violations long, percent double",
+    "top5_codes": "violation_code string, number_of_violations long, percent double",
+    "period_share": "period string, number_of_violations long, percent double",
+    "top_code_per_season": "season string, violation_code string, number_of_violations long, percent double",
+}
+
+
 def result_order(key: str) -> list:
     """Final ordering of each written answer (count first, then label)."""
     n = F.col("number_of_violations").desc()
@@ -26,18 +37,6 @@ def result_order(key: str) -> list:
             "top_code_per_season": [F.col("season")]}[key]
 
 
-def read_lake(spark: SparkSession, lake_path: str, fmt: str = "parquet") -> DataFrame:
-    """The lake as VIOLATION rows: every file in the folder, whether a batch
-    wrote it or a plain append.  A CSV lake is untyped and headerless, so it
-    is read as text columns and conformed by position; other formats are
-    already typed."""
-    files = {"recursiveFileLookup": "true"}
-    if fmt != "csv":
-        return read_table(spark, lake_path, fmt, files, VIOLATION)
-    text = ", ".join(f"_c{i} string" for i in range(len(VIOLATION.fields)))
-    return conform(read_table(spark, lake_path, fmt, files, text), VIOLATION)
-
-
 def migrate_lake(spark: SparkSession, csv_lake: str, parquet_lake: str,
                  mode: str = "errorifexists") -> None:
     """One pass: an existing headerless-CSV lake → a typed Parquet lake.
@@ -51,18 +50,28 @@ def migrate_lake(spark: SparkSession, csv_lake: str, parquet_lake: str,
 
 def analyse_lake(spark: SparkSession, lake_path: str, out_dir: str | None = None,
                  lake_format: str = "parquet", result_format: str = "csv",
-                 header: bool = False) -> dict:
+                 header: bool = False, cube_path: str | None = None, together: bool = False) -> dict:
     """Run the four analyses over the lake in one scan; write each answer as
     one file under ``out_dir/<name>`` if given (CSV without a header by
-    default, as the original system wrote them).  Returns the rows."""
-    results, cube = A.run_all(read_lake(spark, lake_path, lake_format))
+    default, as the original system wrote them).  Returns the rows.
+
+    With ``cube_path``, the partial cubes kept there by the lake's writers answer
+    instead, and the lake is not read.  ``together`` publishes the four answers as
+    one set (``sources.publish``): readers see all of this run or all of the last.
+    """
+    if cube_path:
+        results, cube = A.answers_from(read_cube(spark, cube_path))
+    else:
+        results, cube = A.run_all(read_lake(spark, lake_path, lake_format))
     try:
         cube.count()  # one scan of the lake fills the cached cube
         ordered = {k: df.orderBy(*result_order(k)) for k, df in results.items()}
         opts = {"header": str(header).lower()} if result_format == "csv" else None
+        if out_dir and together:
+            publish(spark, out_dir, ordered, result_format, opts, each=A.run_concurrently)
 
         def answer(k: str, df: DataFrame):
-            if out_dir:
+            if out_dir and not together:
                 write_result(df, f"{out_dir.rstrip('/')}/{k}", result_format, opts)
             return df.collect()  # ≤ 5 rows each
 
@@ -71,6 +80,12 @@ def analyse_lake(spark: SparkSession, lake_path: str, out_dir: str | None = None
         cube.unpersist()
 
 
+def read_answers(spark: SparkSession, out_dir: str, header: bool = False) -> dict[str, DataFrame]:
+    """The four answers of the set published last under ``out_dir``, all of one run."""
+    opts = {"header": str(header).lower()}
+    return read_published(spark, out_dir, ANSWERS, opts)
+
+
 def message_source(spark: SparkSession, topic: str | None = None, servers: str | None = None,
                    directory: str | None = None, max_per_trigger: int | None = None,
                    min_partitions: int | None = None) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fixed import RAW_SUFFIX
 from ..functions.parse import field, split_fields
+from ..functions.paths import plain_path
 from ..schemas import RAW
 
 # A streaming file source ignores a new file whose modification time is more
@@ -23,7 +24,7 @@ def raw_files(spark: SparkSession, directory: str, suffix: str = RAW_SUFFIX,
               streaming: bool = False, schema: T.StructType = RAW,
               max_files_per_trigger: int | None = None,
               max_file_age: str = HISTORIC_MAX_FILE_AGE,
-              archive_dir: str | None = None) -> DataFrame:
+              archive_dir: str | None = None, source: str | None = None) -> DataFrame:
     """Plain ``*.<suffix>`` files of one directory (no recursion) as RAW rows.
 
     Files are read as lines and split by the same rule as single lines
@@ -32,7 +33,7 @@ def raw_files(spark: SparkSession, directory: str, suffix: str = RAW_SUFFIX,
     is data (its date fails to parse and the record is dropped later as
     undated); short lines give null fields, long lines are cut.  The text
     reader splits files into blocks, so one huge file still spreads over many
-    tasks.
+    tasks.  ``source`` names a column that carries each line's file along.
     """
     reader = spark.readStream if streaming else spark.read
     reader = (reader.format("text")
@@ -45,7 +46,10 @@ def raw_files(spark: SparkSession, directory: str, suffix: str = RAW_SUFFIX,
         if archive_dir:
             reader = (reader.option("cleanSource", "archive")
                       .option("sourceArchiveDir", archive_dir))
-    return raw_records(reader.load(directory), "value", schema)
+    lines = reader.load(directory)
+    if source is None:
+        return raw_records(lines, "value", schema)
+    return raw_records(lines.withColumn(source, plain_path(F.col("_metadata.file_path"))), "value", schema, keep=(source,))
 
 
 def unquoted(c: Column) -> Column:
@@ -55,8 +59,29 @@ def unquoted(c: Column) -> Column:
 
 
 def raw_records(lines: DataFrame, line_col: str = "line",
-                schema: T.StructType = RAW) -> DataFrame:
+                schema: T.StructType = RAW, keep: tuple[str, ...] = ()) -> DataFrame:
     """A frame of text lines → RAW rows; ``raw_files`` uses the same rule."""
-    parts = lines.select(split_fields(F.col(line_col)).alias("__parts"))
+    parts = lines.select(split_fields(F.col(line_col)).alias("__parts"), *keep)
     return parts.select(*[unquoted(field("__parts", i)).alias(f.name)
-                          for i, f in enumerate(schema.fields)])
+                          for i, f in enumerate(schema.fields)], *keep)
+
+
+def numbered_lines(spark: SparkSession, paths: list[str], store: str) -> DataFrame:
+    """(path, line, value): every line of some files with its number in the file, from 0.
+
+    The text reader gives each line's block, and the lines of a block in order.
+    They are stored under ``store`` once, so that numbers and lines come from one
+    reading even while a file grows; then a block's first number is the count of
+    lines in the blocks before it.  No file passes through one task.
+    """
+    path = plain_path(F.col("_metadata.file_path"))
+    (spark.read.text(paths).select(
+        path.alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), "value").write.mode("overwrite").parquet(store))
+    lines = spark.read.parquet(store)
+    blocks = lines.groupBy("path", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(F.col("path").alias("b_path"), F.col("block").alias("b_block"), "first",
+                           F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))  # a few rows a file
+    lines = lines.join(blocks, (F.col("path") == F.col("b_path")) & (F.col("block") == F.col("b_block")))
+    return lines.select("path", (F.col("before") + F.col("at") - F.col("first")).alias("line"), "value")

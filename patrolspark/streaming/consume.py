@@ -11,7 +11,7 @@ is kept inside the checkpoint, so a fresh checkpoint (whose batch ids start
 again at 0) never overwrites the rows of an earlier run; it starts with its
 creation time, so runs have an order too.
 
-``compact_output`` rewrites a run's closed batches into one partition and
+``compact_output`` rewrites a run's committed batches into one partition and
 keeps only the latest row of each image id, which bounds the number of folders
 and the history an image read goes through.
 """
@@ -28,7 +28,7 @@ from ..functions.alerts import ALERT_SUBJECT, alert_body
 from ..operators.images import latest_images
 from ..operators.messages import decode_all
 from ..schemas import STANDARD, VIOLATION
-from .idempotent import is_missing, refuse_sink_log, run_id, write_batch_table
+from .idempotent import is_missing, last_commit, refuse_sink_log, run_id, write_batch_table
 
 TABLES = ("standard", "violation", "images", "alerts", "rejects")
 KINDS = {"standard": "standard", "violation": "violation", "images": "image",
@@ -155,30 +155,47 @@ def image_store(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> Data
     return latest_images(read_output(spark, out_dir, "images", fmt), order=IMAGE_ORDER)
 
 
-def compact_output(spark: SparkSession, out_dir: str, rid: str, upto: int,
-                   fmt: str = "parquet", remove: bool = True) -> None:
-    """Merge the batches of run ``rid`` up to ``upto`` (all closed) into one partition.
+def compact_output(spark: SparkSession, out_dir: str, checkpoint: str, upto: int | None = None,
+                   fmt: str = "parquet", remove: bool = True) -> int | None:
+    """Merge the batches of the checkpoint's run up to ``upto`` into one partition.
 
-    Images keep their latest row per id.  Readers switch over when the
-    compaction's record is written, after its rows are; ``remove`` then
-    deletes the merged batches.  A run that stops anywhere can simply be
-    repeated.
+    ``upto`` is the last batch in the checkpoint's commit log, or one before it:
+    a later batch, which may still be written or replayed, is refused, because its
+    rows would be taken for merged ones.  Images keep their latest row per id.
+    Readers switch over when the compaction's record is written, after its rows
+    are; ``remove`` then deletes the merged batches.  A run that stops anywhere can
+    simply be repeated, beside a running consumer too.  Returns the batch it
+    reached; none if there is nothing to merge.
     """
     out = out_dir.rstrip("/")
+    last = last_commit(spark, checkpoint)
+    if upto is not None and (last is None or upto > last):
+        raise ValueError(f"batch {upto} is not committed; the last one is {last}")
+    upto = last if upto is None else upto
+    if upto is None:
+        return None
+    rid = run_id(spark, checkpoint)
+    known = _closed(spark, out).where(F.col("c_run") == rid).first()
+    if known is None or known["upto"] < upto:
+        _merge_batches(spark, out, rid, upto, fmt)
+    else:
+        upto = known["upto"]
+    if remove:
+        _remove_batches(spark, f"{out}/messages/run_id={rid}", lambda b: b <= upto)
+        _remove_batches(spark, f"{out}/compacted/run_id={rid}", lambda b: b < upto)
+    return upto
+
+
+def _merge_batches(spark: SparkSession, out: str, rid: str, upto: int, fmt: str) -> None:
+    """Write the merged rows, then the record that makes readers take them."""
     rows = _everything(spark, out, fmt).where(
         (F.col("run_id") == rid) & (F.col("batch_id") <= upto))
-    images = rows.where(F.col("kind") == "image")
-    spot = F.struct(*IMAGE_ORDER)
-    names = [f.name for f in _SCHEMA.fields]
-    last = images.groupBy("image_id").agg(F.max_by(F.struct(*names), spot).alias("r")).select("r.*")
+    last = latest_images(rows.where(F.col("kind") == "image"), content=None, order=IMAGE_ORDER)
     packed = rows.where(F.col("kind") != "image").unionByName(last)
     write_batch_table(packed.drop("run_id", "batch_id"), f"{out}/compacted", rid, upto, fmt,
                       also_by=("kind",))
     (spark.createDataFrame([(rid, upto)], "run_id string, upto long").coalesce(1)
      .write.mode("append").json(f"{out}/compactions"))
-    if remove:
-        _remove_batches(spark, f"{out}/messages/run_id={rid}", lambda b: b <= upto)
-        _remove_batches(spark, f"{out}/compacted/run_id={rid}", lambda b: b < upto)
 
 
 def _remove_batches(spark: SparkSession, path: str, old) -> None:

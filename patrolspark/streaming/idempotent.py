@@ -46,6 +46,18 @@ def run_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.text(path).first()[0]
 
 
+def last_commit(spark: SparkSession, checkpoint: str) -> int | None:
+    """The last batch that the checkpoint's commit log holds; none before the first."""
+    try:
+        log = spark.read.text(checkpoint.rstrip("/") + "/commits", wholetext=True)
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        return None
+    name = F.col("_metadata.file_name")
+    return log.where(name.rlike("^[0-9]+$")).agg(F.max(name.cast("long"))).first()[0]
+
+
 def refuse_sink_log(spark: SparkSession, path: str) -> None:
     """Raise if ``path`` holds a file sink's log: readers then see only what the
     log lists, so batches written beside it would be invisible."""

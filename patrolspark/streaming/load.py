@@ -13,17 +13,23 @@ one.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..fixed import HISTORIC_KEY, HISTORIC_TOPIC
-from ..operators.conform import to_violation
+from ..operators.conform import LINE_CLASSES, line_class, to_violation
 from ..operators.messages import checked, good, rejects
+from ..schemas import VIOLATION
 from ..sources.kafka import keyed_payload
 from ..sources.raw import RAW_SUFFIX, raw_files
+from .cube import add_batch
 from .idempotent import refuse_sink_log, run_id, write_batch_table
+from .ledger import SOURCE, changed_since, note_batch
+
+CLASS = "line_class"
+_METRICS = ", ".join(f"{c} long" for c in ("lines", *LINE_CLASSES))
 
 
 def _start(stream: DataFrame, on_batch, checkpoint: str, available_now: bool,
@@ -55,7 +61,8 @@ def load_historic(spark: SparkSession, src_dir: str, lake_path: str, checkpoint:
                   options: dict[str, str] | None = None,
                   wait: bool = True,
                   processing_time: str | None = None,
-                  archive_dir: str | None = None) -> StreamingQuery:
+                  archive_dir: str | None = None, metrics_path: str | None = None,
+                  cube_path: str | None = None, ledger_path: str | None = None) -> StreamingQuery:
     """Parse every new ``*.<suffix>`` file of ``src_dir`` into the lake.
 
     By default the backlog is loaded and the query stops (``availableNow``);
@@ -64,42 +71,53 @@ def load_historic(spark: SparkSession, src_dir: str, lake_path: str, checkpoint:
     the original system; Parquet (default) keeps real timestamps so later
     scans push filters and read two columns out of six.  ``archive_dir`` moves
     finished files away, so that a standing load need not remember them all.
+
+    Every batch also leaves one row of ``read_metrics`` (``<lake>_metrics`` by
+    default): its lines by ``LINE_CLASSES``, observed while the lake is written.
+    ``cube_path`` keeps the partial cubes of ``streaming.cube``, ``ledger_path``
+    the loaded lines of each file for ``streaming.ledger.load_grown`` (lake rows
+    then name their file in a further column).
     """
     raw = raw_files(spark, src_dir, suffix, streaming=True,
-                    max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir)
+                    max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir,
+                    source=SOURCE if ledger_path else None)
     refuse_sink_log(spark, lake_path)
     rid = run_id(spark, checkpoint)
+    metrics = metrics_path or lake_path.rstrip("/") + "_metrics"
+    rows = to_violation(raw, noon, keep=(line_class(noon).alias(CLASS), *([SOURCE] if ledger_path else [])))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        write_batch_table(lake_rows(batch, fmt), lake_path, rid, batch_id, fmt, options)
+        seen = Observation()
+        kinds = [F.count_if(F.col(CLASS) == c).alias(c) for c in LINE_CLASSES]
+        batch = batch.observe(seen, F.count(F.lit(1)).alias("lines"), *kinds)
+        keep = [f.name for f in VIOLATION.fields] + ([SOURCE] if ledger_path else [])
+        write_batch_table(lake_rows(batch.select(*keep), fmt), lake_path, rid, batch_id, fmt, options)
+        found = seen.get
+        row = [tuple(found[c] for c in ("lines", *LINE_CLASSES))]
+        write_batch_table(spark.createDataFrame(row, _METRICS).coalesce(1), metrics, rid, batch_id)
+        if cube_path:
+            add_batch(spark, lake_path, cube_path, rid, batch_id, fmt)
+        if ledger_path and found["lines"]:
+            note_batch(spark, lake_path, ledger_path, rid, batch_id, fmt)
+
+    return _start(rows, on_batch, checkpoint, processing_time is None, processing_time, wait)
 
-    return _start(to_violation(raw, noon), on_batch, checkpoint, processing_time is None,
-                  processing_time, wait)
+
+def read_metrics(spark: SparkSession, metrics_path: str) -> DataFrame:
+    """One row a batch: its lines, and how many of them are of each class."""
+    return spark.read.schema(f"{_METRICS}, run_id string, batch_id long").parquet(metrics_path)
 
 
 def grown_files(spark: SparkSession, src_dir: str, checkpoint: str,
                 suffix: str = RAW_SUFFIX) -> DataFrame:
     """Files of ``src_dir`` that changed after a load had read them: path, loaded, changed.
 
-    A load reads each file once, so lines added later are not in the lake;
-    this report finds such files.  ``loaded`` and ``changed`` are the
-    modification times in epoch milliseconds, from the load's own source log
-    and from the folder now.
+    A load reads each file once; lines added later come with ``load_grown`` if
+    the load keeps a ledger, and this report finds such files.  ``loaded`` and
+    ``changed`` are the modification times in epoch milliseconds, from the
+    load's own source log and from the folder now.
     """
-    log = (spark.read.option("recursiveFileLookup", "true")
-           .text(checkpoint.rstrip("/") + "/sources").where(F.col("value").startswith("{")))
-    entry = F.from_json("value", "path string, timestamp long")
-    seen = log.select(entry.alias("e")).groupBy(F.expr("url_decode(e.path)").alias("path")).agg(
-        F.max("e.timestamp").alias("loaded"))
-    now = (spark.read.format("binaryFile").option("pathGlobFilter", f"*.{suffix}")
-           .load(src_dir).select(F.expr("url_decode(path)").alias("now_path"),
-                                 F.unix_millis("modificationTime").alias("changed")))
-
-    def bare(c):  # file:/x and file:///x are one path
-        return F.regexp_replace(c, "^([a-zA-Z0-9]+):/+", "$1:/")
-
-    return (seen.join(now, bare("path") == bare("now_path"))
-            .where("changed > loaded").select("path", "loaded", "changed"))
+    return changed_since(spark, src_dir, checkpoint, suffix)
 
 
 def historic_messages(spark: SparkSession, src_dir: str, suffix: str = RAW_SUFFIX,
@@ -133,14 +151,16 @@ def save_violations(stream: DataFrame, lake_path: str, checkpoint: str,
                     fmt: str = "parquet", available_now: bool = True,
                     processing_time: str | None = None,
                     options: dict[str, str] | None = None,
-                    wait: bool = True, rejects_path: str | None = None) -> StreamingQuery:
+                    wait: bool = True, rejects_path: str | None = None,
+                    cube_path: str | None = None) -> StreamingQuery:
     """Keyed stream of violation JSON → lake and rejects.
 
     Batch size is set on the source (``maxOffsetsPerTrigger`` for a topic,
     ``maxFilesPerTrigger`` for files).  Undecodable messages go to
     ``rejects_path`` (``<lake>_rejects`` by default), never away.  Each
     micro-batch is decoded once and written to both tables through idempotent
-    ``run_id/batch_id`` partitions.
+    ``run_id/batch_id`` partitions.  ``cube_path`` keeps the partial cubes of
+    ``streaming.cube``.
     """
     spark = stream.sparkSession
     rejects_path = rejects_path or lake_path.rstrip("/") + "_rejects"
@@ -158,5 +178,7 @@ def save_violations(stream: DataFrame, lake_path: str, checkpoint: str,
             write_batch_table(rejects(c, keep), rejects_path, rid, batch_id)
         finally:
             c.unpersist()
+        if cube_path:
+            add_batch(spark, lake_path, cube_path, rid, batch_id, fmt)
 
     return _start(stream, on_batch, checkpoint, available_now, processing_time, wait)

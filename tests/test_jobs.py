@@ -100,3 +100,31 @@ def test_lake_scan_pushes_filter_and_reads_two_columns(spark, tmp_dir):
     assert "PushedFilters: [IsNotNull(sending_date)]" in plan
     assert "ReadSchema: struct<sending_date:timestamp,violation_code:string>" in plan
     assert cube.collect()[0].number_of_violations == 1
+
+
+def test_cli_upkeep(spark, tmp_dir, capsys):
+    """load with cube and ledger, grown, compact, backfill and analyse from the cube."""
+    import os
+
+    from patrolspark.__main__ import main
+    from patrolspark.plans.jobs import read_answers, read_lake
+    d = {n: f"{tmp_dir}/{n}" for n in ("src", "lake", "ckpt", "cube", "ledger", "out")}
+    os.makedirs(d["src"])
+    line = ",".join(["1", "p", "x", "NY", "05/04/2016", "21"] + ["x"] * 13 + ["0143P", "z"]) + "\n"
+    keep = ["--lake", d["lake"], "--cube", d["cube"]]
+    load = ["load", "--src", d["src"], "--checkpoint", d["ckpt"], "--ledger", d["ledger"], *keep]
+    for k in range(3):
+        with open(f"{d['src']}/{k}.csv", "w") as f:
+            f.write(line * (k + 1))
+        main(load)
+    with open(f"{d['src']}/0.csv", "a") as f:
+        f.write(line)
+    t = os.stat(f"{d['src']}/0.csv").st_mtime + 10
+    os.utime(f"{d['src']}/0.csv", (t, t))
+    main(["grown", "--src", d["src"], "--checkpoint", d["ckpt"], "--ledger", d["ledger"], *keep])
+    main(["compact", *keep, "--remove"])
+    main(["backfill", *keep])
+    assert read_lake(spark, d["lake"]).count() == 7
+    main(["analyse", *keep, "--out", d["out"], "--together"])
+    assert [tuple(r) for r in read_answers(spark, d["out"])["top5_codes"].collect()] == [("21", 7, 100.0)]
+    assert capsys.readouterr().out.split("\n")[:3] == ["1", "1", "0"]

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from patrolspark.schemas import KEYED
@@ -222,8 +223,8 @@ def test_stream_without_position_is_refused(spark, tmp_dir):
         write_batch(batch, f"{tmp_dir}/out", "/img", "run", 0)
 
 
-def _image(content, offset):
-    return ("VIOLATION_IMAGE", '{"image_id":"i","content":"%s"}' % content, 0, offset)
+def _image(content, offset, image_id="i"):
+    return ("VIOLATION_IMAGE", '{"image_id":"%s","content":"%s"}' % (image_id, content), 0, offset)
 
 
 def test_latest_image_in_any_write_order(spark, tmp_dir):
@@ -239,8 +240,18 @@ def _folders(path):
     return sum(d.startswith("batch_id=") for _, names, _ in os.walk(path) for d in names)
 
 
+def _committed(spark, ckpt, rid, upto):
+    """A checkpoint whose commit log ends with ``upto``."""
+    os.makedirs(f"{ckpt}/commits", exist_ok=True)
+    for b in range(upto + 1):
+        _write(f"{ckpt}/commits/{b}", ["v1", "{}"])
+    if not os.path.exists(f"{ckpt}/patrolspark_run_id"):
+        spark.createDataFrame([(rid,)], "value string").write.text(f"{ckpt}/patrolspark_run_id")
+
+
 def test_compaction_keeps_the_tables(spark, tmp_dir):
-    out = f"{tmp_dir}/out"
+    out, ckpt = f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    _committed(spark, ckpt, "1-run", 3)
     for b in range(4):
         rows = [("STANDARD_MESSAGE", STD, 0, 10 * b), ("VIOLATION_MESSAGE", VIO, 0, 10 * b + 1),
                 _image(f"c{b}", 10 * b + 2), ("OTHER", "{}", 0, 10 * b + 3)]
@@ -253,16 +264,53 @@ def test_compaction_keeps_the_tables(spark, tmp_dir):
 
     before = seen()
     assert _folders(out) == 4
-    compact_output(spark, out, "1-run", 1)
+    compact_output(spark, out, ckpt, 1)
     assert seen() == before and _folders(out) == 3       # one merged, two live
-    compact_output(spark, out, "1-run", 1)               # a repeat changes nothing
-    compact_output(spark, out, "1-run", 2)
+    compact_output(spark, out, ckpt, 1)                  # a repeat changes nothing
+    compact_output(spark, out, ckpt, 2)
     assert seen() == before and _folders(out) == 2
     assert read_output(spark, out, "images").count() == 2  # the latest of the merged, the live one
     write_batch(spark.createDataFrame([_image("new", 99)], KEYED), out, "/img", "1-run", 4)
     assert [r.content for r in image_store(spark, out).collect()] == ["new"]
 
 
+def test_compaction_stops_at_the_commit_log(spark, tmp_dir):
+    """Batches after the last committed one are never taken for merged ones."""
+    out, ckpt = f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+
+    def batch(b):
+        write_batch(spark.createDataFrame([_image(f"c{b}-{k}", 10 * b + k, f"i{b}-{k}") for k in range(4)], KEYED),
+                    out, "/img", "1-run", b)
+
+    _committed(spark, ckpt, "1-run", 2)
+    for b in range(3):
+        batch(b)
+    with pytest.raises(ValueError, match="not committed"):
+        compact_output(spark, out, ckpt, 5)
+    batch(3)                                             # written, not committed: a replay may follow
+    assert compact_output(spark, out, ckpt) == 2
+    assert image_store(spark, out).count() == 16
+    batch(3)
+    _committed(spark, ckpt, "1-run", 3)
+    assert image_store(spark, out).count() == 16
+    assert compact_output(spark, out, ckpt) == 3 and compact_output(spark, out, ckpt, 1) == 3
+    batch(4)
+    assert image_store(spark, out).count() == 20
+    assert compact_output(spark, out, f"{tmp_dir}/none") is None
+    with pytest.raises(ValueError, match="not committed"):
+        compact_output(spark, out, f"{tmp_dir}/none", 0)
+
+
+def test_compaction_beside_a_real_consumer(spark, tmp_dir):
+    src, out, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    for b in range(4):
+        spark.createDataFrame([_image(f"c{b}", b, f"i{b}")], KEYED).coalesce(1).write.mode("append").json(src)
+        consume_messages(spark.readStream.schema(KEYED).json(src), out, ckpt, "/img", available_now=True)
+        if b % 2:
+            assert compact_output(spark, out, ckpt) == b
+        assert image_store(spark, out).count() == b + 1
+
+
 def test_unreadable_output_is_an_error_not_an_empty_table(spark, tmp_dir):
     import pytest
     out = f"{tmp_dir}/out"
