@@ -101,9 +101,8 @@ def _plan(spark: SparkSession, sizes, shards: int, blocks: int, seed: int, **how
         s.quota = int(np.ceil(s.target * blocks / s.size - 1e-9)) if s.size else 0
     per_shard = split([s.quota for s in plan], shards, seed)
     upper = per_shard.cumsum(axis=0)
-    rows = [(s.name, s.size, s.target, s.quota, [int(x) for x in upper[:, i]]) for i, s in enumerate(plan)]
-    return spark.createDataFrame(
-        rows, "p_source string, source_size long, target double, quota long, upper array<long>")
+    rows = [(s.name, s.size, s.target, [int(x) for x in upper[:, i]]) for i, s in enumerate(plan)]
+    return spark.createDataFrame(rows, "p_source string, source_size long, target double, upper array<long>")
 
 
 def draws(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
@@ -142,7 +141,7 @@ def _draw(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
     """``draws`` with a column of hashes, its name, and the pieces that keep a shard's parts at PIECE_WORDS or so."""
     n = draw_names(docs)
     i = {x: free_name(docs, f"__{x}") for x in ("h", "bucket", "before", "mid", "until", "src", "id",
-                                                "p_source", "quota", "upper", "first", "words", "at", "part")}
+                                                "p_source", "upper", "first", "words", "at", "part")}
     docs = docs.withColumns({
         n["size"]: size_in_words(col(docs, text)), i["src"]: col(docs, source), i["id"]: col(docs, doc_id),
         i["h"]: F.md5(F.concat(F.lit(f"{seed}:"), col(docs, doc_id).cast("string")).cast("binary"))})
@@ -173,8 +172,7 @@ def _draw(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
                          F.coalesce(F.sum("n").over(before), F.lit(0)).alias(i["before"]))
 
     side = plan.select(F.col("p_source").alias(i["p_source"]), F.col("source_size").alias(n["source_size"]),
-                       F.col("target").alias(n["target"]), F.col("quota").alias(i["quota"]),
-                       F.col("upper").alias(i["upper"]), "buckets")
+                       F.col("target").alias(n["target"]), F.col("upper").alias(i["upper"]), "buckets")
     # plan has one row a source: MAX_SOURCES rows bound both broadcasts
     full = docs.join(F.broadcast(side), F.col(i["src"]).eqNullSafe(F.col(i["p_source"])))
     full = full.withColumn(i["bucket"], bucket(F.col(i["h"]))).drop("buckets")
@@ -187,7 +185,8 @@ def _draw(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
         at = F.col(i["mid"]) + epoch * F.col(n["source_size"])
         block = F.floor(F.col(i["mid"]) * blocks / F.col(n["source_size"])) + epoch * blocks
         shard = F.size(F.filter(F.col(i["upper"]), lambda x: x <= block))
-        return F.when((size > 0) & (at < F.col(n["target"])) & (block < F.col(i["quota"])), shard)
+        # a block beyond the leaves of all shards is not drawn: the last leaf ends with the quota
+        return F.when((size > 0) & (at < F.col(n["target"])) & (shard < shards), shard)
 
     last = int(np.ceil(how.get("cap", CAP)))
     full = full.withColumn(n["shards"], F.array_compact(F.array(*[shard_of(e) for e in range(last)])))
