@@ -10,10 +10,13 @@ of all passes are united.
 The number of passes is measured for each label.  A sample of its vectors
 (``SAMPLE_VALUES`` numbers at most) is sorted by the keys of one pass after the
 other; ``PROBES`` of them get a partner at exactly the threshold, half of the
-partners towards another vector of the label.  Passes are added until all but
-half of ``1 - RECALL`` of the partners have met their vector, or one linked to
-both, within the sample's share of a window.  A label that fits a window takes
-one pass, which compares all its pairs.
+partners towards another vector of the label.  Neighbours that link are united.
+Passes are added until all but half of ``1 - RECALL`` of the partners are in
+the component of their vector, be it that both met within the sample's share of
+a window or that links lead from one to the other: where most vectors of a label
+link, one or two passes do.  A label that fits a window takes one pass, which
+compares all its pairs.  A label that would take more than ``MOST_PASSES`` takes none:
+all its pairs are compared, tile by tile.
 
 The global order is exact and distributed: a range partitioned sort, the row
 counts of its partitions (one number a partition on the driver), and blocks of
@@ -40,7 +43,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import apart, col, cut, runs
@@ -53,6 +56,7 @@ BLOCK = 8192
 TILE = 2048
 BITS = 48
 LEAST_PASSES = 4
+MOST_PASSES = 256
 SAMPLE_VALUES = 1 << 22
 PROBES = 8192
 LEAST_GAP = 4
@@ -104,35 +108,68 @@ def _partners(x: np.ndarray, pick: np.ndarray, threshold: float, rng: np.random.
     return threshold * own + np.sqrt(1 - threshold ** 2) * way / np.maximum(length, 1e-300)
 
 
-def passes_needed(x: np.ndarray, centre: np.ndarray, n: int, threshold: float, recall: float, window: int) -> int:
-    """Passes for a label of ``n`` unit vectors with the sample ``x``, by planted partners at the threshold."""
+def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Give both ends of each link a-b, and all that is in their components, one label."""
+    while True:
+        low = np.minimum(label[a], label[b])
+        np.minimum.at(label, label[a], low)
+        np.minimum.at(label, label[b], low)
+        while True:
+            up = label[label]
+            if (up == label).all():
+                break
+            label[:] = up
+        open_ = label[a] != label[b]
+        if not open_.any():
+            return
+        a, b = a[open_], b[open_]
+
+
+def passes_needed(x: np.ndarray, centre: np.ndarray, n: int, threshold: float, recall: float, window: int,
+                  most: int = MOST_PASSES) -> int:
+    """Passes for a label of ``n`` unit vectors with the sample ``x``, by planted partners at the threshold; at most ``most + 1``."""
     rng = np.random.default_rng([SEED, n, len(x)])
     pick = rng.permutation(len(x))[:PROBES]
     y = _partners(x, pick, threshold, rng)
     gap = window * len(x) / n
     reach = max(gap, LEAST_GAP)
     centred, partner = x - centre, y - centre
+    label = np.arange(len(x) + len(y))
+    own = len(x) + np.arange(len(y))
     open_ = np.arange(len(pick))
     passes = 0
-    while len(open_) > (1 - recall) / 2 * len(pick) and x.shape[1] > 1:
-        keys, own = _pass_signs(centred, passes), _pass_signs(partner[open_], passes)
+    while len(open_) > (1 - recall) / 2 * len(pick) and x.shape[1] > 1 and passes <= most:
+        keys, mine = _pass_signs(centred, passes), _pass_signs(partner, passes)
         order = np.argsort(keys, kind="stable")
         rank = np.empty(len(x), dtype=np.int64)
         rank[order] = np.arange(len(x))
-        low, high = np.searchsorted(keys[order], own, "left"), np.searchsorted(keys[order], own, "right")
-        at = low + np.floor(rng.random(len(own)) * (high - low + 1)).astype(np.int64)
-        met = np.abs(rank[pick[open_]] + 0.5 - at) < reach
+        low, high = np.searchsorted(keys[order], mine, "left"), np.searchsorted(keys[order], mine, "right")
+        at = low + np.floor(rng.random(len(mine)) * (high - low + 1)).astype(np.int64)
+        met = np.abs(rank[pick] + 0.5 - at) < reach
+        a, b = [pick[met], order[:-1]], [own[met], order[1:]]
+        linked = [np.ones(met.sum(), dtype=bool), (x[order[:-1]] * x[order[1:]]).sum(axis=1) >= threshold]
         for side in (at - 1, at):  # the rows next to the partner
-            near = x[order[np.clip(side, 0, len(x) - 1)]]
-            met |= (((near * y[open_]).sum(axis=1) >= threshold) & ((near * x[pick[open_]]).sum(axis=1) >= threshold))
-        open_ = open_[~met]
+            near = order[np.clip(side, 0, len(x) - 1)]
+            a.append(near)
+            b.append(own)
+            linked.append((x[near] * y).sum(axis=1) >= threshold)
+        linked = np.concatenate(linked)
+        _unite(label, np.concatenate(a)[linked], np.concatenate(b)[linked])
+        open_ = np.flatnonzero(label[pick] != label[own])
         passes += 1
-    # a sample too thin for the window was measured with a wider one: one more sign must agree for each halving
-    length = np.sqrt((centred[pick] ** 2).sum(axis=1) * (partner ** 2).sum(axis=1))
-    cosine = (centred[pick] * partner).sum(axis=1) / np.maximum(length, 1e-300)
-    same = 1 - float(np.arccos(np.clip(cosine, -1, 1)).mean()) / np.pi
-    passes = int(np.ceil(passes / same ** np.log2(reach / gap)))
-    return max(passes, passes_for(n, threshold, recall, window))
+    if x.shape[1] > 1 and gap < reach:
+        # a sample too thin for the window was measured with a wider one: one more sign must agree for each halving
+        length = np.sqrt((centred[pick] ** 2).sum(axis=1) * (partner ** 2).sum(axis=1))
+        cosine = (centred[pick] * partner).sum(axis=1) / np.maximum(length, 1e-300)
+        same = 1 - float(np.arccos(np.clip(cosine, -1, 1)).mean()) / np.pi
+        passes = int(np.ceil(passes / same ** np.log2(reach / gap)))
+    least = passes_for(n, threshold, recall, window) if _alone(label, len(x)) else LEAST_PASSES
+    return min(most + 1, max(passes, least))
+
+
+def _alone(label: np.ndarray, rows: int) -> bool:
+    """Whether most rows are linked to no other row, so that pairs meet by the window alone."""
+    return bool((np.bincount(label[:rows])[label[:rows]] == 1).mean() > 0.5)
 
 
 def _centres(reps: DataFrame) -> DataFrame:
@@ -158,13 +195,14 @@ def _beside(reps: DataFrame, labels: DataFrame) -> DataFrame:
     return reps.join(side, same).drop("l_dim", "l_label", "l_apart")
 
 
-def _label_passes(reps: DataFrame, centres: DataFrame, threshold: float, recall: float, window: int) -> DataFrame:
-    """``centres`` with the number of passes of each label."""
+def _label_passes(reps: DataFrame, centres: DataFrame, threshold: float, recall: float, window: int,
+                  most: int) -> DataFrame:
+    """``centres`` with the number of passes of each label; ``most + 1`` stands for too many."""
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in runs(batches, ["dim", "label"]):
             g = g.sort_values("rep")
             one = g.iloc[0]
-            need = passes_needed(_units(g["vec"]), np.asarray(one["centre"]), int(one["n"]), threshold, recall, window)
+            need = passes_needed(_units(g["vec"]), np.asarray(one["centre"]), int(one["n"]), threshold, recall, window, most)
             yield pd.DataFrame({"p_dim": [one["dim"]], "p_label": [one["label"]], "passes": [need]})
 
     grain = 1 << 30
@@ -175,7 +213,7 @@ def _label_passes(reps: DataFrame, centres: DataFrame, threshold: float, recall:
     found = rows.select("rep", "dim", "label", "vec", "n", "centre").mapInPandas(
         apply, "p_dim int, p_label string, passes int")
     same = (F.col("dim") == F.col("p_dim")) & (F.col("label") == F.col("p_label"))
-    return centres.join(found, same, "left").select("dim", "label", "centre", F.coalesce("passes", F.lit(1)).alias("passes"))
+    return centres.join(found, same, "left").select("dim", "label", "n", "centre", F.coalesce("passes", F.lit(1)).alias("passes"))
 
 
 def _with_keys(reps: DataFrame, labels: DataFrame) -> DataFrame:
@@ -231,9 +269,17 @@ def _window_links(threshold: float, window: int, block: int):
 
 
 def links(reps: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, window: int = WINDOW,
-          block: int = BLOCK) -> DataFrame:
+          block: int = BLOCK, most: int = MOST_PASSES) -> DataFrame:
     """Links (a, b) with the components of all pairs found over (rep, label, dim, vec)."""
-    labels = cut(_label_passes(reps, cut(_centres(reps)), threshold, recall, window))
+    labels = cut(_label_passes(reps, cut(_centres(reps)), threshold, recall, window, most))
+    found = _window_pass(reps, labels.where(F.col("passes") <= most).drop("n"), threshold, window, block)
+    wide = labels.where(F.col("passes") > most)
+    if wide.isEmpty():
+        return found
+    return found.unionAll(_all_pairs(reps, wide, threshold, block))
+
+
+def _window_pass(reps: DataFrame, labels: DataFrame, threshold: float, window: int, block: int) -> DataFrame:
     ranks = _ranked(_with_keys(reps, labels))
     spots = ranks.groupBy("rep").agg(F.collect_list(F.struct("pass", "rank")).alias("spots"))  # one a pass
     rows = reps.join(spots.withColumnRenamed("rep", "s_rep"), F.col("rep") == F.col("s_rep"))
@@ -245,6 +291,29 @@ def links(reps: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
     return rows.mapInPandas(_window_links(threshold, window, block), "a long, b long")
 
 
+def _tiled(rows: DataFrame, tiles: Column) -> DataFrame:
+    """``rows`` (with rep) once for each pair (x, y) of tiles that their own tile is in; a tile meets every tile once."""
+    rows = rows.withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
+    rows = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    return rows.withColumns({"x": F.least("tile", "o"), "y": F.greatest("tile", "o")}).drop("o", "tiles")
+
+
+def _all_pairs(reps: DataFrame, labels: DataFrame, threshold: float, tile: int) -> DataFrame:
+    """Links (a, b) with the components of all pairs of these labels; a task holds two tiles."""
+    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in runs(batches, ["dim", "label", "x", "y"]):
+            x, rep, found = _units(g["vec"]), g["rep"].to_numpy(), [(np.empty(0, np.int64),) * 2]
+            for a in range(0, len(g), 256):
+                i, j = np.nonzero(x[a:a + 256] @ x[a:].T >= threshold)
+                found.append((a + i[i < j], a + j[i < j]))
+            a, b = forest(rep, *(np.concatenate(p) for p in zip(*found, strict=True)))
+            yield pd.DataFrame({"a": a, "b": b})
+
+    rows = _tiled(_beside(reps, labels.select("dim", "label", "n")), F.ceil(F.col("n") / tile).cast("int"))
+    rows = rows.repartition("dim", "label", "x", "y").sortWithinPartitions("dim", "label", "x", "y")
+    return rows.mapInPandas(apply, "a long, b long")
+
+
 def _tile_counts(threshold: float):
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in runs(batches, ["component", "x", "y"]):
@@ -268,10 +337,9 @@ def _counts(members: DataFrame, threshold: float, tile: int) -> DataFrame:
     """(rep, links): vectors linked to each of (rep, component, vec, n), copies counted by n."""
     sizes = (members.groupBy("component").agg(F.count(F.lit(1)).alias("m"))
              .select(F.col("component").alias("s_c"), F.ceil(F.col("m") / tile).cast("int").alias("tiles")))
-    rows = members.join(sizes, F.col("component") == F.col("s_c"))
-    rows = rows.withColumn("tile", F.pmod(F.xxhash64("rep"), "tiles").cast("int"))
-    rows = rows.select("rep", "component", "vec", "n", "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("o"))
-    rows = rows.select("rep", "component", "vec", "n", "tile", F.least("tile", "o").alias("x"), F.greatest("tile", "o").alias("y"))
+    sizes = sizes.withColumn("s_apart", apart(F.col("s_c")))
+    rows = members.join(sizes, (F.col("component") == F.col("s_c")) & (apart(F.col("component")) == F.col("s_apart")))
+    rows = _tiled(rows.withColumnRenamed("tiles", "of"), F.col("of")).drop("of", "s_c", "s_apart")
     rows = rows.repartition("component", "x", "y").sortWithinPartitions("component", "x", "y")
     counted = rows.mapInPandas(_tile_counts(threshold), "rep long, links long")
     return counted.groupBy("rep").agg(F.sum("links").alias("links"))
@@ -281,7 +349,9 @@ def near_classes(vectors: DataFrame, embedding: str = "embedding", label: str =
                  threshold: float = THRESHOLD, recall: float = RECALL, window: int = WINDOW,
                  block: int = BLOCK, tile: int = TILE) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
-    vec = col(vectors, embedding).cast("array<double>")
+    vec = col(vectors, embedding)
+    if dict(vectors.dtypes)[embedding] != "array<float>":  # floats travel as such: half the bytes, and exact in doubles
+        vec = vec.cast("array<double>")
     rows = vectors.select(col(vectors, vec_id).cast("long").alias("vec_id"),
                           col(vectors, label).cast("string").alias("label"), vec.alias("vec"))
     finite = F.forall("vec", lambda v: v.isNotNull() & (F.abs(v) < float("inf")) & ~F.isnan(v))
