@@ -4,7 +4,15 @@ Quality classifier (rejected documents go), exact dedup, SimHash near-dedup (one
 document of each group stays), mixing sources to target weights (documents come
 as often as they are drawn), byte-level BPE.  Every stage works on all its
 predecessor kept and returns the columns of ``documents``; the last adds the
-token ids and whether they decode to the text.
+token ids, their number and whether they decode to the text.
+
+Defined cases: a null text counts as empty and stays null; empty texts are scored
+like others, are equal to each other, and have no words, so the mix takes none; a
+null source is a source, last in order; rows with null ids are kept apart by
+their texts and numbers; repeated rows are equal texts, of which one stays; very
+long texts pass whole; an empty table gives an empty result.  Further columns of
+``documents`` pass through under their names, whatever these are, and the added
+columns get underscores where a name is taken.
 """
 
 from __future__ import annotations
@@ -13,11 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patrolspark.llm import bpe, exact_dedup, mixing, quality, simhash
+from patrolspark.llm.common import col, free_name
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.score(docs, labels).where("predicted = 1").select(*docs.columns)
+    scored = quality.score(docs, labels)
+    return scored.where(col(scored, free_name(docs, "predicted")) == 1).select(*[col(scored, c) for c in docs.columns])
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,10 +43,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    coded = bpe.decode(bpe.encode(docs))
-    return coded.select(
-        *docs.columns, "ids", F.expr("octet_length(ids) div 4").alias("n_tokens"),
-        (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))
+    name = free_name(docs, "__coded")
+    out = bpe.round_trip(docs, out=name)
+    coded = col(out, name)
+    text = F.coalesce(col(out, "text"), F.lit("")).cast("binary")
+    return out.select(
+        *[col(out, c) for c in docs.columns], coded["ids"].alias(free_name(docs, "ids")),
+        F.floor(F.octet_length(coded["ids"]) / 4).cast("int").alias(free_name(docs, "n_tokens")),
+        (coded["decoded"] == text).alias(free_name(docs, "round_trip")))
 
 
 STAGES = [
