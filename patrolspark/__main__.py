@@ -82,6 +82,7 @@ def main(argv=None) -> None:
         s.add_argument("--once", action="store_true", help="process what is there, then stop")
         if name == "consume":
             s.add_argument("--image-dir", required=True)
+            s.add_argument("--redelivery", help="store a message that comes again within this time once, e.g. '1 hour'")
         else:
             s.add_argument("--rejects", help="table of undecodable messages (default: <out>_rejects)")
     args = p.parse_args(argv)
@@ -144,7 +145,7 @@ def main(argv=None) -> None:
         else:
             from .streaming.consume import consume_messages
             q = consume_messages(stream, args.out, args.checkpoint, args.image_dir,
-                                 available_now=args.once)
+                                 available_now=args.once, redelivery=args.redelivery)
         q.awaitTermination()
 
 

@@ -802,6 +802,26 @@ def q_stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_output(spark, _consumed(spark, sf_dir), "alerts").select("body")
 
 
+@register("stream_alerts_once", f"""
+select 'alerts' as "table", body as text from ({ORACLE_SQL["alert_text"]}) t
+union all select 'rejects', reason || ' ' || "offset" from ({ORACLE_SQL["reject_records"]}) r
+""")
+def q_stream_alerts_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts and rejects of a source that delivers every message twice, in different batches."""
+    from .schemas import KEYED
+    from .session import scratch_path
+    from .streaming.consume import consume_messages, read_output
+    src, out, ckpt = (scratch_path(spark, n) for n in ("msg_src", "msg_out", "msg_ckpt"))
+    messages = keyed_messages(spark, sf_dir)
+    for _ in range(2):
+        messages.write.mode("append").json(src)
+    stream = spark.readStream.schema(KEYED).option("maxFilesPerTrigger", "1").json(src)
+    consume_messages(stream, out, ckpt, IMAGE_DIR, available_now=True, redelivery="1 hour")
+    rejected = F.concat_ws(" ", "reason", F.col("offset").cast("string"))
+    return read_output(spark, out, "alerts").select(F.lit("alerts").alias("table"), F.col("body").alias("text")).unionAll(
+        read_output(spark, out, "rejects").select(F.lit("rejects"), rejected))
+
+
 @register("stream_rejects", ORACLE_SQL["reject_records"])
 def q_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .streaming.consume import read_output

@@ -26,14 +26,13 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import plain_path
 from ..operators.conform import conform
 from ..schemas import VIOLATION
-from .tables import read_table, write_table
+from .tables import path_exists, read_table, write_table
 
 PACKED = "_packed"
 #: A file below this share of the target is small.
@@ -128,12 +127,9 @@ def lake_files(spark: SparkSession, lake_path: str) -> DataFrame:
     """(path, length, run_id, batch_id) of every file that ``read_lake`` reads; run and batch null for other files."""
     lake = lake_path.rstrip("/")
     live = generations(spark, lake)
-    try:
-        files = spark.read.format("binaryFile").options(**_WHOLE).load(_roots(lake, live))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, lake):
         return spark.createDataFrame([], "path string, length long, run_id string, batch_id long")
+    files = spark.read.format("binaryFile").options(**_WHOLE).load(_roots(lake, live))
     path = plain_path(F.col("path"))
     inside = F.regexp_extract(path, r"/run_id=([^/]+)/batch_id=(\d+)/[^/]+$", 1)
     number = F.regexp_extract(path, r"/run_id=([^/]+)/batch_id=(\d+)/[^/]+$", 2)

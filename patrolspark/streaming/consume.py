@@ -18,7 +18,6 @@ and the history an image read goes through.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,7 +27,8 @@ from ..functions.alerts import ALERT_SUBJECT, alert_body
 from ..operators.images import latest_images
 from ..operators.messages import decode_all
 from ..schemas import STANDARD, VIOLATION
-from .idempotent import is_missing, last_commit, refuse_sink_log, run_id, write_batch_table
+from ..sources.tables import path_exists
+from .idempotent import last_commit, refuse_sink_log, run_id, write_batch_table
 
 TABLES = ("standard", "violation", "images", "alerts", "rejects")
 KINDS = {"standard": "standard", "violation": "violation", "images": "image",
@@ -75,17 +75,37 @@ def write_batch(batch: DataFrame, out_dir: str, image_dir: str, rid: str, batch_
         on_alerts(_view(rows, "alerts"), batch_id)
 
 
+def delivered_once(stream: DataFrame, within: str) -> DataFrame:
+    """``stream`` without messages whose position (partition, offset) already came within that time.
+
+    The clock is the arrival of a message: the time of its micro-batch, which the
+    checkpoint keeps, so a replayed batch decides alike.  By that clock no message
+    is ever late, so none is dropped for its age; state holds the positions of
+    the last ``within``, and a message delivered again after that counts as new.
+    """
+    arrived = "__arrived"
+    stream = stream.withColumn(arrived, F.current_timestamp()).withWatermark(arrived, within)
+    return stream.dropDuplicatesWithinWatermark(list(POSITION)).drop(arrived)
+
+
 def consume_messages(stream: DataFrame, out_dir: str, checkpoint: str, image_dir: str,
                      fmt: str = "parquet", available_now: bool = False,
                      processing_time: str | None = "10 seconds",
-                     wait: bool = False, on_alerts=None) -> StreamingQuery:
+                     wait: bool = False, on_alerts=None, redelivery: str | None = None) -> StreamingQuery:
     """Start the consumer.  ``stream`` has ``key, value, partition, offset``.
 
     Batch size is set on the source (``maxOffsetsPerTrigger`` or
     ``maxFilesPerTrigger``; the command line requires it): without it the
     first batch is the whole backlog.  ``on_alerts``: see ``write_batch``.
+
+    A batch that is replayed leaves its rows once anyway.  A message that the
+    source itself delivers twice is stored, and raises its alert, once if it comes
+    again within ``redelivery`` (e.g. ``"1 hour"``; see ``delivered_once``): this
+    shuffles every message once by position, so it is off by default.
     """
     spark = stream.sparkSession
+    if redelivery:
+        stream = delivered_once(stream, redelivery)
     refuse_sink_log(spark, f"{out_dir.rstrip('/')}/messages")
     rid = run_id(spark, checkpoint)
 
@@ -105,21 +125,16 @@ def consume_messages(stream: DataFrame, out_dir: str, checkpoint: str, image_dir
 
 def _stored(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     """Rows under ``path``; empty only if nothing has been written there yet."""
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(_SCHEMA).format(fmt).load(path)
-    except AnalysisException as error:
-        if not is_missing(error):
-            raise
-        return spark.createDataFrame([], _SCHEMA)
+    return spark.createDataFrame([], _SCHEMA)
 
 
 def _closed(spark: SparkSession, out: str) -> DataFrame:
     """(c_run, upto): the batches of each run that a finished compaction covers."""
-    try:
+    if path_exists(spark, f"{out}/compactions"):
         done = spark.read.schema("run_id string, upto long").json(f"{out}/compactions")
-    except AnalysisException as error:
-        if not is_missing(error):
-            raise
+    else:
         done = spark.createDataFrame([], "run_id string, upto long")
     return done.groupBy(F.col("run_id").alias("c_run")).agg(F.max("upto").alias("upto"))
 

@@ -15,7 +15,6 @@ partial yet, and reads only them.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +26,8 @@ from ..operators.metrics import COUNT
 from ..plans.analyses import CODE, DATE, named
 from ..schemas import VIOLATION
 from ..sources import lake as L
-from .idempotent import is_missing, write_batch_table
+from ..sources.tables import path_exists
+from .idempotent import write_batch_table
 
 #: A partial: band numbers (null for undated rows), code, codes counted, all rows.
 PARTIAL = "season int, period int, violation_code string, number_of_violations long, n_rows long"
@@ -54,12 +54,9 @@ def _rows(spark: SparkSession, paths: list[str], fmt: str) -> DataFrame:
 def batch_partial(spark: SparkSession, lake_path: str, rid: str, batch_id: int, fmt: str = "parquet") -> DataFrame:
     """Partial cube of one stored batch; reads its folder alone, and of Parquet two columns of six."""
     folder = f"{lake_path.rstrip('/')}/run_id={rid}/batch_id={batch_id}"
-    try:
-        rows = _rows(spark, [folder], fmt)
-    except AnalysisException as error:
-        if not is_missing(error):
-            raise
+    if not path_exists(spark, folder):
         return spark.createDataFrame([], PARTIAL)  # a batch without rows has no folder
+    rows = _rows(spark, [folder], fmt)
     return partial_counts(conform(rows) if fmt == "csv" else rows)
 
 
@@ -69,12 +66,9 @@ def add_batch(spark: SparkSession, lake_path: str, cube_path: str, rid: str, bat
 
 
 def _partials(spark: SparkSession, cube_path: str) -> DataFrame:
-    try:
+    if path_exists(spark, cube_path):
         return spark.read.schema(f"{PARTIAL}, {UNIT}").parquet(cube_path)
-    except AnalysisException as error:
-        if not is_missing(error):
-            raise
-        return spark.createDataFrame([], f"{PARTIAL}, {UNIT}")
+    return spark.createDataFrame([], f"{PARTIAL}, {UNIT}")
 
 
 def read_cube(spark: SparkSession, cube_path: str) -> DataFrame:

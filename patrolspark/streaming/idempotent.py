@@ -14,29 +14,19 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import CSV_TIMES
-
-
-def is_missing(error: AnalysisException) -> bool:
-    """Whether a read failed only because nothing is there yet."""
-    return error.getCondition() == "PATH_NOT_FOUND"
+from ..sources.tables import CSV_TIMES, path_exists
 
 
 def run_id(spark: SparkSession, checkpoint: str) -> str:
     """The run id stored in ``checkpoint`` (created on first use)."""
     path = checkpoint.rstrip("/") + "/patrolspark_run_id"
-    try:
+    if path_exists(spark, path):
         row = spark.read.text(path).first()
-    except AnalysisException as error:
-        if not is_missing(error):
-            raise
-        row = None  # not there yet: first start of this checkpoint
-    if row is not None:
-        return row[0]
+        if row is not None:
+            return row[0]
     # First start (or one interrupted before the id was written): the query
     # has not run yet, so no output can carry another id.
     # The creation time comes first, so that runs sort in the order they began.
@@ -48,12 +38,10 @@ def run_id(spark: SparkSession, checkpoint: str) -> str:
 
 def last_commit(spark: SparkSession, checkpoint: str) -> int | None:
     """The last batch that the checkpoint's commit log holds; none before the first."""
-    try:
-        log = spark.read.text(checkpoint.rstrip("/") + "/commits", wholetext=True)
-    except AnalysisException as error:
-        if not is_missing(error):
-            raise
+    path = checkpoint.rstrip("/") + "/commits"
+    if not path_exists(spark, path):
         return None
+    log = spark.read.text(path, wholetext=True)
     name = F.col("_metadata.file_name")
     return log.where(name.rlike("^[0-9]+$")).agg(F.max(name.cast("long"))).first()[0]
 

@@ -18,7 +18,6 @@ left alone (``grown_files`` reports them).
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +26,9 @@ from ..operators.conform import to_violation
 from ..session import scratch_path
 from ..sources.lake import create_once, names_in
 from ..sources.raw import RAW_SUFFIX, numbered_lines, raw_records
+from ..sources.tables import path_exists
 from .cube import add_batch
-from .idempotent import is_missing, run_id, write_batch_table
+from .idempotent import run_id, write_batch_table
 
 LEDGER = "path string, first long, lines long, run_id string, batch_id long"
 #: Column of a lake row that names its file, while a ledger is kept.
@@ -36,12 +36,9 @@ SOURCE = "source_file"
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
-    try:
+    if path_exists(spark, ledger_path):
         return spark.read.schema(LEDGER).parquet(ledger_path)
-    except AnalysisException as error:
-        if not is_missing(error):
-            raise
-        return spark.createDataFrame([], LEDGER)
+    return spark.createDataFrame([], LEDGER)
 
 
 def note_batch(spark: SparkSession, lake_path: str, ledger_path: str, rid: str, batch_id: int, fmt: str) -> None:

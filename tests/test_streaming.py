@@ -311,6 +311,20 @@ def test_compaction_beside_a_real_consumer(spark, tmp_dir):
         assert image_store(spark, out).count() == b + 1
 
 
+def test_one_alert_for_a_message_delivered_twice(spark, tmp_dir):
+    src, out, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    first = [("VIOLATION_MESSAGE", VIO, 0, 1), ("VIOLATION_MESSAGE", VIO, 0, 2), ("OTHER", "{}", 0, 3)]
+    again = [("VIOLATION_MESSAGE", VIO, 0, 2), ("VIOLATION_MESSAGE", VIO, 1, 2), ("OTHER", "{}", 0, 3), _image("c", 4)]
+    runs = []
+    for rows in (first, again, again):                   # each run a batch, and state across restarts
+        spark.createDataFrame(rows + rows[:1], KEYED).coalesce(1).write.mode("append").json(src)
+        stream = spark.readStream.schema(KEYED).json(src)
+        consume_messages(stream, out, ckpt, "/img", available_now=True, redelivery="1 hour",
+                         on_alerts=lambda df, _: runs.append(df.count()))
+    assert read_output(spark, out, "alerts").count() == 3 and sum(runs) == 3
+    assert read_output(spark, out, "rejects").count() == 1 and image_store(spark, out).count() == 1
+
+
 def test_unreadable_output_is_an_error_not_an_empty_table(spark, tmp_dir):
     import pytest
     out = f"{tmp_dir}/out"
