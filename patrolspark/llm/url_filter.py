@@ -1,6 +1,6 @@
 """URL filters by a bit-parallel wildcard automaton.
 
-Glob rules over the canonical URL (lower-cased host, then path) are packed side
+Glob rules over the URL (lower-cased host, then path) are packed side
 by side into one multiword Shift-And state: bit k of a pattern says that its
 first k elements have matched.  A character moves every pattern at once,
 ``S = ((S << 1) & move[c]) | (S & stay[c])``; ``stay`` holds the wildcard
@@ -9,28 +9,37 @@ step is a few vector operations over all URLs and all patterns.
 
 Globs: ``*`` any run of characters but ``/``, ``**`` any run, ``?`` one
 character but ``/``.  A rule ``host/path`` becomes the two globs ``host/path**``
-and ``*.host/path**``.
+and ``*.host/path**``, over the path as it is written.  The method's own globs see the
+canonical URL, whose path is percent-decoded once and has A-Z in lower case: words
+anywhere in a host, words that are a whole label of it, and words in a path.
+A host matches them with or without a path.
 
 Defined cases: a null URL, or one without ``://``, has host and path empty and
-gets the default verdict unless a rule says otherwise; an empty table gives an
-empty result; repeated rows get equal results; other columns pass through.
+gets the default verdict unless a rule says otherwise; very long URLs are matched
+whole, a bounded number of states at a time; bytes of a decoded path that are no
+UTF-8 match no word; an empty table gives an empty result; repeated rows get equal
+results; other columns pass through, and added ones get underscores where the
+name is taken.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, free_name, lower_ascii
+from .common import UPPER, col, free_name, lower_ascii
 
 #: Rules (verdict, host and path), fixed by the contract.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-#: The method's own globs for URLs that no rule fits: spam hosts, adult and betting words.
-BLOCK_GLOBS = ("*cheap-pills*/**", "*casino*/**", "*porn*/**", "*xxx*/**", "**/wp-login.php**", "**/viagra**")
+#: The method's own words for URLs that no rule fits: anywhere in a host, as a label of a host, in a path.
+HOST_WORDS = ("cheap-pills", "casino", "porn", "viagra", "free-ringtone", "payday-loan", "sportwetten", "camgirl")
+HOST_LABELS = ("xxx", "sex", "bet", "poker", "adult")
+PATH_WORDS = ("/wp-login.php", "/xmlrpc.php", "/viagra", "/cialis", "/casino", "/payday-loan")
 MAX_STATE_WORDS = 1 << 22  # URLs x words of one matrix
 
 WORD_BITS = 64
@@ -45,6 +54,17 @@ def path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
+def word_globs(words=HOST_WORDS, labels=HOST_LABELS, paths=PATH_WORDS) -> list[str]:
+    """Globs over canonical URLs for the method's words."""
+    hosts = [f"*{w}*" for w in words] + [f"{at}{w}{to}" for w in labels for at in ("", "*.") for to in ("", ".*")]
+    return [h + end for h in hosts for end in ("", "/**")] + [f"**{p}**" for p in paths]
+
+
+def canonical(path: str) -> str:
+    """A path percent-decoded once, A-Z in lower case."""
+    return (unquote(path) if "%" in path else path).translate(UPPER)
+
+
 def rule_globs(rule: str) -> tuple[str, str]:
     return f"{rule}**", f"*.{rule}**"
 
@@ -123,10 +143,11 @@ class Automaton:
         return out
 
 
-def judge(pages: DataFrame, url: str = "url", rules=RULES, block_globs=BLOCK_GLOBS) -> DataFrame:
+def judge(pages: DataFrame, url: str = "url", rules=RULES, block_globs=None) -> DataFrame:
     """``pages`` with host, path, rule and verdict (longest rule, else the method's)."""
-    rules, block_globs = list(rules), list(block_globs)
-    globs = [g for _, r in rules for g in rule_globs(r)] + block_globs
+    rules = list(rules)
+    globs = [g for _, r in rules for g in rule_globs(r)]
+    own = word_globs() if block_globs is None else list(block_globs)
     by_length = sorted(range(len(rules)), key=lambda i: (-len(rules[i][1]), rules[i][1]))
     n = {x: free_name(pages, x) for x in ("host", "path", "rule", "verdict")}
     df = pages.withColumns({n["host"]: host(col(pages, url)), n["path"]: path(col(pages, url))})
@@ -134,10 +155,10 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES, block_globs=BLOCK_GLO
 
     @F.pandas_udf("rule string, verdict string")
     def apply(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        auto = Automaton(globs)
+        written, meant = Automaton(globs), Automaton(own)
         for h, p in batches:
-            hit = auto.match([a + b for a, b in zip(h, p, strict=True)])
-            blocked = hit[:, 2 * len(rules):].any(axis=1)
+            hit = written.match([a + b for a, b in zip(h, p, strict=True)])
+            blocked = meant.match([a + canonical(b) for a, b in zip(h, p, strict=True)]).any(axis=1)
             rule = np.full(len(h), None, dtype=object)
             verdict = np.where(blocked, "block", "allow").astype(object)
             for i in reversed(by_length):
@@ -149,6 +170,15 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES, block_globs=BLOCK_GLO
     return df.withColumns({n["rule"]: F.col(found)["rule"], n["verdict"]: F.col(found)["verdict"]}).drop(found)
 
 
+def _loose(word: str) -> str:
+    """Pattern of a word in a path as it is written: each character so, in capitals, or percent-coded."""
+    def one(c: str) -> str:
+        codes = {f"%{ord(x):02x}" for x in (c.lower(), c.upper())}
+        return "(?:" + "|".join(sorted({f"[{c}{c.upper()}]", *codes, *(x[0] + x[1:].upper() for x in codes)})) + ")"
+
+    return "".join(map(one, word))
+
+
 ORACLE = r"""
 with u as (
   select page_id,
@@ -166,8 +196,9 @@ r as (
 select page_id, host, path, rule,
        case when rule in ('example.net/en/', 'org/fr/') then 'allow'
             when rule is not null then 'block'
-            when path <> '' and regexp_matches(host, 'cheap-pills|casino|porn|xxx') then 'block'
-            when path <> '' and regexp_matches(path, '(?s)/wp-login[.]php|/viagra') then 'block'
+            when regexp_matches(host, '@host@') then 'block'
+            when regexp_matches(path, '@path@') then 'block'
             else 'allow' end as verdict
 from r
-"""
+""".replace("@host@", "|".join([*HOST_WORDS, *(rf"(?:^|[.]){w}(?:[.]|$)" for w in HOST_LABELS)])).replace(
+    "@path@", "|".join(map(_loose, PATH_WORDS)))
