@@ -351,12 +351,13 @@ def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", docs_used
     return Judge(x, found["y"].to_numpy(dtype=np.int64), held)
 
 
-SCHEMA = ("n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, redacted string")
+SCHEMA = ("n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, n_secret long, redacted string")
 
 
 def find(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", judge: Judge | None = None) -> DataFrame:
     """``docs`` with a ``pii`` struct of SCHEMA's fields (underscores added if taken).
 
+    ``n_added`` counts the spans beside the base ones, ``n_secret`` all secrets;
     ``redacted`` is the text with every span replaced by its kind in brackets.
     """
     small_batches(docs.sparkSession)
@@ -383,4 +384,5 @@ def _row(text: str, judge: Judge) -> tuple:
         elif a < at:
             at = tail = a
     redacted = "".join(reversed([*out, text[:tail]]))
-    return (*counts, hashlib.sha256(written(base).encode()).hexdigest(), written(spans), redacted)
+    secrets = sum(s[0] == "secret" for s in spans)
+    return (*counts, hashlib.sha256(written(base).encode()).hexdigest(), written(spans), len(spans) - len(base), secrets, redacted)

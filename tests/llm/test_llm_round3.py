@@ -87,3 +87,33 @@ def test_pipeline_keeps_clashing_columns(spark, prose):
 
 def test_pipeline_on_an_empty_table(spark):
     assert run(spark, spark.createDataFrame([], H.DOCS)).collect() == []
+
+
+def test_pii_on_texts_it_was_not_trained_on():
+    """Spans of every form in new texts, and hardly any in new texts without them."""
+    import numpy as np
+
+    from patrolspark.llm import pii
+    from test_llm_advice import private_texts
+
+    forms = [lambda a, b, c: f"({200 + c % 700}) {300 + a % 600}-{b:04d}", lambda a, b, c: f"name{c} [at] firm{a} [dot] com",
+             lambda a, b, c: f"2a02:{a % 4096:x}:{b:x}:{c:x}:0:0:{a:x}:{c:x}", lambda a, b, c: f"name{c} at firm{a} dot com"]
+    rows = []
+    for k, form in enumerate(forms):
+        rows += [(f"{k}-{i}", *r) for i, t in enumerate(private_texts(form, np.random.default_rng(k))) for r in pii.examples(t)]
+    held = np.array([int(r[0].split("-")[1]) % 10 in (3, 4) for r in rows])
+    judge = pii.Judge(np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), held)
+    for k, form in enumerate(forms):
+        found = [bool(judge.added(t, pii.base_spans(t))) for t in private_texts(form, np.random.default_rng(100 + k), 200)]
+        assert np.mean(found[1::2]) >= 0.95 and np.mean(found[::2]) <= 0.05, k
+
+
+def test_pii_counts(spark):
+    from patrolspark.llm import pii
+    text = "mail a@b.com key: d41d8cd98f00b204e9800998ecf8427e and a@c.org"
+    got = pii.find(H.docs_frame(spark, [text, None])).select("pii.*").collect()
+    for r in got:
+        spans = list(filter(None, r.spans.split(",")))
+        assert r.n_added == len(spans) - r.n_email - r.n_ip - r.n_card - r.n_phone
+        assert r.n_secret == sum(s.startswith("secret:") for s in spans)
+    assert got[0].n_email == 2 and got[1].n_added == 0
