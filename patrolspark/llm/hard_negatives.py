@@ -317,10 +317,12 @@ def _search(index: DataFrame, directory: DataFrame, pages: int, queries: DataFra
 def mine(vectors: DataFrame, anchors: Column, embedding: str = "embedding", label: str = "label", vec_id: str = "vec_id",
          positives: int = POSITIVES, negatives: int = NEGATIVES, low: int = LOW, high: int = HIGH, block: int = BLOCK) -> DataFrame:
     """One row per anchor (rows where ``anchors`` holds), positive and negative: ids, rank and both scores."""
-    vec = col(vectors, embedding).cast("array<double>")
+    vec = col(vectors, embedding)
+    if dict(vectors.dtypes)[embedding] != "array<float>":  # floats travel as such: half the bytes, and exact in doubles
+        vec = vec.cast("array<double>")
     rows = vectors.select(col(vectors, vec_id).cast("long").alias("id"), col(vectors, label).cast("string").alias("label"),
                           vec.alias("vec"), F.coalesce(anchors, F.lit(False)).alias("anchor"))
-    finite = F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v * SCALE) < float("inf")))
+    finite = F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double") * SCALE) < float("inf")))
     rows = rows.where(F.col("id").isNotNull() & F.col("label").isNotNull() & (F.size("vec") > 0) & finite)
     rows = cut(rows.withColumn("dim", F.size("vec")))  # numbered once it is stored
     rows = rows.withColumn("row", F.monotonically_increasing_id())
@@ -332,7 +334,7 @@ def mine(vectors: DataFrame, anchors: Column, embedding: str = "embedding", labe
     near = cut(_search(index, directory, pages, first, True, positives, low, high))
     scores = near.groupBy("q_row").agg(F.array_sort(F.collect_list(F.struct("rank", "score")))["score"].alias("scores"))
     second = queries.join(scores.withColumnRenamed("q_row", "s_row"), F.col("q_row") == F.col("s_row")).drop("s_row")
-    hard = _search(index, directory, pages, cut(second), False, negatives, low, high)
+    hard = _search(index, directory, pages, second, False, negatives, low, high)
     named = near.join(queries.select(F.col("q_row").alias("a_row"), F.col("id").alias("anchor_id")), F.col("q_row") == F.col("a_row"))
     named = named.select("q_row", "anchor_id", (F.col("rank") - 1).alias("window"), F.col("id").alias("positive_id"),
                          F.col("score").alias("positive_score"))

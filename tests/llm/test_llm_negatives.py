@@ -80,6 +80,17 @@ def test_repeated_rows_and_empty(spark):
     assert mined(spark, one[:1]) == []
 
 
+def test_float_vectors(spark):
+    """Floats count as doubles: 3e38 times 256 is finite there."""
+    rows = [(i, lab, [float(np.float32(x)) for x in v]) for i, lab, v in vectors(60, 4, 7)] + [(95, "l0", [3e38, 0.0, 0.0, 0.0])]
+    rows[-1] = (95, "l0", [float(np.float32(3e38)), 0.0, 0.0, 0.0])
+    df = spark.createDataFrame(rows, "vec_id long, label string, embedding array<float>")
+    plain = brute(rows[:-1])
+    got = sorted(map(tuple, N.mine(df, N.F.col("vec_id") % 5 == 0).collect()))
+    assert [r for r in got if 95 not in (r[0], r[1])] != [] and mined(spark, rows[:-1]) == plain
+    assert got == sorted(map(tuple, N.mine(spark.createDataFrame(rows, SCHEMA), N.F.col("vec_id") % 5 == 0).collect()))
+
+
 def test_queue_prunes():
     """Boxes strictly below the k-th score are never opened."""
     x = np.arange(4096, dtype=float).reshape(-1, 1)
