@@ -569,7 +569,8 @@ def q_cube_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("load_metrics", """
 select cast(count(*) as bigint) as lines, count(*) filter (where event_id % 13 <> 0) as dated,
-       count(*) filter (where event_id % 13 = 0) as short, 0 as header, 0 as out_of_range, 0 as undated
+       count(*) filter (where event_id % 13 = 0) as short, cast(0 as bigint) as header,
+       cast(0 as bigint) as out_of_range, cast(0 as bigint) as undated
 from events
 """)
 def q_load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
