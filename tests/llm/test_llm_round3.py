@@ -1,10 +1,12 @@
 """Mixing through its tree, and the pipeline on odd tables."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import helpers as H
 import corpus_pipeline as C
+from patrolspark.llm import bpe
 from patrolspark.llm import mixing as M
 from patrolspark.llm import queries as Q
 
@@ -117,3 +119,18 @@ def test_pii_counts(spark):
         assert r.n_added == len(spans) - r.n_email - r.n_ip - r.n_card - r.n_phone
         assert r.n_secret == sum(s.startswith("secret:") for s in spans)
     assert got[0].n_email == 2 and got[1].n_added == 0
+
+
+def test_a_task_leaves_no_remembered_pieces(spark):
+    """A Python worker that waits for its next task holds the tables of the vocabulary and no more."""
+    texts = spark.createDataFrame([(f"word{i} some more, and {i * 7919} again",) for i in range(400)], "text string")
+    assert bpe.round_trip(texts.repartition(8)).agg(F.sum(F.length("coded.ids"))).first()[0] > 0
+    assert bpe.encode(texts.repartition(8)).agg(F.sum(F.length("ids"))).first()[0] > 0
+
+    def held(batches):
+        for batch in batches:
+            yield pd.DataFrame({"n": [bpe._memory.cache_info().currsize], "tables": [bpe.vocabulary.cache_info().currsize]})
+
+    seen = spark.range(0, 64, numPartitions=64).mapInPandas(held, "n int, tables int").toPandas()
+    assert seen["tables"].max() >= 1  # such workers were seen
+    assert seen["n"].max() == 0
