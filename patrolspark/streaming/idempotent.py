@@ -13,12 +13,17 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import CSV_TIMES, path_exists
 
+#: Files that one task of a batch write keeps open, one a folder; beyond them Spark sorts what is left by folder.
+OPEN_FILES = 8
+
 
 def run_id(spark: SparkSession, checkpoint: str) -> str:
     """The run id stored in ``checkpoint`` (created on first use)."""
@@ -55,6 +60,21 @@ def refuse_sink_log(spark: SparkSession, path: str) -> None:
                          "(read_lake, then write_table) before adding to it")
 
 
+@contextmanager
+def unsorted_writes(spark: SparkSession) -> Iterator[None]:
+    """Tasks write to a few folders side by side, instead of sorting all their rows by folder first."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def write_batch_table(df: DataFrame, path: str, rid: str, batch_id: int,
                       fmt: str = "parquet", options: dict[str, str] | None = None,
                       also_by: tuple[str, ...] = ()) -> None:
@@ -62,4 +82,5 @@ def write_batch_table(df: DataFrame, path: str, rid: str, batch_id: int,
          .write.format(fmt).mode("overwrite")
          .options(**{**(CSV_TIMES if fmt == "csv" else {}), **(options or {})})
          .option("partitionOverwriteMode", "dynamic"))
-    w.partitionBy("run_id", "batch_id", *also_by).save(path)
+    with unsorted_writes(df.sparkSession):
+        w.partitionBy("run_id", "batch_id", *also_by).save(path)

@@ -387,3 +387,30 @@ def test_failed_batch_retried_leaves_no_duplicates(spark, tmp_dir):
     write_batch(batch, out, "/img", "run", 4)                         # the engine's retry
     assert read_output(spark, out, "standard").count() == 1
     assert read_output(spark, out, "alerts").count() == 1
+
+
+def test_batches_and_compactions_are_not_sorted_by_kind(spark, tmp_dir, monkeypatch):
+    """A task holds open files, not all its rows: the plans that write the kinds have no sort by kind."""
+    from pyspark.sql import DataFrameWriter
+    from patrolspark.catalog import keyed_messages
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before, seen, real = spark.conf.get(key, None), [], DataFrameWriter.save
+
+    def save(self, path=None, *a, **k):
+        if "/messages" in path or "/compacted" in path:
+            seen.append((os.path.basename(path), int(self._df.sparkSession.conf.get(key))))
+        return real(self, path, *a, **k)
+
+    monkeypatch.setattr(DataFrameWriter, "save", save)
+    src, out, ckpt = (f"{tmp_dir}/{n}" for n in ("src", "out", "ckpt"))
+    keyed_messages(spark, "/root/testdata/sf0.001").coalesce(1).write.json(src)
+    stream = spark.readStream.schema(KEYED).json(src)
+    consume_messages(stream, out, ckpt, "/images", available_now=True)
+    want = sorted(map(tuple, image_store(spark, out).collect()))
+    counts = {t: read_output(spark, out, t).count() for t in ("standard", "violation", "rejects")}
+    compact_output(spark, out, ckpt)
+    assert [n for n, _ in seen] == ["messages", "compacted"]
+    assert all(files >= 4 for _, files in seen)  # one a kind
+    assert sorted(map(tuple, image_store(spark, out).collect())) == want and want
+    assert {t: read_output(spark, out, t).count() for t in counts} == counts and all(counts.values())
+    assert spark.conf.get(key, None) == before
