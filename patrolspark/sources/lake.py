@@ -107,34 +107,44 @@ def read_lake(spark: SparkSession, lake_path: str, fmt: str = "parquet") -> Data
     if not live:
         rows = read_table(spark, lake_path, fmt, _WHOLE, text if fmt == "csv" else VIOLATION)
     else:
-        rows = (spark.read.format(fmt).schema(text if fmt == "csv" else VIOLATION).options(**_WHOLE)
-                .load(_roots(lake, live)))
-        rows = _without(spark, lake, rows, [f for _, f, cleared in live if not cleared])
+        roots, folders = _roots(lake, live), [f for _, f, cleared in live if not cleared]
+        files = _listed(spark, roots) if folders else None  # before the rows' own listing: it misses none of theirs
+        rows = spark.read.format(fmt).schema(text if fmt == "csv" else VIOLATION).options(**_WHOLE).load(roots)
+        rows = _without(spark, lake, rows, files, folders)
     return conform(rows, VIOLATION) if fmt == "csv" else rows
 
 
-def _without(spark: SparkSession, lake: str, rows: DataFrame, folders: list[str]) -> DataFrame:
-    """``rows`` but for those of files that the generations in ``folders`` have merged."""
+def _listed(spark: SparkSession, roots: list[str]) -> DataFrame:
+    """(path, file_path, length) of all files in ``roots``; ``file_path`` is spelled as in the metadata of their rows."""
+    files = spark.read.format("binaryFile").options(**_WHOLE).load(roots)
+    return files.select(plain_path(F.col("path")).alias("path"), F.col("_metadata.file_path").alias("file_path"), "length")
+
+
+def _without(spark: SparkSession, lake: str, rows: DataFrame, files: DataFrame, folders: list[str]) -> DataFrame:
+    """``rows`` but for those of ``files`` that the generations in ``folders`` have merged."""
     if not folders:
         return rows
-    merged = replaced_files(spark, lake, folders).select(F.col("path").alias("merged_path"))
+    # spelled as rows name their files, so that the path is decoded once a file and not once a row
+    merged = (files.join(replaced_files(spark, lake, folders).select("path"), "path", "left_semi")
+              .select(F.col("file_path").alias("merged_path")))
     names = rows.columns
-    rows = rows.withColumn("from_path", plain_path(F.col("_metadata.file_path")))
-    return rows.join(merged, F.col("from_path") == F.col("merged_path"), "left_anti").select(*names)
+    rows = rows.withColumn("from_path", F.col("_metadata.file_path"))
+    # one short row a file; the lake's rows are not shuffled for it
+    return rows.join(F.broadcast(merged), F.col("from_path") == F.col("merged_path"), "left_anti").select(*names)
 
 
 def lake_files(spark: SparkSession, lake_path: str) -> DataFrame:
-    """(path, length, run_id, batch_id) of every file that ``read_lake`` reads; run and batch null for other files."""
+    """(path, file_path, length, run_id, batch_id) of every file that ``read_lake`` reads; run and batch null
+    for other files, ``file_path`` as in the metadata of their rows."""
     lake = lake_path.rstrip("/")
     live = generations(spark, lake)
     if not path_exists(spark, lake):
-        return spark.createDataFrame([], "path string, length long, run_id string, batch_id long")
-    files = spark.read.format("binaryFile").options(**_WHOLE).load(_roots(lake, live))
-    path = plain_path(F.col("path"))
-    inside = F.regexp_extract(path, r"/run_id=([^/]+)/batch_id=(\d+)/[^/]+$", 1)
-    number = F.regexp_extract(path, r"/run_id=([^/]+)/batch_id=(\d+)/[^/]+$", 2)
-    files = files.select(path.alias("path"), "length", F.nullif(inside, F.lit("")).alias("run_id"),
-                         F.nullif(number, F.lit("")).cast("long").alias("batch_id"))
+        return spark.createDataFrame([], "path string, file_path string, length long, run_id string, batch_id long")
+    inside = F.regexp_extract("path", r"/run_id=([^/]+)/batch_id=(\d+)/[^/]+$", 1)
+    number = F.regexp_extract("path", r"/run_id=([^/]+)/batch_id=(\d+)/[^/]+$", 2)
+    files = _listed(spark, _roots(lake, live)).select(
+        "path", "file_path", "length", F.nullif(inside, F.lit("")).alias("run_id"),
+        F.nullif(number, F.lit("")).cast("long").alias("batch_id"))
     folders = [f for _, f, cleared in live if not cleared]
     if folders:
         files = files.join(replaced_files(spark, lake, folders).select("path"), "path", "left_anti")
@@ -180,14 +190,15 @@ def _merge(spark: SparkSession, lake: str, fmt: str, target: int, files_at_once:
     spark.createDataFrame(plan, REPLACED).coalesce(1).write.mode("errorifexists").parquet(f"{base}/replaced/{folder}")
     schema = ", ".join(f"_c{i} string" for i in range(len(VIOLATION.fields))) if fmt == "csv" else VIOLATION
     rows = spark.read.format(fmt).schema(schema).load([p for p, *_ in plan])
-    into = spark.createDataFrame([(p, k) for p, _, k, _, _ in plan], "bin_path string, bin int")
+    into = spark.createDataFrame([(found[p]["file_path"], k) for p, _, k, _, _ in plan], "bin_path string, bin int")
     names = rows.columns
     read = Observation()
-    rows = rows.withColumn("from_path", plain_path(F.col("_metadata.file_path"))).observe(read, F.count(F.lit(1)).alias("n"))
+    rows = rows.withColumn("from_path", F.col("_metadata.file_path")).observe(read, F.count(F.lit(1)).alias("n"))
     # one short row a file, at most files_at_once
     rows = rows.join(F.broadcast(into), F.col("from_path") == F.col("bin_path"))
     data = f"{base}/data/{folder}"
-    write_table(rows.repartitionByRange(len(bins), "bin").select(*names), data, fmt, "errorifexists")
+    # by number, not by range: a range is sampled, which reads and counts the rows twice
+    write_table(rows.repartitionById(len(bins), "bin").select(*names), data, fmt, "errorifexists")
     have = spark.read.format(fmt).schema(schema).load(data).count()
     if have != read.get["n"]:
         raise RuntimeError(f"{have} rows merged, {read.get['n']} rows in the files")

@@ -149,6 +149,38 @@ def test_steady_reads_carry_no_join(spark, dirs):
     assert "Join" not in plan and "PushedFilters: [IsNotNull(sending_date)]" in plan
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_merging_into_several_files(spark, tmp_dir, fmt):
+    """Rows of every bin are read and counted once, and each bin is one file."""
+    lake = f"{tmp_dir}/the lake é"
+    for k in range(6):
+        part = spark.range(k * 100, k * 100 + 100).selectExpr(
+            "cast(id as double) as lat", "cast(id as double) as lng", "cast(null as timestamp) as sending_date",
+            "cast(id as string) as drone_id", "'c' as violation_code", "cast(null as string) as image_id")
+        write_table(part.coalesce(1), lake, fmt)
+    before = rows(read_lake(spark, lake, fmt))
+    largest = max(r.length for r in lake_files(spark, lake).collect())
+    assert compact_lake(spark, lake, fmt, target_bytes=int(2.5 * largest)) == 1
+    assert rows(read_lake(spark, lake, fmt)) == before                   # merged files still there, left out
+    merged = [r for r in lake_files(spark, lake).collect() if f"/{L.PACKED}/data/" in r.path]
+    assert len(merged) == 3 and lake_files(spark, lake).count() == 3
+    remove_replaced(spark, lake)
+    assert rows(read_lake(spark, lake, fmt)) == before
+
+
+def test_paths_are_decoded_once_a_file(spark, dirs):
+    """The lake's own side of the join that leaves merged files out takes file names as its rows have them."""
+    many_batches(spark, dirs, 3)
+    compact_lake(spark, dirs["lake"])
+    todo, left = [read_lake(spark, dirs["lake"])._jdf.queryExecution().optimizedPlan()], []
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Join" and "LeftAnti" in node.simpleString(1000):
+            left.append(node.left().toString())
+        todo += [node.children().apply(k) for k in range(node.children().size())]
+    assert len(left) == 1 and "Relation" in left[0] and "regexp_replace" not in left[0]
+
+
 # -- incremental cube --------------------------------------------------------------
 
 def test_cube_follows_loads_and_replays(spark, dirs):

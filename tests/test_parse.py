@@ -108,3 +108,23 @@ def test_split_fields_long_line_with_many_quotes(spark):
     line = ",".join(['"a,b"'] * 20000)
     df = spark.createDataFrame([(line,)], "l string")
     assert df.select(F.size(split_fields("l")).alias("n")).first().n == 20000
+
+
+def test_split_fields_is_compiled_and_needs_no_mark(spark):
+    # even and odd numbers of quotes, quotes at either end, line breaks, control characters
+    lines = ['a,"b,c",d', 'a,b"c,d', 'a"b,c"d,e"f,g', '"', '",', ',"', '"a","b', "x\u0001,\u0002\u0003,", "a\n,\"b,\nc\"",
+             "", ",", ",,", '""', '"",""', '"a,b",' * 50000 + '"', '"' + "a," * 100000]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, l string").select("i", split_fields("l").alias("p"))
+    assert [r.p for r in df.orderBy("i").collect()] == [split_by_count(x) for x in lines]
+    assert "lambda" not in df._jdf.queryExecution().optimizedPlan().toString()  # lambdas run interpreted, row by row
+
+
+def split_by_count(text):
+    """Commas with an even number of quotes after them separate."""
+    after, fields, last = text.count('"'), [], 0
+    for i, c in enumerate(text):
+        after -= c == '"'
+        if c == "," and after % 2 == 0:
+            fields.append(text[last:i])
+            last = i + 1
+    return [*fields, text[last:]]
